@@ -42,13 +42,13 @@ def guarded_int(c: Column | str, typ: str = "bigint") -> Column:
     A 10-digit id above 2**31 needs BIGINT, hence the default.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.rlike("^[0-9]+$"), F.try_cast(c, typ))
+    return F.when(c.rlike("^[0-9]+$"), c.try_cast(typ))
 
 
 def text_to_date(c: Column | str, fmt: str = "yyyyMMdd") -> Column:
     """Date held as text, NULL on bad input."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def tagged_field(c: Column | str, tag: str, occurrence: int = 1, sep: str = "~") -> Column:

@@ -125,7 +125,7 @@ def fill_rate(df: DataFrame, date_col: str, cols: Mapping[str, str] | Sequence[s
     """
     if not isinstance(cols, Mapping):
         cols = {f"pct_{c}": c for c in cols}
-    day = F.try_to_date(F.col(date_col), F.lit(fmt))
+    day = F.try_to_date(F.col(date_col), fmt)
     as_of_d = F.lit(as_of).cast("date")
     base = df.withColumn("service_date", day).filter(
         F.col("service_date").between(F.date_sub(as_of_d, days), F.date_sub(as_of_d, 1)))

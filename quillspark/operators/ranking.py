@@ -1,0 +1,120 @@
+"""Skew-safe cumulative sums in a sort order, without a single-task window.
+
+``Window.orderBy(..)`` with no (or a hot) partition key puts every row of a
+group into one task.  ``running_sum`` spreads the work instead:
+
+1. one range shuffle on ``keys + order`` (the order ends with a unique
+   tie-break, so even a key holding a third of all rows is cut into many
+   range partitions);
+2. inside each range partition, already sorted, an Arrow-batched pandas
+   step computes the cumulative sums per key (``mapInPandas``; the carry
+   between Arrow batches of one partition is a few scalars);
+3. per (range partition, key) totals are a partial+final aggregate over
+   the step-2 output (the last cumulative value of the segment); a
+   window over the partition index *within a key* (at most one row per
+   range partition for any key) turns them into carry-ins;
+4. only the first key of a range partition can continue from an earlier
+   partition, so the carry table has at most one row per range partition
+   (a bound fixed by configuration, never by data) and is broadcast back.
+
+The range exchange is shared by steps 2 and 3 (same subtree, reused).
+"""
+
+from __future__ import annotations
+
+import functools
+import sys
+from collections.abc import Sequence
+
+from pyspark import cloudpickle
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Ship this module's task-side functions by value, so executors need no
+# installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _plain(v):
+    try:
+        import pandas as pd
+        if v is None or (not isinstance(v, (str, bytes)) and pd.isna(v)):
+            return None
+    except (TypeError, ValueError):
+        pass
+    return v.item() if hasattr(v, "item") else v
+
+
+def _local_cumsum(keys, values, batches):
+    import pandas as pd
+    from pyspark import TaskContext
+
+    pid = TaskContext.get().partitionId()
+    prev_key = object()
+    prev = None
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        if keys:
+            gid = pdf.groupby(list(keys), sort=False, dropna=False).ngroup()
+        else:
+            gid = pd.Series(0, index=pdf.index)
+        cums = pdf[list(values)].fillna(0).astype("int64").groupby(gid).cumsum()
+        first_key = tuple(_plain(pdf[k].iloc[0]) for k in keys)
+        if prev is not None and first_key == prev_key:
+            first = gid == gid.iloc[0]
+            for v in values:
+                cums.loc[first, v] += prev[v]
+        prev_key = tuple(_plain(pdf[k].iloc[-1]) for k in keys)
+        prev = {v: int(cums[v].iloc[-1]) for v in values}
+        out = pdf.copy()
+        out["__pid"] = pid
+        for v in values:
+            out[f"__loc_{v}"] = cums[v].to_numpy()
+        yield out
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                values: Sequence[str], n_parts: int | None = None,
+                prefix: str = "cum_") -> DataFrame:
+    """Inclusive cumulative sums of integer ``values`` per ``keys`` in ``order``.
+
+    Equivalent to ``sum(v) OVER (PARTITION BY keys ORDER BY order ROWS
+    BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)``.  ``order`` must make the
+    row order total (end it with a unique column).  NULL keys form one
+    group, as in a window.  Adds ``<prefix><v>`` for each value column.
+    """
+    keys = list(keys)
+    values = list(values)
+    spark = df.sparkSession
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
+    rp = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+
+    schema = T.StructType(df.schema.fields
+                          + [T.StructField("__pid", T.IntegerType(), False)]
+                          + [T.StructField(f"__loc_{v}", T.LongType()) for v in values])
+    local = rp.mapInPandas(functools.partial(_local_cumsum, tuple(keys), tuple(values)), schema)
+
+    # Segment totals come from ``local`` itself: both branches then sit on
+    # the very same range exchange (reused), so partition indices agree.
+    seg = (local.groupBy("__pid", *keys)
+                .agg(*[F.max(F.col(f"__loc_{v}")).alias(f"__tot_{v}") for v in values]))
+    w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = seg.select(F.col("__pid").alias("__cpid"),
+                       *[F.col(k).alias(f"__ck_{k}") for k in keys],
+                       *[F.sum(f"__tot_{v}").over(w).alias(f"__carry_{v}") for v in values])
+    carry = carry.filter(F.greatest(*[F.coalesce(F.col(f"__carry_{v}"), F.lit(0)) for v in values], F.lit(0)) > 0)
+    # At most one carry row per range partition (its first key): bounded
+    # by ``n``, so the broadcast size is fixed by configuration.
+    cond = F.col("__pid") == F.col("__cpid")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__ck_{k}"))
+    j = local.join(F.broadcast(carry), cond, "left")
+    out = j.select(*df.columns,
+                   *[(F.col(f"__loc_{v}") + F.coalesce(F.col(f"__carry_{v}"), F.lit(0))).alias(f"{prefix}{v}")
+                     for v in values])
+    return out

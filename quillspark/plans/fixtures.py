@@ -2,7 +2,9 @@
 
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
 column names equal those of the matching SQL in ``quillspark.plans.oracle``.
-Roles of the driver tables follow SURVEY section 7.
+Roles of the driver tables follow SURVEY section 7.  Parameters (times,
+patterns, sets) are fixed so results repeat; they never sample or cap the
+input.
 """
 
 from __future__ import annotations
@@ -10,18 +12,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.operators import health
+from quillspark.functions.scalar import json_fields, prefix_columns, tagged_field
+from quillspark.functions.scalar import render_rows as render_text
+from quillspark.operators import claims, health, layout, lookup, merge, reconcile
 from quillspark.session import read_table
+from quillspark.sources import catalog, text
 
 # Fixed parameters of the fixture queries (shared with the oracle SQL).
 WINDOW_LO = "2024-01-10 00:00:00"
 WINDOW_HI = "2024-01-20 00:00:00"
+ALL_TABLES = ("region nation customer supplier part orders lineitem events documents "
+              "embeddings pages benchmark labels conversations").split()
 
 
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, sf_dir, name)
+
+
+# --------------------------------------------------------------- task log
+
 def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a task-history log: user_id is the task name, an error
-    event is a FAILED run, ``ts`` the scheduled/completed time."""
-    ev = read_table(spark, sf_dir, "events")
+    event is a FAILED run, ``ts`` the scheduled/completed time, ``props``
+    the error message."""
+    ev = _t(spark, sf_dir, "events")
     return ev.select(
         F.col("user_id").alias("task_name"),
         F.when(F.col("event_type") == "error", F.lit("FAILED")).otherwise(F.lit("SUCCEEDED")).alias("state"),
@@ -31,12 +45,494 @@ def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def currently_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def currently_failed(spark, sf_dir):
     t = _tasks(spark, sf_dir).drop("error_message")
     return health.currently_failed(t, "task_name", "scheduled_time", "state",
                                    lo=WINDOW_LO, hi=WINDOW_HI, tie="event_id")
 
 
+ALERT_AT = "2024-01-20 12:34:56"
+
+
+def failed_since(spark, sf_dir):
+    t = _tasks(spark, sf_dir).drop("error_message")
+    return health.failed_since(t, "scheduled_time", "state", ALERT_AT, minutes=90, n=10, tie="event_id")
+
+
+def failure_alert(spark, sf_dir):
+    t = _tasks(spark, sf_dir).drop("error_message")
+    hits = health.failed_since(t, "scheduled_time", "state", ALERT_AT, minutes=90, n=None)
+    return hits.agg((F.count(F.lit(1)) > 0).alias("alert"))
+
+
+def failed_runs(spark, sf_dir):
+    t = _tasks(spark, sf_dir)
+    return health.failed_runs(t, "task_name", "error_message", "scheduled_time", "state",
+                              name_pattern="1%", msg_pattern='%"k": 1%', since=WINDOW_HI, tie="event_id")
+
+
+# ---------------------------------------------------------- event lookups
+
+def events_typed_since(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    sel = lookup.staged_events(ev, "event_type", "ts", ["click", "purchase", "view", "signup"],
+                               since=WINDOW_LO, until="2024-01-25 00:00:00")
+    sel = sel.filter(F.col("event_type").like("c%") | F.col("event_type").like("p%")
+                     | F.col("event_type").like("v%"))
+    sel = json_fields(sel, "props", {"k": ("$.k", "bigint")})
+    return sel.filter(F.col("k") > 10).select("event_id", "event_type", "ts", "k")
+
+
+def events_by_id(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    keys = _t(spark, sf_dir, "labels").select("doc_id")
+    return lookup.events_by_id(ev, "event_id", keys, "ts", since="2024-01-03 00:00:00", n=100, tie="event_id")
+
+
+def count_by_type(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return lookup.count_by_type(ev, "event_type", "ts", since="2024-01-05 00:00:00")
+
+
+def distinct_types(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return lookup.distinct_types(ev, "event_type", ["%i%", "s%"], "ts", since="2024-01-05 00:00:00")
+
+
+def total_distinct(spark, sf_dir):
+    return lookup.count_total_distinct(_t(spark, sf_dir, "events"), "user_id")
+
+
+def duplicate_keys(spark, sf_dir):
+    return lookup.duplicate_keys(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def out_of_order(spark, sf_dir):
+    conv = _t(spark, sf_dir, "conversations")
+    return lookup.out_of_order(conv, ["conv_id"], "turn", {"first_role": "role"}, {"first_role": "USER"})
+
+
+def status_mismatch(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    li = _t(spark, sf_dir, "lineitem")
+    return lookup.status_mismatch(o, li, "o_orderkey", "l_orderkey", "o_orderstatus", "l_linestatus")
+
+
+def count_blank(spark, sf_dir):
+    pages = _t(spark, sf_dir, "pages")
+    return lookup.count_blank(pages, F.split_part(F.col("url"), F.lit("?"), F.lit(2)))
+
+
+def bad_numerics(spark, sf_dir):
+    part = _t(spark, sf_dir, "part")
+    return lookup.bad_numerics(part, ["p_partkey"], {
+        "brand_no": F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)),
+        "p_type": "p_type",
+    })
+
+
+def load_history(spark, sf_dir):
+    pages = _t(spark, sf_dir, "pages").select("page_id", "url")
+    return text.load_history(pages, "url", "page_id", since=10, patterns=["%/en/%", "%.html"], n=1000)
+
+
+# ----------------------------------------------------- delimited delta
+
+def _supplier_lines(spark, sf_dir) -> DataFrame:
+    """supplier rendered as staged pipe-delimited lines (negative balances
+    give a non-digit piece; field 5 is absent)."""
+    s = _t(spark, sf_dir, "supplier")
+    return s.select(F.concat_ws("|", F.col("s_suppkey"), F.col("s_name"), F.col("s_nationkey"),
+                                F.floor(F.col("s_acctbal")).cast("bigint")).alias("data"))
+
+
+def parse_delta(spark, sf_dir):
+    lines = _supplier_lines(spark, sf_dir)
+    return text.parse_delimited(lines, "data", "|", ["supp_id", "supp_name", "nation_id", "acct", "extra"],
+                                int_cols=["supp_id", "nation_id", "acct"])
+
+
+NEW_KEY_OFFSET = 1_000_000_000
+
+
+def _supplier_delta(spark, sf_dir) -> DataFrame:
+    """Change set over supplier: flags by nation bucket, for existing keys
+    and for new keys (offset); includes unknown and empty flags."""
+    s = _t(spark, sf_dir, "supplier")
+    nk = F.col("s_nationkey")
+    flag = (F.when(nk < 5, "DELETED").when(nk < 10, "UPDATED").when(nk < 15, "NEW")
+             .when(nk < 20, "BOGUS").otherwise(""))
+    old = s.select("s_suppkey", F.concat(F.col("s_name"), F.lit("-v2")).alias("s_name"),
+                   "s_nationkey", "s_acctbal", flag.alias("chng_flag"))
+    new = s.select((F.col("s_suppkey") + NEW_KEY_OFFSET).alias("s_suppkey"),
+                   F.concat(F.lit("New-"), F.col("s_name")).alias("s_name"),
+                   "s_nationkey", "s_acctbal", flag.alias("chng_flag"))
+    return old.unionByName(new)
+
+
+def merge_flags(spark, sf_dir):
+    target = _t(spark, sf_dir, "supplier")
+    delta = _supplier_delta(spark, sf_dir)
+    return merge.merge_change_flags(target, delta, ["s_suppkey"], "chng_flag",
+                                    cols=["s_name", "s_nationkey", "s_acctbal"])
+
+
+def delta_by_flag(spark, sf_dir):
+    return merge.delta_by_flag(_supplier_delta(spark, sf_dir), "chng_flag", "UPDATED")
+
+
+def upsert(spark, sf_dir):
+    target = _t(spark, sf_dir, "supplier")
+    s = _t(spark, sf_dir, "supplier")
+    nk = F.col("s_nationkey")
+    matched = s.filter(nk.between(10, 14)).select("s_suppkey", "s_name", "s_nationkey",
+                                                  (F.col("s_acctbal") + 1).alias("s_acctbal"))
+    new = s.filter(nk >= 20).select((F.col("s_suppkey") + NEW_KEY_OFFSET).alias("s_suppkey"),
+                                    "s_name", "s_nationkey", "s_acctbal")
+    return merge.upsert(target, matched.unionByName(new), ["s_suppkey"], ["s_acctbal"])
+
+
+# ------------------------------------------------------------- exports
+
+def export_text(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                           "o_orderpriority")
+    return text.export_as_text(o, "o_orderkey", keep=["o_orderkey"])
+
+
+def export_since(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return text.export_since(o, "o_orderkey", 1000, 500)
+
+
+# ------------------------------------------------------------ catalog
+
+def column_metadata(spark, sf_dir):
+    return catalog.describe_columns(spark, {"orders": _t(spark, sf_dir, "orders"),
+                                            "lineitem": _t(spark, sf_dir, "lineitem")})
+
+
+def schema_diff(spark, sf_dir):
+    return reconcile.schema_diff(spark, _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"),
+                                 "orders", "lineitem")
+
+
+def extract_plan(spark, sf_dir):
+    cols = catalog.describe_columns(spark, {t: _t(spark, sf_dir, t) for t in ALL_TABLES})
+    cols = cols.select("table_name", "column_name", "ordinal_position")
+    keys = cols.filter((F.col("ordinal_position") == 1) & (F.col("table_name") != "embeddings"))
+    return layout.extract_plan(cols, keys)
+
+
+def ordered_concat(spark, sf_dir):
+    return layout.ordered_concat(_t(spark, sf_dir, "nation"), "n_regionkey", "n_name", "n_nationkey",
+                                 ", ", "names")
+
+
+# ---------------------------------------------------------- customer join
+
+def customer_join(spark, sf_dir):
+    cust = _t(spark, sf_dir, "customer")
+    nation = _t(spark, sf_dir, "nation")
+    return spark.sql(
+        """
+        SELECT c.c_custkey, c.c_name, n.n_name, c.c_mktsegment, 'customer' AS src, c.band
+        FROM (SELECT *, CAST(floor(c_acctbal / 1000) AS BIGINT) AS band FROM {cust}) AS c
+        JOIN {nation} AS n ON c.c_nationkey = n.n_nationkey
+        WHERE c.c_mktsegment ILIKE :segment AND c.band >= :min_band
+        ORDER BY n.n_name ASC NULLS LAST, c.c_custkey DESC NULLS FIRST
+        """,
+        args={"segment": "build%", "min_band": 2}, cust=cust, nation=nation)
+
+
+# --------------------------------------------------------------- claims
+
+CLAIM_KEYS = ["o_custkey", "o_orderpriority"]
+CLAIMS_FROM = "1995-01-01 00:00:00"
+REVERSALS_BEFORE = "2001-06-01 00:00:00"
+
+
+def _claims(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    return o.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= F.lit(CLAIMS_FROM)))
+
+
+def _reversals(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    return o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderdate") < F.lit(REVERSALS_BEFORE)))
+
+
+def reversal_pairs(spark, sf_dir):
+    c = _claims(spark, sf_dir).select("o_orderkey", *CLAIM_KEYS, "o_orderdate")
+    r = _reversals(spark, sf_dir).select("o_orderkey", *CLAIM_KEYS, "o_orderdate")
+    m = claims.match_reversals(c, r, CLAIM_KEYS, "o_orderdate", "o_orderdate")
+    return m.select(F.col("o_orderkey").alias("claim_key"), F.col("rev_o_orderkey").alias("reversal_key"),
+                    F.col("o_orderdate").alias("claim_date"), F.col("rev_o_orderdate").alias("reversal_date"))
+
+
+def reversal_count(spark, sf_dir):
+    c = _claims(spark, sf_dir)
+    r = _reversals(spark, sf_dir)
+    return claims.count_matches(c, r, CLAIM_KEYS, "o_orderdate", "o_orderdate", "o_orderkey", "o_orderkey")
+
+
+def apply_reversals(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", *CLAIM_KEYS, "o_orderdate")
+    r = _reversals(spark, sf_dir)
+    eligible = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= F.lit(CLAIMS_FROM))
+    out = claims.apply_reversals(o, r, CLAIM_KEYS, "o_orderdate", "o_orderdate", "o_orderkey", eligible=eligible)
+    return out.select("o_orderkey", "o_orderstatus", "reversed", "reversed_record_id", "reversal_time")
+
+
+CASH_BIN = "12"
+DUP_WINDOW_START = "1996-06-01 00:00:00"  # as_of 2001-06-01 minus 5 years
+
+
+def _with_bin(o: DataFrame) -> DataFrame:
+    return o.withColumn("bin", F.date_format(F.col("o_orderdate"), "MM"))
+
+
+def apply_duplicate_reversals(spark, sf_dir):
+    o = _with_bin(_t(spark, sf_dir, "orders")).select("o_orderkey", "o_orderstatus", "bin", *CLAIM_KEYS,
+                                                      "o_orderdate")
+    r = o.filter((F.col("bin") != CASH_BIN) & (F.col("o_orderstatus") == "P"))
+    eligible = (((F.col("bin") == CASH_BIN) | (F.col("o_orderstatus") == "F"))
+                & (F.col("o_orderdate") >= F.lit(DUP_WINDOW_START)))
+    out = claims.apply_duplicate_reversals(o, r, CLAIM_KEYS, "o_orderdate", "o_orderdate", "o_orderkey",
+                                           eligible=eligible)
+    return out.select("o_orderkey", "reversed", "reversed_record_id", "reversal_time")
+
+
+def duplicate_reversal_count(spark, sf_dir):
+    o = _with_bin(_t(spark, sf_dir, "orders"))
+    r = o.filter((F.col("bin") != CASH_BIN) & (F.col("o_orderstatus") == "P"))
+    changes = claims.aggregate_changes(r, CLAIM_KEYS, "o_orderdate", "o_orderkey")
+    targets = o.filter(((F.col("bin") == CASH_BIN) | (F.col("o_orderstatus") == "F"))
+                       & (F.col("o_orderdate") >= F.lit(DUP_WINDOW_START)))
+    return claims.count_matches(targets, changes, CLAIM_KEYS, "o_orderdate", "max_time_processed",
+                                "o_orderkey", "o_orderkey")
+
+
+# ---------------------------------------------------------------- triage
+
+def triage(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    h = prefix_columns(ev.filter((F.col("event_type") == "error")
+                                 & F.col("ts").between(F.lit("2024-01-10 00:00:00"), F.lit("2024-01-12 00:00:00")))
+                         .select("event_id", "ts", "user_id"), "h_")
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    p = prefix_columns(health.latest_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"]), "p_")
+    q = prefix_columns(_t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), "q_")
+    j = health.triage(h, p, q, "h_user_id", "p_o_custkey", "p_o_custkey", "q_c_custkey")
+    return j.select("h_event_id", "h_ts", "h_user_id", "p_o_orderkey", "p_o_orderdate", "q_c_name",
+                    "q_c_mktsegment")
+
+
+# ------------------------------------------------------- reconciliation
+
+def not_in_keys(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id")
+    return reconcile.not_in(docs, _t(spark, sf_dir, "labels"), "doc_id")
+
+
+def not_in_keys_null(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id")
+    lab = _t(spark, sf_dir, "labels").select(
+        F.when(F.col("quality") == 0, F.lit(None)).otherwise(F.col("doc_id")).alias("doc_id"))
+    return reconcile.not_in(docs, lab, "doc_id")
+
+
+def in_keys(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang")
+    return reconcile.in_keys(docs, _t(spark, sf_dir, "labels"), "doc_id")
+
+
+def missing_keys_report(spark, sf_dir):
+    src = _t(spark, sf_dir, "documents").filter(F.col("lang") == "en").select(F.col("doc_id").cast("string"))
+    return reconcile.missing_keys_report(src, _t(spark, sf_dir, "labels"), _t(spark, sf_dir, "benchmark"),
+                                         "doc_id", "doc_id", "item_id")
+
+
+def row_counts(spark, sf_dir):
+    return reconcile.row_counts({t: _t(spark, sf_dir, t) for t in ALL_TABLES})
+
+
+def reconcile_counts(spark, sf_dir):
+    left = reconcile.row_counts({t: _t(spark, sf_dir, t) for t in ("orders", "lineitem", "customer", "part")})
+    li = _t(spark, sf_dir, "lineitem")
+    o = _t(spark, sf_dir, "orders")
+    right = reconcile.row_counts({
+        "ORDERS": li.select("l_orderkey").distinct(),
+        "Lineitem": li,
+        "CUSTOMER": o.select("o_custkey").distinct(),
+        "supplier": li.select("l_suppkey").distinct(),
+    })
+    return reconcile.reconcile_counts(left, right)
+
+
+def tagged_union(spark, sf_dir):
+    r = _t(spark, sf_dir, "region")
+    n = _t(spark, sf_dir, "nation")
+    nr = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    parts = {
+        "REGION": r.select(F.col("r_name").alias("object_name"), F.col("r_name").alias("owner")),
+        "NATION": nr.select(F.col("n_name").alias("object_name"), F.col("r_name").alias("owner")),
+        "OWNER": nr.select(F.col("r_name").alias("object_name"), F.col("r_name").alias("owner")),
+    }
+    return reconcile.tagged_union(parts, where=F.col("owner").isin("AFRICA", "ASIA", "EUROPE"))
+
+
+def render_rows(spark, sf_dir):
+    r = _t(spark, sf_dir, "region")
+    n = _t(spark, sf_dir, "nation")
+    nr = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return render_text(nr, ["EXECUTE TASK ", F.col("r_name"), ".", F.col("n_name"), ";"], "command")
+
+
+# ------------------------------------------------------------ CDC / as-of
+
+CDC_CUTOFF = "2024-01-15 00:00:00"
+
+
+def _event_state(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+
+
+def apply_cdc(spark, sf_dir):
+    ev = _event_state(spark, sf_dir)
+    target = merge.as_of(ev, ["user_id"], "ts", CDC_CUTOFF, op_col="event_type", delete_value="error",
+                         tie="event_id")
+    changes = ev.filter(F.col("ts") > F.lit(CDC_CUTOFF))
+    return merge.apply_cdc(target, changes, ["user_id"], "event_type", "ts", tie="event_id",
+                           delete_value="error", cols=["event_id", "ts", "event_type", "value"])
+
+
+def as_of(spark, sf_dir):
+    ev = _event_state(spark, sf_dir)
+    return merge.as_of(ev, ["user_id"], "ts", CDC_CUTOFF, op_col="event_type", delete_value="error",
+                       tie="event_id")
+
+
+# ---------------------------------------------------------------- health
+
+def fill_rate(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    base = ev.select(F.date_format(F.col("ts"), "yyyyMMdd").alias("date_of_service"),
+                     F.nullif(F.col("event_type"), F.lit("error")).alias("c_type"),
+                     F.when(F.col("value") >= 25, F.col("value")).alias("c_value"),
+                     F.col("props").alias("c_props"))
+    return health.fill_rate(base, "date_of_service",
+                            {"pct_type_populated": "c_type", "pct_value_populated": "c_value",
+                             "pct_props_populated": "c_props"},
+                            as_of="2024-01-31", days=30, table_name="EVENTS")
+
+
+def _volume(spark, sf_dir, by_hour, lo, hi):
+    ev = _t(spark, sf_dir, "events")
+    return health.volume_by_bucket(ev, "ts", "event_type", {"purchase": "purchase", "view": "view"},
+                                   lo, hi, by_hour=by_hour, keep=["TOTAL", "purchase"])
+
+
+def volume_hour(spark, sf_dir):
+    return _volume(spark, sf_dir, True, "2024-01-10 00:00:00", "2024-01-11 00:00:00")
+
+
+def volume_day(spark, sf_dir):
+    return _volume(spark, sf_dir, False, "2024-01-10 00:00:00", "2024-01-17 00:00:00")
+
+
+# ---------------------------------------------------------------- layout
+
+def _lineitem_layouts(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    return li, [("orderkey_block", F.floor(F.col("l_orderkey") / 1000)),
+                ("ship_month", F.date_trunc("month", F.col("l_shipdate")).cast("timestamp_ntz"))]
+
+
+def clustering_report(spark, sf_dir):
+    li, layouts = _lineitem_layouts(spark, sf_dir)
+    out = None
+    for label, part in layouts:
+        r = layout.clustering_report(li, part, F.col("l_shipdate"), label)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def clustering_histogram(spark, sf_dir):
+    li, layouts = _lineitem_layouts(spark, sf_dir)
+    out = None
+    for label, part in layouts:
+        r = layout.clustering_histogram(li, part, F.col("l_shipdate"), label)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def recluster(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    ev = ev.withColumn("event_time", F.when(F.col("value") < 1, F.lit("n/a"))
+                       .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")))
+    out = layout.recluster(ev, F.col("event_time"), F.col("event_type"))
+    return out.select("event_id", "event_type", "event_time", "cluster_hour")
+
+
+def tagged_field_q(spark, sf_dir):
+    part = _t(spark, sf_dir, "part")
+    msg = F.concat_ws("~", F.concat(F.lit("NM"), F.col("p_name")), F.concat(F.lit("TY"), F.col("p_type")),
+                      F.concat(F.lit("BR"), F.col("p_brand")), F.concat(F.lit("NM"), F.upper(F.col("p_name"))))
+    out = part.select("p_partkey", tagged_field(msg, "NM", 2, "~").alias("name_2"),
+                      tagged_field(msg, "TY", 1, "~").alias("type_1"),
+                      tagged_field(msg, "ZZ", 1, "~").alias("missing_1"))
+    return out.filter(F.col("name_2").isNotNull())
+
+
 QUERIES = {
     "currently_failed": currently_failed,
+    "failed_since": failed_since,
+    "failure_alert": failure_alert,
+    "failed_runs": failed_runs,
+    "events_typed_since": events_typed_since,
+    "events_by_id": events_by_id,
+    "count_by_type": count_by_type,
+    "distinct_types": distinct_types,
+    "total_distinct": total_distinct,
+    "duplicate_keys": duplicate_keys,
+    "out_of_order": out_of_order,
+    "status_mismatch": status_mismatch,
+    "count_blank": count_blank,
+    "bad_numerics": bad_numerics,
+    "load_history": load_history,
+    "parse_delta": parse_delta,
+    "merge_flags": merge_flags,
+    "delta_by_flag": delta_by_flag,
+    "upsert": upsert,
+    "export_text": export_text,
+    "export_since": export_since,
+    "column_metadata": column_metadata,
+    "schema_diff": schema_diff,
+    "extract_plan": extract_plan,
+    "ordered_concat": ordered_concat,
+    "customer_join": customer_join,
+    "reversal_pairs": reversal_pairs,
+    "reversal_count": reversal_count,
+    "apply_reversals": apply_reversals,
+    "apply_duplicate_reversals": apply_duplicate_reversals,
+    "duplicate_reversal_count": duplicate_reversal_count,
+    "triage": triage,
+    "not_in_keys": not_in_keys,
+    "not_in_keys_null": not_in_keys_null,
+    "in_keys": in_keys,
+    "missing_keys_report": missing_keys_report,
+    "row_counts": row_counts,
+    "reconcile_counts": reconcile_counts,
+    "tagged_union": tagged_union,
+    "render_rows": render_rows,
+    "apply_cdc": apply_cdc,
+    "as_of": as_of,
+    "fill_rate": fill_rate,
+    "volume_hour": volume_hour,
+    "volume_day": volume_day,
+    "clustering_report": clustering_report,
+    "clustering_histogram": clustering_histogram,
+    "recluster": recluster,
+    "tagged_field": tagged_field_q,
 }
