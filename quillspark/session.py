@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -77,10 +76,7 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     leaf = "/".join(parts) if parts else "work"
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}"
-    path = f"{root}/quillspark/{leaf}"
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root}/quillspark/{leaf}"
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -98,10 +98,11 @@ def append_writer(target: str) -> BatchFn:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds at least one entry (file or folder)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
 
 
 def read_appended(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
