@@ -49,29 +49,39 @@ def match_reversals(claims: DataFrame, reversals: DataFrame, keys: Sequence[str]
 
 def count_matches(claims: DataFrame, reversals: DataFrame, keys: Sequence[str],
                   claim_time: str, rev_time: str, claim_id: str, rev_id: str) -> DataFrame:
-    """Dry run of the update: number of pairs and of distinct matched claims.
+    """Dry run of the update: number of pairs and of matched claims.
 
-    Equal to ``count(*)`` and ``count(DISTINCT claim)`` over
-    ``match_reversals`` but computed without building a pair: claims and
-    reversals are stacked, ordered per key group by time (descending, a
-    claim before a reversal of the same time) and a running count of
-    reversals read at each claim row is the number of later reversals.
+    Equal to ``count(*)`` and ``count(DISTINCT claim_id)`` over
+    ``match_reversals`` (claim ids are the claims' unique record ids) but
+    computed without building a pair:
+
+    1. claims and reversals are pre-aggregated to counts per (keys, time) --
+       a partial aggregate, so repeated keys and times shrink map-side;
+    2. the two count sets are stacked and ordered per key group by time
+       descending, claims before reversals of the same time;
+    3. a skew-safe running sum of reversal counts read at a claim row is the
+       number of strictly later reversals of its group.
+
+    ``rev_id`` is unused by the count and kept for signature symmetry.
     """
     keys = list(keys)
-    c = claims.filter(F.col(claim_time).isNotNull()).select(
-        *keys, F.col(claim_time).alias("__t"), F.lit(0).alias("__kind"),
-        F.col(claim_id).cast("string").alias("__id"), F.lit(0).alias("__w"))
-    r = reversals.filter(F.col(rev_time).isNotNull()).select(
-        *keys, F.col(rev_time).alias("__t"), F.lit(1).alias("__kind"),
-        F.col(rev_id).cast("string").alias("__id"), F.lit(1).alias("__w"))
+    c = claims.filter(F.col(claim_time).isNotNull())
+    r = reversals.filter(F.col(rev_time).isNotNull())
     for k in keys:  # a NULL key never equals anything
         c = c.filter(F.col(k).isNotNull())
         r = r.filter(F.col(k).isNotNull())
+    c = (c.groupBy(*keys, F.col(claim_time).alias("__t"))
+          .agg(F.count(F.lit(1)).alias("__nc"))
+          .select(*keys, "__t", F.lit(0).alias("__kind"), "__nc", F.lit(0).cast("bigint").alias("__w")))
+    r = (r.groupBy(*keys, F.col(rev_time).alias("__t"))
+          .agg(F.count(F.lit(1)).alias("__w"))
+          .select(*keys, "__t", F.lit(1).alias("__kind"), F.lit(0).cast("bigint").alias("__nc"), "__w"))
     both = c.unionByName(r)
-    ranked = running_sum(both, keys, [F.col("__t").desc(), F.col("__kind").asc(), F.col("__id").asc()], ["__w"])
+    ranked = running_sum(both, keys, [F.col("__t").desc(), F.col("__kind").asc()], ["__w"])
     at_claims = ranked.filter(F.col("__kind") == 0)
-    return at_claims.agg(F.coalesce(F.sum("cum___w"), F.lit(0)).cast("bigint").alias("n_pairs"),
-                         F.count(F.when(F.col("cum___w") > 0, 1)).alias("n_claims"))
+    return at_claims.agg(
+        F.coalesce(F.sum(F.col("__nc") * F.col("cum___w")), F.lit(0)).cast("bigint").alias("n_pairs"),
+        F.coalesce(F.sum(F.when(F.col("cum___w") > 0, F.col("__nc"))), F.lit(0)).cast("bigint").alias("n_claims"))
 
 
 def latest_reversal_per_key(reversals: DataFrame, keys: Sequence[str], rev_time: str,
