@@ -8,7 +8,8 @@ folder.
 Plan shape (the target is the large side, the change set the small one):
 
 * the change set is reduced to one row per key first (its own shuffle,
-  partial aggregation), which is also where a repeated key fails the job;
+  partial aggregation), which is also where a repeated key fails the job,
+  and is checkpointed once: every later branch reads that copy;
 * the target is streamed once through a LEFT join against the change set
   (broadcast when its size is proven small, so the target is never
   shuffled) and each row is kept, replaced or dropped;
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.health import latest_per_key
-from quillspark.session import bounded_broadcast
+from quillspark.session import bounded_broadcast, ensure_checkpoint_dir
 
 # Change sets up to this many rows are broadcast to the target scan.
 CHANGE_BROADCAST_ROWS = 1_000_000
@@ -66,6 +67,18 @@ def unique_by_key(df: DataFrame, keys: Sequence[str], what: str = "merge") -> Da
     return g.select(*df.columns).unionByName(nullk)
 
 
+def _materialize(changes: DataFrame) -> DataFrame:
+    """Compute the (deduplicated) change set once.
+
+    It feeds three branches (the target join, the matched-key probe and the
+    inserts); a reliable checkpoint in the shared checkpoint folder makes
+    them read one written copy instead of recomputing the dedup aggregate,
+    and cuts the lineage so a lost executor does not replay the source scan.
+    """
+    ensure_checkpoint_dir(changes.sparkSession)
+    return changes.checkpoint(eager=True)
+
+
 def _changes_side(changes: DataFrame, broadcast_rows: int | None) -> DataFrame:
     if broadcast_rows:
         return bounded_broadcast(changes, broadcast_rows)
@@ -91,7 +104,7 @@ def merge_change_flags(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     d = delta.select(*[F.col(k).cast(types[k]).alias(k) for k in keys],
                      *[F.col(c).cast(types[c]).alias(f"__d_{c}") for c in cols],
                      F.col(flag).alias("__flag"))
-    d = unique_by_key(d, keys)
+    d = _materialize(unique_by_key(d, keys))
     d_b = _changes_side(d, broadcast_rows)
 
     j = target.join(d_b, keys, "left")
@@ -131,7 +144,7 @@ def upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str], set_cols: Se
     keys = list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
     r = rows.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
-    r = unique_by_key(r, keys, "upsert")
+    r = _materialize(unique_by_key(r, keys, "upsert"))
     upd = r.select(*keys, *[F.col(c).alias(f"__u_{c}") for c in set_cols], F.lit(True).alias("__m"))
     upd = _changes_side(upd, broadcast_rows)
     j = target.join(upd, keys, "left")
