@@ -16,7 +16,7 @@ from quillspark.functions.scalar import json_fields, prefix_columns, tagged_fiel
 from quillspark.functions.scalar import render_rows as render_text
 from quillspark.operators import claims, health, layout, lookup, merge, reconcile
 from quillspark.session import read_table
-from quillspark.sources import catalog, text
+from quillspark.sources import catalog, storage, text
 
 # Fixed parameters of the fixture queries (shared with the oracle SQL).
 WINDOW_LO = "2024-01-10 00:00:00"
@@ -389,6 +389,23 @@ def render_rows(spark, sf_dir):
     return render_text(nr, ["EXECUTE TASK ", F.col("r_name"), ".", F.col("n_name"), ";"], "command")
 
 
+# ------------------------------------------------------- deletes / feeds
+
+def delete_where(spark, sf_dir):
+    """events minus a type set after a time; a NULL predicate keeps the row."""
+    ev = _t(spark, sf_dir, "events")
+    pred = F.col("event_type").isin("click", "view") & (F.col("ts") > F.lit("2024-01-15 00:00:00"))
+    return storage.delete_where(ev, pred)
+
+
+def tombstones(spark, sf_dir):
+    """Deleted-record feed: customers with a negative balance are gone; their
+    orders are removed by key (LEFT ANTI join)."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    gone = _t(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
+    return merge.apply_tombstones(o, gone, ["o_custkey"])
+
+
 # ------------------------------------------------------------ CDC / as-of
 
 CDC_CUTOFF = "2024-01-15 00:00:00"
@@ -526,6 +543,8 @@ QUERIES = {
     "reconcile_counts": reconcile_counts,
     "tagged_union": tagged_union,
     "render_rows": render_rows,
+    "delete_where": delete_where,
+    "tombstones": tombstones,
     "apply_cdc": apply_cdc,
     "as_of": as_of,
     "fill_rate": fill_rate,

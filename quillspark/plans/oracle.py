@@ -324,6 +324,14 @@ WHERE owner IN ('AFRICA', 'ASIA', 'EUROPE')
     "render_rows": """
 SELECT 'EXECUTE TASK ' || r_name || '.' || n_name || ';' AS command
 FROM nation JOIN region ON n_regionkey = r_regionkey
+""",
+    "delete_where": """
+SELECT * FROM events
+WHERE NOT coalesce(event_type IN ('click', 'view') AND ts > TIMESTAMP '2024-01-15 00:00:00', false)
+""",
+    "tombstones": """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal < 0 AND c.c_custkey = o.o_custkey)
 """,
     "apply_cdc": """
 SELECT user_id, event_id, ts, event_type, value FROM events
