@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Session settings that make results repeatable and plans scale-aware.
 #  * UTC session zone: the driver's timestamps carry no zone.
@@ -79,15 +80,46 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{root}/quillspark/{leaf}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+def _type_bytes(dt: T.DataType) -> int:
+    """Rough in-memory width of one value (variable-length types guessed)."""
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    if isinstance(dt, T.StructType):
+        return sum(_type_bytes(f.dataType) for f in dt.fields)
+    if isinstance(dt, (T.ArrayType, T.MapType)):
+        return 100
+    return 32  # strings, binary, variant
 
-    The proof is one cheap action (``limit(max_rows + 1).count()``).  Beyond
-    the bound the frame is returned unchanged and Spark plans a shuffle join
-    (AQE may still broadcast it from run-time sizes).
+
+def _row_bytes(df: DataFrame) -> int:
+    """Rough width of one row."""
+    return sum(_type_bytes(f.dataType) for f in df.schema.fields) + 8
+
+
+# Upper bound on the estimated in-memory size of a broadcast side.
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after proving it is small.
+
+    The proof is one cheap action (``limit(n + 1).count()``) bounding the
+    row count; the bound is the smaller of ``max_rows`` and ``max_bytes``
+    divided by the estimated row width.  Beyond it the frame is returned
+    unchanged and Spark plans a shuffle join (AQE may still broadcast it from
+    run-time sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    bound = max(1, min(max_rows, max_bytes // _row_bytes(df)))
+    n = df.limit(bound + 1).count()
+    return F.broadcast(df) if n <= bound else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
