@@ -7,6 +7,8 @@ SURVEY 2.5 (O-A8), 2.11 (O-T1..O-T3, O-T7).  ``as_of`` lives in
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +28,13 @@ def partition_ranges(df: DataFrame, part: Column, key: Column) -> DataFrame:
               .filter(F.col("lo").isNotNull()))
 
 
-def partition_depths(ranges: DataFrame) -> DataFrame:
+def partition_depths(ranges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Per partition: ``overlaps`` and ``depth``, plus ``is_constant``.
 
-    Definitions (the source engine's exact formula is not published):
+    ``ranges`` holds ``(part, lo, hi)`` plus the ``group`` columns (e.g. one
+    group per layout being compared); partitions are only compared within
+    their group.  Definitions (the source engine's exact formula is not
+    published):
 
     * ``overlaps(i)`` = number of other partitions j whose range
       ``[lo_j, hi_j]`` intersects ``[lo_i, hi_i]``;
@@ -42,28 +47,27 @@ def partition_depths(ranges: DataFrame) -> DataFrame:
     ``depth = #{lo_j <= lo_i} - #{hi_j < lo_i}``), computed with the
     skew-safe ``running_sum``: no pairwise self-join, no single-task window.
     """
-    lo_data = ranges.select(F.col("lo").alias("v"), F.lit(0).alias("kind"), F.col("part").cast("string").alias("id"),
-                            F.lit("").alias("q"), F.lit(1).alias("w_lo"), F.lit(0).alias("w_hi"),
-                            F.lit(False).alias("const"))
-    hi_data = ranges.select(F.col("hi").alias("v"), F.lit(2).alias("kind"), F.col("part").cast("string").alias("id"),
-                            F.lit("").alias("q"), F.lit(0).alias("w_lo"), F.lit(1).alias("w_hi"),
-                            F.lit(False).alias("const"))
-    q_lo = ranges.select(F.col("lo").alias("v"), F.lit(1).alias("kind"), F.col("part").cast("string").alias("id"),
-                         F.lit("lo").alias("q"), F.lit(0).alias("w_lo"), F.lit(0).alias("w_hi"),
-                         (F.col("lo") == F.col("hi")).alias("const"))
-    q_hi = ranges.select(F.col("hi").alias("v"), F.lit(1).alias("kind"), F.col("part").cast("string").alias("id"),
-                         F.lit("hi").alias("q"), F.lit(0).alias("w_lo"), F.lit(0).alias("w_hi"),
-                         F.lit(False).alias("const"))
+    group = list(group)
+    g = [F.col(c) for c in group]
+    pid = F.col("part").cast("string").alias("id")
+
+    def _side(v, kind, q, w_lo, w_hi, const):
+        return ranges.select(*g, F.col(v).alias("v"), F.lit(kind).alias("kind"), pid, F.lit(q).alias("q"),
+                             F.lit(w_lo).alias("w_lo"), F.lit(w_hi).alias("w_hi"), const.alias("const"))
+
     # At equal values: lo ends (0) < probes (1) < hi ends (2).
-    stacked = lo_data.unionByName(hi_data).unionByName(q_lo).unionByName(q_hi)
-    ranked = running_sum(stacked, [], ["v", "kind", "id", "q"], ["w_lo", "w_hi"])
+    stacked = (_side("lo", 0, "", 1, 0, F.lit(False))
+               .unionByName(_side("hi", 2, "", 0, 1, F.lit(False)))
+               .unionByName(_side("lo", 1, "lo", 0, 0, F.col("lo") == F.col("hi")))
+               .unionByName(_side("hi", 1, "hi", 0, 0, F.lit(False))))
+    ranked = running_sum(stacked, group, ["v", "kind", "id", "q"], ["w_lo", "w_hi"])
     probes = ranked.filter(F.col("kind") == 1)
-    per = probes.groupBy("id").agg(
+    per = probes.groupBy(*group, "id").agg(
         F.max(F.when(F.col("q") == "lo", F.col("cum_w_hi"))).alias("hi_before_lo"),
         F.max(F.when(F.col("q") == "lo", F.col("cum_w_lo"))).alias("lo_upto_lo"),
         F.max(F.when(F.col("q") == "hi", F.col("cum_w_lo"))).alias("lo_upto_hi"),
         F.max(F.col("const")).alias("is_constant"))
-    return per.select(F.col("id").alias("part"),
+    return per.select(*group, F.col("id").alias("part"),
                       (F.col("lo_upto_hi") - F.col("hi_before_lo") - 1).alias("overlaps"),
                       (F.col("lo_upto_lo") - F.col("hi_before_lo")).alias("depth"),
                       "is_constant")
@@ -75,30 +79,40 @@ def depth_bucket(depth: Column) -> Column:
     return F.when(depth <= 16, depth.cast("bigint")).otherwise(pow2)
 
 
-def clustering_report(df: DataFrame, part: Column, key: Column, label: str) -> DataFrame:
-    """Clustering summary of ``key`` over the partitions named by ``part``.
+def _layout_depths(df: DataFrame, layouts: Mapping[str, Column], key: Column) -> DataFrame:
+    """Depths of every layout in one ranking pass (grouped by layout label)."""
+    ranges = None
+    for label, part in layouts.items():
+        r = partition_ranges(df, part, key).select(F.lit(label).alias("cluster_by_keys"),
+                                                    F.col("part").cast("string").alias("part"), "lo", "hi")
+        ranges = r if ranges is None else ranges.unionByName(r)
+    return partition_depths(ranges, ["cluster_by_keys"])
+
+
+def clustering_report(df: DataFrame, layouts: Mapping[str, Column], key: Column) -> DataFrame:
+    """Clustering summary of ``key`` for each layout (label -> partition expression).
 
-    One row: ``cluster_by_keys`` (the label), ``total_partition_count``,
-    ``total_constant_partition_count``, ``average_overlaps``,
-    ``average_depth`` (definitions in ``partition_depths``).  Averages are
-    not rounded.
+    One row per layout: ``cluster_by_keys`` (the label),
+    ``total_partition_count``, ``total_constant_partition_count``,
+    ``average_overlaps``, ``average_depth`` (definitions in
+    ``partition_depths``).  Averages are not rounded.
     """
-    per = partition_depths(partition_ranges(df, part, key))
-    return per.agg(F.count(F.lit(1)).alias("total_partition_count"),
-                   F.count(F.when(F.col("is_constant"), 1)).alias("total_constant_partition_count"),
-                   F.avg(F.col("overlaps")).alias("average_overlaps"),
-                   F.avg(F.col("depth")).alias("average_depth")) \
-              .select(F.lit(label).alias("cluster_by_keys"), "*")
+    per = _layout_depths(df, layouts, key)
+    return per.groupBy("cluster_by_keys").agg(
+        F.count(F.lit(1)).alias("total_partition_count"),
+        F.count(F.when(F.col("is_constant"), 1)).alias("total_constant_partition_count"),
+        F.avg(F.col("overlaps")).alias("average_overlaps"),
+        F.avg(F.col("depth")).alias("average_depth"))
 
 
-def clustering_histogram(df: DataFrame, part: Column, key: Column, label: str) -> DataFrame:
+def clustering_histogram(df: DataFrame, layouts: Mapping[str, Column], key: Column) -> DataFrame:
     """Partition-depth histogram rows ``(cluster_by_keys, depth_bucket,
     partition_count)``; empty buckets are absent.  Buckets are labelled as
     five-digit text (``00001`` .. ``00016``, ``00032``, ``00064`` ...)."""
-    per = partition_depths(partition_ranges(df, part, key))
-    return (per.groupBy(F.lpad(depth_bucket(F.col("depth")).cast("string"), 5, "0").alias("depth_bucket"))
-               .agg(F.count(F.lit(1)).alias("partition_count"))
-               .select(F.lit(label).alias("cluster_by_keys"), "depth_bucket", "partition_count"))
+    per = _layout_depths(df, layouts, key)
+    return (per.groupBy("cluster_by_keys",
+                        F.lpad(depth_bucket(F.col("depth")).cast("string"), 5, "0").alias("depth_bucket"))
+               .agg(F.count(F.lit(1)).alias("partition_count")))
 
 
 BAD_DATE_BUCKET = "1970-01-01 00:00:00"

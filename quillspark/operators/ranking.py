@@ -17,7 +17,8 @@ group into one task.  ``running_sum`` spreads the work instead:
    partition, so the carry table has at most one row per range partition
    (a bound fixed by configuration, never by data) and is broadcast back.
 
-The range exchange is shared by steps 2 and 3 (same subtree, reused).
+The output of step 2 is checkpointed once, so steps 3 and 4 read the same
+partition indices (and the Python pass runs once).
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspark.session import ensure_checkpoint_dir
+
 
 # Ship this module's task-side functions by value, so executors need no
 # installed copy of the package.
@@ -98,9 +101,14 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
                           + [T.StructField("__pid", T.IntegerType(), False)]
                           + [T.StructField(f"__loc_{v}", T.LongType()) for v in values])
     local = rp.mapInPandas(functools.partial(_local_cumsum, tuple(keys), tuple(values)), schema)
+    # Materialise the per-partition pass once (reliable checkpoint in the
+    # shared folder).  Both later branches read the written partition index,
+    # so they agree whatever Spark does with the exchange (its range bounds
+    # come from a seeded sample and are not shared between two separately
+    # executed exchanges), and the Python pass runs once.
+    ensure_checkpoint_dir(spark)
+    local = local.checkpoint(eager=True)
 
-    # Segment totals come from ``local`` itself: both branches then sit on
-    # the very same range exchange (reused), so partition indices agree.
     seg = (local.groupBy("__pid", *keys)
                 .agg(*[F.max(F.col(f"__loc_{v}")).alias(f"__tot_{v}") for v in values]))
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -462,26 +462,18 @@ def volume_day(spark, sf_dir):
 
 def _lineitem_layouts(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    return li, [("orderkey_block", F.floor(F.col("l_orderkey") / 1000)),
-                ("ship_month", F.date_trunc("month", F.col("l_shipdate")).cast("timestamp_ntz"))]
+    return li, {"orderkey_block": F.floor(F.col("l_orderkey") / 1000),
+                "ship_month": F.date_trunc("month", F.col("l_shipdate")).cast("timestamp_ntz")}
 
 
 def clustering_report(spark, sf_dir):
     li, layouts = _lineitem_layouts(spark, sf_dir)
-    out = None
-    for label, part in layouts:
-        r = layout.clustering_report(li, part, F.col("l_shipdate"), label)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return layout.clustering_report(li, layouts, F.col("l_shipdate"))
 
 
 def clustering_histogram(spark, sf_dir):
     li, layouts = _lineitem_layouts(spark, sf_dir)
-    out = None
-    for label, part in layouts:
-        r = layout.clustering_histogram(li, part, F.col("l_shipdate"), label)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return layout.clustering_histogram(li, layouts, F.col("l_shipdate"))
 
 
 def recluster(spark, sf_dir):
