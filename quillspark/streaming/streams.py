@@ -130,21 +130,37 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+def _versions(spark: SparkSession, log: str) -> list[int]:
+    """Version numbers of the register: the ``v=<n>`` folders (a listing, no job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(log)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[2:]))
+    return sorted(out)
+
+
 def current_log(spark: SparkSession, log: str) -> DataFrame:
-    """Newest version of the change register (empty if none yet)."""
-    if not _exists(spark, log):
+    """Newest complete version of the change register (empty if none yet).
+
+    Only versions whose write finished (``_SUCCESS`` marker) count, so a
+    writer that died half-way leaves the previous version current.
+    """
+    vs = _versions(spark, log)
+    if not vs:
         return spark.createDataFrame([], LOG_SCHEMA)
-    all_v = spark.read.parquet(log)
-    top = all_v.agg(F.max("v")).first()[0]
-    return all_v.filter(F.col("v") == F.lit(top)).select(*LOG_SCHEMA.fieldNames())
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{log}/v={vs[-1]}")
 
 
 def _write_log_version(spark: SparkSession, log: str, df: DataFrame) -> None:
-    if _exists(spark, log):
-        top = spark.read.parquet(log).agg(F.max("v")).first()[0]
-        nxt = 0 if top is None else top + 1
-    else:
-        nxt = 0
+    vs = _versions(spark, log)
+    nxt = vs[-1] + 1 if vs else 0
     df.select(*LOG_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{log}/v={nxt}")
 
 
