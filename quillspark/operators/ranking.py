@@ -93,7 +93,9 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     keys = list(keys)
     values = list(values)
     spark = df.sparkSession
-    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Enough range partitions that none is larger than an input split: the
+    # input's partition count (one per file split) or the shuffle setting.
+    n = n_parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     sort = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
     rp = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
 
