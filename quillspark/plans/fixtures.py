@@ -83,6 +83,36 @@ def events_typed_since(spark, sf_dir):
     return sel.filter(F.col("k") > 10).select("event_id", "event_type", "ts", "k")
 
 
+RECORD_ID_BASE = 1_000_000_000_000_000_000  # ids of 19 digits
+
+
+def _staged_documents(spark, sf_dir) -> DataFrame:
+    """events as staged JSON documents ``(data, ingested_timestamp)``: the
+    event type, id and time sit in the document, the record id (19 digits)
+    inside a nested payload."""
+    ev = _t(spark, sf_dir, "events")
+    doc = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("eventId"),
+        F.col("event_type").alias("eventType"),
+        F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("eventTime"),
+        F.struct((F.col("event_id") + F.lit(RECORD_ID_BASE)).alias("record_id"),
+                 F.col("user_id").alias("user_id")).alias("eventPayload")))
+    return ev.select(doc.alias("data"), F.col("ts").alias("ingested_timestamp"))
+
+
+def staged_json_events(spark, sf_dir):
+    """O-S1 on documents: type filter and payload fields by JSON path."""
+    docs = json_fields(_staged_documents(spark, sf_dir), "data", {
+        "event_type": ("$.eventType", "string"),
+        "event_ref": ("$.eventId", "bigint"),
+        "record_id": ("$.eventPayload.record_id", "bigint"),
+        "user_id": ("$.eventPayload.user_id", "bigint"),
+    })
+    sel = lookup.staged_events(docs, "event_type", "ingested_timestamp", ["purchase", "signup"],
+                               since=WINDOW_LO)
+    return sel.select("event_ref", "event_type", "record_id", "user_id", "ingested_timestamp")
+
+
 def events_by_id(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     keys = _t(spark, sf_dir, "labels").select("doc_id")
@@ -500,6 +530,7 @@ QUERIES = {
     "failure_alert": failure_alert,
     "failed_runs": failed_runs,
     "events_typed_since": events_typed_since,
+    "staged_json_events": staged_json_events,
     "events_by_id": events_by_id,
     "count_by_type": count_by_type,
     "distinct_types": distinct_types,

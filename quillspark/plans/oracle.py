@@ -101,6 +101,12 @@ WHERE event_type IN ('click', 'purchase', 'view', 'signup')
   AND ts > TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-25 00:00:00'
   AND (event_type LIKE 'c%' OR event_type LIKE 'p%' OR event_type LIKE 'v%')
   AND TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) > 10
+""",
+    "staged_json_events": """
+SELECT event_id AS event_ref, event_type, event_id + 1000000000000000000 AS record_id, user_id,
+       ts AS ingested_timestamp
+FROM events
+WHERE event_type IN ('purchase', 'signup') AND ts > TIMESTAMP '2024-01-10 00:00:00'
 """,
     "events_by_id": """
 SELECT event_id, ts, user_id, event_type FROM events
