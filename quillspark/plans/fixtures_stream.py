@@ -57,6 +57,32 @@ def stream_reset(spark, sf_dir):
     return streams.read_appended(spark, target2, ev.schema)
 
 
+def stream_drain(spark, sf_dir):
+    """Drain (O-R6): the first load is discarded, only the offset moves; the
+    next run applies the second load alone."""
+    stage, ev = _stage(spark, sf_dir, second_load=False)
+    ckpt = streams.new_checkpoint(spark, "events")
+    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.discard, ckpt)
+    ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
+    target = work_path(spark, "tables", "events")
+    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target), ckpt)
+    return streams.read_appended(spark, target, ev.schema)
+
+
+def stream_task(spark, sf_dir):
+    """Scheduled task (O-R3): a 1-minute processing-time trigger picks up
+    the staged files; the task is stopped once everything is processed."""
+    stage, ev = _stage(spark, sf_dir)
+    target = work_path(spark, "tables", "events")
+    q = streams.start_task(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target),
+                           streams.new_checkpoint(spark, "events"), every="1 minute")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return streams.read_appended(spark, target, ev.schema)
+
+
 def backlog(spark, sf_dir):
     """Rows staged but not applied: the second load, before any drain sees it (O-R4)."""
     stage, ev = _stage(spark, sf_dir, second_load=False)
@@ -133,6 +159,8 @@ def cache(spark, sf_dir):
 QUERIES = {
     "stream_once": stream_once,
     "stream_reset": stream_reset,
+    "stream_drain": stream_drain,
+    "stream_task": stream_task,
     "backlog": backlog,
     "change_log": change_log,
     "resync": resync,
@@ -146,6 +174,8 @@ QUERIES = {
 ORACLE = {
     "stream_once": "SELECT * FROM events",
     "stream_reset": "SELECT * FROM events",
+    "stream_drain": "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
+    "stream_task": "SELECT * FROM events",
     "backlog": "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
     "change_log": """
 SELECT event_type AS table_name, max(ts) AS operation_time FROM events
