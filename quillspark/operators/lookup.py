@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.session import bounded_broadcast
 
@@ -131,6 +132,27 @@ def out_of_order(df: DataFrame, group: Sequence[str], pos: str, fields: Mapping[
     return first.filter(cond)
 
 
+def first_element_mismatch(df: DataFrame, doc_col: str, code_path: str, code: str,
+                           array_path: str, expected: Mapping[str, str]) -> DataFrame:
+    """Documents of one transaction code whose first array element is not in
+    the expected state, read by JSON path (``$.transactions[0].state``).
+
+    Fields compare upper-cased; an empty array or a missing field gives NULL,
+    hence is not reported (three-valued logic, as in the source).
+    """
+    doc = F.col(doc_col)
+    if not isinstance(df.schema[doc_col].dataType, T.VariantType):
+        doc = F.try_parse_json(doc)
+    v = "__doc"
+    out = df.withColumn(v, doc).filter(F.try_variant_get(F.col(v), code_path, "string") == F.lit(code))
+    cond = None
+    for field, want in expected.items():
+        got = F.upper(F.try_variant_get(F.col(v), f"{array_path}[0].{field}", "string"))
+        c = got != F.lit(want)
+        cond = c if cond is None else (cond | c)
+    return out.filter(cond).drop(v)
+
+
 def status_mismatch(header: DataFrame, items: DataFrame, key: str, item_key: str,
                     a: str, b: str) -> DataFrame:
     """Headers with exactly one item whose status ``a`` differs from the item's ``b``.

@@ -142,6 +142,41 @@ def out_of_order(spark, sf_dir):
     return lookup.out_of_order(conv, ["conv_id"], "turn", {"first_role": "role"}, {"first_role": "USER"})
 
 
+def _staged_transmissions(spark, sf_dir) -> DataFrame:
+    """orders as staged transmission documents: a transaction code, a
+    response status (empty for status P) and a ``transactions`` array whose
+    first element's state/type vary with the order (empty for 5-LOW)."""
+    o = _t(spark, sf_dir, "orders")
+    pr = F.col("o_orderpriority")
+    first = F.struct(
+        F.when(F.col("o_orderstatus") == "F", F.lit("created")).when(F.col("o_orderstatus") == "O", F.lit("CREATED"))
+         .otherwise(F.lit("open")).alias("state"),
+        F.when(pr.startswith("2"), F.lit("response")).otherwise(F.lit("request")).alias("type"))
+    second = F.struct(F.lit("SENT").alias("state"), F.lit("RESPONSE").alias("type"))
+    txs = F.when(pr.startswith("5"), F.array().cast("array<struct<state:string,type:string>>")) \
+           .otherwise(F.array(first, second))
+    doc = F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("transmissionId"),
+        F.when(pr.startswith("1") | pr.startswith("2") | pr.startswith("5"), F.lit("B1")).otherwise(F.lit("B2"))
+         .alias("transactionCode"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus")).alias("responseStatusCode"),
+        txs.alias("transactions")))
+    return o.select(doc.alias("data"), F.col("o_orderdate").alias("ingested_timestamp"))
+
+
+def transmission_out_of_order(spark, sf_dir):
+    docs = _staged_transmissions(spark, sf_dir)
+    bad = lookup.first_element_mismatch(docs, "data", "$.transactionCode", "B1", "$.transactions",
+                                        {"state": "CREATED", "type": "REQUEST"})
+    return json_fields(bad, "data", {"transmission_id": ("$.transmissionId", "bigint")}).select("transmission_id")
+
+
+def transmission_blank_status(spark, sf_dir):
+    docs = json_fields(_staged_transmissions(spark, sf_dir), "data", {
+        "code": ("$.transactionCode", "string"), "rsc": ("$.responseStatusCode", "string")})
+    return lookup.count_blank(docs.filter(F.col("code") == "B1"), F.col("rsc"))
+
+
 def status_mismatch(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     li = _t(spark, sf_dir, "lineitem")
@@ -538,6 +573,8 @@ QUERIES = {
     "duplicate_keys": duplicate_keys,
     "out_of_order": out_of_order,
     "status_mismatch": status_mismatch,
+    "transmission_out_of_order": transmission_out_of_order,
+    "transmission_blank_status": transmission_blank_status,
     "count_blank": count_blank,
     "bad_numerics": bad_numerics,
     "load_history": load_history,

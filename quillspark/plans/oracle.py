@@ -133,6 +133,17 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
     "out_of_order": """
 SELECT conv_id, arg_min(role, turn) AS first_role FROM conversations
 GROUP BY conv_id HAVING upper(arg_min(role, turn)) <> 'USER'
+""",
+    "transmission_out_of_order": """
+SELECT o_orderkey AS transmission_id FROM orders
+WHERE (o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%')
+  AND (upper(CASE WHEN o_orderstatus = 'F' THEN 'created' WHEN o_orderstatus = 'O' THEN 'CREATED' ELSE 'open' END)
+         <> 'CREATED'
+       OR upper(CASE WHEN o_orderpriority LIKE '2%' THEN 'response' ELSE 'request' END) <> 'REQUEST')
+""",
+    "transmission_blank_status": """
+SELECT count(*) FILTER (WHERE o_orderstatus = 'P') AS n_blank, count(*) AS n_rows FROM orders
+WHERE o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%' OR o_orderpriority LIKE '5%'
 """,
     "status_mismatch": """
 WITH one AS (SELECT l_orderkey, min(l_linestatus) AS l_linestatus FROM lineitem
