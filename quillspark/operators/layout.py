@@ -158,20 +158,34 @@ def quote_ident(c: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
-def extract_plan(columns: DataFrame, keys: DataFrame) -> DataFrame:
-    """One extract query per table: its columns in position order and its key list.
-
-    ``columns``: ``(table_name, column_name, ordinal_position)``;
-    ``keys``: ``(table_name, column_name, ordinal_position)`` of primary-key
-    columns.  Tables without a key are left out (the source's RIGHT join
-    followed by a filter on the key side is an inner join).
+def extract_plan(columns: DataFrame, keys: DataFrame, targets=None, schema: str | None = None) -> DataFrame:
+    """One extract query per target table: its columns in position order and
+    its primary-key list.
+
+    ``columns``: ``(table_name, column_name, ordinal_position)``; ``keys``:
+    the same for primary-key columns; ``targets``: table names to export
+    (a list or a one-column DataFrame; default all).  Tables without a key
+    are left out: the source's RIGHT join to the targets followed by a
+    filter on the key side is an inner join.  Output: ``raw_table_name``,
+    ``primary_keys`` and ``sql_select`` (``SELECT "c1", "c2" FROM
+    "schema"."table";``; identifiers are always quoted).
     """
+    if targets is not None:
+        if isinstance(targets, DataFrame):
+            t = targets.select(F.col(targets.columns[0]).alias("table_name"))
+            columns = columns.join(t, "table_name", "left_semi")
+            keys = keys.join(t, "table_name", "left_semi")
+        else:
+            columns = columns.filter(F.col("table_name").isin(list(targets)))
+            keys = keys.filter(F.col("table_name").isin(list(targets)))
     cols = columns.withColumn("__q", quote_ident(F.col("column_name")))
     sel = ordered_concat(cols, "table_name", "__q", "ordinal_position", ", ", "column_list")
     k = keys.withColumn("__q", quote_ident(F.col("column_name")))
-    kl = ordered_concat(k, "table_name", "__q", "ordinal_position", ", ", "key_columns")
+    kl = ordered_concat(k, "table_name", "__q", "ordinal_position", ", ", "primary_keys")
     j = kl.join(sel, "table_name", "inner")
-    return j.select("table_name",
-                    F.concat(F.lit("SELECT "), F.col("column_list"), F.lit(" FROM "),
-                             quote_ident(F.col("table_name"))).alias("select_sql"),
-                    "key_columns")
+    qualified = quote_ident(F.col("table_name"))
+    if schema is not None:
+        qualified = F.concat(quote_ident(F.lit(schema)), F.lit("."), qualified)
+    return j.select(F.col("table_name").alias("raw_table_name"), "primary_keys",
+                    F.concat(F.lit("SELECT "), F.col("column_list"), F.lit(" FROM "), qualified,
+                             F.lit(";")).alias("sql_select"))

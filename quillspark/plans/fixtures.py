@@ -283,10 +283,12 @@ def schema_diff(spark, sf_dir):
 
 
 def extract_plan(spark, sf_dir):
+    """Export plan for every driver table; the first column is its key,
+    except for ``embeddings``, which has none and so is not exported."""
     cols = catalog.describe_columns(spark, {t: _t(spark, sf_dir, t) for t in ALL_TABLES})
     cols = cols.select("table_name", "column_name", "ordinal_position")
     keys = cols.filter((F.col("ordinal_position") == 1) & (F.col("table_name") != "embeddings"))
-    return layout.extract_plan(cols, keys)
+    return layout.extract_plan(cols, keys, targets=ALL_TABLES, schema="main")
 
 
 def ordered_concat(spark, sf_dir):

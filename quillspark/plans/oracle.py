@@ -234,20 +234,20 @@ SELECT 'only in lineitem', column_name FROM (
   EXCEPT SELECT column_name FROM c WHERE table_name = 'orders')
 """,
     "extract_plan": f"""
-WITH c AS (SELECT table_name, column_name, ordinal_position FROM information_schema.columns
-           WHERE table_name IN ({_ALL_IN})),
-k AS (SELECT * FROM c WHERE ordinal_position = 1 AND table_name <> 'embeddings'),
-sel AS (SELECT table_name,
-               string_agg('"' || replace(column_name, '"', '""') || '"', ', ' ORDER BY ordinal_position)
-                 AS column_list
-        FROM c GROUP BY table_name),
-kl AS (SELECT table_name,
-              string_agg('"' || replace(column_name, '"', '""') || '"', ', ' ORDER BY ordinal_position)
-                AS key_columns
-       FROM k GROUP BY table_name)
-SELECT kl.table_name, 'SELECT ' || sel.column_list || ' FROM "' || kl.table_name || '"' AS select_sql,
-       kl.key_columns
-FROM kl JOIN sel ON kl.table_name = sel.table_name
+WITH target_tables AS (SELECT unnest([{_ALL_IN}]) AS table_name),
+c AS (SELECT table_schema, table_name, column_name, ordinal_position FROM information_schema.columns
+      WHERE table_name IN (SELECT table_name FROM target_tables)),
+pk AS (SELECT tt.table_name,
+              string_agg('"' || replace(c.column_name, '"', '""') || '"', ', ' ORDER BY c.ordinal_position)
+                AS primary_keys
+       FROM c RIGHT JOIN target_tables tt ON c.table_name = tt.table_name
+       WHERE c.ordinal_position = 1 AND c.table_name <> 'embeddings'
+       GROUP BY tt.table_name)
+SELECT c.table_name AS raw_table_name, pk.primary_keys,
+       'SELECT ' || string_agg('"' || replace(c.column_name, '"', '""') || '"', ', ' ORDER BY c.ordinal_position)
+         || ' FROM "' || c.table_schema || '"."' || c.table_name || '";' AS sql_select
+FROM c RIGHT JOIN pk ON pk.table_name = c.table_name
+GROUP BY c.table_schema, c.table_name, pk.primary_keys
 """,
     "ordered_concat": """
 SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_nationkey) AS names FROM nation GROUP BY n_regionkey
