@@ -18,6 +18,7 @@ from quillspark.streaming import streams
 
 STAGE_CUTOFF = "2024-01-15 00:00:00"
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+REGISTERED_AT = "2024-01-01 00:00:00"
 
 
 def _stage(spark: SparkSession, sf_dir: str, second_load: bool = True) -> tuple[str, DataFrame]:
@@ -100,7 +101,7 @@ def change_log(spark, sf_dir):
     table; after two loads and drains one table is unregistered (O-R8)."""
     stage, ev = _stage(spark, sf_dir, second_load=False)
     log = work_path(spark, "tables", "cache_log")
-    streams.register(spark, log, EVENT_TYPES)
+    streams.register(spark, log, EVENT_TYPES, at=REGISTERED_AT)
     ckpt = streams.new_checkpoint(spark, "cache_log")
     handler = streams.change_log_writer(spark, log, "event_type", "ts")
     streams.drain_once(streams.event_stream(spark, stage, ev.schema), handler, ckpt)

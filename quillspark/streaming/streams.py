@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quillspark.operators.merge import upsert
 from quillspark.operators.reconcile import reconcile_counts, row_counts
 from quillspark.session import work_path
 from quillspark.sources.storage import delete_where
@@ -164,11 +163,17 @@ def _write_log_version(spark: SparkSession, log: str, df: DataFrame) -> None:
     df.select(*LOG_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{log}/v={nxt}")
 
 
-def register(spark: SparkSession, log: str, tables: Iterable[str]) -> None:
-    """Start watching tables: add them to the register (no change time yet)."""
-    rows = spark.createDataFrame([(t, None) for t in tables], LOG_SCHEMA)
+def register(spark: SparkSession, log: str, tables: Iterable[str], at=None) -> None:
+    """Start watching tables: each gets a register row stamped ``at``
+    (default: now).  Registering a watched table again refreshes its time
+    only if ``at`` is later (MERGE with ``greatest``)."""
+    stamp = F.current_timestamp().cast("timestamp_ntz") if at is None else F.lit(at).cast("timestamp_ntz")
+    names = spark.createDataFrame([(t,) for t in tables], "table_name string")
+    rows = names.select("table_name", stamp.alias("__t"))
     cur = current_log(spark, log)
-    _write_log_version(spark, log, upsert(cur, rows, ["table_name"], [], broadcast_rows=None))
+    j = cur.join(rows, "table_name", "full_outer")
+    new = j.select("table_name", F.greatest(F.col("operation_time"), F.col("__t")).alias("operation_time"))
+    _write_log_version(spark, log, new)
 
 
 def unregister(spark: SparkSession, log: str, table: str,
@@ -181,19 +186,23 @@ def unregister(spark: SparkSession, log: str, table: str,
 
 
 def change_log_writer(spark: SparkSession, log: str, table_col: str, ts_col: str,
-                      apply: BatchFn | None = None) -> BatchFn:
+                      apply: BatchFn | None = None, processing_time: bool = False) -> BatchFn:
     """Batch handler: apply the batch (optional), then refresh the register.
 
     For every watched table present in the batch its ``operation_time``
-    becomes the newest change time seen (``greatest`` of old and new, so a
-    replayed batch changes nothing).  Tables not registered are ignored.
+    becomes the newest change time seen: the batch's greatest ``ts_col``
+    (event time, repeatable), or with ``processing_time=True`` the time the
+    batch ran (as a scheduled task stamps it).  ``greatest`` of old and new
+    means a replayed batch changes nothing.  Tables not registered are
+    ignored.
     """
     def _handle(batch: DataFrame, batch_id: int) -> None:
         if apply is not None:
             apply(batch, batch_id)
         cur = current_log(spark, log)
+        t = F.current_timestamp() if processing_time else F.max(F.col(ts_col))
         seen = batch.groupBy(F.col(table_col).cast("string").alias("table_name")).agg(
-            F.max(F.col(ts_col)).cast("timestamp_ntz").alias("__t"))
+            t.cast("timestamp_ntz").alias("__t"))
         j = cur.join(seen, "table_name", "left")
         new = j.select("table_name", F.greatest(F.col("operation_time"), F.col("__t")).alias("operation_time"))
         _write_log_version(spark, log, new)

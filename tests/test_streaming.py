@@ -60,20 +60,21 @@ def test_change_register(spark):
     stage = work_path(spark, "t-stage")
     log = work_path(spark, "t-log")
     schema = spark.createDataFrame([], SCHEMA).schema
-    streams.register(spark, log, ["a", "b", "c"])
-    assert rows(streams.current_log(spark, log)) == [("a", None), ("b", None), ("c", None)]
-    streams.register(spark, log, ["a"])       # registering twice keeps one row
+    t0 = dt.datetime(2024, 1, 1)
+    streams.register(spark, log, ["a", "b", "c"], at=t0)
+    assert rows(streams.current_log(spark, log)) == [("a", t0), ("b", t0), ("c", t0)]
+    streams.register(spark, log, ["a"], at=t0)       # registering twice keeps one row
     assert streams.current_log(spark, log).count() == 3
     _load(spark, stage, [_ev(1, "a", 1), _ev(2, "a", 5), _ev(3, "b", 2), _ev(4, "zz", 9)])
     ckpt = streams.new_checkpoint(spark, "log")
     h = streams.change_log_writer(spark, log, "event_type", "ts")
     streams.drain_once(streams.event_stream(spark, stage, schema), h, ckpt)
     assert rows(streams.current_log(spark, log)) == [
-        ("a", dt.datetime(2024, 1, 1, 5)), ("b", dt.datetime(2024, 1, 1, 2)), ("c", None)]
+        ("a", dt.datetime(2024, 1, 1, 5)), ("b", dt.datetime(2024, 1, 1, 2)), ("c", t0)]
     _load(spark, stage, [_ev(5, "a", 3)])     # older than what the log holds
     streams.drain_once(streams.event_stream(spark, stage, schema), h, ckpt)
     streams.unregister(spark, log, "b")
-    assert rows(streams.current_log(spark, log)) == [("a", dt.datetime(2024, 1, 1, 5)), ("c", None)]
+    assert rows(streams.current_log(spark, log)) == [("a", dt.datetime(2024, 1, 1, 5)), ("c", t0)]
 
 
 def test_scheduled_task_runs_and_stops(spark):
