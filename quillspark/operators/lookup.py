@@ -167,6 +167,17 @@ def status_mismatch(header: DataFrame, items: DataFrame, key: str, item_key: str
     return j.filter(F.col(a) != F.col(b))
 
 
+def column_mismatch(df: DataFrame, a: str, b: str, count_col: str | None = None,
+                    count: int = 1) -> DataFrame:
+    """Rows whose column ``a`` differs from ``b`` (single-table form), where
+    ``count_col`` (e.g. a transaction count) equals ``count``.  NULL on
+    either side is not a mismatch."""
+    cond = F.col(a) != F.col(b)
+    if count_col is not None:
+        cond = cond & (F.col(count_col) == F.lit(count))
+    return df.filter(cond)
+
+
 def count_blank(df: DataFrame, expr: Column, name: str = "n_blank") -> DataFrame:
     """Rows where ``expr`` is present but empty (``= ''``, not IS NULL)."""
     return df.agg(F.count(F.when(expr == F.lit(""), 1)).alias(name),

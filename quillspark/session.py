@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Let Spark remove reliable-checkpoint files once their DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

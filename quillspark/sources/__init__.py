@@ -12,6 +12,7 @@ from quillspark.sources.text import (  # noqa: F401
     export_as_text,
     export_since,
     load_history,
+    next_mark,
     parse_delimited,
     read_lines,
 )

@@ -19,7 +19,8 @@ COLUMNS_SCHEMA = T.StructType([
 
 
 def describe_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Column metadata (name, ANSI type, nullable, 1-based position) as rows.
+    """Column metadata (name, ANSI type, nullable, 1-based position) as rows,
+    sorted by table and column name.
 
     Built from each DataFrame's resolved schema on the driver: no data is
     read, only the catalog/footers.  The result is at most
@@ -30,6 +31,7 @@ def describe_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
         for pos, f in enumerate(df.schema.fields, start=1):
             rows.append((tname, f.name, ansi_type_name(f.dataType),
                          "YES" if f.nullable else "NO", pos))
+    rows.sort(key=lambda r: (r[0], r[1]))
     return spark.createDataFrame(rows, COLUMNS_SCHEMA)
 
 

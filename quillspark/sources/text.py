@@ -59,6 +59,11 @@ def export_since(df: DataFrame, version_col: str, last, n: int) -> DataFrame:
     return df.filter(v > F.lit(last)).orderBy(v.asc()).limit(n)
 
 
+def next_mark(batch: DataFrame, version_col: str) -> DataFrame:
+    """The export-control mark after a batch: its greatest version (one row)."""
+    return batch.agg(F.max(F.col(version_col)).alias("last_exported_version"))
+
+
 def load_history(df: DataFrame, name_col: str, time_col: str, since=None,
                  patterns: Iterable[str] = (), n: int = 1000,
                  pipe_col: str | None = None, pipe: str | None = None,

@@ -98,6 +98,17 @@ def test_out_of_order_first_element(spark):
     assert rows(out) == [(2, "system")]
 
 
+def test_column_mismatch_single_table(spark):
+    df = spark.createDataFrame([("A", "A", 1), ("A", "R", 1), ("A", "R", 2), (None, "R", 1)],
+                               "a string, b string, n int")
+    assert rows(lookup.column_mismatch(df, "a", "b", "n")) == [("A", "R", 1)]
+
+
+def test_next_mark(spark):
+    df = spark.createDataFrame([(i,) for i in range(10)], "v long")
+    assert text.next_mark(text.export_since(df, "v", 3, 4), "v").first()[0] == 7
+
+
 def test_count_blank_is_not_null_test(spark):
     df = spark.createDataFrame([("",), (None,), ("x",), ("",)], "s string")
     assert lookup.count_blank(df, F.col("s")).first() == (2, 4)
