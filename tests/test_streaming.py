@@ -1,7 +1,6 @@
 """Change streams: two on-demand runs, a reset, backlog, register/unregister."""
 
 import datetime as dt
-import time
 
 from pyspark.sql import functions as F
 
