@@ -103,10 +103,11 @@ def apply_reversals(claims: DataFrame, reversals: DataFrame, keys: Sequence[str]
     """UPDATE claims SET reversed, reversed id, reversal time FROM matches.
 
     Every claim row is returned.  An ``eligible`` claim (Column predicate,
-    default all) with at least one later reversal of its key group is marked
-    reversed with the latest such reversal (greatest time, then largest id:
-    the source leaves the choice among several matches open).  Other rows
-    keep their values; missing output columns start as not reversed/NULL.
+    default all) that is not reversed yet and has at least one later
+    reversal of its key group is marked reversed with the latest such
+    reversal (greatest time, then largest id: the source leaves the choice
+    among several matches open).  Other rows keep their values; missing
+    output columns start as not reversed/NULL.
     """
     keys = list(keys)
     last = latest_reversal_per_key(reversals, keys, rev_time, rev_id)
@@ -119,6 +120,9 @@ def apply_reversals(claims: DataFrame, reversals: DataFrame, keys: Sequence[str]
         base = base.withColumn(reversal_time_col, F.lit(None).cast(reversals.schema[rev_time].dataType))
     j = base.join(last, keys, "left")
     hit = F.col("__rev_time").isNotNull() & (F.col(claim_time) < F.col("__rev_time"))
+    # Only claims not yet reversed are updated (``reversed = FALSE``: a NULL
+    # flag is not FALSE, so such a row is left alone too).
+    hit = hit & (F.col(reversed_col) == F.lit(False))
     if eligible is not None:
         hit = hit & F.coalesce(eligible, F.lit(False))
     hit = F.coalesce(hit, F.lit(False))

@@ -9,6 +9,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.sources.catalog import describe_columns
 
@@ -59,12 +60,18 @@ def missing_keys_report(source: DataFrame, events: DataFrame, table: DataFrame,
     Source keys missing from the event stream, source keys missing from the
     table, and table keys missing from the source; each a NULL-aware
     ``NOT IN``.  Keys are cast to ``key_type`` on every side first (text on
-    one side, numbers on the other in the source scripts; ``try_cast`` so
-    bad text becomes NULL rather than failing).
+    one side, numbers on the other in the source scripts): text is trimmed,
+    then ``try_cast`` so bad text becomes NULL rather than failing.
     """
-    s = source.select(F.col(source_key).try_cast(key_type).alias("record_id"))
-    e = events.select(F.col(events_key).try_cast(key_type).alias("record_id"))
-    t = table.select(F.col(table_key).try_cast(key_type).alias("record_id"))
+    def _key(df: DataFrame, c: str) -> Column:
+        col = F.col(c)
+        if isinstance(df.schema[c].dataType, T.StringType):
+            col = F.trim(col)          # pasted id lists carry spaces
+        return col.try_cast(key_type).alias("record_id")
+
+    s = source.select(_key(source, source_key))
+    e = events.select(_key(events, events_key))
+    t = table.select(_key(table, table_key))
     a = not_in(s, e, "record_id").select(F.lit(tags[0]).alias("name"), "record_id")
     b = not_in(s, t, "record_id").select(F.lit(tags[1]).alias("name"), "record_id")
     c = not_in(t, s, "record_id").select(F.lit(tags[2]).alias("name"), "record_id")

@@ -196,6 +196,15 @@ def test_in_keys_repeats_do_not_repeat_rows(spark):
     assert rows(lookup.rows_by_key(left, "k", keys)) == [(1, "a")]
 
 
+def test_missing_keys_report_trims_text_ids(spark):
+    src = spark.createDataFrame([(" 1",), ("2 ",)], "id string")
+    ev = spark.createDataFrame([(1,)], "id long")
+    tab = spark.createDataFrame([(2,), (5,)], "id long")
+    out = reconcile.missing_keys_report(src, ev, tab, "id", "id", "id")
+    assert rows(out) == [("Missing From Events", 2), ("Missing From Records", 1),
+                         ("Records In Table Not In Source", 5)]
+
+
 def test_missing_keys_report_casts_and_trims(spark):
     src = spark.createDataFrame([("1",), ("2",), ("x",)], "id string")
     ev = spark.createDataFrame([(1,)], "id long")
@@ -268,6 +277,21 @@ def test_apply_cdc_and_as_of(spark):
     assert rows(applied) == rows(now)
 
 
+def test_apply_reversals_edge_rows(spark):
+    from quillspark.operators import claims
+    t = dt.datetime(2024, 1, 1)
+    c = spark.createDataFrame([
+        (1, "k", t, False), (2, "k", t + dt.timedelta(days=1), False),   # equal time: no match
+        (3, "k", t, True),                                              # already reversed
+        (4, "k", t, None), (5, "z", t, False)],                         # NULL flag; no reversal
+        "id long, key string, ts timestamp_ntz, reversed boolean")
+    r = spark.createDataFrame([(10, "k", t + dt.timedelta(days=1)), (11, "k", t - dt.timedelta(days=1))],
+                              "id long, key string, ts timestamp_ntz")
+    out = claims.apply_reversals(c, r, ["key"], "ts", "ts", "id")
+    assert rows(out, "id", "reversed", "reversed_record_id") == [
+        (1, True, 10), (2, False, None), (3, True, None), (4, None, None), (5, False, None)]
+
+
 def test_apply_tombstones(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "k long")
     tomb = spark.createDataFrame([(2,), (9,)], "k long")
