@@ -52,6 +52,20 @@ def rows_by_key(df: DataFrame, col: str, keys) -> DataFrame:
     return df.filter(F.col(col).isin(list(dict.fromkeys(keys))))
 
 
+def matches_any(df: DataFrame, col, patterns: Iterable[str], case_insensitive: bool = False) -> DataFrame:
+    """Rows whose text matches any pattern (``LIKE ANY`` / ``ILIKE ANY``).
+
+    ``%`` and ``_`` are wildcards, as in SQL (``SA_X`` also matches
+    ``SAyX``).  Numbers are compared as their text.
+    """
+    c = _col(col).cast("string")
+    cond = None
+    for p in patterns:
+        m = c.ilike(p) if case_insensitive else c.like(p)
+        cond = m if cond is None else (cond | m)
+    return df.filter(cond) if cond is not None else df
+
+
 def events_by_id(df: DataFrame, id_col: str, keys, time_col: str, since=None,
                  n: int | None = None, tie: str | None = None) -> DataFrame:
     """Events by id within a time bound, newest first, at most ``n``."""

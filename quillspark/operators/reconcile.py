@@ -123,12 +123,13 @@ def schema_diff(spark: SparkSession, old: DataFrame, new: DataFrame,
                 old_name: str = "old", new_name: str = "new") -> DataFrame:
     """Columns only in ``old`` and only in ``new`` (names only; EXCEPT distinct).
 
-    Rows ``(diff, column_name)`` with ``diff`` = ``only in <name>``.  Types
-    are not compared (the source reads but ignores them).
+    Rows ``(column_name, status)`` with status ``ONLY_IN_OLD`` or
+    ``ONLY_IN_NEW``, sorted by column name.  Types are not compared (the
+    source reads but ignores them).
     """
     cols = describe_columns(spark, {old_name: old, new_name: new})
     o = cols.filter(F.col("table_name") == old_name).select("column_name")
     n = cols.filter(F.col("table_name") == new_name).select("column_name")
-    a = o.subtract(n).select(F.lit(f"only in {old_name}").alias("diff"), "column_name")
-    b = n.subtract(o).select(F.lit(f"only in {new_name}").alias("diff"), "column_name")
-    return a.unionByName(b)
+    a = o.subtract(n).select("column_name", F.lit("ONLY_IN_OLD").alias("status"))
+    b = n.subtract(o).select("column_name", F.lit("ONLY_IN_NEW").alias("status"))
+    return a.unionByName(b).orderBy("column_name")

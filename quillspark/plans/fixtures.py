@@ -119,6 +119,13 @@ def events_by_id(spark, sf_dir):
     return lookup.events_by_id(ev, "event_id", keys, "ts", since="2024-01-03 00:00:00", n=100, tie="event_id")
 
 
+def login_history(spark, sf_dir):
+    """Logins of two service users by ILIKE ANY (``_`` is a wildcard), newest 100."""
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts", "event_type", "event_id")
+    hits = lookup.matches_any(ev, "user_id", ["1_", "2_"], case_insensitive=True)
+    return health.newest(hits, "ts", 100, tie="event_id").select("user_id", "ts", "event_type")
+
+
 def count_by_type(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     return lookup.count_by_type(ev, "event_type", "ts", since="2024-01-05 00:00:00")
@@ -569,6 +576,7 @@ QUERIES = {
     "events_typed_since": events_typed_since,
     "staged_json_events": staged_json_events,
     "events_by_id": events_by_id,
+    "login_history": login_history,
     "count_by_type": count_by_type,
     "distinct_types": distinct_types,
     "total_distinct": total_distinct,

@@ -107,6 +107,11 @@ SELECT event_id AS event_ref, event_type, event_id + 1000000000000000000 AS reco
        ts AS ingested_timestamp
 FROM events
 WHERE event_type IN ('purchase', 'signup') AND ts > TIMESTAMP '2024-01-10 00:00:00'
+""",
+    "login_history": """
+SELECT user_id, ts, event_type FROM events
+WHERE CAST(user_id AS VARCHAR) ILIKE '1_' OR CAST(user_id AS VARCHAR) ILIKE '2_'
+ORDER BY ts DESC, event_id DESC LIMIT 100
 """,
     "events_by_id": """
 SELECT event_id, ts, user_id, event_type FROM events
@@ -164,7 +169,7 @@ WHERE value IS NOT NULL AND TRY_CAST(value AS BIGINT) IS NULL
 """,
     "load_history": """
 SELECT page_id, url FROM pages
-WHERE page_id >= 10 AND (url LIKE '%/en/%' OR url LIKE '%.html')
+WHERE page_id > 10 AND (url LIKE '%/en/%' OR url LIKE '%.html')
 ORDER BY page_id DESC LIMIT 1000
 """,
     "parse_delta": """
@@ -225,13 +230,13 @@ FROM information_schema.columns WHERE table_name IN ('orders', 'lineitem')
     "schema_diff": """
 WITH c AS (SELECT table_name, column_name FROM information_schema.columns
            WHERE table_name IN ('orders', 'lineitem'))
-SELECT 'only in orders' AS diff, column_name FROM (
-  SELECT column_name FROM c WHERE table_name = 'orders'
-  EXCEPT SELECT column_name FROM c WHERE table_name = 'lineitem')
-UNION ALL
-SELECT 'only in lineitem', column_name FROM (
-  SELECT column_name FROM c WHERE table_name = 'lineitem'
-  EXCEPT SELECT column_name FROM c WHERE table_name = 'orders')
+SELECT * FROM (
+  (SELECT column_name, 'ONLY_IN_OLD' AS status FROM c WHERE table_name = 'orders'
+   EXCEPT SELECT column_name, 'ONLY_IN_OLD' FROM c WHERE table_name = 'lineitem')
+  UNION ALL
+  (SELECT column_name, 'ONLY_IN_NEW' AS status FROM c WHERE table_name = 'lineitem'
+   EXCEPT SELECT column_name, 'ONLY_IN_NEW' FROM c WHERE table_name = 'orders'))
+ORDER BY column_name
 """,
     "extract_plan": f"""
 WITH target_tables AS (SELECT unnest([{_ALL_IN}]) AS table_name),

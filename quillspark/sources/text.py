@@ -68,13 +68,14 @@ def load_history(df: DataFrame, name_col: str, time_col: str, since=None,
                  patterns: Iterable[str] = (), n: int = 1000,
                  pipe_col: str | None = None, pipe: str | None = None,
                  rows_col: str | None = None) -> DataFrame:
-    """Load-history scan: loads of one pipe since ``since`` that carried rows,
-    whose file name matches any LIKE pattern, newest ``n`` first."""
+    """Load-history scan: loads of one pipe strictly after ``since`` that
+    carried rows, whose file name matches any LIKE pattern, newest ``n``
+    first."""
     out = df
     if pipe_col is not None and pipe is not None:
         out = out.filter(F.col(pipe_col) == pipe)
     if since is not None:
-        out = out.filter(F.col(time_col) >= F.lit(since))
+        out = out.filter(F.col(time_col) > F.lit(since))
     if rows_col is not None:
         out = out.filter(F.col(rows_col) > 0)
     pats = list(patterns)

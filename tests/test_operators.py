@@ -47,6 +47,8 @@ def test_load_history_like_any_and_newest(spark):
     df = spark.createDataFrame([("a/en/1", 1), ("b.html", 2), ("c/fr/x", 3), ("d/en/z", 4)], "f string, t long")
     out = text.load_history(df, "f", "t", since=2, patterns=["%/en/%", "%.html"], n=1)
     assert [r.f for r in out.collect()] == ["d/en/z"]
+    later = text.load_history(df, "f", "t", since=2, patterns=["%/en/%", "%.html"], n=5)
+    assert [r.f for r in later.collect()] == ["d/en/z"]          # strictly after ``since``
 
 
 def test_describe_columns_and_empty_table(spark):
@@ -109,6 +111,12 @@ def test_next_mark(spark):
     assert text.next_mark(text.export_since(df, "v", 3, 4), "v").first()[0] == 7
 
 
+def test_matches_any_keeps_underscore_wildcard(spark):
+    df = spark.createDataFrame([("SA_X",), ("SAyX",), ("sa_x",), ("other",)], "u string")
+    assert rows(lookup.matches_any(df, "u", ["sa_x"], case_insensitive=True)) == [("SA_X",), ("SAyX",), ("sa_x",)]
+    assert rows(lookup.matches_any(df, "u", ["SA_X"])) == [("SA_X",), ("SAyX",)]
+
+
 def test_count_blank_is_not_null_test(spark):
     df = spark.createDataFrame([("",), (None,), ("x",), ("",)], "s string")
     assert lookup.count_blank(df, F.col("s")).first() == (2, 4)
@@ -304,7 +312,7 @@ def test_schema_diff_self_is_empty(spark):
     df = spark.createDataFrame([(1, "a")], "k long, s string")
     other = spark.createDataFrame([(1, 2)], "k long, z long")
     assert reconcile.schema_diff(spark, df, df).count() == 0
-    assert rows(reconcile.schema_diff(spark, df, other, "a", "b")) == [("only in a", "s"), ("only in b", "z")]
+    assert rows(reconcile.schema_diff(spark, df, other, "a", "b")) == [("s", "ONLY_IN_OLD"), ("z", "ONLY_IN_NEW")]
 
 
 def test_reconcile_counts_case_and_one_sided(spark):
