@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.ranking import running_sum
+from quillspark.session import default_parallelism
 
 
 def partition_ranges(df: DataFrame, part: Column, key: Column) -> DataFrame:
@@ -134,7 +135,7 @@ def recluster(df: DataFrame, ts_text: Column, type_col: Column, n_parts: int | N
     min/max statistics prune scans (the ``clustering_report`` depth drops
     towards 1).  Rows are unchanged apart from the added bucket column.
     """
-    n = n_parts or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    n = n_parts or default_parallelism(df)
     out = df.withColumn(bucket_name, cluster_bucket(ts_text)).withColumn("__ctype", type_col.cast("string"))
     return (out.repartitionByRange(n, F.col(bucket_name), F.col("__ctype"))
                .sortWithinPartitions(bucket_name, "__ctype").drop("__ctype"))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.session import ensure_checkpoint_dir
+from quillspark.session import default_parallelism, ensure_checkpoint_dir
 
 
 # Ship this module's task-side functions by value, so executors need no
@@ -95,7 +95,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     spark = df.sparkSession
     # Enough range partitions that none is larger than an input split: the
     # input's partition count (one per file split) or the shuffle setting.
-    n = n_parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    n = n_parts or default_parallelism(df)
     sort = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
     rp = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
 

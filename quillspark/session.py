@@ -67,6 +67,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def input_partitions(df: DataFrame) -> int:
+    """Number of partitions ``df`` would be computed in (0 if unknown)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a session without RDD access
+        return 0
+
+
+def default_parallelism(df: DataFrame) -> int:
+    """Partition count for a range/hash repartition of ``df``: at least the
+    shuffle setting and at least one partition per input split."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), input_partitions(df))
+
+
 def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A folder under the shared checkpoint folder for tables this library writes.
 
