@@ -78,7 +78,7 @@ def stream_task(spark, sf_dir):
     q = streams.start_task(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target),
                            streams.new_checkpoint(spark, "events"), every="1 minute")
     try:
-        q.processAllAvailable()
+        streams.wait_idle(q)
     finally:
         q.stop()
     return streams.read_appended(spark, target, ev.schema)

@@ -15,4 +15,5 @@ from quillspark.streaming.streams import (  # noqa: F401
     resync,
     start_task,
     unregister,
+    wait_idle,
 )

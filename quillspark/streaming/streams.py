@@ -81,6 +81,39 @@ def start_task(stream: DataFrame, fn: BatchFn, checkpoint: str, every: str = "1
     return w.start()
 
 
+def _caught_up(progress: dict) -> bool:
+    """True when every source's processed offset reached the latest offset
+    it reported for that micro-batch."""
+    for src in progress.get("sources", []):
+        latest = src.get("latestOffset")
+        if latest not in (None, "None", "null") and src.get("endOffset") != latest:
+            return False
+    return True
+
+
+def wait_idle(query: StreamingQuery, timeout: float = 600.0, poll: float = 0.2) -> None:
+    """Block until a running task has processed everything it has seen.
+
+    Returns once a micro-batch has completed, no trigger is active and the
+    last batch ended at the latest offset its sources reported (a source
+    that reports none, like the file source, counts as caught up after the
+    batch).  Unlike ``processAllAvailable`` it never sits out a long trigger
+    interval (the ``isDataAvailable`` flag only refreshes at the next
+    trigger).
+    """
+    import time
+
+    deadline = time.monotonic() + timeout
+    while time.monotonic() < deadline:
+        if query.exception() is not None:
+            raise query.exception()
+        last = query.lastProgress
+        if last is not None and not query.status["isTriggerActive"] and _caught_up(last):
+            return
+        time.sleep(poll)
+    raise TimeoutError(f"stream {query.name or query.id} still busy after {timeout}s")
+
+
 def discard(batch: DataFrame, batch_id: int) -> None:
     """Batch handler that writes nowhere: a drain only moves the offset."""
     return None
