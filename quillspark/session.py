@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -68,11 +69,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def input_partitions(df: DataFrame) -> int:
-    """Number of partitions ``df`` would be computed in (0 if unknown)."""
+    """Estimated number of input splits behind ``df``: total size of its
+    input files over ``spark.sql.files.maxPartitionBytes`` (0 if unknown).
+
+    Metadata only (file statuses): asking a DataFrame with shuffles for its
+    RDD partition count would run those shuffles under AQE.
+    """
+    spark = df.sparkSession
     try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a session without RDD access
+        files = df.inputFiles()
+        if not files:
+            return 0
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        total = 0
+        for f in files:
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    except Exception:  # noqa: BLE001 - unknown sources: no estimate
         return 0
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return max(len(files), -(-total // max(1, split)))
+
+
+def _bytes(text: str) -> int:
+    """Spark size string (``134217728b``, ``128m``, ``1g``) to bytes."""
+    m = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", text.lower())
+    if not m:
+        return 128 * 1024 * 1024
+    return int(m.group(1)) * 1024 ** " kmgtp".index(m.group(2) or " ")
 
 
 def default_parallelism(df: DataFrame) -> int:
