@@ -92,6 +92,23 @@ def test_scheduled_task_runs_and_stops(spark):
     assert rows(streams.read_appended(spark, target, schema), "event_id") == [(1,), (2,)]
 
 
+def test_wait_idle_does_not_sit_out_the_trigger_interval(spark):
+    import time
+    stage = work_path(spark, "t-stage")
+    target = work_path(spark, "t-target")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _load(spark, stage, [_ev(1, "a", 1), _ev(2, "b", 2)])
+    t0 = time.monotonic()
+    q = streams.start_task(streams.event_stream(spark, stage, schema), streams.append_writer(target),
+                           streams.new_checkpoint(spark, "idle"), every="1 minute")
+    try:
+        streams.wait_idle(q, timeout=120)
+    finally:
+        q.stop()
+    assert time.monotonic() - t0 < 45
+    assert streams.read_appended(spark, target, schema).count() == 2
+
+
 def test_resync_board(spark):
     stage = work_path(spark, "t-stage")
     target = work_path(spark, "t-target")
