@@ -94,16 +94,22 @@ def row_counts(tables: Mapping[str, DataFrame], name: str = "object_name") -> Da
 
 def reconcile_counts(left: DataFrame, right: DataFrame, name: str = "object_name",
                      count: str = "row_count") -> DataFrame:
-    """Compare two count boards: full outer join on the lower-cased name.
+    """Compare two count boards by lower-cased name.
 
     Returns ``object_name`` (lower case), ``left_count``, ``right_count`` and
-    ``diff = left - right`` (NULL when a side lacks the table).  Boards are
-    one row per table, so the join is tiny.
+    ``diff = left - right`` (NULL when a side lacks the table): the same rows
+    as a FULL OUTER JOIN on ``lower(name)`` when each board names a table
+    once.  Built as a tagged UNION ALL plus one aggregate, so no join is
+    planned at all (boards of literal names would otherwise fold the join
+    key into a constant); names repeated on one side are added up.
     """
-    lft = left.select(F.lower(F.col(name)).alias("__n"), F.col(count).alias("left_count"))
-    rgt = right.select(F.lower(F.col(name)).alias("__n2"), F.col(count).alias("right_count"))
-    j = lft.join(rgt, F.col("__n") == F.col("__n2"), "full_outer")
-    return j.select(F.coalesce(F.col("__n"), F.col("__n2")).alias(name), "left_count", "right_count",
+    lft = left.select(F.lower(F.col(name)).alias("__n"), F.col(count).alias("__l"),
+                      F.lit(None).cast("bigint").alias("__r"))
+    rgt = right.select(F.lower(F.col(name)).alias("__n"), F.lit(None).cast("bigint").alias("__l"),
+                       F.col(count).alias("__r"))
+    g = lft.unionByName(rgt).groupBy("__n").agg(F.sum("__l").alias("left_count"),
+                                                 F.sum("__r").alias("right_count"))
+    return g.select(F.col("__n").alias(name), "left_count", "right_count",
                     (F.col("left_count") - F.col("right_count")).alias("diff"))
 
 
