@@ -68,10 +68,10 @@ def matches_any(df: DataFrame, col, patterns: Iterable[str], case_insensitive: b
 
 def events_by_id(df: DataFrame, id_col: str, keys, time_col: str, since=None,
                  n: int | None = None, tie: str | None = None) -> DataFrame:
-    """Events by id within a time bound, newest first, at most ``n``."""
+    """Events by id ingested strictly after ``since``, newest first, at most ``n``."""
     out = rows_by_key(df, id_col, keys)
     if since is not None:
-        out = out.filter(F.col(time_col) >= F.lit(since))
+        out = out.filter(F.col(time_col) > F.lit(since))
     order = [F.col(time_col).desc_nulls_first()] + ([F.col(tie).desc()] if tie else [])
     out = out.orderBy(*order)
     return out.limit(n) if n is not None else out

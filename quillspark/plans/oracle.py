@@ -115,7 +115,7 @@ ORDER BY ts DESC, event_id DESC LIMIT 100
 """,
     "events_by_id": """
 SELECT event_id, ts, user_id, event_type FROM events
-WHERE event_id IN (SELECT doc_id FROM labels) AND ts >= TIMESTAMP '2024-01-03 00:00:00'
+WHERE event_id IN (SELECT doc_id FROM labels) AND ts > TIMESTAMP '2024-01-03 00:00:00'
 ORDER BY ts DESC, event_id DESC LIMIT 100
 """,
     "count_by_type": """
