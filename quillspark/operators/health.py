@@ -102,13 +102,14 @@ def alert(df: DataFrame, ts: str, state: str, at, minutes: int = 90,
 
 def failed_runs(df: DataFrame, name_col: str, msg_col: str, ts: str, state: str,
                 name_pattern: str = "%", msg_pattern: str = "%", since=None,
-                states: Iterable[str] = FAILURE_STATES, tie: str | None = None) -> DataFrame:
-    """Failed runs whose name and message match ILIKE patterns, newest first."""
+                states: Iterable[str] = ("FAILED",), tie: str | None = None) -> DataFrame:
+    """Runs in ``states`` (default FAILED) scheduled strictly after
+    ``since`` whose name and message match ILIKE patterns, newest first."""
     out = df.filter(F.col(state).isin(list(states))
                     & F.col(name_col).cast("string").ilike(name_pattern)
                     & F.col(msg_col).ilike(msg_pattern))
     if since is not None:
-        out = out.filter(F.col(ts) >= F.lit(since))
+        out = out.filter(F.col(ts) > F.lit(since))
     cols = [F.col(ts).desc_nulls_first()] + ([F.col(tie).desc()] if tie else [])
     return out.orderBy(*cols)
 

@@ -90,9 +90,9 @@ WHERE state IN ('FAILED', 'CANCELLED', 'FAILED_AND_AUTO_SUSPENDED')
 """,
     "failed_runs": f"""
 SELECT task_name, state, scheduled_time, event_id, error_message FROM ({_TASKS}) t
-WHERE state IN ('FAILED', 'CANCELLED', 'FAILED_AND_AUTO_SUSPENDED')
+WHERE state = 'FAILED'
   AND CAST(task_name AS VARCHAR) ILIKE '1%' AND error_message ILIKE '%"k": 1%'
-  AND scheduled_time >= TIMESTAMP '2024-01-20 00:00:00'
+  AND scheduled_time > TIMESTAMP '2024-01-20 00:00:00'
 """,
     "events_typed_since": """
 SELECT event_id, event_type, ts, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
