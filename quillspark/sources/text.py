@@ -39,11 +39,14 @@ def export_as_text(df: DataFrame, order_col: str, keep: Iterable[str] = ()) -> D
 
     Columns named in ``keep`` keep their type (one source export leaves the
     version uncast, another casts it).  The ORDER BY is a range-partitioned
-    distributed sort, not a single-task sort.
+    distributed sort, not a single-task sort.  NULL versions sort last.
     """
     keep = set(keep)
     cols = [F.col(c) if c in keep else F.col(c).cast("string").alias(c) for c in df.columns]
-    return df.select(*cols).orderBy(F.col(order_col).asc_nulls_last())
+    # A row hash after the version lets the range sort split a version value
+    # shared by very many rows; the output is still ordered by version.
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.select(*cols, tie.alias("__tie")).orderBy(F.col(order_col).asc_nulls_last(), "__tie").drop("__tie")
 
 
 def export_since(df: DataFrame, version_col: str, last, n: int) -> DataFrame:

@@ -85,3 +85,15 @@ def test_depth_bucket(spark):
     df = spark.createDataFrame([(d,) for d in (1, 16, 17, 32, 33, 64, 65)], "d long")
     got = [r.b for r in df.select(layout.depth_bucket(F.col("d")).alias("b")).collect()]
     assert got == [1, 16, 32, 32, 64, 64, 128]
+
+
+def test_recluster_splits_a_hot_bucket(spark):
+    from quillspark.operators.layout import recluster
+    rows_ = [(i, "bad" if i % 3 == 0 else f"2024-01-01 {i % 24:02d}:00:00", "t") for i in range(3000)]
+    df = spark.createDataFrame(rows_, "id long, ev string, typ string")
+    out = recluster(df, F.col("ev"), F.col("typ"), n_parts=6)
+    sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    hot = out.filter(F.col("cluster_hour") == F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    hot_parts = hot.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot.count() == 1000 and hot_parts >= 2           # the 1970 bucket is split
+    assert max(r["count"] for r in sizes) < 1000             # no partition holds the whole hot bucket
