@@ -45,8 +45,10 @@ def export_as_text(df: DataFrame, order_col: str, keep: Iterable[str] = ()) -> D
     cols = [F.col(c) if c in keep else F.col(c).cast("string").alias(c) for c in df.columns]
     # A row hash after the version lets the range sort split a version value
     # shared by very many rows; the output is still ordered by version.
+    # The sort is on the typed version (text would put "10" before "9").
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.select(*cols, tie.alias("__tie")).orderBy(F.col(order_col).asc_nulls_last(), "__tie").drop("__tie")
+    out = df.select(*cols, F.col(order_col).alias("__ord"), tie.alias("__tie"))
+    return out.orderBy(F.col("__ord").asc_nulls_last(), "__tie").drop("__ord", "__tie")
 
 
 def export_since(df: DataFrame, version_col: str, last, n: int) -> DataFrame:

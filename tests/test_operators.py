@@ -43,6 +43,11 @@ def test_export_as_text_keeps_version_type(spark):
     assert out.first().d == "2024-01-02"
 
 
+def test_export_as_text_sorts_by_typed_version(spark):
+    df = spark.createDataFrame([(10, "a"), (9, "b"), (100, "c")], "v long, s string")
+    assert [r.v for r in text.export_as_text(df, "v").collect()] == ["9", "10", "100"]
+
+
 def test_load_history_like_any_and_newest(spark):
     df = spark.createDataFrame([("a/en/1", 1), ("b.html", 2), ("c/fr/x", 3), ("d/en/z", 4)], "f string, t long")
     out = text.load_history(df, "f", "t", since=2, patterns=["%/en/%", "%.html"], n=1)
