@@ -189,6 +189,17 @@ def test_failed_since_window_and_alert(spark):
     assert not health.alert(df, "t", "state", "2024-01-01 00:00:00")
 
 
+def test_triage_keeps_requests_without_log_and_dedupes_log(spark):
+    from quillspark.functions.scalar import prefix_columns
+    h = prefix_columns(spark.createDataFrame([(1,), (2,)], "rid long"), "h_")
+    log = spark.createDataFrame([(10, 1, ts(1), "q1"), (11, 1, ts(2), "q2")],
+                                "req long, rid long, t timestamp_ntz, qid string")
+    p = prefix_columns(health.latest_per_key(log, "rid", ["t", "req"]), "p_")
+    q = prefix_columns(spark.createDataFrame([("q2", 7)], "qid string, ms long"), "q_")
+    out = health.triage(h, p, q, "h_rid", "p_rid", "p_qid", "q_qid")
+    assert rows(out, "h_rid", "p_req", "q_ms") == [(1, 11, 7), (2, None, None)]
+
+
 # --------------------------------------------------------------- joins
 
 def test_not_in_null_semantics(spark):
