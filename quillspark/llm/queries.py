@@ -1,0 +1,61 @@
+"""The registered queries ``opN_*`` and ``pipeline``'s helpers, with their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillspark.llm import mixing, sharding
+from quillspark.session import read_table
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards; law ``rows``."""
+    docs = read_table(spark, sf_dir, "documents")
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select("doc_id", "source", (F.octet_length(text) + 16).cast("long").alias("size"),
+                       F.crc32(text).alias("text_crc32"))
+    out = sharding.stratified_shards(rows, 40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the 5-2-1 weights; words taken per document."""
+    docs = read_table(spark, sf_dir, "documents")
+    return mixing.mix(docs, carry=("doc_id",)).select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, coalesce(source, chr(1114111)) AS src, md5('23:' || doc_id) AS k,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+  FROM documents),
+per AS (SELECT src, sum(size)::BIGINT AS source_size FROM sized GROUP BY src),
+weighed AS (
+  SELECT src, source_size, 2 * source_size AS cap,
+         [5, 2, 1][1 + (row_number() OVER (ORDER BY src) - 1) % 3] AS w FROM per),
+share AS (  -- reshare by weight until none is above its cap
+  SELECT 0 AS round, src, source_size, cap, w, false AS shut,
+         w * (sum(source_size) OVER () * 1.5::DOUBLE) / sum(w) OVER () AS target
+  FROM weighed
+  UNION ALL
+  SELECT round + 1, src, source_size, cap, w, shut OR target >= cap,
+         CASE WHEN shut OR target >= cap THEN cap::DOUBLE
+              ELSE w * (sum(source_size) OVER () * 1.5::DOUBLE - sum(CASE WHEN shut OR target >= cap THEN cap ELSE 0 END) OVER ())
+                   / sum(CASE WHEN shut OR target >= cap THEN 0 ELSE w END) OVER () END
+  FROM share WHERE round < (SELECT count(*) FROM per)),
+final AS (SELECT * FROM share WHERE round = (SELECT count(*) FROM per)),
+placed AS (
+  SELECT s.*, f.source_size, f.target, floor(f.target + 0.5)::BIGINT AS budget,
+         coalesce(sum(size) OVER (PARTITION BY s.src ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM sized s JOIN final f USING (src))
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+             + least(greatest(budget % source_size - before, 0), size) END)::BIGINT AS taken
+FROM placed
+"""
+
+QUERIES = {"op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
+ORACLE = {"op9_mixing": OP9_SQL}
