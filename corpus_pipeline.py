@@ -11,12 +11,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import mixing, sharding
+from quillspark.llm import decontaminate, language, mixing, sharding, simhash
 from quillspark.llm.common import staged
 from quillspark.session import read_table
 
 SHARDS = 40
 
+#: Least posterior of the predicted language.
+LEAST_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; learned as in the query, from two thirds of the ids."""
+    training = docs.where(language.fold("doc_id", 3) != 1)
+    found = language.identify(docs, training, out="_language")
+    return found.where((F.col("_language.lang") != language.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE)).select(
+        docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_first(docs, simhash.near_duplicates(docs))
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them; the copy at a source's cut is shortened."""
@@ -29,6 +50,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language", language_id),
+    ("near_copies", near_copies),
+    ("benchmark", benchmark_leaks),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]

@@ -33,20 +33,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def width(df: DataFrame, *cols: str) -> Column:
-    """Bytes of a row in the named columns (all by default), real string lengths included."""
+def _bytes(c: Column, t: T.DataType) -> Column:
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return 16 + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(t, T.StructType):
+        out: Column = F.lit(16)
+        for f in t.fields:
+            out = out + _bytes(c[f.name], f.dataType)
+        return out
+    if isinstance(t, T.ArrayType):
+        if isinstance(t.elementType, (T.StringType, T.BinaryType)):
+            return 16 + 24 * F.coalesce(F.size(c), F.lit(0)) + F.coalesce(F.octet_length(F.array_join(c, "")), F.lit(0))
+        return 16 + 32 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    if isinstance(t, T.MapType):
+        return 16 + 64 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    return F.lit(16)
+
+
+def width(df: DataFrame) -> Column:
+    """Bytes of a row, real lengths of strings included."""
     out: Column = F.lit(16)
     for f in df.schema.fields:
-        if cols and f.name not in cols:
-            continue
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            out = out + 16 + F.coalesce(F.octet_length(c), F.lit(0))
-        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
-            out = out + 16 + 24 * F.coalesce(F.size(c), F.lit(0)) + F.coalesce(
-                F.octet_length(F.array_join(c, "")), F.lit(0))
-        else:
-            out = out + 16
+        out = out + _bytes(F.col(f"`{f.name}`"), f.dataType)
     return out
 
 
@@ -54,14 +62,18 @@ def width(df: DataFrame, *cols: str) -> Column:
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def fits(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a staged table's measured bytes are within ``limit``."""
+    return (table.agg(F.sum(width(table).cast("long")).alias("b")).first()["b"] or 0) <= limit
+
+
 def checked_broadcast(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a staged table for broadcast if its measured bytes are within ``limit``.
+    """Mark a staged table for broadcast if it fits.
 
-    Beyond it the table comes back as it is and Spark plans a shuffle join; the
-    rows of the join are the same either way.
+    Beyond the limit the table comes back as it is and Spark plans a shuffle
+    join; the rows of the join are the same either way.
     """
-    n = table.agg(F.sum(width(table).cast("long")).alias("b")).first()["b"] or 0
-    return F.broadcast(table) if n <= limit else table
+    return F.broadcast(table) if fits(table, limit) else table
 
 
 def ascii_lower(text: Column) -> Column:
