@@ -101,8 +101,8 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
     Rows with a null text or language are left out.  About ``per_lang`` rows of
     each language are used, those with the smallest hashes of ``key``; the
-    language counts, which give the priors, cover all rows.  Only one row per
-    language and one per (language, bucket) reach the driver, both bounded.
+    language counts, which give the priors, cover all rows.  One row per language
+    reaches the driver, its ``2 ** bits`` counts packed in 4 bytes each.
     """
     import numpy as np
     spark = rows.sparkSession
@@ -128,11 +128,16 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
             at = np.nonzero(own)[0]
             yield pd.DataFrame({"lang": k, "bucket": at, "n": own[at]})
 
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        own = np.zeros(1 << bits, np.float32)
+        own[frame["bucket"].to_numpy()] = frame["n"]
+        return pd.DataFrame({"lang": frame["lang"].iloc[:1], "counts": [own.tobytes()]})
+
     counts = np.zeros((1 << bits, len(langs)))
-    found = (sample.select("text", "lang").mapInPandas(count, "lang string, bucket long, n long")
-             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    if len(found):
-        counts[found["bucket"].to_numpy(), found["lang"].map({k: i for i, k in enumerate(langs)}).to_numpy()] = found["n"]
+    for r in (sample.select("text", "lang").mapInPandas(count, "lang string, bucket long, n long")
+              .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+              .groupBy("lang").applyInPandas(pack, "lang string, counts binary").collect()):
+        counts[:, langs.index(r["lang"])] = np.frombuffer(r["counts"], np.float32)
     logp = np.log(counts + smoothing) - np.log(counts.sum(0) + smoothing * (1 << bits))
     prior = np.log(np.array([sizes[k] for k in langs], float) / sum(sizes.values()))
     return Model(langs, prior, logp.astype(np.float32), bits, lengths)
@@ -141,11 +146,12 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 def predict_column(spark: SparkSession, model: Model, text: str = "text") -> Column:
     """Struct ``lang, score`` of a text column, by the broadcast model."""
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    # Plain values: unlike the function, a broadcast is pickled by reference.
+    shared = spark.sparkContext.broadcast((model.langs, model.prior, model.logp, model.bits, model.lengths))
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        m = Model(*shared.value)
         grams = Grams(m.bits, m.lengths)
         for texts in batches:
             yield pd.DataFrame([m.predict(t, grams) for t in texts], columns=["lang", "score"])
