@@ -5,6 +5,6 @@ returns a DataFrame (or, for probes, a bool).  Nothing here plans, parses or
 schedules queries: Catalyst, AQE and Structured Streaming do that work.
 """
 
-from quillspark.session import build_session, work_path, bounded_broadcast  # noqa: F401
+from quillspark.session import build_session, fits_broadcast, work_path  # noqa: F401
 
-__all__ = ["build_session", "work_path", "bounded_broadcast"]
+__all__ = ["build_session", "fits_broadcast", "work_path"]

@@ -10,12 +10,11 @@ Plan shape (the target is the large side, the change set the small one):
 * the change set is reduced to one row per key first (its own shuffle,
   partial aggregation), which is also where a repeated key fails the job,
   and is checkpointed once: every later branch reads that copy;
-* the target is streamed once through a LEFT join against the change set
-  (broadcast when its size is proven small, so the target is never
-  shuffled) and each row is kept, replaced or dropped;
-* inserts are the change rows whose key is absent from the target: the
-  target's key columns only are scanned (column pruning) and semi-joined to
-  the small change-key set.
+* if the written copy's measured bytes allow a broadcast, the target is
+  streamed through a LEFT join and never shuffled; the inserts are the change
+  rows whose key is absent from the target's key columns, scanned once more;
+* otherwise target and change set meet in one FULL OUTER join, so the target
+  is read and shuffled once.
 """
 
 from __future__ import annotations
@@ -26,10 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.health import latest_per_key
-from quillspark.session import bounded_broadcast, ensure_checkpoint_dir
-
-# Change sets up to this many rows are broadcast to the target scan.
-CHANGE_BROADCAST_ROWS = 1_000_000
+from quillspark.session import ensure_checkpoint_dir, fits_broadcast
 
 # Change flags of the delta files.
 FLAG_NEW = "NEW"
@@ -79,15 +75,48 @@ def _materialize(changes: DataFrame) -> DataFrame:
     return changes.checkpoint(eager=True)
 
 
-def _changes_side(changes: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    if broadcast_rows:
-        return bounded_broadcast(changes, broadcast_rows)
-    return changes
+def _merge(target: DataFrame, changes: DataFrame, keys: Sequence[str], set_cols: dict, keep: Column, take: Column,
+           insert: Column, small: bool) -> DataFrame:
+    """Apply a written change set with one row per key.
+
+    ``changes`` has the keys, ``__c_<column>`` values and ``__m`` (true).  A
+    target row stays if ``keep``; where ``take`` holds, the columns in
+    ``set_cols`` come from the change.  A change row without a target row is
+    inserted if ``insert``.
+
+    A small change set is broadcast: the target is streamed through a LEFT join
+    and its key columns are scanned once more to find the inserts.  A large one
+    meets the target in one FULL OUTER join, so the target is read and shuffled
+    once.
+    """
+    types = {f.name: f.dataType for f in target.schema.fields}
+    held = [c for c in target.columns if c not in keys]
+
+    def kept(joined: DataFrame) -> DataFrame:
+        return joined.filter(F.col("__m").isNull() | keep).select(*[
+            F.when(take, F.col(f"__c_{c}")).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c) for c in target.columns])
+
+    new = [F.col(c) if c in keys else F.col(f"__c_{c}").alias(c) if f"__c_{c}" in changes.columns
+           else F.lit(None).cast(types[c]).alias(c) for c in target.columns]
+    if small:
+        side = F.broadcast(changes)
+        matched = target.select(*keys).join(side.select(*keys), list(keys), "left_semi")
+        inserts = changes.filter(insert).join(matched, list(keys), "left_anti").select(*new)
+        return kept(target.join(side, list(keys), "left")).unionByName(inserts)
+    both = target.withColumn("__t", F.lit(True)).join(changes, list(keys), "full_outer")
+    in_target = F.col("__t").isNotNull()
+    row = F.when(in_target, F.struct(*[
+        F.when(F.col("__m").isNotNull() & take, F.col(f"__c_{c}")).otherwise(F.col(c)).alias(c) if c in set_cols
+        else F.col(c) for c in [*keys, *held]])).otherwise(F.struct(*[
+            F.col(c) if c in keys else F.col(f"__c_{c}").alias(c) if f"__c_{c}" in changes.columns
+            else F.lit(None).cast(types[c]).alias(c) for c in [*keys, *held]]))
+    stays = F.when(in_target, F.col("__m").isNull() | keep).otherwise(insert)
+    return both.filter(stays).select(row.alias("__r")).select(*[F.col(f"__r.{c}").alias(c) for c in target.columns])
 
 
 def merge_change_flags(target: DataFrame, delta: DataFrame, keys: Sequence[str], flag: str,
-                       cols: Sequence[str] | None = None,
-                       broadcast_rows: int | None = CHANGE_BROADCAST_ROWS) -> DataFrame:
+                       cols: Sequence[str] | None = None, newer: tuple[str, ...] = (),
+                       broadcast: bool | None = None) -> DataFrame:
     """MERGE driven by a change flag.
 
     matched + DELETED removes the target row; matched + UPDATED overwrites
@@ -96,36 +125,32 @@ def merge_change_flags(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     DELETED) leaves the target alone.  Keys compare with ``=``, so a NULL key
     never matches.  Delta values are cast to the target's types.  A key
     repeated in the delta fails the job.
+
+    ``newer`` names version columns that both sides hold, most significant
+    first: a matched change that is not newer than its target row is ignored.
+    ``broadcast`` forces a plan; by default the written change set's measured
+    bytes decide.  The rows are the same either way.
     """
     keys = list(keys)
     if cols is None:
         cols = [c for c in target.columns if c not in keys]
     types = {f.name: f.dataType for f in target.schema.fields}
+    carried = list(dict.fromkeys([*cols, *newer]))
     d = delta.select(*[F.col(k).cast(types[k]).alias(k) for k in keys],
-                     *[F.col(c).cast(types[c]).alias(f"__d_{c}") for c in cols],
-                     F.col(flag).alias("__flag"))
+                     *[F.col(c).cast(types[c]).alias(f"__c_{c}") for c in carried],
+                     F.col(flag).alias("__flag"), F.lit(True).alias("__m"))
     d = _materialize(unique_by_key(d, keys))
-    d_b = _changes_side(d, broadcast_rows)
-
-    j = target.join(d_b, keys, "left")
     fl = F.col("__flag")
-    kept = j.filter(fl.isNull() | (fl != F.lit(FLAG_DELETED)))
-    out_cols = []
-    for c in target.columns:
-        if c in cols:
-            out_cols.append(F.when(fl == F.lit(FLAG_UPDATED), F.col(f"__d_{c}")).otherwise(F.col(c)).alias(c))
-        else:
-            out_cols.append(F.col(c))
-    kept = kept.select(*out_cols)
-
-    d_keys = d_b.select(*keys)
-    matched = target.select(*keys).join(d_keys, keys, "left_semi")
-    ins = (d.filter(fl.isin(FLAG_NEW, FLAG_UPDATED))
-             .join(matched, keys, "left_anti"))
-    ins = ins.select(*[F.col(k) if k in keys else
-                       (F.col(f"__d_{k}").alias(k) if k in cols else F.lit(None).cast(types[k]).alias(k))
-                       for k in target.columns])
-    return kept.unionByName(ins)
+    fresh = F.lit(True)
+    if newer:
+        change = F.struct(*[F.col(f"__c_{c}") for c in newer])
+        have = F.struct(*[F.col(c) for c in newer])
+        fresh = change > have
+    keep = F.coalesce((fl != F.lit(FLAG_DELETED)) | ~fresh, F.lit(True))
+    take = F.coalesce((fl == F.lit(FLAG_UPDATED)) & fresh, F.lit(False))
+    insert = F.coalesce(fl.isin(FLAG_NEW, FLAG_UPDATED), F.lit(False))
+    small = fits_broadcast(d) if broadcast is None else broadcast
+    return _merge(target, d, keys, dict.fromkeys(cols), keep, take, insert, small)
 
 
 def delta_by_flag(delta: DataFrame, flag: str, value: str) -> DataFrame:
@@ -134,7 +159,7 @@ def delta_by_flag(delta: DataFrame, flag: str, value: str) -> DataFrame:
 
 
 def upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str], set_cols: Sequence[str],
-           broadcast_rows: int | None = CHANGE_BROADCAST_ROWS) -> DataFrame:
+           broadcast: bool | None = None) -> DataFrame:
     """MERGE .. WHEN MATCHED UPDATE set_cols WHEN NOT MATCHED INSERT.
 
     Matched target rows take ``set_cols`` from ``rows`` (e.g. refresh a
@@ -143,47 +168,54 @@ def upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str], set_cols: Se
     """
     keys = list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
-    r = rows.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
+    r = rows.select(*[F.col(k).cast(types[k]).alias(k) for k in keys],
+                    *[F.col(c).cast(types[c]).alias(f"__c_{c}") for c in target.columns if c not in keys],
+                    F.lit(True).alias("__m"))
     r = _materialize(unique_by_key(r, keys, "upsert"))
-    upd = r.select(*keys, *[F.col(c).alias(f"__u_{c}") for c in set_cols], F.lit(True).alias("__m"))
-    upd = _changes_side(upd, broadcast_rows)
-    j = target.join(upd, keys, "left")
-    kept = j.select(*[F.when(F.col("__m"), F.col(f"__u_{c}")).otherwise(F.col(c)).alias(c)
-                      if c in set_cols else F.col(c) for c in target.columns])
-    matched = target.select(*keys).join(upd.select(*keys), keys, "left_semi")
-    ins = r.join(matched, keys, "left_anti").select(*target.columns)
-    return kept.unionByName(ins)
+    small = fits_broadcast(r) if broadcast is None else broadcast
+    yes = F.lit(True)
+    return _merge(target, r, keys, dict.fromkeys(set_cols), yes, F.col("__m").isNotNull(), yes, small)
 
 
-def apply_tombstones(df: DataFrame, tombstones: DataFrame, keys: Sequence[str],
-                     broadcast_rows: int | None = CHANGE_BROADCAST_ROWS) -> DataFrame:
-    """Remove rows named by a deleted-record feed (LEFT ANTI join).
+def apply_tombstones(df: DataFrame, tombstones: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Remove rows named by a deleted-record feed (LEFT ANTI join; Spark
+    broadcasts the feed's keys if its own size statistics allow).
 
     Inferred: the source shows only the scan of the feed.
     """
-    t = tombstones.select(*keys)
-    t = _changes_side(t, broadcast_rows)
-    return df.join(t, list(keys), "left_anti")
+    return df.join(tombstones.select(*keys), list(keys), "left_anti")
 
 
 def apply_cdc(target: DataFrame, events: DataFrame, keys: Sequence[str], op_col: str,
               ts_col: str, tie: str | None = None, delete_value: str = "DELETE",
-              cols: Sequence[str] | None = None,
-              broadcast_rows: int | None = CHANGE_BROADCAST_ROWS) -> DataFrame:
-    """Apply change events: the latest event per key wins.
+              cols: Sequence[str] | None = None, deleted_col: str | None = None,
+              broadcast: bool | None = None) -> DataFrame:
+    """Apply change events: the latest event per key wins, also over the target.
 
     Inferred rule (the task body is not in the source): per key keep the
-    event with the greatest ``ts_col`` (then ``tie``); if its ``op_col``
-    equals ``delete_value`` the target row is deleted, otherwise the event's
-    ``cols`` replace the target row or are inserted.  The latest-per-key step
-    is a partial aggregate, so a hot key does not land in one task.
+    event with the greatest ``ts_col`` (then ``tie``).  If the target holds
+    those columns, an event that is not newer than its target row is ignored, so
+    late and replayed batches change nothing.  A winning event whose ``op_col``
+    equals ``delete_value`` deletes the row, any other replaces ``cols`` or is
+    inserted.
+
+    A deleted row leaves no time behind, so an older event could bring it back.
+    ``deleted_col`` (a boolean column of the target) keeps deleted rows, marked:
+    readers drop them, and the table survives any order and repetition of
+    batches.
     """
     keys = list(keys)
     order = [ts_col] + ([tie] if tie else [])
     last = latest_per_key(events, keys, order)
-    flagged = last.withColumn("__cdc_flag", F.when(F.col(op_col) == F.lit(delete_value), F.lit(FLAG_DELETED))
-                              .otherwise(F.lit(FLAG_UPDATED)))
-    return merge_change_flags(target, flagged, keys, "__cdc_flag", cols, broadcast_rows)
+    gone = F.coalesce(F.col(op_col) == F.lit(delete_value), F.lit(False))
+    newer = tuple(order) if all(c in target.columns for c in order) else ()
+    if deleted_col is None:
+        flagged = last.withColumn("__cdc_flag", F.when(gone, F.lit(FLAG_DELETED)).otherwise(F.lit(FLAG_UPDATED)))
+    else:
+        flagged = last.withColumn(deleted_col, gone).withColumn("__cdc_flag", F.lit(FLAG_UPDATED))
+        if cols is not None:
+            cols = [*cols, deleted_col]
+    return merge_change_flags(target, flagged, keys, "__cdc_flag", cols, newer, broadcast)
 
 
 def as_of(changes: DataFrame, keys: Sequence[str], ts_col: str, at, op_col: str | None = None,

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,12 +50,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def is_local(master: str) -> bool:
+    """True for ``local``, ``local[..]``: driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is set.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as given.  Only when it is unset (local tests) a fresh temporary folder
-    is taken.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder and is
+    used as given: without it this raises, because a folder of one machine
+    cannot hold intermediate data of others.  Only a local master (tests) gets
+    a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,33 +69,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quillspark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def input_partitions(df: DataFrame) -> int:
-    """Estimated number of input splits behind ``df``: total size of its
-    input files over ``spark.sql.files.maxPartitionBytes`` (0 if unknown).
+    """Estimated number of input splits behind ``df``: the optimizer's size of
+    the plan over ``spark.sql.files.maxPartitionBytes``.
 
-    Metadata only (file statuses): asking a DataFrame with shuffles for its
-    RDD partition count would run those shuffles under AQE.
+    Metadata only: no file is listed or opened for it, and no job runs.  The
+    optimizer multiplies sizes through joins, so the estimate is capped at
+    ``MAX_ESTIMATED_PARTITIONS``; it steers parallelism, never results.
     """
-    spark = df.sparkSession
-    try:
-        files = df.inputFiles()
-        if not files:
-            return 0
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        total = 0
-        for f in files:
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    except Exception:  # noqa: BLE001 - unknown sources: no estimate
-        return 0
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    return max(len(files), -(-total // max(1, split)))
+    split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return min(MAX_ESTIMATED_PARTITIONS, max(1, -(-size // max(1, split))))
+
+
+MAX_ESTIMATED_PARTITIONS = 100_000
 
 
 def _bytes(text: str) -> int:
@@ -121,46 +121,46 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{root}/quillspark/{leaf}"
 
 
-def _type_bytes(dt: T.DataType) -> int:
-    """Rough in-memory width of one value (variable-length types guessed)."""
-    if isinstance(dt, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dt, T.ShortType):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    if isinstance(dt, T.StructType):
-        return sum(_type_bytes(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 100
-    return 32  # strings, binary, variant
-
-
-def _row_bytes(df: DataFrame) -> int:
-    """Rough width of one row."""
-    return sum(_type_bytes(f.dataType) for f in df.schema.fields) + 8
-
-
-# Upper bound on the estimated in-memory size of a broadcast side.
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only after proving it is small.
-
-    The proof is one cheap action (``limit(n + 1).count()``) bounding the
-    row count; the bound is the smaller of ``max_rows`` and ``max_bytes``
-    divided by the estimated row width.  Beyond it the frame is returned
-    unchanged and Spark plans a shuffle join (AQE may still broadcast it from
-    run-time sizes).
+def _value_bytes(c: Column, t: T.DataType) -> Column:
+    """Bytes of one value, real lengths of text, arrays and maps included."""
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return 16 + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(t, T.VariantType):
+        return 16 + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    if isinstance(t, T.StructType):
+        out: Column = F.lit(16)
+        for f in t.fields:
+            out = out + _value_bytes(c[f.name], f.dataType)
+        return out
+    if isinstance(t, T.ArrayType):
+        n = F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+        text = F.coalesce(F.octet_length(F.array_join(c, "")), F.lit(0)) if isinstance(t.elementType, T.StringType) else F.lit(0)
+        return 16 + 32 * n + text
+    if isinstance(t, T.MapType):
+        return 16 + 64 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) + F.coalesce(
+            F.octet_length(F.to_json(c)), F.lit(0))
+    return F.lit(16)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row of ``df`` in memory, measured value by value."""
+    out: Column = F.lit(16)
+    for f in df.schema.fields:
+        out = out + _value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    return out
+
+
+# Upper bound on the measured size of a broadcast side.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the rows of ``df`` together measure at most ``max_bytes``.
+
+    One partial aggregate over ``df``: each task sums its own rows and sends one
+    number.  Meant for written, small frames (``df`` is read once for it).
     """
-    bound = max(1, min(max_rows, max_bytes // _row_bytes(df)))
-    n = df.limit(bound + 1).count()
-    return F.broadcast(df) if n <= bound else df
+    return (df.agg(F.sum(row_bytes(df).cast("long")).alias("b")).first()["b"] or 0) <= max_bytes
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

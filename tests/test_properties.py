@@ -1,15 +1,11 @@
-"""Property tests: merge semantics against a plain-Python model, and the
-running sum against a windowed sum, on generated inputs (few examples:
-each one runs Spark jobs)."""
+"""Property tests: merge semantics against a plain-Python model on generated
+inputs (few examples: each one runs Spark jobs)."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Window
-from pyspark.sql import functions as F
 
 from conftest import rows
 from quillspark.operators import merge
-from quillspark.operators.ranking import running_sum
 
 FLAGS = ["NEW", "UPDATED", "DELETED", "BOGUS", "", None]
 
@@ -46,16 +42,6 @@ def model_merge(target, delta):
 def test_merge_matches_model(spark, target, delta):
     t = spark.createDataFrame(target, "k long, v long")
     d = spark.createDataFrame(delta, "k long, v long, flag string")
-    got = merge.merge_change_flags(t, d, ["k"], "flag", broadcast_rows=None)
-    assert sorted(rows(got), key=lambda r: (r[0] is None, r[0] or 0, r[1])) == model_merge(target, delta)
-
-
-@SETTINGS
-@given(data=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 4)), min_size=1, max_size=60),
-       parts=st.integers(1, 6))
-def test_running_sum_matches_window(spark, data, parts):
-    df = spark.createDataFrame([(i, k, t, w) for i, (k, t, w) in enumerate(data)], "id long, k long, t long, w long")
-    got = running_sum(df, ["k"], [F.col("t").desc(), "id"], ["w"], n_parts=parts)
-    win = Window.partitionBy("k").orderBy(F.col("t").desc(), "id").rowsBetween(Window.unboundedPreceding, 0)
-    want = df.withColumn("cum_w", F.sum("w").over(win))
-    assert rows(got, "id", "cum_w") == rows(want, "id", "cum_w")
+    for broadcast in (True, False):
+        got = merge.merge_change_flags(t, d, ["k"], "flag", broadcast=broadcast)
+        assert sorted(rows(got), key=lambda r: (r[0] is None, r[0] or 0, r[1])) == model_merge(target, delta)

@@ -1,29 +1,56 @@
-"""Session helpers: size-checked broadcast, split estimate, size parsing."""
+"""Session helpers: measured broadcast, split estimate, checkpoint folder."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from quillspark.session import _bytes, bounded_broadcast, default_parallelism, input_partitions, work_path
+from quillspark.session import (_bytes, default_parallelism, ensure_checkpoint_dir, fits_broadcast, input_partitions,
+                                is_local, row_bytes, work_path)
 
 SF = "/root/testdata/sf0.001"
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+def test_row_bytes_measures_real_lengths(spark):
+    df = spark.createDataFrame([("x" * 20000, [1, 2], {"k": "y" * 500})], "s string, a array<int>, m map<string,string>")
+    assert df.select(row_bytes(df).alias("b")).first()["b"] > 20500
 
 
-def test_bounded_broadcast_only_below_the_bound(spark):
-    big = spark.read.parquet(f"{SF}/lineitem.parquet")
-    small = spark.read.parquet(f"{SF}/nation.parquet")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        yes = big.join(bounded_broadcast(small, 100), F.col("l_suppkey") == F.col("n_nationkey"))
-        no = big.join(bounded_broadcast(small, 10), F.col("l_suppkey") == F.col("n_nationkey"))
-        assert "BroadcastHashJoin" in _plan(yes)
-        assert "BroadcastHashJoin" not in _plan(no)
-        tiny_bytes = big.join(bounded_broadcast(small, 100, max_bytes=64), F.col("l_suppkey") == F.col("n_nationkey"))
-        assert "BroadcastHashJoin" not in _plan(tiny_bytes)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_fits_broadcast_is_one_partial_aggregate(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 20000).alias("s"))
+    assert fits_broadcast(wide, 3_000_000) and not fits_broadcast(wide, 1_900_000)
+    assert fits_broadcast(wide.limit(0))
+
+
+def test_a_wide_change_set_is_not_broadcast(spark, monkeypatch):
+    from quillspark import session
+    from quillspark.operators import merge
+    target = spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("s"))
+    delta = spark.range(40).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 20000).alias("s"), F.lit("UPDATED").alias("flag"))
+    monkeypatch.setattr(merge, "fits_broadcast", lambda d: session.fits_broadcast(d, 100_000))
+    plan = merge.merge_change_flags(target, delta, ["k"], "flag")._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" in plan and "BroadcastHashJoin" not in plan
+
+
+class _Cluster:
+    """A session of a cluster, as far as the checkpoint folder goes."""
+    class _Conf:
+        def get(self, *a):
+            return None
+
+    class _Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return _Cluster._Conf()
+    conf, sparkContext = _Conf(), _Context()
+
+
+def test_a_cluster_without_a_shared_checkpoint_folder_is_an_error():
+    assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Cluster)
 
 
 def test_input_partitions_without_running_jobs(spark):
