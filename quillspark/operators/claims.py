@@ -11,19 +11,17 @@ avoids pairs:
   latest reversal of a key group qualifies exactly when any does, so one
   aggregate row per key group is enough (a partial aggregate: a hot key is
   reduced map-side), joined back with one right row per key;
-* the dry-run count is a skew-safe running count in time order
-  (``ranking.running_sum``), never a join.
+* the dry-run count works per key and day, then over a key's days: never a
+  join, and no task holds more than one day of a hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.operators.ranking import running_sum
-
 
 def match_reversals(claims: DataFrame, reversals: DataFrame, keys: Sequence[str],
                     claim_time: str, rev_time: str, rev_prefix: str = "rev_") -> DataFrame:
@@ -48,40 +46,43 @@ def match_reversals(claims: DataFrame, reversals: DataFrame, keys: Sequence[str]
 
 
 def count_matches(claims: DataFrame, reversals: DataFrame, keys: Sequence[str],
-                  claim_time: str, rev_time: str, claim_id: str, rev_id: str) -> DataFrame:
+                  claim_time: str, rev_time: str) -> DataFrame:
     """Dry run of the update: number of pairs and of matched claims.
 
-    Equal to ``count(*)`` and ``count(DISTINCT claim_id)`` over
-    ``match_reversals`` (claim ids are the claims' unique record ids) but
-    computed without building a pair:
+    Equal to ``count(*)`` and ``count(DISTINCT claim id)`` over
+    ``match_reversals`` (one claim row per id) but computed without building a
+    pair, in two exchanges and no Python:
 
-    1. claims and reversals are pre-aggregated to counts per (keys, time) --
-       a partial aggregate, so repeated keys and times shrink map-side;
-    2. the two count sets are stacked and ordered per key group by time
-       descending, claims before reversals of the same time;
-    3. a skew-safe running sum of reversal counts read at a claim row is the
-       number of strictly later reversals of its group.
+    1. rows are dealt by (keys, day of their time) and counted per time there; a
+       window over the times of one day counts, per claim, the strictly later
+       reversals of the same day;
+    2. one row per (keys, day) then meets the other days of its key, where a
+       window adds up the reversals of all later days.
 
-    ``rev_id`` is unused by the count and kept for signature symmetry.
+    A hot key is spread over its days.  Rows with a NULL key or time match
+    nothing.
     """
     keys = list(keys)
-    c = claims.filter(F.col(claim_time).isNotNull())
-    r = reversals.filter(F.col(rev_time).isNotNull())
-    for k in keys:  # a NULL key never equals anything
-        c = c.filter(F.col(k).isNotNull())
-        r = r.filter(F.col(k).isNotNull())
-    c = (c.groupBy(*keys, F.col(claim_time).alias("__t"))
-          .agg(F.count(F.lit(1)).alias("__nc"))
-          .select(*keys, "__t", F.lit(0).alias("__kind"), "__nc", F.lit(0).cast("bigint").alias("__w")))
-    r = (r.groupBy(*keys, F.col(rev_time).alias("__t"))
-          .agg(F.count(F.lit(1)).alias("__w"))
-          .select(*keys, "__t", F.lit(1).alias("__kind"), F.lit(0).cast("bigint").alias("__nc"), "__w"))
-    both = c.unionByName(r)
-    ranked = running_sum(both, keys, [F.col("__t").desc(), F.col("__kind").asc()], ["__w"])
-    at_claims = ranked.filter(F.col("__kind") == 0)
-    return at_claims.agg(
-        F.coalesce(F.sum(F.col("__nc") * F.col("cum___w")), F.lit(0)).cast("bigint").alias("n_pairs"),
-        F.coalesce(F.sum(F.when(F.col("cum___w") > 0, F.col("__nc"))), F.lit(0)).cast("bigint").alias("n_claims"))
+
+    def side(df: DataFrame, time: str, nc: int, nr: int) -> DataFrame:
+        # The keys are only compared, so they stay in the JVM with their types.
+        df = df.select(*keys, F.col(time).alias("__t"), F.lit(nc).cast("bigint").alias("__c"),
+                       F.lit(nr).cast("bigint").alias("__r"))
+        return df.dropna(subset=["__t", *keys]).withColumn("__day", F.to_date("__t"))
+
+    both = side(claims, claim_time, 1, 0).unionByName(side(reversals, rev_time, 0, 1))
+    times = (both.repartition(*keys, "__day").groupBy(*keys, "__day", "__t")
+             .agg(F.sum("__c").alias("__c"), F.sum("__r").alias("__r")))
+    later = Window.partitionBy(*keys, "__day").orderBy(F.col("__t").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    times = times.withColumn("__l", F.coalesce(F.sum("__r").over(later), F.lit(0)))
+    days = times.groupBy(*keys, "__day").agg(
+        F.sum("__c").alias("__c"), F.sum("__r").alias("__r"), F.sum(F.col("__c") * F.col("__l")).alias("__pairs"),
+        F.sum(F.when(F.col("__l") > 0, F.col("__c")).otherwise(0)).alias("__hit"))
+    later = Window.partitionBy(*keys).orderBy(F.col("__day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("__l", F.coalesce(F.sum("__r").over(later), F.lit(0)))
+    return days.agg(
+        F.coalesce(F.sum(F.col("__pairs") + F.col("__c") * F.col("__l")), F.lit(0)).cast("bigint").alias("n_pairs"),
+        F.coalesce(F.sum(F.when(F.col("__l") > 0, F.col("__c")).otherwise(F.col("__hit"))), F.lit(0)).cast("bigint").alias("n_claims"))
 
 
 def latest_reversal_per_key(reversals: DataFrame, keys: Sequence[str], rev_time: str,
@@ -151,11 +152,8 @@ def apply_duplicate_reversals(claims: DataFrame, reversals: DataFrame, keys: Seq
                               eligible=None, **cols) -> DataFrame:
     """UPDATE FROM an aggregated change set (max time per keys + record id).
 
-    The change set has one row per (keys, record id) with the greatest
-    reversal time; a claim takes the latest change (time, then record id)
-    among those processed after it.  Reduced to one row per key group before
-    the join, as in ``apply_reversals``.
+    A claim takes the latest change (time, then record id) among those processed
+    after it.  The latest of the per-record maxima is the latest of the raw rows,
+    so they are reduced to one row per key group directly, in one aggregate.
     """
-    changes = aggregate_changes(reversals, keys, rev_time, rev_id)
-    return apply_reversals(claims, changes, keys, claim_time, "max_time_processed", rev_id,
-                           eligible=eligible, **cols)
+    return apply_reversals(claims, reversals, keys, claim_time, rev_time, rev_id, eligible=eligible, **cols)

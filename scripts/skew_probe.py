@@ -76,16 +76,13 @@ def main():
     r = base.filter(F.col("flag") == "R")
     probes = {
         "latest_per_key": lambda: health.latest_per_key(base, "k", ["t", "id"]),
-        "count_matches": lambda: claims.count_matches(c, r, ["k"], "t", "t", "id", "id"),
+        "count_matches": lambda: claims.count_matches(c, r, ["k"], "t", "t"),
         "apply_reversals": lambda: claims.apply_reversals(c, r, ["k"], "t", "t", "id"),
         "apply_cdc": lambda: merge.apply_cdc(
             health.latest_per_key(base.filter(F.col("t") < "1998-01-01"), "k", ["t", "id"]),
             base.filter(F.col("t") >= "1998-01-01").withColumn("op", F.when(F.col("flag") == "R", "DELETE")),
-            ["k"], "op", "t", tie="id", cols=["id", "t", "flag"], broadcast_rows=None),
+            ["k"], "op", "t", tie="id", cols=["id", "t", "flag"], broadcast=False),
     }
-    # start the Python workers before timing anything
-    spark.range(0, 64, numPartitions=8).mapInPandas(lambda it: (b for b in it), "id long") \
-        .write.format("noop").mode("overwrite").save()
     walls = {}
     for name, build in probes.items():
         spark.sparkContext.setJobGroup(name, name)
