@@ -3,17 +3,16 @@
 from quillspark.streaming.streams import (  # noqa: F401
     append_writer,
     backlog,
-    change_log_writer,
-    current_log,
     discard,
     drain_once,
     event_stream,
     has_data,
     new_checkpoint,
+    pending_files,
     read_appended,
-    register,
+    read_typed_table,
     resync,
     start_task,
-    unregister,
+    typed_table_writer,
     wait_idle,
 )

@@ -6,44 +6,52 @@
   (O-R2); a scheduled task is a ``processingTime`` trigger, and micro-batches
   without new files are skipped (O-R3);
 * draining moves the offset and writes nothing (O-R6);
-* backlog and has-data compare the staged rows with what was applied
-  (O-R4, O-R5);
-* the change register keeps one row per watched table with the time of its
-  last change (O-R8); resync replays a table from scratch and compares
-  counts (O-R9).
+* backlog and has-data compare the staged files with those applied, by the file
+  name that each applied row carries (O-R4, O-R5);
+* resync replays a table from scratch and compares counts and keys (O-R9);
+* a typed table is kept current from staged JSON documents by ``foreachBatch``.
 
 Exactly-once into plain parquet: every micro-batch writes its own folder
-``batch_id=<id>`` with overwrite, so a retried batch replaces its own
-output; versions of the change register are folders ``v=<n>`` and readers
-take the newest.
+``run=<checkpoint>/batch_id=<id>`` with overwrite, so a retried batch replaces
+its own output and a new checkpoint never touches another one's.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quillspark.operators.reconcile import reconcile_counts, row_counts
+from quillspark.functions.scalar import json_fields
+from quillspark.operators.merge import apply_cdc
+from quillspark.operators.reconcile import except_keys, reconcile_counts, row_counts
 from quillspark.session import work_path
-from quillspark.sources.storage import delete_where
 
 BatchFn = Callable[[DataFrame, int], None]
 
+#: Column that names the staged file of an applied row.
+FILE_COL = "__file"
+
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType,
                  fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                 path_glob: str | None = None) -> DataFrame:
-    """Append-only change stream over staged files in ``path``."""
+                 path_glob: str | None = None, with_file: bool = False) -> DataFrame:
+    """Append-only change stream over staged files in ``path``.
+
+    ``with_file`` adds ``__file``, the staged file of each row, which ``backlog``
+    compares with the staging folder.
+    """
     r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if path_glob:
         r = r.option("pathGlobFilter", path_glob)
-    return r.load(path)
+    out = r.load(path)
+    return out.select("*", F.col("_metadata.file_path").alias(FILE_COL)) if with_file else out
 
 
 def new_checkpoint(spark: SparkSession, name: str = "stream") -> str:
@@ -81,37 +89,14 @@ def start_task(stream: DataFrame, fn: BatchFn, checkpoint: str, every: str = "1
     return w.start()
 
 
-def _caught_up(progress: dict) -> bool:
-    """True when every source's processed offset reached the latest offset
-    it reported for that micro-batch."""
-    for src in progress.get("sources", []):
-        latest = src.get("latestOffset")
-        if latest not in (None, "None", "null") and src.get("endOffset") != latest:
-            return False
-    return True
-
+def wait_idle(query: StreamingQuery) -> None:
+    """Block until a running task has processed every file staged so far.
 
-def wait_idle(query: StreamingQuery, timeout: float = 600.0, poll: float = 0.2) -> None:
-    """Block until a running task has processed everything it has seen.
-
-    Returns once a micro-batch has completed, no trigger is active and the
-    last batch ended at the latest offset its sources reported (a source
-    that reports none, like the file source, counts as caught up after the
-    batch).  Unlike ``processAllAvailable`` it never sits out a long trigger
-    interval (the ``isDataAvailable`` flag only refreshes at the next
-    trigger).
+    Waits for a trigger that finds nothing new (``processAllAvailable``), so a
+    stream held to a few files per trigger is followed to its last file; this can
+    take one trigger interval longer than the work itself.
     """
-    import time
-
-    deadline = time.monotonic() + timeout
-    while time.monotonic() < deadline:
-        if query.exception() is not None:
-            raise query.exception()
-        last = query.lastProgress
-        if last is not None and not query.status["isTriggerActive"] and _caught_up(last):
-            return
-        time.sleep(poll)
-    raise TimeoutError(f"stream {query.name or query.id} still busy after {timeout}s")
+    query.processAllAvailable()
 
 
 def discard(batch: DataFrame, batch_id: int) -> None:
@@ -119,13 +104,18 @@ def discard(batch: DataFrame, batch_id: int) -> None:
     return None
 
 
-def append_writer(target: str) -> BatchFn:
-    """Batch handler appending each micro-batch as ``<target>/batch_id=<id>``.
+def append_writer(target: str, checkpoint: str) -> BatchFn:
+    """Batch handler appending each micro-batch as its own folder of ``target``.
 
-    Overwrite of the batch's own folder makes a retried batch idempotent.
+    The folder is ``run=<id>/batch_id=<n>``; the id belongs to ``checkpoint``, in
+    which batches count from 0.  Overwrite of the batch's own folder makes a
+    retried batch idempotent, and a second checkpoint on the same target adds
+    its rows beside the first one's.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
     def _write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{target}/run={run}/batch_id={batch_id}")
     return _write
 
 
@@ -145,118 +135,80 @@ def read_appended(spark: SparkSession, target: str, schema: T.StructType) -> Dat
     return df.select(*schema.fieldNames())
 
 
-def backlog(staged: DataFrame, applied: DataFrame, key: str) -> DataFrame:
-    """Staged rows not applied yet (by event key), without consuming them."""
-    a = applied.select(F.col(key).alias("__ak"))
-    return staged.join(a, F.col(key) == F.col("__ak"), "left_anti")
+def pending_files(staged: DataFrame, applied: DataFrame) -> DataFrame:
+    """``(__file)``: staged files of which no row was applied.
 
+    Both sides are reduced to file names first (no data column of ``staged`` is
+    read); rows without a key count like any other.
+    """
+    names = staged.select(F.col("_metadata.file_path").alias(FILE_COL)).distinct()
+    return names.join(applied.select(FILE_COL).distinct(), FILE_COL, "left_anti")
 
-def has_data(staged: DataFrame, applied: DataFrame, key: str) -> bool:
-    """Stream-has-data probe: any staged row not applied yet."""
-    return not backlog(staged, applied, key).isEmpty()
 
+def backlog(spark: SparkSession, staged_path: str, schema: T.StructType, applied: DataFrame) -> DataFrame:
+    """Staged rows not applied yet, without consuming them.
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("operation_time", T.TimestampNTZType()),
-])
+    ``applied`` is the target of a stream read ``with_file``.  Only the pending
+    files are read: their names (those staged since the last run) select them.
+    """
+    staged = spark.read.schema(schema).parquet(staged_path)
+    names = [r[FILE_COL] for r in pending_files(staged, applied).collect()]
+    return spark.read.schema(schema).parquet(*names) if names else spark.createDataFrame([], schema)
 
 
-def _versions(spark: SparkSession, log: str) -> list[int]:
-    """Version numbers of the register: the ``v=<n>`` folders (a listing, no job)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(log)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
-
-
-def current_log(spark: SparkSession, log: str) -> DataFrame:
-    """Newest complete version of the change register (empty if none yet).
-
-    Only versions whose write finished (``_SUCCESS`` marker) count, so a
-    writer that died half-way leaves the previous version current.
-    """
-    vs = _versions(spark, log)
-    if not vs:
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(f"{log}/v={vs[-1]}")
-
-
-def _write_log_version(spark: SparkSession, log: str, df: DataFrame) -> None:
-    vs = _versions(spark, log)
-    nxt = vs[-1] + 1 if vs else 0
-    df.select(*LOG_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{log}/v={nxt}")
-
-
-def register(spark: SparkSession, log: str, tables: Iterable[str], at=None) -> None:
-    """Start watching tables: each gets a register row stamped ``at``
-    (default: now).  Registering a watched table again refreshes its time
-    only if ``at`` is later (MERGE with ``greatest``)."""
-    stamp = F.current_timestamp().cast("timestamp_ntz") if at is None else F.lit(at).cast("timestamp_ntz")
-    names = spark.createDataFrame([(t,) for t in tables], "table_name string")
-    rows = names.select("table_name", stamp.alias("__t"))
-    cur = current_log(spark, log)
-    j = cur.join(rows, "table_name", "full_outer")
-    new = j.select("table_name", F.greatest(F.col("operation_time"), F.col("__t")).alias("operation_time"))
-    _write_log_version(spark, log, new)
-
-
-def unregister(spark: SparkSession, log: str, table: str,
-               query: StreamingQuery | None = None) -> None:
-    """Stop watching a table: stop its task and delete its register row."""
-    if query is not None:
-        query.stop()
-    cur = current_log(spark, log)
-    _write_log_version(spark, log, delete_where(cur, F.col("table_name") == F.lit(table)))
-
-
-def change_log_writer(spark: SparkSession, log: str, table_col: str, ts_col: str,
-                      apply: BatchFn | None = None, processing_time: bool = False) -> BatchFn:
-    """Batch handler: apply the batch (optional), then refresh the register.
-
-    For every watched table present in the batch its ``operation_time``
-    becomes the newest change time seen: the batch's greatest ``ts_col``
-    (event time, repeatable), or with ``processing_time=True`` the time the
-    batch ran (as a scheduled task stamps it).  ``greatest`` of old and new
-    means a replayed batch changes nothing.  Tables not registered are
-    ignored.
+def has_data(spark: SparkSession, staged_path: str, schema: T.StructType, applied: DataFrame) -> bool:
+    """Stream-has-data probe: any staged file not applied yet."""
+    return not pending_files(spark.read.schema(schema).parquet(staged_path), applied).isEmpty()
+
+
+def typed_table_writer(spark: SparkSession, target: str, schema: T.StructType, doc_col: str,
+                       fields: Mapping[str, tuple[str, str]], keys: Sequence[str], op_col: str, ts_col: str,
+                       tie: str | None = None, deleted_col: str = "is_deleted", delete_value: str = "DELETE") -> BatchFn:
+    """Batch handler keeping a typed table current from staged JSON documents.
+
+    Each batch takes ``fields`` from the document by JSON path, keeps the latest
+    event per key and merges it (``apply_cdc``): an event that is not newer than
+    the row changes nothing, a delete marks the row in ``deleted_col``.  ``schema``
+    is the table's, with ``deleted_col``.  Batch ``n`` reads the table after batch
+    ``n - 1`` and writes its own folder, so a retried batch writes the same again.
     """
-    def _handle(batch: DataFrame, batch_id: int) -> None:
-        if apply is not None:
-            apply(batch, batch_id)
-        cur = current_log(spark, log)
-        t = F.current_timestamp() if processing_time else F.max(F.col(ts_col))
-        seen = batch.groupBy(F.col(table_col).cast("string").alias("table_name")).agg(
-            t.cast("timestamp_ntz").alias("__t"))
-        j = cur.join(seen, "table_name", "left")
-        new = j.select("table_name", F.greatest(F.col("operation_time"), F.col("__t")).alias("operation_time"))
-        _write_log_version(spark, log, new)
-    return _handle
-
-
-def resync(spark: SparkSession, staged_path: str, schema: T.StructType, target: str,
+    def _apply(batch: DataFrame, batch_id: int) -> None:
+        before = f"{target}/after={batch_id - 1}"
+        table = spark.read.schema(schema).parquet(before) if batch_id else spark.createDataFrame([], schema)
+        events = json_fields(batch, doc_col, fields, keep=False).select(*fields)
+        cols = [f.name for f in schema.fields if f.name not in keys and f.name != deleted_col]
+        new = apply_cdc(table, events, keys, op_col, ts_col, tie, delete_value, cols, deleted_col)
+        new.write.mode("overwrite").parquet(f"{target}/after={batch_id}")
+    return _apply
+
+
+def read_typed_table(spark: SparkSession, target: str, schema: T.StructType, batches: int,
+                     deleted_col: str = "is_deleted") -> DataFrame:
+    """The table after ``batches`` batches, without its deleted rows."""
+    if not batches:
+        return spark.createDataFrame([], schema).drop(deleted_col)
+    df = spark.read.schema(schema).parquet(f"{target}/after={batches - 1}")
+    return df.filter(~F.coalesce(F.col(deleted_col), F.lit(False))).drop(deleted_col)
+
+
+def resync(spark: SparkSession, staged_path: str, schema: T.StructType, target: str, key: str,
            name: str = "table", path_glob: str | None = None) -> tuple[DataFrame, str]:
-    """Back up, truncate, reset, replay and compare counts.
+    """Back up, truncate, reset, replay and compare counts and keys.
 
     The current target is copied to a backup folder, a new (empty) target
     generation and a new checkpoint are taken, the stream is replayed from
-    the first staged file, and the count board ``(object_name, left_count,
-    right_count, diff)`` compares backup and rebuilt table.  Returns the
-    board and the new target path.
+    the first staged file, and one row compares backup and rebuilt table:
+    ``object_name, left_count, right_count, diff, left_only, right_only``, the
+    last two counting distinct keys that the other side lacks.  Returns the
+    row and the new target path.
     """
     backup = work_path(spark, "backup", name)
     read_appended(spark, target, schema).write.mode("overwrite").parquet(backup)
     new_target = work_path(spark, "tables", name)
     ckpt = new_checkpoint(spark, name)
-    drain_once(event_stream(spark, staged_path, schema, path_glob=path_glob), append_writer(new_target), ckpt)
-    before = row_counts({name: spark.read.schema(schema).parquet(backup)})
-    after = row_counts({name: read_appended(spark, new_target, schema)})
-    return reconcile_counts(before, after), new_target
+    drain_once(event_stream(spark, staged_path, schema, path_glob=path_glob), append_writer(new_target, ckpt), ckpt)
+    old, new = spark.read.schema(schema).parquet(backup), read_appended(spark, new_target, schema)
+    board = reconcile_counts(row_counts({name: old}), row_counts({name: new}))
+    keys = except_keys(old, new, key).agg(F.count(F.when(F.col("side") == "left only", 1)).alias("l"),
+                                          F.count(F.when(F.col("side") == "right only", 1)).alias("r"))
+    return board.withColumn("left_only", keys.select("l").scalar()).withColumn("right_only", keys.select("r").scalar()), new_target
