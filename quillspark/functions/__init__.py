@@ -4,9 +4,8 @@ from quillspark.functions.scalar import (  # noqa: F401
     ansi_type_name,
     guarded_int,
     json_fields,
-    order_cols,
+    like_any,
     prefix_columns,
     render_rows,
     tagged_field,
-    text_to_date,
 )

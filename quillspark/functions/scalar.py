@@ -26,10 +26,14 @@ def json_fields(df: DataFrame, col: str, fields: Mapping[str, tuple[str, str]],
     the job.  Keys are case-sensitive.  19-digit ids survive as BIGINT.
     """
     src = F.col(col)
+    v = "__doc_variant"
     if not isinstance(df.schema[col].dataType, T.VariantType):
         src = F.try_parse_json(src)
-    v = "__doc_variant"
-    out = df.withColumn(v, src)
+        # explode of a one-element array: the parse stays below it, so a later
+        # filter on a field is not pushed down into a second parse.
+        out = df.select("*", F.explode(F.array(src)).alias(v))
+    else:
+        out = df.withColumn(v, src)
     for name, (path, typ) in fields.items():
         out = out.withColumn(name, F.try_variant_get(F.col(v), path, typ))
     out = out.drop(v)
@@ -45,10 +49,12 @@ def guarded_int(c: Column | str, typ: str = "bigint") -> Column:
     return F.when(c.rlike("^[0-9]+$"), c.try_cast(typ))
 
 
-def text_to_date(c: Column | str, fmt: str = "yyyyMMdd") -> Column:
-    """Date held as text, NULL on bad input."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(c, fmt)
+def like_any(c: Column, patterns: Iterable[str], case_insensitive: bool = False) -> Column:
+    """``LIKE ANY`` / ``ILIKE ANY``: true if any pattern matches, false for no patterns."""
+    cond = F.lit(False)
+    for p in patterns:
+        cond = cond | (c.ilike(p) if case_insensitive else c.like(p))
+    return cond
 
 
 def tagged_field(c: Column | str, tag: str, occurrence: int = 1, sep: str = "~") -> Column:
@@ -82,24 +88,6 @@ def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def order_cols(spec: Iterable) -> list[Column]:
-    """Sort keys with the NULL order of the source systems.
-
-    ``spec`` items are ``"col"`` (ascending) or ``("col", "desc")``.  The
-    source warehouses put NULLs last on ASC and first on DESC; Spark's
-    defaults are the reverse, so it is stated explicitly.
-    """
-    out = []
-    for s in spec:
-        if isinstance(s, Column):
-            out.append(s)
-            continue
-        name, direction = (s, "asc") if isinstance(s, str) else s
-        col = F.col(name)
-        out.append(col.desc_nulls_first() if direction == "desc" else col.asc_nulls_last())
-    return out
-
-
 # Mapping from Spark types to the ANSI names that
 # information_schema.columns reports for the same columns.
 _ANSI_NAMES = {

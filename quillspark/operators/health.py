@@ -72,14 +72,15 @@ def currently_failed(df: DataFrame, key: str, ts: str, state: str,
     return last.filter(F.col(state) == F.lit(failed))
 
 
+# Run states that count as a failure.
 FAILURE_STATES = ("FAILED", "CANCELLED", "FAILED_AND_AUTO_SUSPENDED")
 
 
 def failed_since(df: DataFrame, ts: str, state: str, at, minutes: int = 90,
-                 states: Iterable[str] = FAILURE_STATES, n: int | None = 10,
+                 states: Iterable[str] = FAILURE_STATES, n: int | None = None,
                  tie: str | None = None) -> DataFrame:
     """Failed runs completed within ``minutes`` before ``at`` truncated to the
-    minute, newest first, at most ``n``.
+    minute; with ``n``, the newest ``n`` of them, newest first.
 
     ``at`` stands in for the source's "now": runs after ``at`` are excluded
     so that a past alert time can be replayed.  The look-back is 90 minutes
@@ -100,6 +101,12 @@ def alert(df: DataFrame, ts: str, state: str, at, minutes: int = 90,
     return any_rows(failed_since(df, ts, state, at, minutes, states, n=None))
 
 
+def failure_history(df: DataFrame, ts: str, state: str, since, states: Iterable[str] = FAILURE_STATES) -> DataFrame:
+    """Every failed run completed at or after ``since``, newest first."""
+    hits = df.filter(F.col(state).isin(list(states)) & (F.col(ts) >= F.lit(since)))
+    return hits.orderBy(F.col(ts).desc_nulls_first())
+
+
 def failed_runs(df: DataFrame, name_col: str, msg_col: str, ts: str, state: str,
                 name_pattern: str = "%", msg_pattern: str = "%", since=None,
                 states: Iterable[str] = ("FAILED",), tie: str | None = None) -> DataFrame:
@@ -132,8 +139,7 @@ def fill_rate(df: DataFrame, date_col: str, cols: Mapping[str, str] | Sequence[s
         F.col("service_date").between(F.date_sub(as_of_d, days), F.date_sub(as_of_d, 1)))
     aggs = [F.count(F.lit(1)).alias("records_count")]
     for out_name, c in cols.items():
-        filled = F.sum(F.when(F.col(c).isNotNull(), 1).otherwise(0))
-        aggs.append(F.round(filled / F.count(F.lit(1)) * 100, 2).alias(out_name))
+        aggs.append(F.round(F.lit(100.0) * F.count(F.col(c)) / F.count(F.lit(1)), 2).alias(out_name))
     res = base.groupBy("service_date").agg(*aggs)
     if table_name is not None:
         res = res.select(F.lit(table_name).alias("table_name"), *res.columns)

@@ -1,146 +1,36 @@
-"""Data layout and history: clustering report, re-clustering, text
-aggregation and the export-plan builder.
-
-SURVEY 2.5 (O-A8), 2.11 (O-T1..O-T3, O-T7).  ``as_of`` lives in
-``operators.merge``.
-"""
+"""Table layout: re-clustering and ordered concatenation."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.operators.ranking import running_sum
 from quillspark.session import default_parallelism
 
-
-def partition_ranges(df: DataFrame, part: Column, key: Column) -> DataFrame:
-    """``(part, lo, hi)``: min and max of ``key`` per storage partition.
-
-    ``part`` is any expression naming the partition: a file
-    (``F.col("_metadata.file_path")``), a date, a key range.  A partial
-    aggregate, so the scan is the only distributed cost.  Partitions whose
-    key is entirely NULL have no range and are left out.
-    """
-    return (df.groupBy(part.alias("part"))
-              .agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-              .filter(F.col("lo").isNotNull()))
-
-
-def partition_depths(ranges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """Per partition: ``overlaps`` and ``depth``, plus ``is_constant``.
-
-    ``ranges`` holds ``(part, lo, hi)`` plus the ``group`` columns (e.g. one
-    group per layout being compared); partitions are only compared within
-    their group.  Definitions (the source engine's exact formula is not
-    published):
-
-    * ``overlaps(i)`` = number of other partitions j whose range
-      ``[lo_j, hi_j]`` intersects ``[lo_i, hi_i]``;
-    * ``depth(i)`` = number of partitions (i included) whose range covers
-      ``lo_i``, i.e. how many partitions a lookup of that value must read;
-    * ``is_constant`` = ``lo == hi``.
-
-    Both counts are rank counts over the sorted range ends
-    (``overlaps = #{lo_j <= hi_i} - #{hi_j < lo_i} - 1``,
-    ``depth = #{lo_j <= lo_i} - #{hi_j < lo_i}``), computed with the
-    skew-safe ``running_sum``: no pairwise self-join, no single-task window.
-    """
-    group = list(group)
-    g = [F.col(c) for c in group]
-    pid = F.col("part").cast("string").alias("id")
-
-    def _side(v, kind, q, w_lo, w_hi, const):
-        return ranges.select(*g, F.col(v).alias("v"), F.lit(kind).alias("kind"), pid, F.lit(q).alias("q"),
-                             F.lit(w_lo).alias("w_lo"), F.lit(w_hi).alias("w_hi"), const.alias("const"))
-
-    # At equal values: lo ends (0) < probes (1) < hi ends (2).
-    stacked = (_side("lo", 0, "", 1, 0, F.lit(False))
-               .unionByName(_side("hi", 2, "", 0, 1, F.lit(False)))
-               .unionByName(_side("lo", 1, "lo", 0, 0, F.col("lo") == F.col("hi")))
-               .unionByName(_side("hi", 1, "hi", 0, 0, F.lit(False))))
-    ranked = running_sum(stacked, group, ["v", "kind", "id", "q"], ["w_lo", "w_hi"])
-    probes = ranked.filter(F.col("kind") == 1)
-    per = probes.groupBy(*group, "id").agg(
-        F.max(F.when(F.col("q") == "lo", F.col("cum_w_hi"))).alias("hi_before_lo"),
-        F.max(F.when(F.col("q") == "lo", F.col("cum_w_lo"))).alias("lo_upto_lo"),
-        F.max(F.when(F.col("q") == "hi", F.col("cum_w_lo"))).alias("lo_upto_hi"),
-        F.max(F.col("const")).alias("is_constant"))
-    return per.select(*group, F.col("id").alias("part"),
-                      (F.col("lo_upto_hi") - F.col("hi_before_lo") - 1).alias("overlaps"),
-                      (F.col("lo_upto_lo") - F.col("hi_before_lo")).alias("depth"),
-                      "is_constant")
-
-
-def depth_bucket(depth: Column) -> Column:
-    """Histogram bucket: exact up to 16, then the next power of two (32, 64, ...)."""
-    pow2 = F.pow(F.lit(2), F.ceil(F.log2(depth.cast("double")))).cast("bigint")
-    return F.when(depth <= 16, depth.cast("bigint")).otherwise(pow2)
-
-
-def _layout_depths(df: DataFrame, layouts: Mapping[str, Column], key: Column) -> DataFrame:
-    """Depths of every layout in one ranking pass (grouped by layout label)."""
-    ranges = None
-    for label, part in layouts.items():
-        r = partition_ranges(df, part, key).select(F.lit(label).alias("cluster_by_keys"),
-                                                    F.col("part").cast("string").alias("part"), "lo", "hi")
-        ranges = r if ranges is None else ranges.unionByName(r)
-    return partition_depths(ranges, ["cluster_by_keys"])
-
-
-def clustering_report(df: DataFrame, layouts: Mapping[str, Column], key: Column) -> DataFrame:
-    """Clustering summary of ``key`` for each layout (label -> partition expression).
-
-    One row per layout: ``cluster_by_keys`` (the label),
-    ``total_partition_count``, ``total_constant_partition_count``,
-    ``average_overlaps``, ``average_depth`` (definitions in
-    ``partition_depths``).  Averages are not rounded.
-    """
-    per = _layout_depths(df, layouts, key)
-    return per.groupBy("cluster_by_keys").agg(
-        F.count(F.lit(1)).alias("total_partition_count"),
-        F.count(F.when(F.col("is_constant"), 1)).alias("total_constant_partition_count"),
-        F.avg(F.col("overlaps")).alias("average_overlaps"),
-        F.avg(F.col("depth")).alias("average_depth"))
-
-
-def clustering_histogram(df: DataFrame, layouts: Mapping[str, Column], key: Column) -> DataFrame:
-    """Partition-depth histogram rows ``(cluster_by_keys, depth_bucket,
-    partition_count)``; empty buckets are absent.  Buckets are labelled as
-    five-digit text (``00001`` .. ``00016``, ``00032``, ``00064`` ...)."""
-    per = _layout_depths(df, layouts, key)
-    return (per.groupBy("cluster_by_keys",
-                        F.lpad(depth_bucket(F.col("depth")).cast("string"), 5, "0").alias("depth_bucket"))
-               .agg(F.count(F.lit(1)).alias("partition_count")))
-
-
 BAD_DATE_BUCKET = "1970-01-01 00:00:00"
 
 
-def cluster_bucket(ts_text: Column) -> Column:
-    """Clustering bucket of an event time held as text: the hour, or the
-    1970 bucket when the text is not a timestamp."""
+def cluster_bucket(ts_text: Column, unit: str = "day") -> Column:
+    """Clustering bucket of an event time held as text: the day (or other
+    ``date_trunc`` unit), or the 1970 bucket when the text is not a timestamp."""
     parsed = F.try_to_timestamp(ts_text).cast("timestamp_ntz")
-    return F.coalesce(F.date_trunc("hour", parsed).cast("timestamp_ntz"),
+    return F.coalesce(F.date_trunc(unit, parsed).cast("timestamp_ntz"),
                       F.lit(BAD_DATE_BUCKET).cast("timestamp_ntz"))
 
 
 def recluster(df: DataFrame, ts_text: Column, type_col: Column, n_parts: int | None = None,
-              bucket_name: str = "cluster_hour") -> DataFrame:
-    """Rewrite layout: range-partition by (hour bucket, type), sort within.
+              unit: str = "day", bucket_name: str = "cluster_day") -> DataFrame:
+    """Rewrite layout: range-partition by (time bucket, type), sort within.
 
-    Written out, each file then covers a narrow (hour, type) range, so
-    min/max statistics prune scans (the ``clustering_report`` depth drops
-    towards 1).  A deterministic row hash ends the range key, so a hot
+    Written out, each file then covers a narrow (day, type) range, so
+    min/max statistics prune scans.  A deterministic row hash ends the range key, so a hot
     bucket (say, the 1970 bucket of bad dates holding a third of all rows)
     is cut across several partitions instead of landing in one.  Rows are
     unchanged apart from the added bucket column.
     """
     n = n_parts or default_parallelism(df)
     cols = [F.col(c) for c in df.columns]
-    out = (df.withColumn(bucket_name, cluster_bucket(ts_text))
+    out = (df.withColumn(bucket_name, cluster_bucket(ts_text, unit))
              .withColumn("__ctype", type_col.cast("string"))
              .withColumn("__tie", F.xxhash64(*cols)))
     return (out.repartitionByRange(n, F.col(bucket_name), F.col("__ctype"), F.col("__tie"))
@@ -151,48 +41,10 @@ def ordered_concat(df: DataFrame, group, value: str, order: str, sep: str = ", "
                    name: str = "values") -> DataFrame:
     """``LISTAGG(value, sep) WITHIN GROUP (ORDER BY order)`` per group.
 
-    The concatenated text of a group is the feature itself (one column list
-    per table), so the group is assembled in one buffer by design.
+    The concatenated text of a group is the feature itself, so the group is
+    assembled in one buffer by design; use it for short lists.
     """
     group = [group] if isinstance(group, str) else list(group)
     sep_sql = sep.replace("'", "''")
     agg = F.expr(f"listagg(`{value}`, '{sep_sql}') WITHIN GROUP (ORDER BY `{order}`)")
     return df.groupBy(*group).agg(agg.alias(name))
-
-
-def quote_ident(c: Column) -> Column:
-    """Double-quoted SQL identifier (quotes always, inner quotes doubled)."""
-    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-
-
-def extract_plan(columns: DataFrame, keys: DataFrame, targets=None, schema: str | None = None) -> DataFrame:
-    """One extract query per target table: its columns in position order and
-    its primary-key list.
-
-    ``columns``: ``(table_name, column_name, ordinal_position)``; ``keys``:
-    the same for primary-key columns; ``targets``: table names to export
-    (a list or a one-column DataFrame; default all).  Tables without a key
-    are left out: the source's RIGHT join to the targets followed by a
-    filter on the key side is an inner join.  Output: ``raw_table_name``,
-    ``primary_keys`` and ``sql_select`` (``SELECT "c1", "c2" FROM
-    "schema"."table";``; identifiers are always quoted).
-    """
-    if targets is not None:
-        if isinstance(targets, DataFrame):
-            t = targets.select(F.col(targets.columns[0]).alias("table_name"))
-            columns = columns.join(t, "table_name", "left_semi")
-            keys = keys.join(t, "table_name", "left_semi")
-        else:
-            columns = columns.filter(F.col("table_name").isin(list(targets)))
-            keys = keys.filter(F.col("table_name").isin(list(targets)))
-    cols = columns.withColumn("__q", quote_ident(F.col("column_name")))
-    sel = ordered_concat(cols, "table_name", "__q", "ordinal_position", ", ", "column_list")
-    k = keys.withColumn("__q", quote_ident(F.col("column_name")))
-    kl = ordered_concat(k, "table_name", "__q", "ordinal_position", ", ", "primary_keys")
-    j = kl.join(sel, "table_name", "inner")
-    qualified = quote_ident(F.col("table_name"))
-    if schema is not None:
-        qualified = F.concat(quote_ident(F.lit(schema)), F.lit("."), qualified)
-    return j.select(F.col("table_name").alias("raw_table_name"), "primary_keys",
-                    F.concat(F.lit("SELECT "), F.col("column_list"), F.lit(" FROM "), qualified,
-                             F.lit(";")).alias("sql_select"))

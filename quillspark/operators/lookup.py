@@ -11,11 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.session import bounded_broadcast
-
-# Key lists up to this many rows are broadcast to the scan side; longer
-# lists are joined with a shuffle.
-KEY_LIST_BROADCAST_ROWS = 1_000_000
+from quillspark.functions.scalar import like_any
 
 
 def _col(c) -> Column:
@@ -43,11 +39,10 @@ def rows_by_key(df: DataFrame, col: str, keys) -> DataFrame:
 
     ``keys`` is a Python list (a literal IN list, an InSet filter) or a
     DataFrame with one column (a semi join: repeats in the list never
-    repeat rows; the list is broadcast after a size check).
+    repeat rows; Spark broadcasts the list if its own size statistics allow).
     """
     if isinstance(keys, DataFrame):
         k = keys.select(keys.columns[0]).withColumnRenamed(keys.columns[0], "__key")
-        k = bounded_broadcast(k, KEY_LIST_BROADCAST_ROWS)
         return df.join(k, F.col(col) == F.col("__key"), "left_semi")
     return df.filter(F.col(col).isin(list(dict.fromkeys(keys))))
 
@@ -55,15 +50,10 @@ def rows_by_key(df: DataFrame, col: str, keys) -> DataFrame:
 def matches_any(df: DataFrame, col, patterns: Iterable[str], case_insensitive: bool = False) -> DataFrame:
     """Rows whose text matches any pattern (``LIKE ANY`` / ``ILIKE ANY``).
 
-    ``%`` and ``_`` are wildcards, as in SQL (``SA_X`` also matches
-    ``SAyX``).  Numbers are compared as their text.
+    ``%`` and ``_`` are wildcards, as in SQL (``A_B`` also matches
+    ``AyB``).  Numbers are compared as their text.  No pattern matches no row.
     """
-    c = _col(col).cast("string")
-    cond = None
-    for p in patterns:
-        m = c.ilike(p) if case_insensitive else c.like(p)
-        cond = m if cond is None else (cond | m)
-    return df.filter(cond) if cond is not None else df
+    return df.filter(like_any(_col(col).cast("string"), patterns, case_insensitive))
 
 
 def events_by_id(df: DataFrame, id_col: str, keys, time_col: str, since=None,
@@ -95,13 +85,9 @@ def count_by_type(df: DataFrame, type_col, time_col: str | None = None, since=No
 
 def distinct_types(df: DataFrame, type_col, patterns: Iterable[str], time_col: str | None = None,
                    since=None, name: str = "event_type") -> DataFrame:
-    """Distinct types matching any LIKE pattern, sorted."""
+    """Distinct types matching any LIKE pattern, sorted (none for no pattern)."""
     t = _col(type_col).cast("string")
-    cond = None
-    for p in patterns:
-        c = t.like(p)
-        cond = c if cond is None else (cond | c)
-    out = df.filter(cond) if cond is not None else df
+    out = df.filter(like_any(t, patterns))
     if since is not None:
         out = out.filter(F.col(time_col) > F.lit(since))
     return out.select(t.alias(name)).distinct().orderBy(name)
@@ -113,6 +99,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], min_count: int = 2) -> Da
               .filter(F.col("cnt") >= min_count))
 
 
+def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs once: those that a repeat guard lets through
+    (``duplicate_keys`` lists the others)."""
+    once = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*df.columns)).alias("__r"))
+    return once.filter(F.col("__n") == 1).select("__r.*")
+
+
 def count_total_distinct(df: DataFrame, key: str) -> DataFrame:
     """Total rows and distinct keys side by side, in one aggregate.
 
@@ -147,24 +140,28 @@ def out_of_order(df: DataFrame, group: Sequence[str], pos: str, fields: Mapping[
 
 
 def first_element_mismatch(df: DataFrame, doc_col: str, code_path: str, code: str,
-                           array_path: str, expected: Mapping[str, str]) -> DataFrame:
+                           array_path: str, expected: Mapping[str, str],
+                           fields: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
     """Documents of one transaction code whose first array element is not in
     the expected state, read by JSON path (``$.transactions[0].state``).
 
     Fields compare upper-cased; an empty array or a missing field gives NULL,
-    hence is not reported (three-valued logic, as in the source).
+    hence is not reported (three-valued logic, as in the source).  ``fields``
+    (name: path, type) adds columns from the same parse.
     """
-    doc = F.col(doc_col)
-    if not isinstance(df.schema[doc_col].dataType, T.VariantType):
-        doc = F.try_parse_json(doc)
     v = "__doc"
-    out = df.withColumn(v, doc).filter(F.try_variant_get(F.col(v), code_path, "string") == F.lit(code))
+    if isinstance(df.schema[doc_col].dataType, T.VariantType):
+        out = df.withColumn(v, F.col(doc_col))
+    else:  # parsed once: filters are not pushed below the explode
+        out = df.select("*", F.explode(F.array(F.try_parse_json(F.col(doc_col)))).alias(v))
+    out = out.filter(F.try_variant_get(F.col(v), code_path, "string") == F.lit(code))
     cond = None
     for field, want in expected.items():
         got = F.upper(F.try_variant_get(F.col(v), f"{array_path}[0].{field}", "string"))
         c = got != F.lit(want)
         cond = c if cond is None else (cond | c)
-    return out.filter(cond).drop(v)
+    extra = [F.try_variant_get(F.col(v), path, typ).alias(name) for name, (path, typ) in (fields or {}).items()]
+    return out.filter(cond).select(*df.columns, *extra)
 
 
 def status_mismatch(header: DataFrame, items: DataFrame, key: str, item_key: str,
@@ -211,3 +208,13 @@ def bad_numerics(df: DataFrame, keys: Sequence[str], cols: Mapping[str, Column |
         pairs += [F.lit(name), _col(c).cast("string")]
     stacked = df.select(*keys, F.stack(F.lit(len(cols)), *pairs).alias("column_name", "value"))
     return stacked.filter(F.col("value").isNotNull() & F.col("value").try_cast(typ).isNull())
+
+
+def ids_from_text(df: DataFrame, col: str, sep: str = ",", name: str = "record_id") -> DataFrame:
+    """Distinct ids of a delimited text column: split, exploded, trimmed.
+
+    Empty pieces and NULL texts give no id.  Ids stay text; compare them with
+    ``reconcile.missing_keys_report``, which reports those that do not convert.
+    """
+    pieces = df.select(F.explode(F.split(F.col(col), f"\\Q{sep}\\E")).alias("__p"))
+    return pieces.select(F.trim(F.col("__p")).alias(name)).filter(F.col(name) != "").distinct()

@@ -1,4 +1,4 @@
-"""Cross-system reconciliation: missing keys, count boards, structure diffs.
+"""Cross-system reconciliation: missing keys, count boards, set differences.
 
 SURVEY 2.3 (O-J5, O-J6), 2.5 (O-A1, O-A9) and 2.8 (O-U1..O-U6).
 """
@@ -7,16 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.sources.catalog import describe_columns
-
-
-def _key(df: DataFrame, key) -> Column:
-    return df[key] if isinstance(key, str) else key
-
 
 def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """``left WHERE left_key NOT IN (SELECT right_key FROM right)``, at scale.
@@ -25,21 +19,18 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | No
     ``right`` is empty everything (NULL left keys too) is returned;
     otherwise NULL left keys drop and the rest is a plain LEFT ANTI join.
     Spark's own null-aware anti join needs a broadcast right side and falls
-    back to a nested loop beyond it; here the two facts about ``right`` are
-    one aggregated row (a partial aggregate, one row to the driver), then a
-    hash/sort-merge anti join that scales with both sides.
+    back to a nested loop beyond it.  Here the two facts about ``right`` (has a
+    NULL, is empty) are scalar subqueries over partial aggregates, evaluated when
+    the query runs, beside a hash/sort-merge anti join that scales with both
+    sides; building the query runs no job.
     """
     right_key = right_key or left_key
-    rk = F.col(right_key)
-    flags = right.agg(F.max(rk.isNull().cast("int")).alias("has_null"),
-                      F.count(F.lit(1)).alias("n")).first()
-    if not flags["n"]:
-        return left
-    if flags["has_null"]:
-        return left.limit(0)
-    r = right.select(rk.alias("__nk")).filter(F.col("__nk").isNotNull())
+    keys = right.select(F.col(right_key).alias("__nk"))
+    has_null = keys.agg(F.coalesce(F.max(F.col("__nk").isNull()), F.lit(False))).scalar()
+    empty = keys.agg(F.count(F.lit(1)) == 0).scalar()
     lk = F.col(left_key)
-    return left.filter(lk.isNotNull()).join(r, lk == F.col("__nk"), "left_anti")
+    out = left.join(keys.filter(F.col("__nk").isNotNull()), lk == F.col("__nk"), "left_anti")
+    return out.filter(empty | (~has_null & lk.isNotNull()))
 
 
 def in_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
@@ -52,30 +43,46 @@ def in_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str | N
 def missing_keys_report(source: DataFrame, events: DataFrame, table: DataFrame,
                         source_key: str, events_key: str, table_key: str,
                         key_type: str = "bigint",
-                        tags: tuple[str, str, str] = ("Missing From Events",
-                                                      "Missing From Records",
-                                                      "Records In Table Not In Source")) -> DataFrame:
-    """Three-way missing-key report as ``(name, record_id)`` rows.
+                        tags: tuple[str, str, str, str] = ("source key without event", "source key without row",
+                                                           "table key without source", "unreadable key")) -> DataFrame:
+    """Three-way missing-key report as ``(name, record_id, raw_key)`` rows.
 
     Source keys missing from the event stream, source keys missing from the
     table, and table keys missing from the source; each a NULL-aware
     ``NOT IN``.  Keys are cast to ``key_type`` on every side first (text on
-    one side, numbers on the other in the source scripts): text is trimmed,
-    then ``try_cast`` so bad text becomes NULL rather than failing.
+    one side, numbers on the other in the source scripts); text is trimmed.
+
+    A key that is present but does not convert is reported in its own rows
+    (``raw_key`` is its text, once per distinct text and side) and left out of
+    the comparisons: as a NULL it would empty a whole section and hide what is
+    missing.  Keys that are NULL in the data keep their SQL meaning.
     """
-    def _key(df: DataFrame, c: str) -> Column:
+    def typed(df: DataFrame, c: str) -> DataFrame:
         col = F.col(c)
         if isinstance(df.schema[c].dataType, T.StringType):
             col = F.trim(col)          # pasted id lists carry spaces
-        return col.try_cast(key_type).alias("record_id")
-
-    s = source.select(_key(source, source_key))
-    e = events.select(_key(events, events_key))
-    t = table.select(_key(table, table_key))
-    a = not_in(s, e, "record_id").select(F.lit(tags[0]).alias("name"), "record_id")
-    b = not_in(s, t, "record_id").select(F.lit(tags[1]).alias("name"), "record_id")
-    c = not_in(t, s, "record_id").select(F.lit(tags[2]).alias("name"), "record_id")
-    return a.unionByName(b).unionByName(c)
+        return df.select(col.try_cast(key_type).alias("record_id"), col.cast("string").alias("raw_key"))
+
+    sides = [typed(source, source_key), typed(events, events_key), typed(table, table_key)]
+    bad = F.col("record_id").isNull() & F.col("raw_key").isNotNull()
+    s, e, t = (x.filter(~bad).select("record_id") for x in sides)
+    none = F.lit(None).cast("string").alias("raw_key")
+    out = not_in(s, e, "record_id").select(F.lit(tags[0]).alias("name"), "record_id", none)
+    out = out.unionByName(not_in(s, t, "record_id").select(F.lit(tags[1]).alias("name"), "record_id", none))
+    out = out.unionByName(not_in(t, s, "record_id").select(F.lit(tags[2]).alias("name"), "record_id", none))
+    for x in sides:
+        out = out.unionByName(x.filter(bad).distinct().select(F.lit(tags[3]).alias("name"), "record_id", "raw_key"))
+    return out
+
+
+def except_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
+                tags: tuple[str, str] = ("left only", "right only")) -> DataFrame:
+    """``(key, side)``: distinct keys that one of two tables lacks (EXCEPT both ways;
+    NULL is a value like any other)."""
+    lk = left.select(F.col(left_key).alias("key"))
+    rk = right.select(F.col(right_key or left_key).alias("key"))
+    return (lk.subtract(rk).select("key", F.lit(tags[0]).alias("side"))
+            .unionByName(rk.subtract(lk).select("key", F.lit(tags[1]).alias("side"))))
 
 
 def row_counts(tables: Mapping[str, DataFrame], name: str = "object_name") -> DataFrame:
@@ -123,19 +130,3 @@ def tagged_union(parts: Mapping[str, DataFrame], tag: str = "object_type",
         out = p if out is None else out.unionByName(p)
     out = out.distinct()
     return out.filter(where) if where is not None else out
-
-
-def schema_diff(spark: SparkSession, old: DataFrame, new: DataFrame,
-                old_name: str = "old", new_name: str = "new") -> DataFrame:
-    """Columns only in ``old`` and only in ``new`` (names only; EXCEPT distinct).
-
-    Rows ``(column_name, status)`` with status ``ONLY_IN_OLD`` or
-    ``ONLY_IN_NEW``, sorted by column name.  Types are not compared (the
-    source reads but ignores them).
-    """
-    cols = describe_columns(spark, {old_name: old, new_name: new})
-    o = cols.filter(F.col("table_name") == old_name).select("column_name")
-    n = cols.filter(F.col("table_name") == new_name).select("column_name")
-    a = o.subtract(n).select("column_name", F.lit("ONLY_IN_OLD").alias("status"))
-    b = n.subtract(o).select("column_name", F.lit("ONLY_IN_NEW").alias("status"))
-    return a.unionByName(b).orderBy("column_name")

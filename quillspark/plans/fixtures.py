@@ -16,7 +16,7 @@ from quillspark.functions.scalar import json_fields, prefix_columns, tagged_fiel
 from quillspark.functions.scalar import render_rows as render_text
 from quillspark.operators import claims, health, layout, lookup, merge, reconcile
 from quillspark.session import read_table, work_path
-from quillspark.sources import catalog, storage, text
+from quillspark.sources import storage, text
 
 # Fixed parameters of the fixture queries (shared with the oracle SQL).
 WINDOW_LO = "2024-01-10 00:00:00"
@@ -65,6 +65,19 @@ def failure_alert(spark, sf_dir):
     return hits.agg((F.count(F.lit(1)) > 0).alias("alert"))
 
 
+def alert_probe(spark, sf_dir):
+    """The alert condition as a LIMIT 1 probe: one row or none."""
+    t = _tasks(spark, sf_dir).drop("error_message")
+    hits = health.failed_since(t, "scheduled_time", "state", ALERT_AT, minutes=90)
+    return hits.select(F.lit(1).alias("hit")).limit(1)
+
+
+def alert_history(spark, sf_dir):
+    """Every failure since a time."""
+    t = _tasks(spark, sf_dir).drop("error_message")
+    return health.failure_history(t, "scheduled_time", "state", WINDOW_HI)
+
+
 def failed_runs(spark, sf_dir):
     t = _tasks(spark, sf_dir)
     return health.failed_runs(t, "task_name", "error_message", "scheduled_time", "state",
@@ -86,21 +99,10 @@ def events_typed_since(spark, sf_dir):
 RECORD_ID_BASE = 1_000_000_000_000_000_000  # ids of 19 digits
 
 
-def _stage_variant(spark, name: str, docs: DataFrame) -> DataFrame:
-    """Write staged documents as a parquet table whose ``data`` column is a
-    VARIANT (parsed once, at staging, like the source's staging tables) and
-    read it back.  Queries then take paths from the stored binary form with
-    no JSON parsing; a JSON text column instead would be re-parsed at every
-    place Catalyst inlines the parse (filters, projections)."""
-    path = work_path(spark, "staging", name)
-    docs.select(F.parse_json(F.col("data")).alias("data"), "ingested_timestamp").write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _staged_documents(spark, sf_dir) -> DataFrame:
     """events as staged JSON documents ``(data, ingested_timestamp)``: the
     event type, id and time sit in the document, the record id (19 digits)
-    inside a nested payload."""
+    inside a nested payload.  Built and read in one plan: nothing is written."""
     ev = _t(spark, sf_dir, "events")
     doc = F.to_json(F.struct(
         F.col("event_id").cast("string").alias("eventId"),
@@ -108,12 +110,13 @@ def _staged_documents(spark, sf_dir) -> DataFrame:
         F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("eventTime"),
         F.struct((F.col("event_id") + F.lit(RECORD_ID_BASE)).alias("record_id"),
                  F.col("user_id").alias("user_id")).alias("eventPayload")))
-    return _stage_variant(spark, "events_json", ev.select(doc.alias("data"), F.col("ts").alias("ingested_timestamp")))
+    return ev.select(doc.alias("data"), F.col("ts").alias("ingested_timestamp"))
 
 
 def staged_json_events(spark, sf_dir):
     """O-S1 on documents: type filter and payload fields by JSON path."""
-    docs = json_fields(_staged_documents(spark, sf_dir), "data", {
+    since = _staged_documents(spark, sf_dir).filter(F.col("ingested_timestamp") > F.lit(WINDOW_LO))
+    docs = json_fields(since, "data", {
         "event_type": ("$.eventType", "string"),
         "event_ref": ("$.eventId", "bigint"),
         "record_id": ("$.eventPayload.record_id", "bigint"),
@@ -179,15 +182,15 @@ def _staged_transmissions(spark, sf_dir) -> DataFrame:
          .alias("transactionCode"),
         F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus")).alias("responseStatusCode"),
         txs.alias("transactions")))
-    return _stage_variant(spark, "transmissions", o.select(doc.alias("data"),
-                                                           F.col("o_orderdate").alias("ingested_timestamp")))
+    return o.select(doc.alias("data"), F.col("o_orderdate").alias("ingested_timestamp"))
 
 
 def transmission_out_of_order(spark, sf_dir):
     docs = _staged_transmissions(spark, sf_dir)
     bad = lookup.first_element_mismatch(docs, "data", "$.transactionCode", "B1", "$.transactions",
-                                        {"state": "CREATED", "type": "REQUEST"})
-    return json_fields(bad, "data", {"transmission_id": ("$.transmissionId", "bigint")}).select("transmission_id")
+                                        {"state": "CREATED", "type": "REQUEST"},
+                                        fields={"transmission_id": ("$.transmissionId", "bigint")})
+    return bad.select("transmission_id")
 
 
 def transmission_blank_status(spark, sf_dir):
@@ -196,6 +199,19 @@ def transmission_blank_status(spark, sf_dir):
     return lookup.count_blank(docs.filter(F.col("code") == "B1"), F.col("rsc"))
 
 
+def single_table_mismatch(spark, sf_dir):
+    """Two states of one row that differ where its count is one (single-table form)."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return lookup.column_mismatch(li, "l_returnflag", "l_linestatus", count_col="l_linenumber", count=1)
+
+
+def id_list(spark, sf_dir):
+    """Distinct ids from a delimited text column: split, exploded, trimmed."""
+    o = _t(spark, sf_dir, "orders")
+    listed = o.select(F.concat_ws(" , ", F.col("o_orderkey"), F.lit(""), F.col("o_custkey"), F.col("o_orderkey")).alias("ids"))
+    return lookup.ids_from_text(listed, "ids", ",")
+
+
 def status_mismatch(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     li = _t(spark, sf_dir, "lineitem")
@@ -289,25 +305,68 @@ def export_since(spark, sf_dir):
     return text.export_since(o, "o_orderkey", 1000, 500)
 
 
-# ------------------------------------------------------------ catalog
-
-def column_metadata(spark, sf_dir):
-    return catalog.describe_columns(spark, {"orders": _t(spark, sf_dir, "orders"),
-                                            "lineitem": _t(spark, sf_dir, "lineitem")})
-
-
-def schema_diff(spark, sf_dir):
-    return reconcile.schema_diff(spark, _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"),
-                                 "orders", "lineitem")
-
-
-def extract_plan(spark, sf_dir):
-    """Export plan for every driver table; the first column is its key,
-    except for ``embeddings``, which has none and so is not exported."""
-    cols = catalog.describe_columns(spark, {t: _t(spark, sf_dir, t) for t in ALL_TABLES})
-    cols = cols.select("table_name", "column_name", "ordinal_position")
-    keys = cols.filter((F.col("ordinal_position") == 1) & (F.col("table_name") != "embeddings"))
-    return layout.extract_plan(cols, keys, targets=ALL_TABLES, schema="main")
+def export_all_batches(spark, sf_dir):
+    """Incremental export walked to its end over a version that repeats: the
+    batches together are the whole table, each row once."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    n = max(1, -(-o.count() // 4))
+    out, mark, batches = work_path(spark, "exports", "orders"), None, 0
+    while True:
+        path = f"{out}/batch={batches}"
+        text.export_since(o, "o_orderdate", mark, n).write.parquet(path)
+        last = text.next_mark(spark.read.schema(o.schema).parquet(path), "o_orderdate").first()[0]
+        if last is None:
+            return spark.read.schema(o.schema).parquet(*[f"{out}/batch={i}" for i in range(batches + 1)])
+        mark, batches = last, batches + 1
+
+
+# ------------------------------------------------- delta files into tables
+
+def _flag(n):
+    """Change flag by a number: all of them, an unknown and an empty one too."""
+    out = F.lit("")
+    for k, flag in enumerate(("DELETED", "UPDATED", "NEW", "BOGUS")):
+        out = F.when(n % 5 == k, F.lit(flag)).otherwise(out)
+    return out
+
+
+def delta_composite(spark, sf_dir):
+    """Pipe-delimited lines merged on a composite key: a third of the order lines,
+    and as many new ones; quantities that are not digits become NULL."""
+    target = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus")
+    li = target.filter(F.col("l_orderkey") % 3 == 0)
+    sent = F.when(F.col("l_suppkey") % 7 == 0, F.lit("n/a")).otherwise((F.col("l_suppkey") + 1).cast("string"))
+
+    def lines(shift):
+        return li.select(F.concat_ws("|", F.col("l_orderkey") + F.lit(shift), F.col("l_linenumber"), sent,
+                                     F.concat(F.lit("v2-"), F.col("l_linestatus")),
+                                     _flag(F.col("l_orderkey") + F.col("l_linenumber"))).alias("data"))
+    delta = text.parse_delimited(lines(0).unionByName(lines(NEW_KEY_OFFSET)), "data", "|",
+                                 ["l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus", "chng_flag"],
+                                 int_cols=["l_orderkey", "l_linenumber", "l_suppkey"])
+    once = lookup.unique_keys(delta, ["l_orderkey", "l_linenumber"])
+    return merge.merge_change_flags(target, once, ["l_orderkey", "l_linenumber"], "chng_flag")
+
+
+def delta_single(spark, sf_dir):
+    """The single-key form: parts as lines, the size a guarded integer."""
+    target = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    size = F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("-"), F.col("p_size"))).otherwise(F.col("p_size").cast("string"))
+
+    def lines(shift):
+        return target.select(F.concat_ws("|", F.col("p_partkey") + F.lit(shift), F.upper("p_name"), size,
+                                         _flag(F.col("p_partkey"))).alias("data"))
+    delta = text.parse_delimited(lines(0).unionByName(lines(NEW_KEY_OFFSET)), "data", "|",
+                                 ["p_partkey", "p_name", "p_size", "chng_flag"], int_cols=["p_partkey", "p_size"])
+    return merge.merge_change_flags(target, delta, ["p_partkey"], "chng_flag")
+
+
+def delta_repeats(spark, sf_dir):
+    """The repeat guard before a merge: keys that a parsed delta holds more than once."""
+    o = _t(spark, sf_dir, "orders")
+    lines = o.select(F.concat_ws("|", "o_custkey", "o_orderpriority", "o_orderkey").alias("data"))
+    delta = text.parse_delimited(lines, "data", "|", ["cust_id", "priority", "order_id"], int_cols=["cust_id", "order_id"])
+    return lookup.duplicate_keys(delta, ["cust_id", "priority"])
 
 
 def ordered_concat(spark, sf_dir):
@@ -359,7 +418,7 @@ def reversal_pairs(spark, sf_dir):
 def reversal_count(spark, sf_dir):
     c = _claims(spark, sf_dir)
     r = _reversals(spark, sf_dir)
-    return claims.count_matches(c, r, CLAIM_KEYS, "o_orderdate", "o_orderdate", "o_orderkey", "o_orderkey")
+    return claims.count_matches(c, r, CLAIM_KEYS, "o_orderdate", "o_orderdate")
 
 
 def apply_reversals(spark, sf_dir):
@@ -371,7 +430,12 @@ def apply_reversals(spark, sf_dir):
 
 
 CASH_BIN = "12"
-DUP_WINDOW_START = "1996-06-01 00:00:00"  # as_of 2001-06-01 minus 5 years
+DUP_AS_OF = "2001-06-01 00:00:00"
+
+
+def _window_start():
+    """Five years before the as-of time."""
+    return F.lit(DUP_AS_OF).cast("timestamp_ntz") - F.make_ym_interval(F.lit(5))
 
 
 def _with_bin(o: DataFrame) -> DataFrame:
@@ -383,7 +447,7 @@ def apply_duplicate_reversals(spark, sf_dir):
                                                       "o_orderdate")
     r = o.filter((F.col("bin") != CASH_BIN) & (F.col("o_orderstatus") == "P"))
     eligible = (((F.col("bin") == CASH_BIN) | (F.col("o_orderstatus") == "F"))
-                & (F.col("o_orderdate") >= F.lit(DUP_WINDOW_START)))
+                & (F.col("o_orderdate") >= _window_start()))
     out = claims.apply_duplicate_reversals(o, r, CLAIM_KEYS, "o_orderdate", "o_orderdate", "o_orderkey",
                                            eligible=eligible)
     return out.select("o_orderkey", "reversed", "reversed_record_id", "reversal_time")
@@ -394,9 +458,8 @@ def duplicate_reversal_count(spark, sf_dir):
     r = o.filter((F.col("bin") != CASH_BIN) & (F.col("o_orderstatus") == "P"))
     changes = claims.aggregate_changes(r, CLAIM_KEYS, "o_orderdate", "o_orderkey")
     targets = o.filter(((F.col("bin") == CASH_BIN) | (F.col("o_orderstatus") == "F"))
-                       & (F.col("o_orderdate") >= F.lit(DUP_WINDOW_START)))
-    return claims.count_matches(targets, changes, CLAIM_KEYS, "o_orderdate", "max_time_processed",
-                                "o_orderkey", "o_orderkey")
+                       & (F.col("o_orderdate") >= _window_start()))
+    return claims.count_matches(targets, changes, CLAIM_KEYS, "o_orderdate", "max_time_processed")
 
 
 # ---------------------------------------------------------------- triage
@@ -406,12 +469,14 @@ def triage(spark, sf_dir):
     h = prefix_columns(ev.filter((F.col("event_type") == "error")
                                  & F.col("ts").between(F.lit("2024-01-10 00:00:00"), F.lit("2024-01-12 00:00:00")))
                          .select("event_id", "ts", "user_id"), "h_")
-    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # Only logs of the requests at hand: the aggregate never sees the rest.
+    o = reconcile.in_keys(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), h,
+                          "o_custkey", "h_user_id")
     p = prefix_columns(health.latest_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"]), "p_")
     q = prefix_columns(_t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), "q_")
     j = health.triage(h, p, q, "h_user_id", "p_o_custkey", "p_o_custkey", "q_c_custkey")
     return j.select("h_event_id", "h_ts", "h_user_id", "p_o_orderkey", "p_o_orderdate", "q_c_name",
-                    "q_c_mktsegment")
+                    "q_c_mktsegment").orderBy(F.col("h_ts").desc(), "h_event_id")
 
 
 # ------------------------------------------------------- reconciliation
@@ -434,11 +499,19 @@ def in_keys(spark, sf_dir):
 
 
 def missing_keys_report(spark, sf_dir):
-    src = _t(spark, sf_dir, "documents").filter(F.col("lang") == "en").select(F.col("doc_id").cast("string"))
+    """All documents as the source; their ids as padded text, some unreadable."""
+    doc = F.col("doc_id")
+    raw = F.when(doc % 97 == 5, F.concat(F.lit("oops"), doc)).otherwise(F.concat(F.lit(" "), doc))
+    src = _t(spark, sf_dir, "documents").select(raw.alias("doc_id"))
     return reconcile.missing_keys_report(src, _t(spark, sf_dir, "labels"), _t(spark, sf_dir, "benchmark"),
                                          "doc_id", "doc_id", "item_id")
 
 
+def except_keys(spark, sf_dir):
+    """Keys that one of two tables lacks (EXCEPT both ways)."""
+    return reconcile.except_keys(_t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders"), "c_custkey", "o_custkey")
+
+
 def row_counts(spark, sf_dir):
     return reconcile.row_counts({t: _t(spark, sf_dir, t) for t in ALL_TABLES})
 
@@ -546,28 +619,19 @@ def volume_day(spark, sf_dir):
 
 # ---------------------------------------------------------------- layout
 
-def _lineitem_layouts(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem")
-    return li, {"orderkey_block": F.floor(F.col("l_orderkey") / 1000),
-                "ship_month": F.date_trunc("month", F.col("l_shipdate")).cast("timestamp_ntz")}
-
-
-def clustering_report(spark, sf_dir):
-    li, layouts = _lineitem_layouts(spark, sf_dir)
-    return layout.clustering_report(li, layouts, F.col("l_shipdate"))
-
-
-def clustering_histogram(spark, sf_dir):
-    li, layouts = _lineitem_layouts(spark, sf_dir)
-    return layout.clustering_histogram(li, layouts, F.col("l_shipdate"))
-
-
 def recluster(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     ev = ev.withColumn("event_time", F.when(F.col("value") < 1, F.lit("n/a"))
                        .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")))
     out = layout.recluster(ev, F.col("event_time"), F.col("event_type"))
-    return out.select("event_id", "event_type", "event_time", "cluster_hour")
+    return out.select("event_id", "event_type", "event_time", "cluster_day")
+
+
+def recluster_hour(spark, sf_dir):
+    """The earlier key: hour and type."""
+    ev = _t(spark, sf_dir, "events").withColumn("event_time", F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"))
+    out = layout.recluster(ev, F.col("event_time"), F.col("event_type"), unit="hour", bucket_name="cluster_hour")
+    return out.select("event_id", "event_type", "cluster_hour")
 
 
 def tagged_field_q(spark, sf_dir):
@@ -584,6 +648,8 @@ QUERIES = {
     "currently_failed": currently_failed,
     "failed_since": failed_since,
     "failure_alert": failure_alert,
+    "alert_probe": alert_probe,
+    "alert_history": alert_history,
     "failed_runs": failed_runs,
     "events_typed_since": events_typed_since,
     "staged_json_events": staged_json_events,
@@ -595,6 +661,8 @@ QUERIES = {
     "duplicate_keys": duplicate_keys,
     "out_of_order": out_of_order,
     "status_mismatch": status_mismatch,
+    "single_table_mismatch": single_table_mismatch,
+    "id_list": id_list,
     "transmission_out_of_order": transmission_out_of_order,
     "transmission_blank_status": transmission_blank_status,
     "count_blank": count_blank,
@@ -604,11 +672,12 @@ QUERIES = {
     "merge_flags": merge_flags,
     "delta_by_flag": delta_by_flag,
     "upsert": upsert,
+    "delta_composite": delta_composite,
+    "delta_single": delta_single,
+    "delta_repeats": delta_repeats,
     "export_text": export_text,
     "export_since": export_since,
-    "column_metadata": column_metadata,
-    "schema_diff": schema_diff,
-    "extract_plan": extract_plan,
+    "export_all_batches": export_all_batches,
     "ordered_concat": ordered_concat,
     "customer_join": customer_join,
     "reversal_pairs": reversal_pairs,
@@ -621,6 +690,7 @@ QUERIES = {
     "not_in_keys_null": not_in_keys_null,
     "in_keys": in_keys,
     "missing_keys_report": missing_keys_report,
+    "except_keys": except_keys,
     "row_counts": row_counts,
     "reconcile_counts": reconcile_counts,
     "tagged_union": tagged_union,
@@ -632,8 +702,7 @@ QUERIES = {
     "fill_rate": fill_rate,
     "volume_hour": volume_hour,
     "volume_day": volume_day,
-    "clustering_report": clustering_report,
-    "clustering_histogram": clustering_histogram,
     "recluster": recluster,
+    "recluster_hour": recluster_hour,
     "tagged_field": tagged_field_q,
 }

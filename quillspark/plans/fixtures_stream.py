@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.session import read_table, work_path
 from quillspark.sources import storage
 from quillspark.streaming import streams
 
 STAGE_CUTOFF = "2024-01-15 00:00:00"
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-REGISTERED_AT = "2024-01-01 00:00:00"
 
 
 def _stage(spark: SparkSession, sf_dir: str, second_load: bool = True) -> tuple[str, DataFrame]:
@@ -31,12 +30,18 @@ def _stage(spark: SparkSession, sf_dir: str, second_load: bool = True) -> tuple[
     return stage, ev
 
 
+def _drain(spark, stage: str, ev: DataFrame, target: str, with_file: bool = False) -> None:
+    """One drain of everything staged, by a checkpoint of its own."""
+    ckpt = streams.new_checkpoint(spark, "events")
+    streams.drain_once(streams.event_stream(spark, stage, ev.schema, with_file=with_file),
+                       streams.append_writer(target, ckpt), ckpt)
+
+
 def stream_once(spark, sf_dir):
     """Drain everything staged once into a target table (O-R1, O-R2)."""
     stage, ev = _stage(spark, sf_dir)
     target = work_path(spark, "tables", "events")
-    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target),
-                       streams.new_checkpoint(spark, "events"))
+    _drain(spark, stage, ev, target)
     return streams.read_appended(spark, target, ev.schema)
 
 
@@ -46,15 +51,14 @@ def stream_reset(spark, sf_dir):
     stage, ev = _stage(spark, sf_dir, second_load=False)
     target = work_path(spark, "tables", "events")
     ckpt = streams.new_checkpoint(spark, "events")
-    writer = streams.append_writer(target)
+    writer = streams.append_writer(target, ckpt)
     streams.drain_once(streams.event_stream(spark, stage, ev.schema), writer, ckpt)
     ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
     streams.drain_once(streams.event_stream(spark, stage, ev.schema), writer, ckpt)
     streams.drain_once(streams.event_stream(spark, stage, ev.schema), writer, ckpt)
     # reset: drop and re-create the stream, truncate the target
     target2 = work_path(spark, "tables", "events")
-    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target2),
-                       streams.new_checkpoint(spark, "events"))
+    _drain(spark, stage, ev, target2)
     return streams.read_appended(spark, target2, ev.schema)
 
 
@@ -66,17 +70,18 @@ def stream_drain(spark, sf_dir):
     streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.discard, ckpt)
     ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
     target = work_path(spark, "tables", "events")
-    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target), ckpt)
+    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target, ckpt), ckpt)
     return streams.read_appended(spark, target, ev.schema)
 
 
 def stream_task(spark, sf_dir):
-    """Scheduled task (O-R3): a 1-minute processing-time trigger picks up
-    the staged files; the task is stopped once everything is processed."""
+    """Scheduled task (O-R3): a processing-time trigger picks up the staged files,
+    one per trigger; the task is stopped once everything is processed."""
     stage, ev = _stage(spark, sf_dir)
     target = work_path(spark, "tables", "events")
-    q = streams.start_task(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target),
-                           streams.new_checkpoint(spark, "events"), every="1 minute")
+    ckpt = streams.new_checkpoint(spark, "events")
+    stream = streams.event_stream(spark, stage, ev.schema, max_files_per_trigger=1)
+    q = streams.start_task(stream, streams.append_writer(target, ckpt), ckpt, every="200 milliseconds")
     try:
         streams.wait_idle(q)
     finally:
@@ -88,36 +93,71 @@ def backlog(spark, sf_dir):
     """Rows staged but not applied: the second load, before any drain sees it (O-R4)."""
     stage, ev = _stage(spark, sf_dir, second_load=False)
     target = work_path(spark, "tables", "events")
-    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target),
-                       streams.new_checkpoint(spark, "events"))
+    _drain(spark, stage, ev, target, with_file=True)
     ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
-    staged = spark.read.schema(ev.schema).parquet(stage)
-    applied = streams.read_appended(spark, target, ev.schema)
-    return streams.backlog(staged, applied, "event_id")
+    return streams.backlog(spark, stage, ev.schema, _applied(spark, target, ev))
 
 
-def change_log(spark, sf_dir):
-    """Change register over the event stream: each event type is a watched
-    table; after two loads and drains one table is unregistered (O-R8)."""
+def _applied(spark, target: str, ev: DataFrame) -> DataFrame:
+    return streams.read_appended(spark, target, T.StructType([*ev.schema.fields, T.StructField(streams.FILE_COL, T.StringType())]))
+
+
+def stream_has_data(spark, sf_dir):
+    """Has-data probe after each step: two loads, two drains (O-R5)."""
     stage, ev = _stage(spark, sf_dir, second_load=False)
-    log = work_path(spark, "tables", "cache_log")
-    streams.register(spark, log, EVENT_TYPES, at=REGISTERED_AT)
-    ckpt = streams.new_checkpoint(spark, "cache_log")
-    handler = streams.change_log_writer(spark, log, "event_type", "ts")
-    streams.drain_once(streams.event_stream(spark, stage, ev.schema), handler, ckpt)
-    ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
-    streams.drain_once(streams.event_stream(spark, stage, ev.schema), handler, ckpt)
-    streams.unregister(spark, log, "signup")
-    return streams.current_log(spark, log)
+    target = work_path(spark, "tables", "events")
+    ckpt = streams.new_checkpoint(spark, "events")
+    stream = streams.event_stream(spark, stage, ev.schema, with_file=True)
+    seen = []
+    for load in (False, True):
+        if load:
+            ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
+        seen.append(streams.has_data(spark, stage, ev.schema, _applied(spark, target, ev)))
+        streams.drain_once(stream, streams.append_writer(target, ckpt), ckpt)
+        seen.append(streams.has_data(spark, stage, ev.schema, _applied(spark, target, ev)))
+    cols = [F.lit(x).alias(f"probe_{i}") for i, x in enumerate(seen)]
+    return _applied(spark, target, ev).agg(F.count(F.lit(1)).alias("n_applied")).select("n_applied", *cols)
+
+
+APPLIED = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()),
+                        T.StructField("event_time", T.TimestampNTZType()), T.StructField("operation", T.StringType()),
+                        T.StructField("amount", T.DoubleType()), T.StructField("is_deleted", T.BooleanType())])
+
+
+def stream_apply(spark, sf_dir):
+    """Staged JSON documents kept as a typed table, one row per user.
+
+    The first batch holds the later half of the events, so the second is late;
+    the third repeats the first.  An ``error`` event is a DELETE.  The table must
+    equal the latest event per user over all events.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    doc = F.to_json(F.struct(
+        F.when(F.col("event_type") == "error", F.lit("DELETE")).otherwise(F.lit("UPSERT")).alias("operation"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("eventTime"),
+        F.struct("user_id", "event_id", "value").alias("eventPayload")))
+    docs = ev.select(doc.alias("data"), "ts")
+    stage, target = work_path(spark, "staging", "documents"), work_path(spark, "tables", "typed")
+    ckpt = streams.new_checkpoint(spark, "typed")
+    schema = T.StructType([T.StructField("data", T.StringType())])
+    fields = {"user_id": ("$.eventPayload.user_id", "bigint"), "event_id": ("$.eventPayload.event_id", "bigint"),
+              "event_time": ("$.eventTime", "timestamp_ntz"), "operation": ("$.operation", "string"),
+              "amount": ("$.eventPayload.value", "double")}
+    handler = streams.typed_table_writer(spark, target, APPLIED, "data", fields, ["user_id"], "operation", "event_time", "event_id")
+    late = F.col("ts") < F.lit(STAGE_CUTOFF)
+    batches = (~late, late, ~late)
+    for part in batches:
+        docs.filter(part).select("data").write.mode("append").parquet(stage)
+        streams.drain_once(streams.event_stream(spark, stage, schema), handler, ckpt)
+    return streams.read_typed_table(spark, target, APPLIED, len(batches))
 
 
 def resync(spark, sf_dir):
-    """Back up, truncate, reset, replay and compare counts (O-R9)."""
+    """Back up, truncate, reset, replay and compare counts and keys (O-R9)."""
     stage, ev = _stage(spark, sf_dir)
     target = work_path(spark, "tables", "events")
-    streams.drain_once(streams.event_stream(spark, stage, ev.schema), streams.append_writer(target),
-                       streams.new_checkpoint(spark, "events"))
-    board, _ = streams.resync(spark, stage, ev.schema, target, name="events")
+    _drain(spark, stage, ev, target)
+    board, _ = streams.resync(spark, stage, ev.schema, target, "event_id", name="events")
     return board
 
 
@@ -137,11 +177,6 @@ def append(spark, sf_dir):
     return storage.append_rows(copy, extra)
 
 
-def truncate(spark, sf_dir):
-    """TRUNCATE: the schema stays, the rows go (O-S16)."""
-    return storage.truncate(read_table(spark, sf_dir, "region"))
-
-
 def preview(spark, sf_dir):
     """First rows of a table; ordered by key here so the check is stable (O-S4)."""
     return storage.preview(read_table(spark, sf_dir, "nation"), 10, order_by=["n_nationkey"])
@@ -163,11 +198,11 @@ QUERIES = {
     "stream_drain": stream_drain,
     "stream_task": stream_task,
     "backlog": backlog,
-    "change_log": change_log,
+    "stream_has_data": stream_has_data,
+    "stream_apply": stream_apply,
     "resync": resync,
     "snapshot": snapshot,
     "append": append,
-    "truncate": truncate,
     "preview": preview,
     "cache": cache,
 }
@@ -178,14 +213,21 @@ ORACLE = {
     "stream_drain": "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
     "stream_task": "SELECT * FROM events",
     "backlog": "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
-    "change_log": """
-SELECT event_type AS table_name, max(ts) AS operation_time FROM events
-WHERE event_type <> 'signup' GROUP BY event_type
+    "stream_has_data": """
+SELECT count(*) AS n_applied, true AS probe_0, false AS probe_1, true AS probe_2, false AS probe_3 FROM events
+""",
+    "stream_apply": """
+WITH last AS (SELECT user_id, event_id, ts, event_type, value FROM events
+              QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, event_id, ts AS event_time, 'UPSERT' AS operation, value AS amount FROM last WHERE event_type <> 'error'
 """,
     "resync": """
-SELECT 'events' AS object_name, count(*) AS left_count, count(*) AS right_count,
-       CAST(0 AS BIGINT) AS diff
-FROM events
+WITH rebuilt AS (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
+                 UNION ALL SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00')
+SELECT 'events' AS object_name, (SELECT count(*) FROM events) AS left_count, (SELECT count(*) FROM rebuilt) AS right_count,
+       (SELECT count(*) FROM events) - (SELECT count(*) FROM rebuilt) AS diff,
+       (SELECT count(*) FROM (SELECT event_id FROM events EXCEPT SELECT event_id FROM rebuilt)) AS left_only,
+       (SELECT count(*) FROM (SELECT event_id FROM rebuilt EXCEPT SELECT event_id FROM events)) AS right_only
 """,
     "snapshot": "SELECT * FROM nation",
     "append": """
@@ -193,7 +235,6 @@ SELECT * FROM region
 UNION ALL
 SELECT r_regionkey + 5 AS r_regionkey, r_name || '-2' AS r_name FROM region
 """,
-    "truncate": "SELECT * FROM region WHERE false",
     "preview": "SELECT * FROM nation ORDER BY n_nationkey LIMIT 10",
     "cache": """
 SELECT r_name, count(*) AS n_nations, min(n_name) AS first_nation

@@ -14,7 +14,6 @@ _TASKS = """
 
 _ALL = ("region nation customer supplier part orders lineitem events documents "
         "embeddings pages benchmark labels conversations").split()
-_ALL_IN = ", ".join(f"'{t}'" for t in _ALL)
 
 _SUPPLIER_DELTA = """
   SELECT s_suppkey, s_name || '-v2' AS s_name, s_nationkey, s_acctbal,
@@ -46,25 +45,10 @@ _DUP = """
   m AS (SELECT t.o_orderkey AS ck, ch.record_id AS rk, ch.max_time AS rt
         FROM c t JOIN ch ON t.o_custkey = ch.o_custkey AND t.o_orderpriority = ch.o_orderpriority
                         AND t.o_orderdate < ch.max_time
-        WHERE (t.bin = '12' OR t.o_orderstatus = 'F') AND t.o_orderdate >= TIMESTAMP '1996-06-01 00:00:00')
+        WHERE (t.bin = '12' OR t.o_orderstatus = 'F') AND t.o_orderdate >= TIMESTAMP '2001-06-01 00:00:00' - INTERVAL 5 YEAR)
 """
 
-_CLUSTER_PARTS = """
-  WITH parts AS (
-    SELECT 'orderkey_block' AS label, CAST(l_orderkey // 1000 AS VARCHAR) AS part,
-           min(l_shipdate) AS lo, max(l_shipdate) AS hi
-    FROM lineitem GROUP BY 1, 2
-    UNION ALL
-    SELECT 'ship_month', CAST(date_trunc('month', l_shipdate) AS VARCHAR), min(l_shipdate), max(l_shipdate)
-    FROM lineitem GROUP BY 1, 2),
-  m AS (
-    SELECT a.label, a.part, a.lo = a.hi AS is_constant,
-           (SELECT count(*) FROM parts b WHERE b.label = a.label AND b.part <> a.part
-              AND b.lo <= a.hi AND b.hi >= a.lo) AS n_over,
-           (SELECT count(*) FROM parts b WHERE b.label = a.label
-              AND b.lo <= a.lo AND b.hi >= a.lo) AS depth
-    FROM parts a)
-"""
+_FLAG = "['DELETED', 'UPDATED', 'NEW', 'BOGUS', ''][1 + ({}) % 5]"
 
 ORACLE = {
     "currently_failed": f"""
@@ -87,6 +71,17 @@ SELECT count(*) > 0 AS alert FROM ({_TASKS}) t
 WHERE state IN ('FAILED', 'CANCELLED', 'FAILED_AND_AUTO_SUSPENDED')
   AND scheduled_time >= date_trunc('minute', TIMESTAMP '2024-01-20 12:34:56') - INTERVAL 90 MINUTE
   AND scheduled_time <= TIMESTAMP '2024-01-20 12:34:56'
+""",
+    "alert_probe": f"""
+SELECT 1 AS hit FROM ({_TASKS}) t
+WHERE state IN ('FAILED', 'CANCELLED', 'FAILED_AND_AUTO_SUSPENDED')
+  AND scheduled_time BETWEEN date_trunc('minute', TIMESTAMP '2024-01-20 12:34:56') - INTERVAL 90 MINUTE
+                         AND TIMESTAMP '2024-01-20 12:34:56'
+LIMIT 1
+""",
+    "alert_history": f"""
+SELECT task_name, state, scheduled_time, event_id FROM ({_TASKS}) t
+WHERE state IN ('FAILED', 'CANCELLED', 'FAILED_AND_AUTO_SUSPENDED') AND scheduled_time >= TIMESTAMP '2024-01-20 00:00:00'
 """,
     "failed_runs": f"""
 SELECT task_name, state, scheduled_time, event_id, error_message FROM ({_TASKS}) t
@@ -156,6 +151,14 @@ WITH one AS (SELECT l_orderkey, min(l_linestatus) AS l_linestatus FROM lineitem
 SELECT o.o_orderkey, o.o_orderstatus, one.l_linestatus
 FROM orders o JOIN one ON o.o_orderkey = one.l_orderkey
 WHERE o.o_orderstatus <> one.l_linestatus
+""",
+    "single_table_mismatch": """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem
+WHERE l_returnflag <> l_linestatus AND l_linenumber = 1
+""",
+    "id_list": """
+SELECT DISTINCT CAST(id AS VARCHAR) AS record_id
+FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT o_custkey FROM orders) WHERE id IS NOT NULL
 """,
     "count_blank": """
 SELECT count(*) FILTER (WHERE split_part(url, '?', 2) = '') AS n_blank, count(*) AS n_rows FROM pages
@@ -221,38 +224,38 @@ FROM orders ORDER BY o_orderkey
 """,
     "export_since": """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
-WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 500
-""",
-    "column_metadata": """
-SELECT table_name, column_name, data_type, is_nullable, CAST(ordinal_position AS INTEGER) AS ordinal_position
-FROM information_schema.columns WHERE table_name IN ('orders', 'lineitem')
+WHERE o_orderkey > 1000
+  AND o_orderkey <= (SELECT max(v) FROM (SELECT o_orderkey AS v FROM orders WHERE o_orderkey > 1000 ORDER BY v LIMIT 500))
+""",
+    "export_all_batches": "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate IS NOT NULL",
+    "delta_composite": f"""
+WITH c AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey + 1 END AS l_suppkey,
+                  'v2-' || l_linestatus AS l_linestatus, {_FLAG.format("l_orderkey + l_linenumber")} AS flag
+           FROM lineitem WHERE l_orderkey % 3 = 0),
+u AS (SELECT * FROM c QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1),
+d AS (SELECT * FROM u UNION ALL SELECT l_orderkey + 1000000000, l_linenumber, l_suppkey, l_linestatus, flag FROM u)
+SELECT t.l_orderkey, t.l_linenumber, CASE WHEN d.flag = 'UPDATED' THEN d.l_suppkey ELSE t.l_suppkey END AS l_suppkey,
+       CASE WHEN d.flag = 'UPDATED' THEN d.l_linestatus ELSE t.l_linestatus END AS l_linestatus
+FROM lineitem t LEFT JOIN d USING (l_orderkey, l_linenumber) WHERE d.flag IS NULL OR d.flag <> 'DELETED'
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_suppkey, l_linestatus FROM d
+WHERE flag IN ('NEW', 'UPDATED') AND NOT EXISTS (
+  SELECT 1 FROM lineitem t WHERE t.l_orderkey = d.l_orderkey AND t.l_linenumber = d.l_linenumber)
+""",
+    "delta_single": f"""
+WITH c AS (SELECT p_partkey, upper(p_name) AS p_name, CASE WHEN p_size % 5 <> 0 THEN p_size END AS p_size,
+                  {_FLAG.format("p_partkey")} AS flag FROM part),
+d AS (SELECT * FROM c UNION ALL SELECT p_partkey + 1000000000, p_name, p_size, flag FROM c)
+SELECT t.p_partkey, CASE WHEN d.flag = 'UPDATED' THEN d.p_name ELSE t.p_name END AS p_name,
+       CASE WHEN d.flag = 'UPDATED' THEN d.p_size ELSE t.p_size END AS p_size
+FROM part t LEFT JOIN d USING (p_partkey) WHERE d.flag IS NULL OR d.flag <> 'DELETED'
+UNION ALL
+SELECT p_partkey, p_name, p_size FROM d
+WHERE flag IN ('NEW', 'UPDATED') AND p_partkey NOT IN (SELECT p_partkey FROM part)
 """,
-    "schema_diff": """
-WITH c AS (SELECT table_name, column_name FROM information_schema.columns
-           WHERE table_name IN ('orders', 'lineitem'))
-SELECT * FROM (
-  (SELECT column_name, 'ONLY_IN_OLD' AS status FROM c WHERE table_name = 'orders'
-   EXCEPT SELECT column_name, 'ONLY_IN_OLD' FROM c WHERE table_name = 'lineitem')
-  UNION ALL
-  (SELECT column_name, 'ONLY_IN_NEW' AS status FROM c WHERE table_name = 'lineitem'
-   EXCEPT SELECT column_name, 'ONLY_IN_NEW' FROM c WHERE table_name = 'orders'))
-ORDER BY column_name
-""",
-    "extract_plan": f"""
-WITH target_tables AS (SELECT unnest([{_ALL_IN}]) AS table_name),
-c AS (SELECT table_schema, table_name, column_name, ordinal_position FROM information_schema.columns
-      WHERE table_name IN (SELECT table_name FROM target_tables)),
-pk AS (SELECT tt.table_name,
-              string_agg('"' || replace(c.column_name, '"', '""') || '"', ', ' ORDER BY c.ordinal_position)
-                AS primary_keys
-       FROM c RIGHT JOIN target_tables tt ON c.table_name = tt.table_name
-       WHERE c.ordinal_position = 1 AND c.table_name <> 'embeddings'
-       GROUP BY tt.table_name)
-SELECT c.table_name AS raw_table_name, pk.primary_keys,
-       'SELECT ' || string_agg('"' || replace(c.column_name, '"', '""') || '"', ', ' ORDER BY c.ordinal_position)
-         || ' FROM "' || c.table_schema || '"."' || c.table_name || '";' AS sql_select
-FROM c RIGHT JOIN pk ON pk.table_name = c.table_name
-GROUP BY c.table_schema, c.table_name, pk.primary_keys
+    "delta_repeats": """
+SELECT o_custkey AS cust_id, o_orderpriority AS priority, count(*) AS cnt FROM orders
+GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1
 """,
     "ordered_concat": """
 SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_nationkey) AS names FROM nation GROUP BY n_regionkey
@@ -308,14 +311,22 @@ WHERE doc_id NOT IN (SELECT CASE WHEN quality = 0 THEN NULL ELSE doc_id END FROM
 SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
 """,
     "missing_keys_report": """
-WITH s AS (SELECT TRY_CAST(CAST(doc_id AS VARCHAR) AS BIGINT) AS record_id FROM documents WHERE lang = 'en'),
-e AS (SELECT CAST(doc_id AS BIGINT) AS record_id FROM labels),
-t AS (SELECT CAST(item_id AS BIGINT) AS record_id FROM benchmark)
-SELECT 'Missing From Events' AS name, record_id FROM s WHERE record_id NOT IN (SELECT record_id FROM e)
+WITH raw AS (SELECT CASE WHEN doc_id % 97 = 5 THEN 'oops' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS k FROM documents),
+s AS (SELECT TRY_CAST(k AS BIGINT) AS record_id FROM raw WHERE TRY_CAST(k AS BIGINT) IS NOT NULL),
+e AS (SELECT doc_id AS record_id FROM labels),
+t AS (SELECT item_id AS record_id FROM benchmark)
+SELECT 'source key without event' AS name, record_id, NULL::VARCHAR AS raw_key FROM s WHERE record_id NOT IN (SELECT record_id FROM e)
 UNION ALL
-SELECT 'Missing From Records', record_id FROM s WHERE record_id NOT IN (SELECT record_id FROM t)
+SELECT 'source key without row', record_id, NULL FROM s WHERE record_id NOT IN (SELECT record_id FROM t)
 UNION ALL
-SELECT 'Records In Table Not In Source', record_id FROM t WHERE record_id NOT IN (SELECT record_id FROM s)
+SELECT 'table key without source', record_id, NULL FROM t WHERE record_id NOT IN (SELECT record_id FROM s)
+UNION ALL
+SELECT DISTINCT 'unreadable key', NULL::BIGINT, k FROM raw WHERE TRY_CAST(k AS BIGINT) IS NULL
+""",
+    "except_keys": """
+(SELECT c_custkey AS key, 'left only' AS side FROM customer EXCEPT SELECT o_custkey, 'left only' FROM orders)
+UNION ALL
+(SELECT o_custkey, 'right only' FROM orders EXCEPT SELECT c_custkey, 'right only' FROM customer)
 """,
     "row_counts": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS object_name, count(*) AS row_count FROM {t}" for t in _ALL) + "\nORDER BY object_name",
@@ -374,9 +385,9 @@ WITH b AS (
          props AS c_props
   FROM events)
 SELECT 'EVENTS' AS table_name, service_date, count(*) AS records_count,
-       round(sum(CASE WHEN c_type IS NOT NULL THEN 1 ELSE 0 END) / count(*) * 100, 2) AS pct_type_populated,
-       round(sum(CASE WHEN c_value IS NOT NULL THEN 1 ELSE 0 END) / count(*) * 100, 2) AS pct_value_populated,
-       round(sum(CASE WHEN c_props IS NOT NULL THEN 1 ELSE 0 END) / count(*) * 100, 2) AS pct_props_populated
+       round(100.0::DOUBLE * count(c_type) / count(*), 2) AS pct_type_populated,
+       round(100.0::DOUBLE * count(c_value) / count(*), 2) AS pct_value_populated,
+       round(100.0::DOUBLE * count(c_props) / count(*), 2) AS pct_props_populated
 FROM b
 WHERE service_date BETWEEN DATE '2024-01-31' - 30 AND DATE '2024-01-31' - 1
 GROUP BY service_date ORDER BY service_date DESC
@@ -408,31 +419,17 @@ WITH base AS (
 SELECT category, CAST(ts AS DATE) AS request_bucket, count(*) AS total_requests
 FROM base GROUP BY 1, 2 HAVING category IN ('TOTAL', 'purchase')
 ORDER BY request_bucket, category
-""",
-    "clustering_report": f"""
-{_CLUSTER_PARTS}
-SELECT label AS cluster_by_keys, count(*) AS total_partition_count,
-       count(*) FILTER (WHERE is_constant) AS total_constant_partition_count,
-       avg(n_over) AS average_overlaps, avg(depth) AS average_depth
-FROM m GROUP BY label
-""",
-    "clustering_histogram": f"""
-{_CLUSTER_PARTS}
-SELECT label AS cluster_by_keys,
-       lpad(CAST(CASE WHEN depth <= 16 THEN depth ELSE CAST(pow(2, ceil(log2(depth))) AS BIGINT) END AS VARCHAR),
-            5, '0') AS depth_bucket,
-       count(*) AS partition_count
-FROM m GROUP BY 1, 2
 """,
     "recluster": """
 WITH e AS (SELECT event_id, event_type,
                   CASE WHEN value < 1 THEN 'n/a' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_time
            FROM events)
 SELECT event_id, event_type, event_time,
-       coalesce(date_trunc('hour', TRY_CAST(event_time AS TIMESTAMP)), TIMESTAMP '1970-01-01 00:00:00')
-         AS cluster_hour
+       coalesce(date_trunc('day', TRY_CAST(event_time AS TIMESTAMP)), TIMESTAMP '1970-01-01 00:00:00')
+         AS cluster_day
 FROM e
 """,
+    "recluster_hour": "SELECT event_id, event_type, date_trunc('hour', ts) AS cluster_hour FROM events",
     "tagged_field": """
 WITH m AS (SELECT p_partkey,
                   string_split(concat_ws('~', 'NM' || p_name, 'TY' || p_type, 'BR' || p_brand,

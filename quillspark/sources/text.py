@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions.scalar import guarded_int
+from quillspark.functions.scalar import guarded_int, like_any
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -52,16 +52,21 @@ def export_as_text(df: DataFrame, order_col: str, keep: Iterable[str] = ()) -> D
 
 
 def export_since(df: DataFrame, version_col: str, last, n: int) -> DataFrame:
-    """Next export batch: the ``n`` rows with the smallest version above ``last``.
+    """Next export batch: about ``n`` rows with the smallest versions above ``last``.
 
     Inferred rule (the source shows the version column, its ordering and the
-    export-control table, not the batch query): strictly greater than the
-    last exported version, ascending, at most ``n`` rows.  The next mark is
-    ``max(version)`` of the returned batch.  ``orderBy().limit()`` plans as
-    TakeOrderedAndProject: each task keeps its own top ``n``.
+    export-control table, not the batch query): versions strictly greater than
+    the last exported one (``None``: all), ascending, up to the version of the
+    ``n``-th row, *with every row of that version*.  The next mark is the
+    batch's greatest version, so rows that share it must not be left behind.
+    Rows without a version are never exported.  The cut is a scalar subquery
+    (per-task top ``n``), the batch a filter on the version range that reaches
+    the scan.
     """
     v = F.col(version_col)
-    return df.filter(v > F.lit(last)).orderBy(v.asc()).limit(n)
+    above = df.filter(v.isNotNull() if last is None else v > F.lit(last))
+    cut = above.select(v.alias("v")).orderBy("v").limit(n).agg(F.max("v")).scalar()
+    return above.filter(v <= cut).orderBy(v.asc())
 
 
 def next_mark(batch: DataFrame, version_col: str) -> DataFrame:
@@ -70,12 +75,12 @@ def next_mark(batch: DataFrame, version_col: str) -> DataFrame:
 
 
 def load_history(df: DataFrame, name_col: str, time_col: str, since=None,
-                 patterns: Iterable[str] = (), n: int = 1000,
+                 patterns: Iterable[str] | None = None, n: int | None = None,
                  pipe_col: str | None = None, pipe: str | None = None,
                  rows_col: str | None = None) -> DataFrame:
     """Load-history scan: loads of one pipe strictly after ``since`` that
-    carried rows, whose file name matches any LIKE pattern, newest ``n``
-    first."""
+    carried rows, whose file name matches any LIKE pattern (``None``: no such
+    filter; an empty list matches nothing), newest first, at most ``n``."""
     out = df
     if pipe_col is not None and pipe is not None:
         out = out.filter(F.col(pipe_col) == pipe)
@@ -83,11 +88,7 @@ def load_history(df: DataFrame, name_col: str, time_col: str, since=None,
         out = out.filter(F.col(time_col) > F.lit(since))
     if rows_col is not None:
         out = out.filter(F.col(rows_col) > 0)
-    pats = list(patterns)
-    if pats:
-        cond = None
-        for p in pats:
-            c = F.col(name_col).like(p)
-            cond = c if cond is None else (cond | c)
-        out = out.filter(cond)
-    return out.orderBy(F.col(time_col).desc_nulls_first(), F.col(name_col).desc()).limit(n)
+    if patterns is not None:
+        out = out.filter(like_any(F.col(name_col), patterns))
+    out = out.orderBy(F.col(time_col).desc_nulls_first(), F.col(name_col).desc())
+    return out if n is None else out.limit(n)

@@ -36,6 +36,19 @@ def test_export_since_next_batch(spark):
     assert [r.v for r in out.collect()] == [4, 5, 6, 7]
 
 
+def test_export_since_keeps_rows_that_share_the_last_version(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 2), ("d", 2), ("e", 3), ("f", None)], "s string, v long")
+    seen, mark = [], None
+    while True:
+        batch = text.export_since(df, "v", mark, 2)
+        got = [r.s for r in batch.collect()]
+        if not got:
+            break
+        seen, mark = seen + sorted(got), text.next_mark(batch, "v").first()[0]
+    assert seen == ["a", "b", "c", "d", "e"]          # nothing twice, nothing lost; no version, no export
+    assert text.export_since(df.limit(0), "v", None, 2).count() == 0
+
+
 def test_export_as_text_keeps_version_type(spark):
     df = spark.createDataFrame([(2, 5, dt.date(2024, 1, 2))], "v long, n int, d date")
     out = text.export_as_text(df, "v", keep=["v"])
@@ -54,6 +67,8 @@ def test_load_history_like_any_and_newest(spark):
     assert [r.f for r in out.collect()] == ["d/en/z"]
     later = text.load_history(df, "f", "t", since=2, patterns=["%/en/%", "%.html"], n=5)
     assert [r.f for r in later.collect()] == ["d/en/z"]          # strictly after ``since``
+    assert text.load_history(df, "f", "t").count() == 4          # no cap by default
+    assert text.load_history(df, "f", "t", patterns=[]).count() == 0
 
 
 def test_describe_columns_and_empty_table(spark):
@@ -117,9 +132,22 @@ def test_next_mark(spark):
 
 
 def test_matches_any_keeps_underscore_wildcard(spark):
-    df = spark.createDataFrame([("SA_X",), ("SAyX",), ("sa_x",), ("other",)], "u string")
-    assert rows(lookup.matches_any(df, "u", ["sa_x"], case_insensitive=True)) == [("SA_X",), ("SAyX",), ("sa_x",)]
-    assert rows(lookup.matches_any(df, "u", ["SA_X"])) == [("SA_X",), ("SAyX",)]
+    df = spark.createDataFrame([("A_B",), ("AyB",), ("a_b",), ("other",)], "u string")
+    assert rows(lookup.matches_any(df, "u", ["a_b"], case_insensitive=True)) == [("A_B",), ("AyB",), ("a_b",)]
+    assert rows(lookup.matches_any(df, "u", ["A_B"])) == [("A_B",), ("AyB",)]
+    assert lookup.matches_any(df, "u", []).count() == 0           # LIKE ANY of nothing
+    assert lookup.distinct_types(df, "u", []).count() == 0
+
+
+def test_ids_from_text_splits_trims_and_deduplicates(spark):
+    df = spark.createDataFrame([("1, 2 ,,2",), (" 3",), (None,), ("",), ("a|b",)], "ids string")
+    assert rows(lookup.ids_from_text(df, "ids")) == [("1",), ("2",), ("3",), ("a|b",)]
+    assert rows(lookup.ids_from_text(df, "ids", "|")) == [("1, 2 ,,2",), ("3",), ("a",), ("b",)]
+
+
+def test_unique_keys_drops_repeats(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k long, s string")
+    assert rows(lookup.unique_keys(df, ["k"])) == [(1, "a"), (None, "d")]
 
 
 def test_count_blank_is_not_null_test(spark):
@@ -220,24 +248,39 @@ def test_in_keys_repeats_do_not_repeat_rows(spark):
     assert rows(lookup.rows_by_key(left, "k", keys)) == [(1, "a")]
 
 
+def test_not_in_is_lazy(spark):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    reconcile.not_in(spark.range(5).toDF("k"), spark.range(2).toDF("k"), "k")
+    assert len(jobs.getJobIdsForGroup("lazy")) == 0
+    spark.sparkContext.setJobGroup("", "")
+
+
 def test_missing_keys_report_trims_text_ids(spark):
     src = spark.createDataFrame([(" 1",), ("2 ",)], "id string")
     ev = spark.createDataFrame([(1,)], "id long")
     tab = spark.createDataFrame([(2,), (5,)], "id long")
-    out = reconcile.missing_keys_report(src, ev, tab, "id", "id", "id")
-    assert rows(out) == [("Missing From Events", 2), ("Missing From Records", 1),
-                         ("Records In Table Not In Source", 5)]
+    out = reconcile.missing_keys_report(src, ev, tab, "id", "id", "id", tags=("no event", "no row", "extra", "bad"))
+    assert rows(out) == [("extra", 5, None), ("no event", 2, None), ("no row", 1, None)]
 
 
-def test_missing_keys_report_casts_and_trims(spark):
-    src = spark.createDataFrame([("1",), ("2",), ("x",)], "id string")
-    ev = spark.createDataFrame([(1,)], "id long")
-    tab = spark.createDataFrame([(2,), (5,)], "id long")
-    out = reconcile.missing_keys_report(src, ev, tab, "id", "id", "id")
-    # "x" is not a number: NULL on the source side makes NOT IN against it empty
-    got = rows(out)
-    assert ("Missing From Events", 2) in got and ("Missing From Records", 1) in got
-    assert all(n != "Records In Table Not In Source" for n, _ in got)
+def test_missing_keys_report_names_unreadable_ids_and_still_compares(spark):
+    src = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    ev = spark.createDataFrame([("1",), ("oops",), ("oops",)], "id string")
+    tab = spark.createDataFrame([("2",), ("5",), ("x",)], "id string")
+    tags = ("no event", "no row", "extra", "bad")
+    got = rows(reconcile.missing_keys_report(src, ev, tab, "id", "id", "id", tags=tags))
+    assert got == [("bad", None, "oops"), ("bad", None, "x"), ("extra", 5, None), ("no event", 2, None),
+                   ("no event", 3, None), ("no row", 1, None), ("no row", 3, None)]
+    null = spark.createDataFrame([(None,)], "id long")    # a NULL of the data keeps NOT IN's meaning
+    got = rows(reconcile.missing_keys_report(src, null, tab, "id", "id", "id", tags=tags))
+    assert not [r for r in got if r[0] == "no event"] and ("no row", 1, None) in got
+
+
+def test_except_keys(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    b = spark.createDataFrame([(2,), (3,)], "k long")
+    assert rows(reconcile.except_keys(a, b, "k")) == [(1, "left only"), (3, "right only"), (None, "left only")]
 
 
 # --------------------------------------------------------------- merges
@@ -255,9 +298,10 @@ def _delta(spark):
 
 
 def test_merge_change_flags_every_case(spark):
-    out = merge.merge_change_flags(_target(spark), _delta(spark), ["k"], "flag")
-    assert rows(out) == [(2, "b2", 21), (3, "c", 30), (4, "d", 40), (5, "e", 50), (6, "f", 60),
-                         (None, "n", 0), (None, "z", 99)]
+    for broadcast in (None, True, False):
+        out = merge.merge_change_flags(_target(spark), _delta(spark), ["k"], "flag", broadcast=broadcast)
+        assert rows(out) == [(2, "b2", 21), (3, "c", 30), (4, "d", 40), (5, "e", 50), (6, "f", 60),
+                             (None, "n", 0), (None, "z", 99)]
 
 
 def test_merge_twice_equals_once(spark):
@@ -278,15 +322,17 @@ def test_merge_rejects_repeated_key(spark):
 def test_merge_composite_key_and_repeated_target_key(spark):
     t = spark.createDataFrame([(1, 1, "a"), (1, 1, "a'"), (1, 2, "b")], "p long, q long, s string")
     d = spark.createDataFrame([(1, 1, "u", "UPDATED"), (1, 3, "n", "NEW")], "p long, q long, s string, flag string")
-    out = merge.merge_change_flags(t, d, ["p", "q"], "flag", broadcast_rows=None)
-    assert rows(out) == [(1, 1, "u"), (1, 1, "u"), (1, 2, "b"), (1, 3, "n")]
+    for broadcast in (True, False):
+        out = merge.merge_change_flags(t, d, ["p", "q"], "flag", broadcast=broadcast)
+        assert rows(out) == [(1, 1, "u"), (1, 1, "u"), (1, 2, "b"), (1, 3, "n")]
 
 
 def test_upsert_refreshes_and_inserts(spark):
     t = spark.createDataFrame([("t1", ts(0), "x"), ("t2", ts(0), "y")], "name string, at timestamp_ntz, o string")
     r = spark.createDataFrame([("t2", ts(5), "ignored"), ("t3", ts(6), "z")], "name string, at timestamp_ntz, o string")
-    out = merge.upsert(t, r, ["name"], ["at"])
-    assert rows(out) == [("t1", ts(0), "x"), ("t2", ts(5), "y"), ("t3", ts(6), "z")]
+    for broadcast in (True, False):
+        out = merge.upsert(t, r, ["name"], ["at"], broadcast=broadcast)
+        assert rows(out) == [("t1", ts(0), "x"), ("t2", ts(5), "y"), ("t3", ts(6), "z")]
 
 
 def test_apply_cdc_and_as_of(spark):
@@ -301,6 +347,30 @@ def test_apply_cdc_and_as_of(spark):
     assert rows(applied) == rows(now)
 
 
+def test_apply_cdc_ignores_older_and_repeated_events(spark):
+    schema = "k long, id long, t timestamp_ntz, op string, v string"
+    target = spark.createDataFrame([(1, 9, ts(5), "UPSERT", "new"), (2, 8, ts(5), "UPSERT", "keep")], schema)
+    late = spark.createDataFrame([(1, 1, ts(1), "UPSERT", "old"), (2, 2, ts(2), "DELETE", None), (3, 3, ts(1), "UPSERT", "in")], schema)
+    for broadcast in (True, False):
+        out = merge.apply_cdc(target, late, ["k"], "op", "t", tie="id", broadcast=broadcast)
+        assert rows(out, "k", "v") == [(1, "new"), (2, "keep"), (3, "in")]
+        assert rows(merge.apply_cdc(out, late, ["k"], "op", "t", tie="id"), "k", "v") == rows(out, "k", "v")
+
+
+def test_apply_cdc_in_any_order_with_kept_deletes(spark):
+    import itertools
+    schema = "k long, t timestamp_ntz, op string, v string"
+    batches = [[(1, ts(1), "UPSERT", "a"), (2, ts(1), "UPSERT", "x")], [(1, ts(2), "DELETE", None)],
+               [(1, ts(0), "UPSERT", "older"), (2, ts(3), "UPSERT", "y")]]
+    for order in itertools.permutations(range(3)):
+        table = spark.createDataFrame([], "k long, t timestamp_ntz, op string, v string, gone boolean")
+        for i in (*order, order[0]):                              # one batch comes twice
+            events = spark.createDataFrame(batches[i], schema)
+            table = merge.apply_cdc(table, events, ["k"], "op", "t", cols=["t", "op", "v"], deleted_col="gone")
+        assert rows(table.filter("not gone"), "k", "v") == [(2, "y")], order
+        assert rows(table.filter("gone"), "k") == [(1,)]
+
+
 def test_apply_reversals_edge_rows(spark):
     from quillspark.operators import claims
     t = dt.datetime(2024, 1, 1)
@@ -324,13 +394,6 @@ def test_apply_tombstones(spark):
 
 # ------------------------------------------------------------- set ops
 
-def test_schema_diff_self_is_empty(spark):
-    df = spark.createDataFrame([(1, "a")], "k long, s string")
-    other = spark.createDataFrame([(1, 2)], "k long, z long")
-    assert reconcile.schema_diff(spark, df, df).count() == 0
-    assert rows(reconcile.schema_diff(spark, df, other, "a", "b")) == [("s", "ONLY_IN_OLD"), ("z", "ONLY_IN_NEW")]
-
-
 def test_reconcile_counts_case_and_one_sided(spark):
     a = spark.createDataFrame([("Orders", 3), ("x", 1)], "object_name string, row_count long")
     b = spark.createDataFrame([("ORDERS", 2), ("y", 5)], "object_name string, row_count long")

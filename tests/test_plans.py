@@ -35,3 +35,14 @@ def test_latest_per_key_is_a_partial_aggregate(spark):
 def test_volume_scans_once(spark):
     plan = _plan(E.queries()["volume_hour"](spark, SF_SMALL))
     assert plan.count("FileScan parquet") == 1 and "Generate explode" in plan
+
+
+def test_json_documents_are_parsed_once(spark):
+    for name in ("events_typed_since", "staged_json_events", "transmission_out_of_order"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert plan.count("parseJson(") == 1, plan
+
+
+def test_keyed_lookups_gather_no_rows_in_one_task(spark):
+    for name in ("merge_flags", "upsert", "tombstones"):
+        assert "SinglePartition" not in _plan(E.queries()[name](spark, SF_SMALL))
