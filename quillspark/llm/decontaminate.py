@@ -1,13 +1,14 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
 Test items are cut into windows of consecutive words.  The corpus frequency of
-every test term is counted; each window is represented by its rarest terms.  For
-those terms alone the index stores postings: document, position, and the words
-around it.  Offset-adjusted lists (position minus the term's place in the
-window) of a window's two rarest terms are intersected; what is left is compared
-word by word with the words stored in the posting, so a match is exact and the
-texts are not read again.  ``proximity`` finds windows whose terms all occur
-within a span of words, in any order, from the same kind of postings.
+every test term is counted; each window is looked up by its rarest term.  For
+those terms the index stores postings: document, position, and the terms at the
+positions around it.  A posting's position minus the term's place in a window is
+a start; the lists of the window's other terms are intersected there at their
+own offsets, rarest first, from the positions held in the posting, so that lists
+of common terms are neither stored whole nor moved.  What is left are exact
+phrase matches.  ``proximity`` finds windows whose terms all occur within a span
+of words, in any order, from the same kind of postings.
 
 All of it is DataFrame operations.  Tokens never cross the network: they are
 joined with the list of test terms where they are read (a broadcast whose bytes
@@ -17,7 +18,7 @@ postings of the rarest terms are a small share of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import ascii_lower, checked_broadcast, fits, free_name, staged
@@ -54,8 +55,9 @@ def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size
     return rows.groupBy("window").agg(F.first("terms").alias("terms")), rows.select("window", "item_id").distinct()
 
 
-def rarest(found: DataFrame, docs: DataFrame, text: str, lists: int) -> DataFrame:
-    """``(window, term, at, list)``: each window's ``lists`` rarest places, rarest first.
+def rarest(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``(window, term, at, others)``: each window's rarest term and its place, and the
+    other places with their terms, rarest first.
 
     Frequencies are counted over all tokens of all documents; a term that the
     corpus lacks counts zero, so its window has no postings at all.
@@ -65,9 +67,12 @@ def rarest(found: DataFrame, docs: DataFrame, text: str, lists: int) -> DataFram
     tokens = docs.select(F.explode(words(F.col(f"`{text}`"))).alias("term"))
     seen = tokens.join(checked_broadcast(vocabulary), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     seen = staged(vocabulary.join(seen, "term", "left").select("term", F.coalesce("df", F.lit(0)).alias("df")), "term-frequencies")
-    first = Window.partitionBy("window").orderBy("df", "term", "at")
-    return (places.join(checked_broadcast(seen), "term").withColumn("list", F.row_number().over(first))
-            .where(F.col("list") <= lists).select("window", "term", "at", "list"))
+    ranked = F.array_sort(F.collect_list(F.struct("df", "at", "term")))
+    ranked = (places.join(checked_broadcast(seen), "term").groupBy("window").agg(ranked.alias("r"))
+              .select("window", F.col("r")[0]["term"].alias("term"), F.col("r")[0]["at"].alias("at"),
+                      F.transform(F.slice("r", 2, F.size("r")), lambda p: F.struct(p["at"].alias("at"), p["term"].alias("term")))
+                      .alias("others")))
+    return ranked
 
 
 def _postings(docs: DataFrame, text: str, anchors: DataFrame, around: int) -> DataFrame:
@@ -99,19 +104,15 @@ def phrases(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     docs = _keyed(docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), doc_id, text)
     found, owners = windows(items, item_id, item_text, size)
     found = staged(found, "distinct-windows")
-    anchors = staged(rarest(found, docs, text, 2), "anchors")
-    posts = _postings(docs, text, anchors, size - 1)
-    starts = posts.join(anchors, "term").select("doc", "window", "list", (F.col("pos") - F.col("at")).alias("start"), "pos", "near")
-    first = starts.where("list = 1")
-    second = starts.where("list = 2").select("doc", "window", "start")
-    alone = found.where("size(terms) = 1").select("window")
-    both = (first.join(second, ["doc", "window", "start"], "left_semi")
-            .unionByName(first.join(alone, "window", "left_semi").select(first.columns)))
-    # `near` begins at word max(0, pos - (size - 1)) of the document.
-    offset = F.col("start") - F.greatest(F.col("pos") - (size - 1), F.lit(0))
-    same = F.slice("near", F.greatest(offset + 1, F.lit(1)), F.size("terms")) == F.col("terms")
-    return (both.join(checked_broadcast(found), "window").where((F.col("start") >= 0) & same)
-            .select("doc", "window", "start", F.size("terms").alias("length")), owners)
+    anchors = staged(rarest(found, docs, text), "anchors")
+    around = size - 1
+    posts = _postings(docs, text, anchors, around)
+    # `near` begins at word max(0, pos - around) of the document.
+    first = F.greatest(F.col("pos") - around, F.lit(0))
+    start = F.col("pos") - F.col("at")
+    met = F.forall("others", lambda o: F.coalesce(F.get("near", start - first + o["at"]) == o["term"], F.lit(False)))
+    return (posts.join(checked_broadcast(anchors), "term").where((start >= 0) & met)
+            .select("doc", "window", start.alias("start"), (F.size("others") + 1).alias("length")), owners)
 
 
 def proximity(docs: DataFrame, items: DataFrame, span: int, doc_id: str = "doc_id", text: str = "text",
@@ -122,7 +123,7 @@ def proximity(docs: DataFrame, items: DataFrame, span: int, doc_id: str = "doc_i
     docs = _keyed(docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), doc_id, text)
     found, owners = windows(items, item_id, item_text, size)
     found = staged(found, "distinct-windows")
-    anchors = staged(rarest(found, docs, text, 1), "anchors")
+    anchors = staged(rarest(found, docs, text), "anchors")
     posts = _postings(docs, text, anchors, span - 1)
     near = F.col("near")
     begin = F.greatest(F.col("pos") - (span - 1), F.lit(0))  # the first word of `near`
