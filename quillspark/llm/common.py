@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quillspark.session import work_path
+from quillspark.session import BROADCAST_MAX_BYTES, work_path
+from quillspark.session import fits_broadcast as fits
 
 #: Whitespace-separated words: runs of anything but these six characters.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -33,41 +31,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _bytes(c: Column, t: T.DataType) -> Column:
-    if isinstance(t, (T.StringType, T.BinaryType)):
-        return 16 + F.coalesce(F.octet_length(c), F.lit(0))
-    if isinstance(t, T.StructType):
-        out: Column = F.lit(16)
-        for f in t.fields:
-            out = out + _bytes(c[f.name], f.dataType)
-        return out
-    if isinstance(t, T.ArrayType):
-        if isinstance(t.elementType, (T.StringType, T.BinaryType)):
-            return 16 + 24 * F.coalesce(F.size(c), F.lit(0)) + F.coalesce(F.octet_length(F.array_join(c, "")), F.lit(0))
-        return 16 + 32 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
-    if isinstance(t, T.MapType):
-        return 16 + 64 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
-    return F.lit(16)
-
-
-def width(df: DataFrame) -> Column:
-    """Bytes of a row, real lengths of strings included."""
-    out: Column = F.lit(16)
-    for f in df.schema.fields:
-        out = out + _bytes(F.col(f"`{f.name}`"), f.dataType)
-    return out
-
-
-#: Broadcast at most so many bytes, measured, whatever the planner's own limit.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def fits(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a staged table's measured bytes are within ``limit``."""
-    return (table.agg(F.sum(width(table).cast("long")).alias("b")).first()["b"] or 0) <= limit
-
-
-def checked_broadcast(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def checked_broadcast(table: DataFrame, limit: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark a staged table for broadcast if it fits.
 
     Beyond the limit the table comes back as it is and Spark plans a shuffle
@@ -82,14 +46,6 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(slow)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores put before it until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
