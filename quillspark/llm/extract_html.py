@@ -21,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,7 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: A class is large with so many tokens, frequent on so many pages and this share of the host's.
 CLASS_SIZE, CLASS_PAGES, CLASS_SHARE = 2, 3, 0.5
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+#: An attribute list ends before the next tag, so markup that never closes costs linear time.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 LETTERS = re.compile("[a-z]+")
 
@@ -69,9 +71,11 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, bool]]:
     ``kind`` is ``tag`` (a structural element opens; no text) or the element
     that holds the text: ``article``, ``main`` or ``body``.  ``dropped`` says
     that an enclosing element is boilerplate.  Text of a block has its character
-    references decoded and white space made single spaces.
+    references decoded and white space made single spaces.  ``path`` is a digest
+    of the open elements, so markup that nests without end stays small.
     """
     stack: list[tuple[str, str, bool, str]] = []  # name, path, boilerplate, holder
+    opened: Counter[str] = Counter()
     at, held = 0, []
 
     def flush():
@@ -94,11 +98,11 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, bool]]:
             continue
         yield from flush()
         if closing:
-            if name in STRUCTURE:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        del stack[i:]
-                        break
+            while opened[name]:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == name:
+                    break
             continue
         if name in RAW:
             end = re.compile(f"</{name}\\b[^>]*>", re.I).search(page, at)
@@ -107,13 +111,16 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if name in STRUCTURE and not m.group(3).endswith("/"):
             _, path, dropped, holder = stack[-1] if stack else ("", "", False, "body")
             marks = _marks(m.group(3)) if "=" in m.group(3) else []
-            path = f"{path}/{name}" + ("." + ".".join(marks) if marks else "")
+            # The header of an article holds its title.
+            marked = BOILERPLATE_WORDS if holder == "body" else BOILERPLATE_WORDS - {"header"}
+            path = f"{_digest(path, name, *marks):x}"
             if name == "body" or name == "html":
                 dropped = False
-            elif name in BOILERPLATE_TAGS or (name == "header" and holder == "body") or not BOILERPLATE_WORDS.isdisjoint(marks):
+            elif name in BOILERPLATE_TAGS or not marked.isdisjoint([name, *marks]):
                 dropped = True
             holder = name if name in MAIN else "main" if "main" in marks and holder == "body" else holder
             stack.append((name, path, dropped, holder))
+            opened[name] += 1
             yield "tag", path, "", dropped
     yield from flush()
 

@@ -178,13 +178,16 @@ def test_html_edges(spark):
         6: (page("<div id='cookie-notice'>n</div><main><p>m</p></main>"), "m"),
         7: ("<!-- <p>no</p> --><p>yes</p><!-- open", "yes"), 8: ("<p>a < b</p><p title='x>y'>c</p>", "a < b c"),
         9: ("<style>p{}</style><article>" + "w " * 200000 + "</article>", " ".join(["w"] * 200000)),
+        11: (page("<article><header class='entry-header'><h1>T</h1></header><p>t</p><footer>f</footer></article>", "y"), "T t"),
+        12: ("<a " * 30000, " ".join(["<a"] * 30000)), 13: ("<a \"" * 5000 + ">x", None),
+        14: ("<div>" * 30000 + "deep" + "</p></nav>" * 30000, "deep"),
         10: (page("<article class='comment'>c</article><article>real</article>"), "real"),
     }
     schema = "page_id long, url string, html string, host string, template int"
     df = spark.createDataFrame([(k, f"http://h{k}.org/", v[0], "clash", 1) for k, v in cases.items()], schema)
     got = extract_html.extract(df)
     assert got.columns == [*df.columns, "text"]
-    assert {r["page_id"]: r["text"] for r in got.collect()} == {k: v[1] for k, v in cases.items()}
+    assert {r["page_id"]: r["text"] for r in got.collect() if r["page_id"] != 13} == {k: v[1] for k, v in cases.items() if k != 13}
     null = df.withColumn("url", F.lit(None).cast("string"))
     assert extract_html.extract(null).count() == len(cases) and extract_html.extract(df.limit(0)).count() == 0
 
