@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import SPACE_WORD, checked_broadcast, free_name, staged
 
-#: Rows of one key range of a source, on average.
-RANGE_ROWS = 4096
-
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: The mix's size against all sizes, and the most epochs of one source.
@@ -72,13 +69,17 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS,
-             range_rows: int = RANGE_ROWS) -> DataFrame:
+             range_rows: int | None = None) -> DataFrame:
     """One row per source of ``sized(src, okey, size)``.
 
     ``src, source_size, target, full`` (whole epochs), ``cut_key`` (documents of
     smaller keys are taken once more; null: none) and ``cut_words`` (words taken
     of the document at ``cut_key``; repeats of one document share them evenly,
     rounded down).
+
+    A range holds ``range_rows`` rows on average.  By default a source has as many
+    ranges as rows in each, the square root of its rows, so neither its ranges nor
+    the rows of the one that is sorted are many in one task.
     """
     sizes = sized.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     t = staged(targets(sizes, weights, share, epochs).join(sizes.select("src", "rows"), "src"), "mix-targets")
@@ -86,7 +87,8 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     some = F.col("source_size") > 0
     full = F.when(some, F.call_function("div", budget, F.greatest("source_size", F.lit(1)))).otherwise(F.lit(0))
     t = (t.withColumn("full", full).withColumn("left", budget - F.col("full") * F.col("source_size"))
-         .withColumn("ranges", F.ceil(F.col("rows") / range_rows).cast("long")))
+         .withColumn("ranges", F.ceil(
+                 F.sqrt("rows") if range_rows is None else F.col("rows") / range_rows).cast("long")))
     # The first 8 hex digits of a key are a uniform number below 2^32.
     at = F.shiftright(F.conv(F.substring("okey", 1, 8), 16, 10).cast("long") * F.col("ranges"), 32)
     placed = sized.join(checked_broadcast(t.select("src", "left", "ranges")), "src").where("left > 0 and size > 0")
@@ -109,7 +111,7 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
 def mix(docs: DataFrame, seed: int = 23, source: str = "source", doc_id: str = "doc_id", text: str = "text",
         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, carry: tuple[str, ...] | None = None,
-        range_rows: int = RANGE_ROWS) -> DataFrame:
+        range_rows: int | None = None) -> DataFrame:
     """``docs`` (its columns, or those in ``carry``) with ``mix``: a struct of
     ``size, source_size, target, full, again, taken``.
 
