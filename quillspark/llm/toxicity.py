@@ -27,9 +27,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TRAIN_ROWS = 20000
 #: Of them, one part in so many calibrates.
 CALIBRATION = 4
-#: Learned words: at most so many, each in so many toxic rows, so far apart (z score).
-LEXICON_SIZE, LEXICON_ROWS, LEXICON_Z = 200, 5, 5.0
+#: Learned words: at most so many, each after so many different words in toxic rows
+#: (and so many per toxic row), with log odds so far above the others' (also in standard errors).
+LEXICON_SIZE, LEXICON_CONTEXTS, LEXICON_SHARE, LEXICON_ODDS, LEXICON_Z = 200, 5, 0.03, 1.0, 5.0
 TREES, DEPTH, STEP = 20, 3, 0.3
+#: A leaf holds at least one part in so many of the rows: no leaf for a few copies.
+LEAF_SHARE = 200
 #: Words on either side in which a second-person word counts as near.
 NEAR = 3
 
@@ -86,20 +89,32 @@ class Model:
     curve: object = field(default=None)
 
 
-def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICON_ROWS, z: float = LEXICON_Z) -> dict[str, float]:
-    """Word -> weight, from ``rows(text, label)``: words of toxic rows whose log odds lie ``z``
-    standard errors above those of the other rows.  At most ``size`` rows reach the driver."""
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    by_word = (rows.select("label", F.explode(words).alias("word")).where("word <> ''").groupBy("word")
-               .agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("a") >= least))
-    total = rows.agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("n")).first()
-    pos, neg = total["a"] or 0, total["n"] - (total["a"] or 0)
-    a, b = F.col("a") + 0.5, F.col("n") - F.col("a") + 0.5
-    odds = F.log(a / (pos + 1 - a + 0.5)) - F.log(b / (neg + 1 - b + 0.5))
-    error = F.sqrt(1 / a + 1 / b + 1 / (pos + 1.5 - a) + 1 / (neg + 1.5 - b))
-    best = (by_word.select("word", odds.alias("w"), (odds / error).alias("z")).where(F.col("z") >= z)
-            .orderBy(F.desc("z"), "word").limit(size).collect())
-    out = {w: 2.0 for w in SEED_LEXICON}
+def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICON_CONTEXTS, share: float = LEXICON_SHARE,
+                  least_odds: float = LEXICON_ODDS, z: float = LEXICON_Z) -> dict[str, float]:
+    """Word -> weight, from ``rows(text, label)``.
+
+    A word's evidence is the number of different words that it follows in toxic
+    rows and in others, not the number of rows: copies of one toxic text, however
+    many, show its words in the same few places.  Words enter whose log odds lie
+    ``least_odds`` and ``z`` standard errors above the others' and that follow enough words in toxic
+    rows (``least``, and ``share`` of the number of toxic rows).  At most ``size``
+    of them reach the driver.
+    """
+    w = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: x != "")
+    pairs = F.array_distinct(F.transform("w", lambda x, i: F.struct(x.alias("word"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("prev"))))
+    seen = (rows.select("label", w.alias("w")).select("label", F.explode(pairs).alias("p")).groupBy("p.word", "p.prev")
+            .agg(F.max("label").alias("a"), F.max(1 - F.col("label")).alias("b"))
+            .groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    seen = staged(seen, "toxic-words")
+    toxic = rows.agg(F.sum("label")).first()[0] or 0
+    total = seen.agg(F.sum("a"), F.sum("b")).first()
+    pos, neg = total[0] or 0, total[1] or 0
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    odds = F.log(a / (pos + 1 - a)) - F.log(b / (neg + 1 - b))
+    error = F.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b))
+    best = (seen.where(F.col("a") >= max(least, share * toxic)).select("word", odds.alias("w"), (odds / error).alias("z"))
+            .where((F.col("w") >= least_odds) & (F.col("z") >= z)).orderBy(F.desc("z"), "word").limit(size).collect())
+    out = {k: 2.0 for k in SEED_LEXICON}
     out.update({r["word"]: float(r["w"]) for r in best})
     return out
 
@@ -135,7 +150,8 @@ def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     fit = data.where("not held")
     if fit.select("label").distinct().count() < 2:
         return Model(lexicon, rate)
-    model = GBTClassifier(featuresCol="f", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed).fit(fit)
+    model = GBTClassifier(featuresCol="f", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed,
+                          minInstancesPerNode=max(1, n // LEAF_SHARE)).fit(fit)
     held = _raw(model, data.where("held"))
     curve = IsotonicRegression(featuresCol="p", labelCol="label").fit(held) if held.select("label").distinct().count() == 2 else None
     return Model(lexicon, rate, model, curve)
