@@ -101,7 +101,7 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICO
     of them reach the driver.
     """
     w = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: x != "")
-    pairs = F.array_distinct(F.transform("w", lambda x, i: F.struct(x.alias("word"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("prev"))))
+    pairs = F.transform("w", lambda x, i: F.struct(x.alias("word"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("prev")))
     seen = (rows.select("label", w.alias("w")).select("label", F.explode(pairs).alias("p")).groupBy("p.word", "p.prev")
             .agg(F.max("label").alias("a"), F.max(1 - F.col("label")).alias("b"))
             .groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
