@@ -1,19 +1,21 @@
 """Main text of web pages by equivalence-class template deduction.
 
 A page is a sequence of tokens: its structural tags with their path, and its
-text blocks with theirs.  Over the pages of one host, tokens with the same
-occurrence vector (how often on which page) form an equivalence class; classes
-that are large and frequent, and ordered on a page, are that host's template.
-Template tags nest the slots of a page; template text outside the article is
-boilerplate.  Text in the remaining slots is the page's content, without those
-slots whose enclosing tags say they are menus, adverts, forms and the like.
+text blocks with theirs, inside an article as outside.  Over the pages of one
+host, and over those of one layout (the same set of tag paths) on a host, tokens
+with the same occurrence vector (how often on which page) form an equivalence
+class; classes that are large and frequent, and ordered on a page, are the
+template of that host or layout.  Template tags nest the slots of a page;
+template text is boilerplate.  Text in the remaining slots is the page's
+content, without those slots whose enclosing tags say they are menus, adverts,
+forms and the like; among slots that are left, an article's come first.
 Method: Arasu and Garcia-Molina, "Extracting Structured Data from Web Pages",
 SIGMOD 2003.
 
 Occurrence vectors are compared by a commutative digest, summed per (host,
-token) with a partial sum before the shuffle, over all pages: a host with a
-third of the pages costs no single task.  What is left per host is its
-template, a few tokens, joined back to the pages.
+layout, token) with a partial sum before the shuffle, over all pages: a host
+with a third of the pages costs no single task.  What is left per host and
+layout is its template, a few tokens, joined back to the pages.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: A class is large with so many tokens, frequent on so many pages and this share of the host's.
 CLASS_SIZE, CLASS_PAGES, CLASS_SHARE = 2, 3, 0.5
+#: Tokens that a task hands over at a time, about.
+TOKEN_ROWS = 1 << 16
 
 #: An attribute list ends before the next tag, so markup that never closes costs linear time.
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>", re.S)
@@ -131,73 +136,124 @@ def _digest(*parts: str) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
-def tokens(page: str | None) -> dict[int, tuple[int, int]]:
-    """Token -> (occurrences, first place) of a page; text inside an article is content, not a token."""
+def tokens(page: str | None) -> tuple[int, dict[int, tuple[int, int]]]:
+    """Layout of a page (a digest of its set of tag paths), and token -> (occurrences, first place)."""
     out: dict[int, tuple[int, int]] = {}
+    paths = set()
     for i, (kind, path, text, _) in enumerate(blocks(page or "")):
-        if kind in ("tag", "body"):
-            t = _digest(kind, path, text)
-            n, first = out.get(t, (0, i))
-            out[t] = n + 1, first
+        if kind == "tag":
+            paths.add(path)
+        t = _digest(kind, path, text)
+        n, first = out.get(t, (0, i))
+        out[t] = n + 1, first
+    return _digest(*sorted(paths)), out
+
+
+def _in_order(orders: list[tuple[int, int]]) -> set[int]:
+    """Places of a longest run of ``(place, order)`` whose orders never fall."""
+    tails: list[int] = []
+    ends: list[int] = []
+    before = []
+    for i, (_, order) in enumerate(orders):
+        at = bisect_right(tails, order)
+        before.append(ends[at - 1] if at else -1)
+        tails[at:at + 1], ends[at:at + 1] = [order], [i]
+    out, i = set(), ends[-1] if ends else -1
+    while i >= 0:
+        out.add(orders[i][0])
+        i = before[i]
     return out
 
 
-def main_text(page: str | None, template: dict[int, int]) -> str:
-    """Content of a page, given its host's template (token -> order).
+def main_text(page: str | None, *templates: dict[int, int]) -> str:
+    """Content of a page, given its host's and its layout's template (token -> order).
 
-    The article is the content if there is one, else the main element, else all
-    of the body that is neither marked as boilerplate nor template text.  A
-    template text counts as such only where the page keeps the template's order.
+    Content is the text that is neither marked as boilerplate nor template text;
+    a template text counts as such only where the page keeps the template's
+    order.  Of what is left an article's text comes first, then the main
+    element's, then the body's.  An article whose blocks and letters are mostly
+    template text is one that the host repeats, and stays whole, unless all of
+    it is repeated and more text is left elsewhere.  A page without any other
+    text than the template's is a copy and keeps it.
     """
     seen = list(blocks(page or ""))
-    holders = {kind for kind, _, _, dropped in seen if not dropped}
-    holder = next((h for h in MAIN if h in holders), "body")
-    out, last = [], -1
-    for kind, path, text, dropped in seen:
-        if kind in ("tag", "body") and template:
-            order = template.get(_digest(kind, path, text))
-            if order is not None and order >= last:
-                last = order
-                if kind == "body" and holder == "body":
-                    continue
-        if kind == holder and not dropped:
-            out.append(text)
-    return " ".join(out)
+    fixed: set[int] = set()
+    for template in templates:
+        if template:
+            ids = ((i, template.get(_digest(kind, path, text))) for i, (kind, path, text, _) in enumerate(seen))
+            fixed |= _in_order([(i, order) for i, order in ids if order is not None])
+    slots: dict[str, list[str]] = {}
+    whole: dict[str, list[str]] = {}
+    for i, (kind, _, text, dropped) in enumerate(seen):
+        if kind != "tag" and not dropped:
+            whole.setdefault(kind, []).append(text)
+            if i not in fixed:
+                slots.setdefault(kind, []).append(text)
+    letters = lambda texts: sum(map(len, texts))
+    for holder in MAIN:
+        left, every = slots.get(holder, []), whole.get(holder, [])
+        if left and (2 * len(left) >= len(every) or 2 * letters(left) >= letters(every)):
+            return " ".join(left)
+        if left:
+            return " ".join(every)
+    rest = slots.get("body", [])
+    repeated = next((whole[h] for h in MAIN if h in whole), [])
+    if not rest:
+        return " ".join(repeated or whole.get("body", []))
+    return " ".join(repeated if letters(repeated) >= letters(rest) else rest)
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]+)", 1), F.lit("")))
 
 
+#: Stands for the page itself among its tokens: its rows count the pages of a layout.
+PAGE = 0
+
+
+def _deduced(by_token: DataFrame, group: list[str], size: int, least: int, share: float) -> DataFrame:
+    """``group`` and ``template``: the ordered tokens of each group's large and frequent classes."""
+    tokens_of = by_token.where(F.col("token") != PAGE).groupBy(*group, "token").agg(
+        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), (F.sum("places") / F.sum("pages")).alias("place"))
+    pages_of = by_token.where(F.col("token") == PAGE).groupBy(*group).agg(F.sum("pages").alias("of"))
+    frequent = tokens_of.where(F.col("pages") >= least).join(pages_of, group).where(F.col("pages") >= share * F.col("of"))
+    classes = frequent.groupBy(*group, "pages", "vector").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") >= size)
+    kept = frequent.join(classes, [*group, "pages", "vector"], "left_semi")
+    # A template is short: each of its tokens is on at least `share` of the pages.
+    order = Window.partitionBy(*group).orderBy("place", "token")
+    return (kept.select(*group, "token", F.row_number().over(order).alias("at")).groupBy(*group)
+            .agg(F.map_from_entries(F.collect_list(F.struct("token", "at"))).alias("template")))
+
+
 def templates(pages: DataFrame, url: str = "url", page: str = "html", size: int = CLASS_SIZE, least: int = CLASS_PAGES,
-              share: float = CLASS_SHARE) -> DataFrame:
-    """``(host, template)``: the ordered tokens of each host's large and frequent classes.
+              share: float = CLASS_SHARE) -> tuple[DataFrame, DataFrame]:
+    """``(host, template)`` and ``(host, layout, template)``: the ordered tokens of the large and frequent classes.
 
     The occurrence digest of a token is a sum of hashes of (page, occurrences);
     pages of equal markup get different hashes by their row.
     """
+    names = ["host", "layout", "token", "vector", "first"]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [(h, t, _digest(str(k), str(n)), n, first) for h, k, p in zip(frame["host"], frame["k"], frame["page"])
-                    for t, (n, first) in tokens(p).items()]
+            rows: list[tuple] = []
+            for h, k, p in zip(frame["host"], frame["k"], frame["page"]):
+                layout, found = tokens(p)
+                rows.append((h, layout, PAGE, 0, 0))
+                rows += [(h, layout, t, _digest(str(k), str(n)), first) for t, (n, first) in found.items()]
+                if len(rows) >= TOKEN_ROWS:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=["host", "token", "vector", "n", "first"])
+                yield pd.DataFrame(rows, columns=names)
     bounded_batches(pages.sparkSession)
     html = F.col(f"`{page}`")
     rows = pages.select(host_of(F.col(f"`{url}`")).alias("host"), html.alias("page"),
                         F.xxhash64(F.col(f"`{url}`"), html, F.monotonically_increasing_id()).alias("k")).where("page is not null")
-    seen = rows.mapInPandas(run, "host string, token long, vector long, n long, first long")
-    by_token = seen.groupBy("host", "token").agg(F.count(F.lit(1)).alias("pages"), F.bit_xor("vector").alias("vector"),
-                                                 F.avg("first").alias("place"))
-    by_token = staged(by_token, "page-tokens")
-    pages_of = rows.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    frequent = (by_token.where(F.col("pages") >= least).join(pages_of, "host").where(F.col("pages") >= share * F.col("of")))
-    classes = frequent.groupBy("host", "pages", "vector").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") >= size)
-    kept = frequent.join(classes, ["host", "pages", "vector"], "left_semi")
-    # A host's template is short: each of its tokens is on at least `share` of the pages.
-    order = Window.partitionBy("host").orderBy("place", "token")
-    return (kept.select("host", "token", F.row_number().over(order).alias("at")).groupBy("host")
-            .agg(F.map_from_entries(F.collect_list(F.struct("token", "at"))).alias("template")))
+    seen = rows.mapInPandas(run, "host string, layout long, token long, vector long, first long")
+    by_token = staged(seen.groupBy("host", "layout", "token").agg(
+        F.count(F.lit(1)).alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("first").alias("places")), "page-tokens")
+    return tuple(_deduced(by_token, group, size, least, share) for group in (["host"], ["host", "layout"]))
 
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html", out: str = "text", size: int = CLASS_SIZE,
@@ -207,13 +263,21 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", out: str = "
     A null or empty page has an empty text; a null url is one host; hosts of
     few pages have no template and go by their markup alone.
     """
-    found = staged(templates(pages, url, page, size, least, share), "page-templates")
+    of_host, of_layout = templates(pages, url, page, size, least, share)
+    of_host, of_layout = staged(of_host, "host-templates"), staged(of_layout, "layout-templates")
+
+    @F.pandas_udf("long")
+    def layout_of(html: pd.Series) -> pd.Series:
+        return pd.Series([tokens(h)[0] for h in html], dtype="int64")
 
     @F.pandas_udf("string")
-    def text(html: pd.Series, template: pd.Series) -> pd.Series:
-        return pd.Series([main_text(h, dict(t) if t is not None else {}) for h, t in zip(html, template)])
+    def text(html: pd.Series, first: pd.Series, second: pd.Series) -> pd.Series:
+        return pd.Series([main_text(h, *(dict(t) for t in both if t is not None)) for h, *both in zip(html, first, second)])
     bounded_batches(pages.sparkSession)
-    host, t = free_name(pages, "_host"), free_name(pages, "_template")
-    found = found.select(F.col("host").alias(host), F.col("template").alias(t))
-    return (pages.withColumn(host, host_of(F.col(f"`{url}`"))).join(checked_broadcast(found), host, "left")
-            .select(*[F.col(f"`{c}`") for c in pages.columns if c != out], text(F.col(f"`{page}`"), F.col(t)).alias(out)))
+    host, layout, t, u = (free_name(pages, n) for n in ("_host", "_layout", "_template", "_layout_template"))
+    of_host = of_host.select(F.col("host").alias(host), F.col("template").alias(t))
+    of_layout = of_layout.select(F.col("host").alias(host), F.col("layout").alias(layout), F.col("template").alias(u))
+    rows = pages.withColumn(host, host_of(F.col(f"`{url}`"))).withColumn(layout, layout_of(F.col(f"`{page}`")))
+    rows = rows.join(checked_broadcast(of_host), host, "left").join(checked_broadcast(of_layout), [host, layout], "left")
+    return rows.select(*[F.col(f"`{c}`") for c in pages.columns if c != out],
+                       text(F.col(f"`{page}`"), F.col(t), F.col(u)).alias(out))

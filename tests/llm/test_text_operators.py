@@ -207,6 +207,18 @@ def test_html_repeated_articles_are_content_even_if_equal(spark):
     assert len(got) == 8 and {r["text"] for r in got} == {"same story"}
 
 
+def test_html_template_text_inside_articles_and_per_layout(spark):
+    story = "<article><h1>title {0}</h1><p>story number {0}</p><p>told at length {0}</p><div><p>Share this story</p></div></article>"
+    item = "<section><table><tr><td>item {0}</td></tr></table><div><p>Call us today</p></div></section>"
+    rows = [(i, "http://h.org/a", page(story.format(i))) for i in range(9)]
+    rows += [(20 + i, "http://h.org/b", page(item.format(i))) for i in range(4)]  # a layout of a minority of the host's pages
+    rows += [(40 + i, "http://near.org/", page(f"<article><h1>T</h1><p>one</p><p>two and more</p><p>{i}</p></article>")) for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in extract_html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"title {i} story number {i} told at length {i}" for i in range(9))
+    assert all(got[20 + i] == f"item {i}" for i in range(4))
+    assert all(got[40 + i] == f"T one two and more {i}" for i in range(5))  # near copies stay whole
+
+
 # --- chat -------------------------------------------------------------------------------
 
 MESSAGE = f"conv_id long, turn long, role string, content array<{chat.PART}>"
