@@ -45,6 +45,8 @@ TOKEN_ROWS = 1 << 16
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 LETTERS = re.compile("[a-z]+")
+CAMEL = re.compile("(?<=[a-z])(?=[A-Z])")
+PARTS = re.compile("[-_:]+")
 
 RAW = frozenset(("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp"))
 #: Elements whose nesting matters; others open and close without a place on the path.
@@ -62,24 +64,54 @@ BOILERPLATE_WORDS = frozenset((
     "consent", "contentinfo", "cookie", "cookies", "copyright", "disclaimer", "disqus", "footer", "header", "login", "masthead", "menu",
     "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification", "pager", "pagination", "popup", "promo", "promoted",
     "recommended", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor",
-    "sponsored", "subscribe", "toolbar", "widget"))
+    "sponsored", "subscribe", "toolbar", "widget",
+    "adbox", "adsense", "adslot", "adunit", "commentlist", "commentslist", "cookiebanner", "cookiebar", "loginform", "searchbar", "searchbox",
+    "searchform", "sharebar", "sidenav", "subnav", "topnav"))
+#: What may stand beside such a word in a compound without changing what the element is;
+#: "with-sidebar", "has-comments", "menu-open" or "search-results" name no boilerplate.
+NEUTRAL_PARTS = frozenset((
+    "site", "page", "global", "main", "primary", "secondary", "top", "bottom", "left", "right", "post", "article", "entry", "blog", "google",
+    "list", "area", "box", "bar", "button", "buttons", "link", "links", "block", "section", "wrapper", "wrap", "container", "slot", "unit",
+    "form", "icons", "item", "items", "text", "message", "policy", "posts", "articles"))
 MAIN = ("article", "main")
+MAIN_MARKS = frozenset(("main", "main-content", "maincontent"))
+#: Marks of a block: shown, inside an article or main element that a word alone marks (or that stands in such
+#: an element), boilerplate.
+SHOWN, DOUBTED, DROPPED = 0, 1, 2
 
 
 def _marks(attributes: str) -> list[str]:
     return LETTERS.findall(" ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)).lower())
 
 
-def blocks(page: str) -> Iterator[tuple[str, str, str, bool]]:
-    """``(kind, path, text, dropped)`` of a page in order.
+def _names(attributes: str) -> list[str]:
+    """Whole class names, ids and roles in lower case, camel case parted by hyphens."""
+    raw = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes))
+    return CAMEL.sub("-", raw).lower().split()
+
+
+def _is_boilerplate(name: str, words: frozenset[str]) -> bool:
+    """A listed word, alone or in a compound of listed words, neutral parts and numbers."""
+    if name in words:
+        return True
+    parts = [x for x in PARTS.split(name) if x and not x.isdigit()]
+    return not words.isdisjoint(parts) and all(x in BOILERPLATE_WORDS or x in NEUTRAL_PARTS for x in parts)
+
+
+def blocks(page: str) -> Iterator[tuple[str, str, str, int]]:
+    """``(kind, path, text, mark)`` of a page in order.
 
     ``kind`` is ``tag`` (a structural element opens; no text) or the element
-    that holds the text: ``article``, ``main`` or ``body``.  ``dropped`` says
-    that an enclosing element is boilerplate.  Text of a block has its character
-    references decoded and white space made single spaces.  ``path`` is a digest
-    of the open elements, so markup that nests without end stays small.
+    that holds the text: ``article``, ``main`` or ``body``.  ``mark`` is
+    ``DROPPED`` if an enclosing element is boilerplate, by its name or by a word
+    in its class, id or role, and ``DOUBTED`` if only words say so and they
+    stand at the holding article or main element or above it.  Text of a block
+    has its character references decoded and white space made single spaces.
+    ``path`` is a digest of the open elements, so markup that nests without end
+    stays small.
     """
-    stack: list[tuple[str, str, bool, str]] = []  # name, path, boilerplate, holder
+    # Name, path, boilerplate by name, holder of the last element that a word marks, holder.
+    stack: list[tuple[str, str, bool, str, str]] = []
     opened: Counter[str] = Counter()
     at, held = 0, []
 
@@ -87,8 +119,11 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, bool]]:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            _, path, dropped, holder = stack[-1] if stack else ("", "", False, "body")
-            yield holder, path, text, dropped
+            _, path, dropped, worded, holder = stack[-1] if stack else ("", "", False, "", "body")
+            yield holder, path, text, mark(dropped, worded, holder)
+
+    def mark(dropped, worded, holder):
+        return DROPPED if dropped or worded == holder else DOUBTED if worded else SHOWN
 
     while at < len(page):
         m = TAG.search(page, at)
@@ -114,19 +149,21 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, bool]]:
             at = end.end() if end else len(page)
             continue
         if name in STRUCTURE and not m.group(3).endswith("/"):
-            _, path, dropped, holder = stack[-1] if stack else ("", "", False, "body")
-            marks = _marks(m.group(3)) if "=" in m.group(3) else []
+            _, path, dropped, worded, outer = stack[-1] if stack else ("", "", False, "", "body")
+            marks, names = (_marks(m.group(3)), _names(m.group(3))) if "=" in m.group(3) else ([], [])
+            holder = name if name in MAIN else "main" if outer == "body" and not MAIN_MARKS.isdisjoint(names) else outer
             # The header of an article holds its title.
-            marked = BOILERPLATE_WORDS if holder == "body" else BOILERPLATE_WORDS - {"header"}
+            words = BOILERPLATE_WORDS if outer == "body" else BOILERPLATE_WORDS - {"header"}
             path = f"{_digest(path, name, *marks):x}"
             if name == "body" or name == "html":
-                dropped = False
-            elif name in BOILERPLATE_TAGS or not marked.isdisjoint([name, *marks]):
+                dropped, worded = False, ""
+            elif name in BOILERPLATE_TAGS:
                 dropped = True
-            holder = name if name in MAIN else "main" if "main" in marks and holder == "body" else holder
-            stack.append((name, path, dropped, holder))
+            elif name in words or any(_is_boilerplate(x, words) for x in names):
+                worded = outer
+            stack.append((name, path, dropped, worded, holder))
             opened[name] += 1
-            yield "tag", path, "", dropped
+            yield "tag", path, "", mark(dropped, worded, holder)
     yield from flush()
 
 
@@ -171,7 +208,8 @@ def main_text(page: str | None, *templates: dict[int, int]) -> str:
     Content is the text that is neither marked as boilerplate nor template text;
     a template text counts as such only where the page keeps the template's
     order.  Of what is left an article's text comes first, then the main
-    element's, then the body's.  An article whose blocks and letters are mostly
+    element's, then the body's; where neither is left, words alone drop no
+    article or main element.  An article whose blocks and letters are mostly
     template text is one that the host repeats, and stays whole, unless all of
     it is repeated and more text is left elsewhere.  A page without any other
     text than the template's is a copy and keeps it.
@@ -184,8 +222,10 @@ def main_text(page: str | None, *templates: dict[int, int]) -> str:
             fixed |= _in_order([(i, order) for i, order in ids if order is not None])
     slots: dict[str, list[str]] = {}
     whole: dict[str, list[str]] = {}
-    for i, (kind, _, text, dropped) in enumerate(seen):
-        if kind != "tag" and not dropped:
+    shown = {mark for kind, _, _, mark in seen if kind in MAIN}
+    most = DOUBTED if SHOWN not in shown else SHOWN
+    for i, (kind, _, text, mark) in enumerate(seen):
+        if kind != "tag" and mark <= most:
             whole.setdefault(kind, []).append(text)
             if i not in fixed:
                 slots.setdefault(kind, []).append(text)

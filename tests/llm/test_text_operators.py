@@ -219,6 +219,23 @@ def test_html_template_text_inside_articles_and_per_layout(spark):
     assert all(got[40 + i] == f"T one two and more {i}" for i in range(5))  # near copies stay whole
 
 
+def test_html_layout_words_drop_no_article(spark):
+    story = "<article><p>story</p><div class='{0}'><p>inner</p></div></article>"
+    cases = {1: ("<div id='page' class='with-sidebar'>" + story.format("x") + "</div>", "story inner"),
+             2: ("<main class='no-sidebar'><p>story</p></main>", "story"), 3: ("<article class='post has-comments'><p>story</p></article>", "story"),
+             4: ("<div class='menu-open'><article><p>story</p></article></div>", "story"),
+             5: ("<section class='search-results'><article><p>story</p></article></section>", "story"),
+             6: ("<div class='sidebar'><article><p>story</p></article></div><div class='x'>rest</div>", "story"),  # by a word alone
+             7: (story.format("commentlist"), "story"), 8: (story.format("commentList"), "story"), 9: (story.format("post-comments wide"), "story"),
+             10: (story.format("has-comments"), "story inner"), 11: ("<div class='with-sidebar'><p>plain</p></div><div class='site-footer'>f</div>", "plain"),
+             12: ("<main><p>story</p><div class='related'><article><p>teaser</p></article></div></main>", "story"),
+             13: ("<div class='related'><article><p>teaser</p></article></div><article><p>story</p></article>", "story"),
+             15: ("<main><div class='widget-area'><article><p>story</p></article></div></main>", "story"),
+             14: ("<nav><article><p>menu</p></article></nav><p>story</p>", "story")}
+    df = spark.createDataFrame([(k, f"http://h{k}.org/", page(v[0])) for k, v in cases.items()], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in extract_html.extract(df).collect()} == {k: v[1] for k, v in cases.items()}
+
+
 # --- chat -------------------------------------------------------------------------------
 
 MESSAGE = f"conv_id long, turn long, role string, content array<{chat.PART}>"
