@@ -2,9 +2,9 @@
 
 Features of a text: densities of a lexicon, how often its words stand near a
 second-person word, shares of capitals and punctuation, obfuscation rates.  The
-lexicon is a short fixed list plus the words that the labelled training rows
-set apart.  Spark ML fits the trees on part of a bounded sample of those rows
-and an isotonic curve on the rest, which turns the trees' output into a
+lexicon is a short fixed list plus the words that the labelled
+training rows set apart.  Spark ML fits the trees on part of a bounded sample of
+those rows, less exact and near copies, and an isotonic curve on the rest, which turns the trees' output into a
 probability.
 """
 
@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import bounded_batches, checked_broadcast, free_name, staged
+from quillspark.llm.simhash import near_duplicates
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Expected number of labelled rows that are used, drawn by a hash of the id.
+#: Expected number of labelled rows that are used, drawn by a hash of the id; half of them of each class if it has so many.
 TRAIN_ROWS = 20000
 #: Of them, one part in so many calibrates.
 CALIBRATION = 4
@@ -31,8 +32,8 @@ CALIBRATION = 4
 #: (and so many per toxic row), with log odds so far above the others' (also in standard errors).
 LEXICON_SIZE, LEXICON_CONTEXTS, LEXICON_SHARE, LEXICON_ODDS, LEXICON_Z = 200, 5, 0.03, 1.0, 5.0
 TREES, DEPTH, STEP = 20, 3, 0.3
-#: A leaf holds at least one part in so many of the rows: no leaf for a few copies.
-LEAF_SHARE = 200
+#: A leaf holds at least so many different texts, however many there are (less if few are toxic).
+LEAF_TEXTS = 5
 #: Words on either side in which a second-person word counts as near.
 NEAR = 3
 
@@ -90,7 +91,7 @@ class Model:
 
 
 def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICON_CONTEXTS, share: float = LEXICON_SHARE,
-                  least_odds: float = LEXICON_ODDS, z: float = LEXICON_Z) -> dict[str, float]:
+                  least_odds: float = LEXICON_ODDS, z: float = LEXICON_Z, words: tuple[str, ...] = SEED_LEXICON) -> dict[str, float]:
     """Word -> weight, from ``rows(text, label)``.
 
     A word's evidence is the number of different words that it follows in toxic
@@ -114,46 +115,77 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICO
     error = F.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b))
     best = (seen.where(F.col("a") >= max(least, share * toxic)).select("word", odds.alias("w"), (odds / error).alias("z"))
             .where((F.col("w") >= least_odds) & (F.col("z") >= z)).orderBy(F.desc("z"), "word").limit(size).collect())
-    out = {k: 2.0 for k in SEED_LEXICON}
+    out = {k: 2.0 for k in words}
     out.update({r["word"]: float(r["w"]) for r in best})
     return out
 
 
 def sampled(labels: DataFrame, key: str = "doc_id", label: str = "toxic", bound: int = TRAIN_ROWS, seed: int = 11) -> DataFrame:
-    """About ``bound`` of the labelled rows, those with the smallest hashes of ``key``,
-    as a table whose size the planner knows; rows with a null label are left out."""
+    """About ``bound`` of the labelled rows, of each class those with the smallest hashes of ``key``,
+    as a table whose size the planner knows; rows with a null label are left out.
+
+    A class of at most half the bound is taken whole.  ``weight`` says how many
+    labelled rows a row stands for.
+    """
     labels = labels.where(F.col(f"`{label}`").isNotNull())
-    limit = int(2 ** 32 * min(1.0, bound / max(1, labels.count())))
+    positive = F.col(f"`{label}`").cast("int") > 0
+    n, toxic = labels.agg(F.count(F.lit(1)), F.count_if(positive)).first()
+    few = min(toxic, n - toxic)
+    taken = min(few, bound // 2)
+    share = {few == toxic: taken / max(1, few), few != toxic: min(1.0, (bound - taken) / max(1, n - few))}
     h = F.shiftright(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), 32) + F.lit(2 ** 31)
-    return checked_broadcast(staged(labels.where(h < limit), "toxic-labels"))
+    limit = lambda c: F.lit(int(2 ** 32 * share[c]))
+    weight = F.when(positive, 1 / max(share[True], 1e-300)).otherwise(1 / max(share[False], 1e-300))
+    return checked_broadcast(staged(labels.where(h < F.when(positive, limit(True)).otherwise(limit(False)))
+                                    .withColumn("weight", weight), "toxic-labels"))
+
+
+def different(rows: DataFrame) -> DataFrame:
+    """``rows(text, label, weight)`` less exact and near copies: of each component of near copies one row per label."""
+    rows = staged(rows.withColumn("id", F.monotonically_increasing_id()), "toxic-rows")
+    found = near_duplicates(rows, doc_id="id").select(F.col("doc_id").alias("id"), "component_id")
+    # A component may hold much of the sample: the ids meet the texts only after the reduction.
+    first = rows.select("id", "label").join(found, "id").groupBy("component_id", "label").agg(F.min("id").alias("id"))
+    return rows.join(first.select("id", "component_id"), "id")
 
 
 def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", trees: int = TREES,
-          depth: int = DEPTH, step: float = STEP, seed: int = 11) -> Model:
+          depth: int = DEPTH, step: float = STEP, seed: int = 11, words: tuple[str, ...] = SEED_LEXICON) -> Model:
     """Fit on labelled ``rows``, a sample of bounded size; null texts are empty,
-    rows with a null label are left out."""
+    rows with a null label are left out.
+
+    Exact and near copies are dropped first; a row's ``weight``, if there is
+    such a column, weighs it in the trees and in the calibration.
+    """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import IsotonicRegression
     bounded_batches(rows.sparkSession)
+    weight = F.col("weight").cast("double") if "weight" in rows.columns else F.lit(1.0)
     rows = rows.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.col(f"`{label}`").cast("int").alias("label"),
-                       F.pmod(F.xxhash64(F.lit(seed + 1), F.col(f"`{key}`")), F.lit(CALIBRATION)).alias("part"))
+                       weight.alias("weight"))
     rows = staged(rows.where("label is not null"), "toxic-sample")
-    n, toxic = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
-    rate = ((toxic or 0) + 1) / (n + 2)
+    n, toxic = rows.agg(F.sum("weight"), F.sum(F.col("label") * F.col("weight"))).first()
+    n, toxic = n or 0, toxic or 0
+    rate = (toxic + 1) / (n + 2)
     if not toxic or toxic == n:
-        return Model({w: 2.0 for w in SEED_LEXICON}, rate)
-    lexicon = learn_lexicon(rows.where("part <> 0"))
-    data = staged(rows.select((F.col("part") == 0).alias("held"), F.col("label").cast("double").alias("label"),
+        return Model({w: 2.0 for w in words}, rate)
+    # Near copies of different labels are on the same side.
+    part = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("component_id")), F.lit(CALIBRATION))
+    rows = staged(different(rows).select("id", "text", "label", "weight", (part == 0).alias("held")), "toxic-texts")
+    if rows.where("not held").select("label").distinct().count() < 2:
+        rows = rows.withColumn("held", F.lit(False))  # too few texts to hold any back
+    lexicon = learn_lexicon(rows.where("not held"), words=words)
+    data = staged(rows.select("held", F.col("label").cast("double").alias("label"), "weight",
                               features_column(lexicon).alias("f")), "toxic-features")
-    data = data.select("held", "label", array_to_vector("f").alias("f"))
+    data = data.select("held", "label", "weight", array_to_vector("f").alias("f"))
     fit = data.where("not held")
-    if fit.select("label").distinct().count() < 2:
-        return Model(lexicon, rate)
-    model = GBTClassifier(featuresCol="f", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed,
-                          minInstancesPerNode=max(1, n // LEAF_SHARE)).fit(fit)
+    least = max(1, min(LEAF_TEXTS, fit.where("label = 1").count() // 4))
+    model = GBTClassifier(featuresCol="f", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=step,
+                          seed=seed, minInstancesPerNode=least).fit(fit)
     held = _raw(model, data.where("held"))
-    curve = IsotonicRegression(featuresCol="p", labelCol="label").fit(held) if held.select("label").distinct().count() == 2 else None
+    curve = (IsotonicRegression(featuresCol="p", labelCol="label", weightCol="weight").fit(held)
+             if held.select("label").distinct().count() == 2 else None)
     return Model(lexicon, rate, model, curve)
 
 

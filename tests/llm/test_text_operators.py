@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import random
 import re
 import zlib
 
@@ -149,6 +150,26 @@ def test_toxicity_edges(spark):
     assert toxicity.score(ask.limit(0), toxicity.train(both)).count() == 0
 
 
+def rare_insults(spark, n, toxic, copies=0):
+    """Prose of ``n`` texts, of which ``toxic`` call the reader "du blarg" or "du fnord", and copies of one of them."""
+    r = random.Random(n)
+    say = lambda i: " ".join(r.choice(["haus", "baum", "weg", "tag", "licht", "wald", "stein", "fluss"]) + chr(97 + r.randrange(26))
+                             for _ in range(30)) + (f" du {'blarg' if i % 2 else 'fnord'}" if i < toxic else "")
+    rows = [(i, say(i), int(i < toxic)) for i in range(n)]
+    rows += [(n + i, "quux " + rows[0][1], 1) for i in range(copies)]
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_toxicity_rare_class_is_parted(spark):
+    rows = rare_insults(spark, 4800, 24)  # half a percent
+    out = toxicity.score(rows, toxicity.train(rows, words=("blarg", "fnord"))).collect()
+    assert sum(r["toxicity"] >= 0.5 for r in out if r["toxic"]) >= 20 and not any(r["toxicity"] >= 0.5 for r in out if not r["toxic"])
+    some = toxicity.sampled(rows, bound=400)
+    got = some.collect()
+    assert sum(r["toxic"] for r in got) == 24 and 250 < len(got) < 550
+    assert abs(sum(r["weight"] for r in got) - 4800) < 960
+
+
 # --- HTML -------------------------------------------------------------------------------
 
 def brute_article(page):
