@@ -2,7 +2,7 @@
 
 Features of a text: densities of a lexicon, how often its words stand near a
 second-person word, shares of capitals and punctuation, obfuscation rates.  The
-lexicon is a short fixed list plus the words that the labelled
+lexicon is a fixed list of common insults plus the words that the labelled
 training rows set apart.  Spark ML fits the trees on part of a bounded sample of
 those rows, less exact and near copies, and an isotonic curve on the rest, which turns the trees' output into a
 probability.
@@ -28,16 +28,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TRAIN_ROWS = 20000
 #: Of them, one part in so many calibrates.
 CALIBRATION = 4
-#: Learned words: at most so many, each after so many different words in toxic rows
-#: (and so many per toxic row), with log odds so far above the others' (also in standard errors).
-LEXICON_SIZE, LEXICON_CONTEXTS, LEXICON_SHARE, LEXICON_ODDS, LEXICON_Z = 200, 5, 0.03, 1.0, 5.0
+#: Learned words: at most so many, each in so many different toxic texts, with log odds so far above
+#: the others' (also in standard deviations).
+LEXICON_SIZE, LEXICON_TEXTS, LEXICON_ODDS, LEXICON_Z = 200, 5, 1.0, 5.0
 TREES, DEPTH, STEP = 20, 3, 0.3
 #: A leaf holds at least so many different texts, however many there are (less if few are toxic).
 LEAF_TEXTS = 5
 #: Words on either side in which a second-person word counts as near.
 NEAR = 3
 
-SEED_LEXICON = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "dumb", "clown")
+#: Common insults of several languages; the labels add the words of their own texts.
+SEED_LEXICON = (
+    "idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "dumb", "clown", "imbecile", "jerk", "bastard",
+    "bitch", "asshole", "dumbass", "retard", "freak", "pig", "coward", "vermin", "filth", "degenerate", "halfwit", "scumbag",
+    "trottel", "depp", "vollidiot", "dummkopf", "blödmann", "arschloch", "wichser", "hurensohn", "schlampe", "drecksau", "abschaum", "versager",
+    "imbécile", "crétin", "connard", "connasse", "salaud", "salope", "abruti", "débile", "enculé", "ordure", "minable",
+    "idiota", "imbécil", "estúpido", "estúpida", "gilipollas", "cabrón", "pendejo", "puta", "mierda", "escoria", "basura", "tonto", "inútil",
+    "cretino", "stronzo", "coglione", "bastardo", "stupido", "otário", "burro", "palhaço")
 SECOND_PERSON = frozenset(("you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "tu", "te", "toi",
                            "ton", "ta", "vous", "votre", "tú", "ti", "usted", "ustedes", "vos"))
 #: Signs that stand for letters.
@@ -90,30 +97,29 @@ class Model:
     curve: object = field(default=None)
 
 
-def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICON_CONTEXTS, share: float = LEXICON_SHARE,
-                  least_odds: float = LEXICON_ODDS, z: float = LEXICON_Z, words: tuple[str, ...] = SEED_LEXICON) -> dict[str, float]:
-    """Word -> weight, from ``rows(text, label)``.
+def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICON_TEXTS, least_odds: float = LEXICON_ODDS,
+                  z: float = LEXICON_Z, words: tuple[str, ...] = SEED_LEXICON) -> dict[str, float]:
+    """Word -> weight, from ``rows(id, text, label)`` without copies; ``words`` are in it anyway.
 
-    A word's evidence is the number of different words that it follows in toxic
-    rows and in others, not the number of rows: copies of one toxic text, however
-    many, show its words in the same few places.  Words enter whose log odds lie
-    ``least_odds`` and ``z`` standard errors above the others' and that follow enough words in toxic
-    rows (``least``, and ``share`` of the number of toxic rows).  At most ``size``
-    of them reach the driver.
+    A word's evidence is the number of toxic texts and of others that hold it.
+    Words enter that ``least`` toxic texts hold and whose log odds lie
+    ``least_odds`` above the others', with a signed root of the likelihood ratio
+    of at least ``z``: a rare word that only toxic texts hold passes however
+    many labels there are.  At most ``size`` of them reach the driver.
     """
     w = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: x != "")
-    pairs = F.transform("w", lambda x, i: F.struct(x.alias("word"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("prev")))
-    seen = (rows.select("label", w.alias("w")).select("label", F.explode(pairs).alias("p")).groupBy("p.word", "p.prev")
-            .agg(F.max("label").alias("a"), F.max(1 - F.col("label")).alias("b"))
-            .groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    seen = staged(seen, "toxic-words")
-    toxic = rows.agg(F.sum("label")).first()[0] or 0
-    total = seen.agg(F.sum("a"), F.sum("b")).first()
-    pos, neg = total[0] or 0, total[1] or 0
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    odds = F.log(a / (pos + 1 - a)) - F.log(b / (neg + 1 - b))
-    error = F.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b))
-    best = (seen.where(F.col("a") >= max(least, share * toxic)).select("word", odds.alias("w"), (odds / error).alias("z"))
+    seen = (rows.select("id", "label", F.explode(w).alias("word")).distinct().groupBy("word")
+            .agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b")))
+    seen = staged(seen.where(F.col("a") >= least), "toxic-words")
+    pos, neg = (float(x or 0) for x in rows.agg(F.sum("label"), F.sum(1 - F.col("label"))).first())
+    a, b = F.col("a"), F.col("b")
+    odds = F.log((a + 0.5) / (pos + 1 - a)) - F.log((b + 0.5) / (neg + 1 - b))
+
+    def part(x, total, rate):
+        return F.when(x > 0, x * F.log(x / (total * rate))).otherwise(0.0)
+    rate = (a + b) / (pos + neg)
+    ratio = part(a, pos, rate) + part(b, neg, rate) + part(pos - a, pos, 1 - rate) + part(neg - b, neg, 1 - rate)
+    best = (seen.select("word", odds.alias("w"), F.sqrt(F.greatest(2 * ratio, F.lit(0.0))).alias("z"))
             .where((F.col("w") >= least_odds) & (F.col("z") >= z)).orderBy(F.desc("z"), "word").limit(size).collect())
     out = {k: 2.0 for k in words}
     out.update({r["word"]: float(r["w"]) for r in best})

@@ -170,6 +170,12 @@ def test_toxicity_rare_class_is_parted(spark):
     assert abs(sum(r["weight"] for r in got) - 4800) < 960
 
 
+def test_toxicity_lexicon_needs_texts_not_contexts(spark):
+    rows = rare_insults(spark, 3000, 300, 200)
+    model = toxicity.train(rows, words=())
+    assert {"blarg", "fnord"} <= set(model.lexicon) and "quux" not in model.lexicon  # one text and its copies teach nothing
+
+
 # --- HTML -------------------------------------------------------------------------------
 
 def brute_article(page):
