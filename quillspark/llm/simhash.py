@@ -212,42 +212,60 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, node: int = NODE, fan: int =
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
                     seed: int = SEED, max_bits: int = MAX_BITS, node: int = NODE, fan: int = FAN, top: int = TOP,
                     group: int = GROUP) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+    """``doc_id, fp, component_id, component_fp, text_a, text_b`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` that links of at most
     ``max_bits`` differing bits reach.  Null and empty texts have fingerprint
     zero and are linked like any other; equal texts and repeated rows share a
     component; a null ``doc_id`` names no component (null only if no linked row
-    has an id).  An empty table gives an empty result.
+    has an id).  ``component_fp`` is the smallest fingerprint of the component,
+    which names it also where ids repeat or are null; ``text_a`` and ``text_b``
+    are hashes of the row's text.  An empty table gives an empty result.
     """
     bounded_batches(docs.sparkSession)
-    rows = staged(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprint_column(text, shingle, seed).alias("fp")),
-                  "fingerprints")
+    a, b = _text_key(F.col(f"`{text}`"))
+    rows = staged(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprint_column(text, shingle, seed).alias("fp"),
+                              a.alias("text_a"), b.alias("text_b")), "fingerprints")
     fps = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     linked = components(links(fps.select("fp"), max_bits, node, fan, top, group))
     named = (fps.join(linked, fps["fp"] == linked["node"], "left")
              .select("fp", "first", F.coalesce("component", "fp").alias("component")))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    return rows.join(named.join(smallest, "component").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id")
+    return rows.join(named.join(smallest, "component").select("fp", "component_id", F.col("component").alias("component_fp")), "fp").select(
+        "doc_id", "fp", "component_id", "component_fp", "text_a", "text_b")
 
 
-def keep_first(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component of ``found``: the smallest id.
+def _text_key(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
-    Rows that repeat an id are one document; one of them stays.  Rows with a
-    null id cannot be named by a decision and stay.
+
+def keep_first(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component of ``found``: the smallest id, of its texts the smallest hash.
+
+    The decision is by row, id and text, so rows of one id with different texts
+    stand for themselves; a null id comes after the others.  Of rows that repeat
+    id and text one stays.
     """
-    found = staged(found.select("doc_id", "component_id"), "near-duplicates")
-    out = docs
-    gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "removed")
-    out = out.join(gone, out[doc_id] == gone["_gone"], "left_anti")
-    again = staged(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-                   .select(F.col("doc_id").alias("_again")), "repeated")
+    columns = ["doc_id", "text_a", "text_b"]
+    keyed = staged(found.groupBy("component_fp", *columns).agg(F.count(F.lit(1)).alias("rows")), "near-duplicates")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), *columns)
+    first = keyed.groupBy("component_fp").agg(F.min(key).alias("first"))
+    a, b, c = names = [free_name(docs, n) for n in ("_id", "_text_a", "_text_b")]
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(x).alias(y) for x, y in zip(columns, names)])
+
+    def same(rows: DataFrame, keys: DataFrame) -> Column:
+        x, y = _text_key(rows[text])
+        return rows[doc_id].eqNullSafe(keys[a]) & (x == keys[b]) & (y == keys[c])
+    gone = staged(named(keyed.join(first, "component_fp").where(~key.eqNullSafe(F.col("first")))), "removed")
+    out = docs.join(gone, same(docs, gone), "left_anti")
+    again = staged(named(keyed.where("rows > 1")), "repeated")
     if again.isEmpty():
         return out
-    once = out.join(again, out[doc_id] == again["_again"], "left_anti")
-    n = free_name(docs, "_n")
-    rest = out.join(again, out[doc_id] == again["_again"], "left_semi")
-    one = rest.groupBy(F.col(f"`{doc_id}`").alias(n)).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
+    once = out.join(again, same(out, again), "left_anti")
+    rest = out.join(again, same(out, again), "left_semi")
+    x, y = _text_key(F.col(f"`{text}`"))
+    one = rest.groupBy(F.col(f"`{doc_id}`").alias(a), x.alias(b), y.alias(c)).agg(
+        F.min(F.struct(*[F.col(f"`{n}`") for n in docs.columns])).alias("_row"))
     return once.unionByName(one.select("_row.*"))

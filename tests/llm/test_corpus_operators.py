@@ -114,6 +114,15 @@ def test_simhash_edges_and_keep_first(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_keep_first_decides_by_row_where_ids_repeat(spark):
+    a, b, c, d = ("one text of some plain words", "another story about the sea and wind", "numbers go up and down at night",
+                  "a fourth thing nobody said before today")
+    rows = [(1, a), (5, a), (5, b), (5, c), (5, c), (9, c), (None, d), (None, d), (None, a)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = simhash.keep_first(df, simhash.near_duplicates(df)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(1, a), (5, b), (5, c), (None, d)])
+
+
 # --- embeddings -------------------------------------------------------------------------
 
 def brute_vectors(rows, cosine=0.95):
