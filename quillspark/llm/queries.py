@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import (chat, decontaminate, embeddings, extract_html, language, mixing, pii, sharding, simhash,
-                            toxicity)
+from quillspark.llm import (alignment, chat, clustering, decontaminate, embeddings, extract_html, language, mixing, pii,
+                            sharding, simhash, toxicity, transducer)
 from quillspark.session import read_table
 
 
@@ -104,6 +104,59 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector: 40 centroids, 5 rounds."""
+    return clustering.cluster(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they are more than 2048."""
+    rows = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("n_bytes"), "text")
+    return transducer.token_counts(rows, tokenizer("word_bpe_49k.json"), 2048).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every document."""
+    return alignment.align(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def _op11_sql(k: int = 40, rounds: int = 5) -> str:
+    """Each round's assignment and centroids as one step of a chain."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT n - 1 AS c, v FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) AS n, v FROM kept) WHERE n <= {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS v, min(d * {k} + c) AS best
+  FROM (SELECT r, vec_id, kept.v AS x, c, (list_dot_product(kept.v::DOUBLE[], kept.v::DOUBLE[])
+          - 2 * list_dot_product(kept.v::DOUBLE[], c{i}.v::DOUBLE[]) + list_dot_product(c{i}.v::DOUBLE[], c{i}.v::DOUBLE[]))::BIGINT AS d
+        FROM kept, c{i}) GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(moved, v) AS v FROM c{i} LEFT JOIN (
+    SELECT c, list(m ORDER BY j) AS moved FROM (
+      SELECT c, j, ((s - ((s % n) + n) % n) / n)::BIGINT AS m FROM (
+        SELECT best % {k} AS c, j, sum(v[j]) AS s, count(*) AS n FROM a{i}, range(1, 65) t(j) GROUP BY ALL)) GROUP BY c) USING (c))""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, (best % {k})::INT AS cluster, best // {k} AS distance,
+       (sum(best // {k}) OVER (PARTITION BY best % {k}))::BIGINT AS cluster_inertia, (sum(best // {k}) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = best % {k}"""
+
+
 OP9_SQL = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, coalesce(source, chr(1114111)) AS src, md5('23:' || doc_id) AS k,
@@ -190,5 +243,7 @@ FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 QUERIES = {"op1_html": op1_html, "op2_chat": op2_chat, "op3_language": op3_language, "op4_simhash": op4_simhash,
            "op5_sharding": op5_sharding, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii,
-           "op8_embeddings": op8_embeddings, "op9_mixing": op9_mixing, "op10_toxicity": op10_toxicity}
-ORACLE = {"op2_chat": OP2_SQL, "op6_decontamination": OP6_SQL, "op8_embeddings": OP8_SQL, "op9_mixing": OP9_SQL}
+           "op8_embeddings": op8_embeddings, "op9_mixing": op9_mixing, "op10_toxicity": op10_toxicity,
+           "op11_clustering": op11_clustering, "op12_token_counts": op12_token_counts, "op13_alignment": op13_alignment}
+ORACLE = {"op2_chat": OP2_SQL, "op6_decontamination": OP6_SQL, "op8_embeddings": OP8_SQL, "op9_mixing": OP9_SQL,
+          "op11_clustering": _op11_sql()}
