@@ -203,10 +203,14 @@ def apply_cdc(target: DataFrame, events: DataFrame, keys: Sequence[str], op_col:
     ``deleted_col`` (a boolean column of the target) keeps deleted rows, marked:
     readers drop them, and the table survives any order and repetition of
     batches.
+
+    An event without a time comes before every event that has one: it never hides
+    another event or a row with a time, and counts only for a key without either.
     """
     keys = list(keys)
     order = [ts_col] + ([tie] if tie else [])
-    last = latest_per_key(events, keys, order)
+    timed = "__timed"
+    last = latest_per_key(events.withColumn(timed, F.col(ts_col).isNotNull()), keys, [timed, *order]).drop(timed)
     gone = F.coalesce(F.col(op_col) == F.lit(delete_value), F.lit(False))
     newer = tuple(order) if all(c in target.columns for c in order) else ()
     if deleted_col is None:

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspark.operators import bucketed, merge
 from quillspark.session import read_table, work_path
 from quillspark.sources import storage
-from quillspark.streaming import streams
+from quillspark.streaming import register, streams
 
 STAGE_CUTOFF = "2024-01-15 00:00:00"
 
@@ -89,67 +90,138 @@ def stream_task(spark, sf_dir):
     return streams.read_appended(spark, target, ev.schema)
 
 
+def _drain_filed(spark, stage: str, ev: DataFrame, target: str, ckpt: str) -> str:
+    """One drain that also writes the manifest of its files; returns the manifest's folder."""
+    manifest = f"{target}_files"
+    streams.drain_once(streams.event_stream(spark, stage, ev.schema, with_file=True),
+                       streams.append_writer(target, ckpt, manifest), ckpt)
+    return manifest
+
+
 def backlog(spark, sf_dir):
     """Rows staged but not applied: the second load, before any drain sees it (O-R4)."""
     stage, ev = _stage(spark, sf_dir, second_load=False)
     target = work_path(spark, "tables", "events")
-    _drain(spark, stage, ev, target, with_file=True)
+    manifest = _drain_filed(spark, stage, ev, target, streams.new_checkpoint(spark, "events"))
     ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
-    return streams.backlog(spark, stage, ev.schema, _applied(spark, target, ev))
-
-
-def _applied(spark, target: str, ev: DataFrame) -> DataFrame:
-    return streams.read_appended(spark, target, T.StructType([*ev.schema.fields, T.StructField(streams.FILE_COL, T.StringType())]))
+    return streams.waiting_rows(spark, stage, ev.schema, manifest)
 
 
 def stream_has_data(spark, sf_dir):
-    """Has-data probe after each step: two loads, two drains (O-R5)."""
-    stage, ev = _stage(spark, sf_dir, second_load=False)
-    target = work_path(spark, "tables", "events")
+    """Has-data probe after each step: two loads, two drains (O-R5).  The folder's name
+    holds a space; the probe compares listing and manifest, never the target."""
+    ev = read_table(spark, sf_dir, "events")
+    stage, target = work_path(spark, "staging", "incoming events"), work_path(spark, "tables", "events")
     ckpt = streams.new_checkpoint(spark, "events")
-    stream = streams.event_stream(spark, stage, ev.schema, with_file=True)
     seen = []
-    for load in (False, True):
-        if load:
-            ev.filter(F.col("ts") >= F.lit(STAGE_CUTOFF)).write.mode("append").parquet(stage)
-        seen.append(streams.has_data(spark, stage, ev.schema, _applied(spark, target, ev)))
-        streams.drain_once(stream, streams.append_writer(target, ckpt), ckpt)
-        seen.append(streams.has_data(spark, stage, ev.schema, _applied(spark, target, ev)))
+    for part in (F.col("ts") < F.lit(STAGE_CUTOFF), F.col("ts") >= F.lit(STAGE_CUTOFF)):
+        ev.filter(part).write.mode("append").parquet(stage)
+        seen.append(not streams.waiting_files(spark, stage, f"{target}_files").isEmpty())
+        manifest = _drain_filed(spark, stage, ev, target, ckpt)
+        seen.append(not streams.waiting_files(spark, stage, manifest).isEmpty())
     cols = [F.lit(x).alias(f"probe_{i}") for i, x in enumerate(seen)]
-    return _applied(spark, target, ev).agg(F.count(F.lit(1)).alias("n_applied")).select("n_applied", *cols)
+    return streams.read_appended(spark, target, ev.schema).agg(F.count(F.lit(1)).alias("n_applied")).select("n_applied", *cols)
 
 
+# ------------------------------------------------------------- change register
+
+def change_register(spark, sf_dir):
+    """One row per watched table with the time of its last change, over three loads.
+
+    The last load of each table is a late one.  Order lines are watched for the first
+    load only; what is staged after that changes nothing.
+    """
+    split = {"events": ("ts", "2024-01-10", "2024-01-20"), "orders": ("o_orderdate", "1996-01-01", "1998-01-01"),
+             "lineitem": ("l_shipdate", "1996-01-01", "1998-01-01")}
+    tables, sources = {}, []
+    for name, (time, *_) in split.items():
+        t = tables[name] = read_table(spark, sf_dir, name)
+        sources.append(register.Source(name, work_path(spark, "staging", name), t.schema, time))
+    log = register.Register(spark)
+    watch = log.register(sources)
+    for load in range(3):
+        for s in sources:
+            time, early, late = split[s.name]
+            t, a, b = F.col(time), F.lit(early).cast("timestamp_ntz"), F.lit(late).cast("timestamp_ntz")
+            part = (t < a, t >= b, (t >= a) & (t < b))[load]
+            tables[s.name].filter(part).select(time).write.mode("append").parquet(s.path)
+        log.run(watch, sources)
+        if load == 0:
+            log.unregister("lineitem")
+    return log.read()
+
+
+# ------------------------------------------------------------- typed table
+
 APPLIED = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()),
                         T.StructField("event_time", T.TimestampNTZType()), T.StructField("operation", T.StringType()),
                         T.StructField("amount", T.DoubleType()), T.StructField("is_deleted", T.BooleanType())])
 
 
-def stream_apply(spark, sf_dir):
-    """Staged JSON documents kept as a typed table, one row per user.
+def _documents(ev: DataFrame) -> DataFrame:
+    """Events as JSON documents; some come again cut short, without a key or without a time."""
+    op = F.when(F.col("event_type") == "error", F.lit("DELETE")).otherwise(F.lit("UPSERT")).alias("operation")
+    time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("eventTime")
+    load = F.struct("user_id", "event_id", "value").alias("eventPayload")
+    doc = F.to_json(F.struct(op, time, load))
+    bad = F.when(F.col("event_id") % 10 == 3, F.substring(doc, 1, 40)).when(
+        F.col("event_id") % 10 == 4, F.to_json(F.struct(op, time))).when(F.col("event_id") % 10 == 5, F.to_json(F.struct(op, load)))
+    return ev.select("ts", F.explode(F.array_compact(F.array(doc, bad))).alias("data"))
 
-    The first batch holds the later half of the events, so the second is late;
-    the third repeats the first.  An ``error`` event is a DELETE.  The table must
-    equal the latest event per user over all events.
-    """
-    ev = read_table(spark, sf_dir, "events")
-    doc = F.to_json(F.struct(
-        F.when(F.col("event_type") == "error", F.lit("DELETE")).otherwise(F.lit("UPSERT")).alias("operation"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("eventTime"),
-        F.struct("user_id", "event_id", "value").alias("eventPayload")))
-    docs = ev.select(doc.alias("data"), "ts")
+
+def _typed_table(spark, sf_dir) -> tuple[str, int]:
+    """Three batches into a typed table: the later half of the events, the earlier half
+    (late), the later half again.  Returns the table's folder and the batches."""
+    docs = _documents(read_table(spark, sf_dir, "events"))
     stage, target = work_path(spark, "staging", "documents"), work_path(spark, "tables", "typed")
     ckpt = streams.new_checkpoint(spark, "typed")
     schema = T.StructType([T.StructField("data", T.StringType())])
     fields = {"user_id": ("$.eventPayload.user_id", "bigint"), "event_id": ("$.eventPayload.event_id", "bigint"),
               "event_time": ("$.eventTime", "timestamp_ntz"), "operation": ("$.operation", "string"),
               "amount": ("$.eventPayload.value", "double")}
-    handler = streams.typed_table_writer(spark, target, APPLIED, "data", fields, ["user_id"], "operation", "event_time", "event_id")
+    handler = streams.typed_table_writer(spark, target, APPLIED, "data", fields, ["user_id"], "operation", "event_time", "event_id",
+                                         buckets=8)
     late = F.col("ts") < F.lit(STAGE_CUTOFF)
     batches = (~late, late, ~late)
     for part in batches:
         docs.filter(part).select("data").write.mode("append").parquet(stage)
         streams.drain_once(streams.event_stream(spark, stage, schema), handler, ckpt)
-    return streams.read_typed_table(spark, target, APPLIED, len(batches))
+    return target, len(batches)
+
+
+def stream_apply(spark, sf_dir):
+    """Staged JSON documents kept as a typed table, one row per user.
+
+    The second batch is late, the third repeats the first.  An ``error`` event is a
+    DELETE; documents without key, time or JSON are left out.  The table must equal
+    the latest event per user over all events.
+    """
+    target, batches = _typed_table(spark, sf_dir)
+    return streams.read_typed_table(spark, target, APPLIED, batches)
+
+
+def stream_rejected(spark, sf_dir):
+    """The documents that the same batches could not apply, counted by batch and reason."""
+    target, _ = _typed_table(spark, sf_dir)
+    return streams.read_rejected(spark, target).groupBy("batch_id", "reason").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.countDistinct("document").alias("n_distinct"))
+
+
+def bucketed_merge(spark, sf_dir):
+    """A keyed table in hash buckets, merged twice: changes of a few customers' orders
+    (updates, deletes, new keys), then the same changes again."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = work_path(spark, "tables", "orders")
+    bucketed.write_buckets(o, path, ["o_orderkey"], 16)
+    some = o.filter(F.col("o_custkey") % 50 == 0)
+    flag = F.when(F.col("o_orderkey") % 3 == 0, "DELETED").otherwise("UPDATED")
+    changes = some.select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1000).alias("o_totalprice"), flag.alias("flag")).unionByName(
+        some.select((F.col("o_orderkey") + 100000000).alias("o_orderkey"), "o_custkey", "o_totalprice", F.lit("NEW").alias("flag")))
+    for _ in range(2):
+        bucketed.merge_buckets(spark, path, o.schema, changes, ["o_orderkey"],
+                               lambda rows, c: merge.merge_change_flags(rows, c, ["o_orderkey"], "flag"),
+                               work_path(spark, "merges", "orders"), 16)
+    return bucketed.read_buckets(spark, path, o.schema)
 
 
 def resync(spark, sf_dir):
@@ -199,7 +271,10 @@ QUERIES = {
     "stream_task": stream_task,
     "backlog": backlog,
     "stream_has_data": stream_has_data,
+    "change_register": change_register,
     "stream_apply": stream_apply,
+    "stream_rejected": stream_rejected,
+    "bucketed_merge": bucketed_merge,
     "resync": resync,
     "snapshot": snapshot,
     "append": append,
@@ -220,6 +295,27 @@ SELECT count(*) AS n_applied, true AS probe_0, false AS probe_1, true AS probe_2
 WITH last AS (SELECT user_id, event_id, ts, event_type, value FROM events
               QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT user_id, event_id, ts AS event_time, 'UPSERT' AS operation, value AS amount FROM last WHERE event_type <> 'error'
+""",
+    "change_register": """
+SELECT 'events' AS source_name, max(ts) AS changed_at, count(*) AS n_rows FROM events
+UNION ALL SELECT 'orders', max(o_orderdate), count(*) FROM orders
+""",
+    "stream_rejected": """
+WITH batch AS (SELECT 0 AS batch_id, event_id FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+               UNION ALL SELECT 1, event_id FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
+               UNION ALL SELECT 2, event_id FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'),
+doc AS (SELECT batch_id, event_id % 10 AS k, event_type, ts, CASE WHEN event_type = 'error' THEN 'DELETE' ELSE 'UPSERT' END AS op,
+               user_id, event_id, value FROM batch JOIN events USING (event_id) WHERE event_id % 10 BETWEEN 3 AND 5)
+SELECT batch_id, CASE k WHEN 3 THEN 'unreadable' WHEN 4 THEN 'no key' ELSE 'no time' END AS reason, count(*) AS n_documents,
+       CASE k WHEN 3 THEN count(DISTINCT (op, strftime(ts, '%Y-%m-%d %H:%M')[1:4])) WHEN 4 THEN count(DISTINCT (op, ts))
+              ELSE count(DISTINCT (op, event_id)) END AS n_distinct
+FROM doc GROUP BY batch_id, k
+""",
+    "bucketed_merge": """
+WITH chosen AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey % 50 = 0)
+SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 50 = 0 THEN o_totalprice + 1000 ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE o_custkey % 50 <> 0 OR o_orderkey % 3 <> 0
+UNION ALL SELECT o_orderkey + 100000000, o_custkey, o_totalprice FROM chosen
 """,
     "resync": """
 WITH rebuilt AS (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'

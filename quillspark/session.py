@@ -121,6 +121,24 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{root}/quillspark/{leaf}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in whatever store ``path`` names."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote (nothing happens if it is gone)."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def _value_bytes(c: Column, t: T.DataType) -> Column:
     """Bytes of one value, real lengths of text, arrays and maps included."""
     if isinstance(t, (T.StringType, T.BinaryType)):
@@ -133,12 +151,10 @@ def _value_bytes(c: Column, t: T.DataType) -> Column:
             out = out + _value_bytes(c[f.name], f.dataType)
         return out
     if isinstance(t, T.ArrayType):
-        n = F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
-        text = F.coalesce(F.octet_length(F.array_join(c, "")), F.lit(0)) if isinstance(t.elementType, T.StringType) else F.lit(0)
-        return 16 + 32 * n + text
+        each = F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc + _value_bytes(x, t.elementType).cast("long"))
+        return 16 + F.coalesce(each, F.lit(0))
     if isinstance(t, T.MapType):
-        return 16 + 64 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) + F.coalesce(
-            F.octet_length(F.to_json(c)), F.lit(0))
+        return 16 + _value_bytes(F.map_keys(c), T.ArrayType(t.keyType)) + _value_bytes(F.map_values(c), T.ArrayType(t.valueType))
     return F.lit(16)
 
 

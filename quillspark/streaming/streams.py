@@ -6,10 +6,11 @@
   (O-R2); a scheduled task is a ``processingTime`` trigger, and micro-batches
   without new files are skipped (O-R3);
 * draining moves the offset and writes nothing (O-R6);
-* backlog and has-data compare the staged files with those applied, by the file
-  name that each applied row carries (O-R4, O-R5);
+* backlog and has-data compare the staged files with those applied, by a manifest
+  that each batch writes or by the file name that each applied row carries (O-R4, O-R5);
 * resync replays a table from scratch and compares counts and keys (O-R9);
-* a typed table is kept current from staged JSON documents by ``foreachBatch``.
+* a typed table is kept current from staged JSON documents by ``foreachBatch``,
+  bucket by bucket, and documents that can't be applied have an output of their own.
 
 Exactly-once into plain parquet: every micro-batch writes its own folder
 ``run=<checkpoint>/batch_id=<id>`` with overwrite, so a retried batch replaces
@@ -21,15 +22,16 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.functions.scalar import json_fields
+from quillspark.operators.bucketed import BUCKETS, merge_buckets, read_buckets
 from quillspark.operators.merge import apply_cdc
 from quillspark.operators.reconcile import except_keys, reconcile_counts, row_counts
-from quillspark.session import work_path
+from quillspark.session import delete_path, path_exists, work_path
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -104,32 +106,71 @@ def discard(batch: DataFrame, batch_id: int) -> None:
     return None
 
 
-def append_writer(target: str, checkpoint: str) -> BatchFn:
+def _run_id(checkpoint: str) -> str:
+    """Names a checkpoint in the folders that its batches write."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
+def append_writer(target: str, checkpoint: str, manifest: str | None = None) -> BatchFn:
     """Batch handler appending each micro-batch as its own folder of ``target``.
 
     The folder is ``run=<id>/batch_id=<n>``; the id belongs to ``checkpoint``, in
     which batches count from 0.  Overwrite of the batch's own folder makes a
     retried batch idempotent, and a second checkpoint on the same target adds
     its rows beside the first one's.
+
+    ``manifest`` names a folder for the batch's input files, written in the same
+    way after the rows (the stream must be read ``with_file``).  The staged files
+    that it lacks are the backlog: no applied row has to be read to know them.
     """
-    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    run = _run_id(checkpoint)
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/run={run}/batch_id={batch_id}")
+        at = f"run={run}/batch_id={batch_id}"
+        if manifest is None:
+            batch.write.mode("overwrite").parquet(f"{target}/{at}")
+            return
+        batch.drop(FILE_COL).write.mode("overwrite").parquet(f"{target}/{at}")
+        batch.select(FILE_COL).distinct().write.mode("overwrite").parquet(f"{manifest}/{at}")
     return _write
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds at least one entry (file or folder)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
+def staged_files(spark: SparkSession, path: str, path_glob: str = "*.parquet") -> DataFrame:
+    """``(__file)``: the files of a staging folder, from its listing alone.
+
+    The binary-file source lists files as rows; its ``content`` is not read.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", path_glob).load(path)
+    return listing.select(F.col("_metadata.file_path").alias(FILE_COL))
+
+
+def applied_files(spark: SparkSession, manifest: str) -> DataFrame:
+    """``(__file)``: the files that batches have applied, as their manifests say."""
+    if not path_exists(spark, manifest):
+        return spark.createDataFrame([], f"{FILE_COL} string")
+    return spark.read.schema(f"{FILE_COL} string").parquet(manifest).select(FILE_COL)
+
+
+def waiting_files(spark: SparkSession, path: str, manifest: str, path_glob: str = "*.parquet") -> DataFrame:
+    """``(__file)``: staged files that no batch has applied (listing minus manifest).
+
+    A file without rows never shows in a batch, so it would wait forever; probe
+    rows with ``waiting_rows`` where such files are staged.
+    """
+    return staged_files(spark, path, path_glob).join(applied_files(spark, manifest), FILE_COL, "left_anti")
+
+
+def waiting_rows(spark: SparkSession, path: str, schema: T.StructType, manifest: str) -> DataFrame:
+    """Staged rows of the files that no batch has applied.  Neither the target nor a
+    file name passes the driver: rows meet the manifest by an anti join on their file."""
+    staged = spark.read.schema(schema).parquet(path)
+    filed = staged.select("*", F.col("_metadata.file_path").alias(FILE_COL))
+    return filed.join(applied_files(spark, manifest), FILE_COL, "left_anti").select(*schema.fieldNames())
 
 
 def read_appended(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """The table written by ``append_writer`` (empty before the first batch)."""
-    if not _exists(spark, target):
+    if not path_exists(spark, target):
         return spark.createDataFrame([], schema)
     df = spark.read.schema(schema).parquet(target)
     return df.select(*schema.fieldNames())
@@ -148,12 +189,13 @@ def pending_files(staged: DataFrame, applied: DataFrame) -> DataFrame:
 def backlog(spark: SparkSession, staged_path: str, schema: T.StructType, applied: DataFrame) -> DataFrame:
     """Staged rows not applied yet, without consuming them.
 
-    ``applied`` is the target of a stream read ``with_file``.  Only the pending
-    files are read: their names (those staged since the last run) select them.
+    ``applied`` is the target of a stream read ``with_file``.  Rows are selected by a
+    join on their file, so no file name is collected and any folder name will do.
+    ``waiting_rows`` answers the same from a manifest, without reading the target.
     """
     staged = spark.read.schema(schema).parquet(staged_path)
-    names = [r[FILE_COL] for r in pending_files(staged, applied).collect()]
-    return spark.read.schema(schema).parquet(*names) if names else spark.createDataFrame([], schema)
+    filed = staged.select("*", F.col("_metadata.file_path").alias(FILE_COL))
+    return filed.join(pending_files(staged, applied), FILE_COL, "left_semi").select(*schema.fieldNames())
 
 
 def has_data(spark: SparkSession, staged_path: str, schema: T.StructType, applied: DataFrame) -> bool:
@@ -161,36 +203,77 @@ def has_data(spark: SparkSession, staged_path: str, schema: T.StructType, applie
     return not pending_files(spark.read.schema(schema).parquet(staged_path), applied).isEmpty()
 
 
+# Why a document was not applied.
+UNREADABLE, NO_KEY, NO_TIME = "unreadable", "no key", "no time"
+
+
+def rejection(doc_col: str, readable: str, keys: Sequence[str], ts_col: str) -> Column:
+    """Why a parsed document can't be applied, NULL if it can."""
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    return (F.when(F.col(doc_col).isNull() | ~F.col(readable), UNREADABLE).when(no_key, NO_KEY)
+            .when(F.col(ts_col).isNull(), NO_TIME))
+
+
 def typed_table_writer(spark: SparkSession, target: str, schema: T.StructType, doc_col: str,
                        fields: Mapping[str, tuple[str, str]], keys: Sequence[str], op_col: str, ts_col: str,
-                       tie: str | None = None, deleted_col: str = "is_deleted", delete_value: str = "DELETE") -> BatchFn:
+                       tie: str | None = None, deleted_col: str = "is_deleted", delete_value: str = "DELETE",
+                       buckets: int = BUCKETS) -> BatchFn:
     """Batch handler keeping a typed table current from staged JSON documents.
 
     Each batch takes ``fields`` from the document by JSON path, keeps the latest
     event per key and merges it (``apply_cdc``): an event that is not newer than
     the row changes nothing, a delete marks the row in ``deleted_col``.  ``schema``
-    is the table's, with ``deleted_col``.  Batch ``n`` reads the table after batch
-    ``n - 1`` and writes its own folder, so a retried batch writes the same again.
+    is the table's, with ``deleted_col``.
+
+    The table under ``<target>/table`` is laid out in ``buckets`` key-hash buckets,
+    and a batch rewrites only those that its events touch (``merge_buckets``).
+    Documents that are not JSON, have no key or no time are not merged: they go,
+    with the reason, to ``<target>/rejected`` (``read_rejected``), so a replayed
+    stream adds no row to the table for them.  A retried batch writes the same
+    again; the batch's own folder is removed once the next batch begins.
     """
+    table, keys = f"{target}/table", list(keys)
+
     def _apply(batch: DataFrame, batch_id: int) -> None:
-        before = f"{target}/after={batch_id - 1}"
-        table = spark.read.schema(schema).parquet(before) if batch_id else spark.createDataFrame([], schema)
-        events = json_fields(batch, doc_col, fields, keep=False).select(*fields)
+        work = f"{target}/work/batch_id={batch_id}"
+        if batch_id:
+            delete_path(spark, f"{target}/work/batch_id={batch_id - 1}")
+        # Parsed once: the read copy feeds both outputs.
+        if not path_exists(spark, f"{work}/parsed/_SUCCESS"):
+            parsed = json_fields(batch.select(doc_col), doc_col, {**fields, "__any": ("$", "variant")})
+            (parsed.withColumn("__any", F.col("__any").isNotNull())
+             .withColumn("__reason", rejection(doc_col, "__any", keys, ts_col))
+             .drop("__any").write.mode("overwrite").parquet(f"{work}/parsed"))
+        parsed = spark.read.parquet(f"{work}/parsed")
+        (parsed.filter(F.col("__reason").isNotNull()).select(F.col(doc_col).alias("document"), F.col("__reason").alias("reason"))
+         .write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}"))
+        events = parsed.filter(F.col("__reason").isNull()).select(*fields)
         cols = [f.name for f in schema.fields if f.name not in keys and f.name != deleted_col]
-        new = apply_cdc(table, events, keys, op_col, ts_col, tie, delete_value, cols, deleted_col)
-        new.write.mode("overwrite").parquet(f"{target}/after={batch_id}")
+        merge_buckets(spark, table, schema, events, keys,
+                      lambda rows, changes: apply_cdc(rows, changes, keys, op_col, ts_col, tie, delete_value, cols, deleted_col),
+                      work, buckets)
     return _apply
 
 
 def read_typed_table(spark: SparkSession, target: str, schema: T.StructType, batches: int,
                      deleted_col: str = "is_deleted") -> DataFrame:
-    """The table after ``batches`` batches, without its deleted rows."""
+    """The typed table after its last batch, without its deleted rows (empty if ``batches`` is 0)."""
     if not batches:
         return spark.createDataFrame([], schema).drop(deleted_col)
-    df = spark.read.schema(schema).parquet(f"{target}/after={batches - 1}")
+    df = read_buckets(spark, f"{target}/table", schema)
     return df.filter(~F.coalesce(F.col(deleted_col), F.lit(False))).drop(deleted_col)
 
 
+def read_rejected(spark: SparkSession, target: str) -> DataFrame:
+    """``(document, reason, batch_id)``: documents that the typed table's batches did not apply."""
+    schema = "document string, reason string, batch_id int"
+    if not path_exists(spark, f"{target}/rejected"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{target}/rejected")
+
+
 def resync(spark: SparkSession, staged_path: str, schema: T.StructType, target: str, key: str,
            name: str = "table", path_glob: str | None = None) -> tuple[DataFrame, str]:
     """Back up, truncate, reset, replay and compare counts and keys.
