@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.session import BROADCAST_MAX_BYTES, work_path
 from quillspark.session import fits_broadcast as fits
@@ -52,3 +53,34 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def comparable(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` in a form that can be hashed and compared: maps and variants as JSON."""
+    return [F.to_json(F.struct(F.col(f"`{f.name}`").alias("v"))) if _has_map(f.dataType) else F.col(f"`{f.name}`")
+            for f in df.schema.fields]
+
+
+def numbered(rows: DataFrame, order: list[str], name: str, stage: str) -> DataFrame:
+    """``rows`` with their place in ``order``, from 0, without a task that holds them all.
+
+    Rows are range-sorted and written; a row's place is its place in its range
+    plus the sizes of the ranges before, of which there are as many as partitions.
+    The order must tell rows apart, so that equal keys never fill one range.
+    """
+    laid = staged(rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                  .withColumn("_at", F.monotonically_increasing_id()), stage)
+    part = F.shiftright("_at", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = laid.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # a row per partition
+    place = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return laid.withColumn("_part", part).join(F.broadcast(starts), "_part").select(*rows.columns, place.alias(name))

@@ -8,9 +8,10 @@ then holds each source in proportion.
 The rank within a source needs no task that holds a whole source: the hash range
 is cut into equal buckets, bucket sizes are counted in a first pass over two
 narrow columns and summed up to each bucket's first rank, and only rows of one
-(source, bucket) are sorted together.  The place in the whole sequence is then
-arithmetic: a row of fraction f follows, in each source, exactly the rows of a
-smaller fraction, and their number follows from that source's size.
+(source, bucket) are sorted together.  The places in the whole sequence follow from
+the sources' sizes alone: every (source, rank) is generated, range-sorted by its
+exact fraction and numbered, and meets its row by an equi-join.  Nothing is done
+per row and source, so many sources cost what few do.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import checked_broadcast, free_name, staged
+from quillspark.llm.common import checked_broadcast, comparable, free_name, numbered, staged
 
 #: Rows that one (source, bucket) holds on average, at most.
 BUCKET_ROWS = 2048
 
+#: Ranks that one row of a block stands for, as a power of two.
+BLOCK_BITS = 12
+
 
 def _bucket(key: Column, buckets: Column) -> Column:
     """Equal ranges of a hash-random long, in its order."""
@@ -30,6 +34,30 @@ def _bucket(key: Column, buckets: Column) -> Column:
     return F.shiftright(high * buckets, 32).cast("long")
 
 
+def fraction_key(rank: Column, size: Column) -> tuple[Column, Column]:
+    """Two longs that sort like ``(2 rank + 1) / (2 size)`` and are equal where it is.
+
+    They hold its first 100 binary digits; fractions of sources of fewer than 2^41
+    rows that differ do so within the first 84.
+    """
+    whole, rest, digits = 2 * size, 2 * rank + 1, []
+    for _ in range(5):
+        digits.append(F.call_function("div", F.shiftleft(rest, 20), whole))
+        rest = F.shiftleft(rest, 20) % whole
+    a, b, c, d, e = digits
+    return (F.shiftleft(a, 40).bitwiseOR(F.shiftleft(b, 20)).bitwiseOR(c), F.shiftleft(d, 20).bitwiseOR(e))
+
+
+def places(sizes: DataFrame, src: str, size: str) -> DataFrame:
+    """``src, rank, pos``: the place of every rank of every source in the whole sequence."""
+    last = F.col(size) - 1
+    blocks = sizes.select(src, size, F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(last, BLOCK_BITS))).alias("block"))
+    low = F.shiftleft("block", BLOCK_BITS)
+    ranks = blocks.repartition(src, "block").select(src, size, F.explode(F.sequence(low, F.least(low + ((1 << BLOCK_BITS) - 1), last))).alias("rank"))
+    a, b = fraction_key(F.col("rank"), F.col(size))
+    return numbered(ranks.select(src, "rank", a.alias("a"), b.alias("b")), ["a", "b", src], "pos", "places").select(src, "rank", "pos")
+
+
 def stratified_shards(rows: DataFrame, shards: int, by: str = "source", key: tuple[str, ...] = ("doc_id",),
                       seed: int = 17, shard: str = "shard", slot: str = "slot",
                       bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -37,28 +65,25 @@ def stratified_shards(rows: DataFrame, shards: int, by: str = "source", key: tup
     (gapless from 0 within the shard).
 
     Shard sizes differ by one row at most, and each source's rows are spread
-    over the shards in proportion.  A null source is a source of its own.  Rows
-    are shuffled by a hash of ``key``; rows with equal keys are ordered by their
-    other columns' hash, and wholly equal rows take neighbouring places.  An
-    empty table stays empty.  With fewer rows than shards, some shards are empty.
+    over the shards in proportion.  A null source is a source of its own; equal
+    fractions of several sources follow the sources' names.  Rows are shuffled by a
+    hash of ``key``; rows with equal keys are ordered by their other columns' hash,
+    and wholly equal rows take neighbouring places.  Columns of ``rows`` that are
+    called ``shard`` or ``slot`` are replaced.  An empty table stays empty.  With
+    fewer rows than shards, some shards are empty.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    n = {k: free_name(rows, f"_q_{k}") for k in ("src", "key", "bucket", "first", "rank", "size", "of", "at", "pos",
-                                                 "buckets", "strata")}
+    n = {k: free_name(rows, f"_q_{k}") for k in ("src", "key", "bucket", "first", "rank", "size", "of", "pos", "buckets")}
     src = F.coalesce(F.concat(F.lit("s"), F.col(f"`{by}`").cast("string")), F.lit("n"))
     keyed = rows.select("*", src.alias(n["src"]),
                         F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in key]).alias(n["key"]))
 
     # Pass 1, narrow columns only: one row per source, then one per (source, bucket).
     sizes = keyed.groupBy(n["src"]).agg(F.count(F.lit(1)).alias(n["size"]))
-    lined = Window.orderBy(n["src"])  # one row per source
-    sizes = staged(sizes.select("*", F.ceil(F.col(n["size"]) / bucket_rows).cast("long").alias(n["buckets"]),
-                                F.row_number().over(lined).cast("long").alias(n["at"])), "strata")
+    sizes = staged(sizes.select("*", F.ceil(F.col(n["size"]) / bucket_rows).cast("long").alias(n["buckets"])), "strata")
     of = sizes.agg(F.sum(n["size"])).scalar()
-    strata = sizes.agg(F.collect_list(F.struct(F.col(n["at"]).alias("at"),
-                                               F.col(n["size"]).cast("decimal(18,0)").alias("size")))).scalar()
-    keyed = keyed.join(checked_broadcast(sizes), n["src"]).withColumn(
+    keyed = keyed.join(checked_broadcast(sizes.select(n["src"], n["buckets"])), n["src"]).withColumn(
         n["bucket"], _bucket(F.col(n["key"]), F.col(n["buckets"])))
     below = Window.partitionBy(n["src"]).orderBy(n["bucket"]).rowsBetween(Window.unboundedPreceding, -1)
     starts = (keyed.groupBy(n["src"], n["bucket"]).agg(F.count(F.lit(1)).alias("n"))
@@ -66,23 +91,13 @@ def stratified_shards(rows: DataFrame, shards: int, by: str = "source", key: tup
 
     # Pass 2: rank inside a bucket, then the place in the whole sequence.
     order = Window.partitionBy(n["src"], n["bucket"]).orderBy(
-        n["key"], *[F.col(f"`{k}`") for k in key], F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
+        n["key"], *[F.col(f"`{k}`") for k in key], F.xxhash64(*comparable(rows)))
     ranked = (keyed.withColumn(n["rank"], F.row_number().over(order) - 1)
               .join(starts, [n["src"], n["bucket"]])
               .withColumn(n["rank"], F.col(n["rank"]) + F.col(n["first"])))
-    odd = (2 * F.col(n["rank"]) + 1).cast("decimal(18,0)")
-    size, at = F.col(n["size"]).cast("decimal(18,0)"), F.col(n["at"])
-
-    def before(s: Column) -> Column:
-        # Rows r of a source of s.size rows with (2r + 1) / s.size < odd / size,
-        # or an equal fraction in a source that comes earlier.
-        reach = odd * s["size"] - F.when(s["at"] < at, F.lit(0)).otherwise(F.lit(1)).cast("decimal(18,0)")
-        return F.floor((F.call_function("div", reach, size) + 1) / 2).cast("long")
-
-    pos = F.aggregate(F.col(n["strata"]), F.lit(0).cast("long"), lambda acc, s: acc + before(s))
-    out = ranked.withColumn(n["strata"], strata).withColumn(n["of"], of).withColumn(n["pos"], pos)
+    place = places(sizes, n["src"], n["size"]).toDF(n["src"], n["rank"], n["pos"])
+    out = ranked.join(place.hint("merge"), [n["src"], n["rank"]]).withColumn(n["of"], of)
     cut = F.call_function("div", F.col(n["pos"]) * shards, F.col(n["of"]))
-    out = out.withColumn(shard, cut.cast("int"))
+    out = out.select(*[F.col(f"`{c}`") for c in rows.columns if c not in (shard, slot)], n["pos"], n["of"], cut.cast("int").alias(shard))
     first = F.call_function("div", F.col(shard).cast("long") * F.col(n["of"]) + (shards - 1), F.lit(shards).cast("long"))
-    out = out.withColumn(slot, (F.col(n["pos"]) - first).cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in rows.columns if c not in (shard, slot)], shard, slot)
+    return out.withColumn(slot, (F.col(n["pos"]) - first).cast("long")).drop(n["pos"], n["of"])

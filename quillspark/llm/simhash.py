@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import bounded_batches, free_name, staged
+from quillspark.llm.common import bounded_batches, comparable, free_name, staged
 from quillspark.llm.graph import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -211,7 +211,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, node: int = NODE, fan: int =
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
                     seed: int = SEED, max_bits: int = MAX_BITS, node: int = NODE, fan: int = FAN, top: int = TOP,
-                    group: int = GROUP) -> DataFrame:
+                    group: int = GROUP, row: str | None = None) -> DataFrame:
     """``doc_id, fp, component_id, component_fp, text_a, text_b`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` that links of at most
@@ -220,19 +220,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     component; a null ``doc_id`` names no component (null only if no linked row
     has an id).  ``component_fp`` is the smallest fingerprint of the component,
     which names it also where ids repeat or are null; ``text_a`` and ``text_b``
-    are hashes of the row's text.  An empty table gives an empty result.
+    are hashes of the row's text.  ``row`` names a column that is carried along as
+    ``row``.  An empty table gives an empty result.
     """
     bounded_batches(docs.sparkSession)
     a, b = _text_key(F.col(f"`{text}`"))
     rows = staged(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprint_column(text, shingle, seed).alias("fp"),
-                              a.alias("text_a"), b.alias("text_b")), "fingerprints")
+                              a.alias("text_a"), b.alias("text_b"), *[F.col(f"`{c}`").alias("row") for c in (row,) if c]),
+                  "fingerprints")
     fps = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     linked = components(links(fps.select("fp"), max_bits, node, fan, top, group))
     named = (fps.join(linked, fps["fp"] == linked["node"], "left")
              .select("fp", "first", F.coalesce("component", "fp").alias("component")))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     return rows.join(named.join(smallest, "component").select("fp", "component_id", F.col("component").alias("component_fp")), "fp").select(
-        "doc_id", "fp", "component_id", "component_fp", "text_a", "text_b")
+        "doc_id", "fp", "component_id", "component_fp", "text_a", "text_b", *["row" for c in (row,) if c])
 
 
 def _text_key(text: Column) -> tuple[Column, Column]:
@@ -267,5 +269,22 @@ def keep_first(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text:
     rest = out.join(again, same(out, again), "left_semi")
     x, y = _text_key(F.col(f"`{text}`"))
     one = rest.groupBy(F.col(f"`{doc_id}`").alias(a), x.alias(b), y.alias(c)).agg(
-        F.min(F.struct(*[F.col(f"`{n}`") for n in docs.columns])).alias("_row"))
+        F.min_by(F.struct(*[F.col(f"`{n}`") for n in docs.columns]), F.struct(*comparable(docs))).alias("_row"))
     return once.unionByName(one.select("_row.*"))
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``docs`` with one row of each component of near duplicates: the smallest id
+    (null ids last), of its texts the smallest hash, of equal rows the first.
+
+    Rows are numbered in a staged copy and decided by number alone: the decision
+    is a partial minimum per component over narrow rows, and the texts move once,
+    to the numbers that stay.  That plan is the same at every size.  All columns,
+    of any type, are kept as they are; an empty table stays empty.
+    """
+    row = free_name(docs, "_row")
+    rows = staged(docs.select("*", F.monotonically_increasing_id().alias(row)), "numbered")
+    found = near_duplicates(rows, text, doc_id, row=row, **settings)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_a", "text_b", "row")
+    first = found.groupBy("component_fp").agg(F.min(key).alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(first.hint("merge"), row, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])

@@ -347,3 +347,52 @@ def test_sharding_query_and_edges(spark):
     assert sharding.stratified_shards(same.limit(0), 4).count() == 0
     clash = same.withColumn("shard", F.lit("old")).withColumn("_q_src", F.lit(1))
     assert sharding.stratified_shards(clash, 4).columns[-2:] == ["shard", "slot"]
+
+
+# --- rows of any type, many sources -------------------------------------------------------
+
+def test_deduplicate_like_keep_first_and_with_maps(spark):
+    a, b, c, d = ("one text of some plain words", "another story about the sea and wind", "numbers go up and down at night",
+                  "a fourth thing nobody said before today")
+    rows = [(1, a), (5, a), (5, b), (5, c), (5, c), (9, c), (None, d), (None, d), (None, a), (7, None), (8, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).withColumn("_row", F.lit("clash"))
+    want = Counter([(1, a), (5, b), (5, c), (None, d), (7, None)])
+    assert Counter((r["doc_id"], r["text"]) for r in simhash.deduplicate(df).collect()) == want
+    held = df.withColumn("extra", F.create_map(F.lit("k"), F.array(F.col("n_chars"))))
+    got = simhash.deduplicate(held)
+    assert got.columns == held.columns and Counter((r["doc_id"], r["text"]) for r in got.collect()) == want
+    assert Counter((r["doc_id"], r["text"]) for r in simhash.keep_first(df, simhash.near_duplicates(df)).collect()) == want
+    assert simhash.deduplicate(held.limit(0)).count() == 0
+
+
+def test_deduplicate_moves_texts_by_one_join_at_every_size(spark):
+    df = spark.createDataFrame([(i, f"text number {i} of a few", "en", "s", 1) for i in range(30)], DOCS)
+    plan = simhash.deduplicate(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 1 and "LeftSemi" in plan and "component_fp" not in plan.split("LeftSemi")[0]
+
+
+def test_sharding_of_many_sources_and_maps(spark):
+    rows = [(i, "t", "en", f"s{i % 300}" if i < 600 else f"one{i}", 0) for i in range(900)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
+    got = sharding.stratified_shards(df, 7, bucket_rows=5).collect()
+    by = defaultdict(list)
+    for x in got:
+        by[x["shard"]].append(x)
+    assert len(got) == 900 and all(sorted(x["slot"] for x in v) == list(range(len(v))) for v in by.values())
+    seq = [x["source"] for s in sorted(by) for x in sorted(by[s], key=lambda x: x["slot"])]
+    want = sorted(((2 * k + 1) / (2 * m), s) for s, m in Counter(x["source"] for x in got).items() for k in range(m))
+    assert seq == [s for _, s in want]
+
+
+def test_fraction_keys_sort_like_fractions(spark):
+    from fractions import Fraction
+    r = random.Random(6)
+    cells = [(k, m) for m in range(1, 25) for k in range(m)]
+    for m in (2 ** 40 - 1, 2 ** 40 - 2, 10 ** 12, 3 * 10 ** 11 + 1):
+        k = r.randrange(m)
+        cells += [(k, m), (k + 1 if k + 1 < m else 0, m), (0, m), (m - 1, m), (m // 2, m)]
+    df = spark.createDataFrame(cells, "k long, m long")
+    a, b = sharding.fraction_key(F.col("k"), F.col("m"))
+    got = [(Fraction(2 * x["k"] + 1, 2 * x["m"]), x["a"], x["b"]) for x in df.select("k", "m", a.alias("a"), b.alias("b")).collect()]
+    assert len({f for f, *_ in got}) == len({x[1:] for x in got})
+    assert [f for f, *_ in sorted(got)] == [f for f, *_ in sorted(got, key=lambda x: x[1:])]
