@@ -31,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.keep_first(docs, simhash.near_duplicates(docs))
+    return simhash.deduplicate(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
