@@ -17,9 +17,10 @@ avoids pairs:
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,6 +46,45 @@ def match_reversals(claims: DataFrame, reversals: DataFrame, keys: Sequence[str]
     return claims.join(r, cond, "inner").drop(*[f"__rk_{k}" for k in keys])
 
 
+#: Time buckets over which one reversal is spread, about.
+SPREAD = 16
+
+
+def time_bucket(time: Column, step: dt.timedelta) -> Column:
+    """Number of the ``step``-wide bucket of a time (session time zone UTC, which the library sets)."""
+    return F.floor(F.unix_micros(time.cast("timestamp")) / F.lit(step // dt.timedelta(microseconds=1))).cast("long")
+
+
+def match_in_window(claims: DataFrame, reversals: DataFrame, keys: Sequence[str], claim_time: str, rev_time: str,
+                    at_most: dt.timedelta, more_than: dt.timedelta = dt.timedelta(0), step: dt.timedelta | None = None,
+                    rev_prefix: str = "rev_") -> DataFrame:
+    """All (claim, reversal) pairs of equal ``keys`` with ``more_than < reversal time - claim time <= at_most``.
+
+    An interval join in time buckets: a claim lies in the one bucket of its time, a
+    reversal is repeated for every bucket in which a claim of its window can lie,
+    and both meet by keys *and* bucket, with the exact bounds as a residual.  So a
+    pair is found once, and a hot key is spread over the buckets of its times
+    instead of meeting itself whole in one task.  ``step`` is the bucket's width
+    (by default a ``SPREAD``-th of the window, a day at least, so a reversal is
+    repeated ``SPREAD`` times or so).  NULL keys and times match nothing.
+    """
+    if at_most <= more_than:
+        raise ValueError("the window is empty")
+    keys, step = list(keys), step or max(dt.timedelta(days=1), (at_most - more_than) / SPREAD)
+    c = claims.withColumn("__bucket", time_bucket(F.col(claim_time), step))
+    t = F.col(rev_time)
+    first, last = time_bucket(t - F.lit(at_most), step), time_bucket(t - F.lit(more_than), step)
+    r = reversals.filter(t.isNotNull()).select(
+        *[F.col(k).alias(f"__rk_{k}") for k in keys], *[F.col(x).alias(f"{rev_prefix}{x}") for x in reversals.columns if x not in keys],
+        F.explode(F.sequence(first, last)).alias("__rbucket"))
+    cond = F.col("__bucket") == F.col("__rbucket")
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"__rk_{k}"))
+    rev = F.col(f"{rev_prefix}{rev_time}")
+    cond = cond & (F.col(claim_time) + F.lit(more_than) < rev) & (rev <= F.col(claim_time) + F.lit(at_most))
+    return c.join(r, cond, "inner").drop("__bucket", "__rbucket", *[f"__rk_{k}" for k in keys])
+
+
 def count_matches(claims: DataFrame, reversals: DataFrame, keys: Sequence[str],
                   claim_time: str, rev_time: str) -> DataFrame:
     """Dry run of the update: number of pairs and of matched claims.

@@ -37,6 +37,45 @@ def recluster(df: DataFrame, ts_text: Column, type_col: Column, n_parts: int | N
                .sortWithinPartitions(bucket_name, "__ctype").drop("__ctype", "__tie"))
 
 
+def write_clustered(df: DataFrame, path: str, ts_text: Column, type_col: Column, rows_per_file: int,
+                    unit: str = "day", bucket_name: str = "cluster_day") -> DataFrame:
+    """Write ``recluster``'s layout with at most ``rows_per_file`` rows in a file, and read it back.
+
+    Within a partition rows are sorted, so cutting it into files cuts its (bucket,
+    type) range; a bucket that holds a large share of the rows becomes many files.
+    """
+    out = recluster(df, ts_text, type_col, unit=unit, bucket_name=bucket_name)
+    out.write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def file_ranges(df: DataFrame, bucket: Column, type_col: Column) -> DataFrame:
+    """``file, low_bucket, high_bucket, low_type, high_type, n_rows`` of every file of a parquet
+    table: what the statistics of a file let a scan know about it."""
+    return (df.select(F.col("_metadata.file_path").alias("file"), bucket.alias("__b"), type_col.cast("string").alias("__t"))
+            .groupBy("file").agg(F.min("__b").alias("low_bucket"), F.max("__b").alias("high_bucket"),
+                                 F.min("__t").alias("low_type"), F.max("__t").alias("high_type"), F.count(F.lit(1)).alias("n_rows")))
+
+
+def files_met(df: DataFrame, bucket: Column, type_col: Column, step: str = "1 day") -> DataFrame:
+    """``bucket, type, n_rows, n_files``: how many files a filter on one (bucket, type) can't skip.
+
+    A file is met if both values lie within its ranges.  Files are spread over the
+    buckets that they reach and meet the (bucket, type) pairs by an equi-join.
+    """
+    wanted = df.select(bucket.alias("bucket"), type_col.cast("string").alias("type")).groupBy("bucket", "type").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    buckets = wanted.select("bucket").distinct()
+    ranges = file_ranges(df, bucket, type_col)
+    step_sql = F.expr(f"INTERVAL {step}")
+    # A file that also holds the bad-date bucket reaches from there on; only buckets that exist are kept.
+    reach = ranges.select("low_type", "high_type", F.explode(F.sequence("low_bucket", "high_bucket", step_sql)).alias("bucket")).join(
+        buckets, "bucket", "left_semi")
+    met = wanted.join(reach, "bucket").filter(F.col("type").between(F.col("low_type"), F.col("high_type")))
+    n = met.groupBy("bucket", "type").agg(F.count(F.lit(1)).alias("n_files"))
+    return wanted.join(n, ["bucket", "type"]).select("bucket", "type", "n_rows", "n_files")
+
+
 def ordered_concat(df: DataFrame, group, value: str, order: str, sep: str = ", ",
                    name: str = "values") -> DataFrame:
     """``LISTAGG(value, sep) WITHIN GROUP (ORDER BY order)`` per group.

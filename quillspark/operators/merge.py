@@ -63,6 +63,19 @@ def unique_by_key(df: DataFrame, keys: Sequence[str], what: str = "merge") -> Da
     return g.select(*df.columns).unionByName(nullk)
 
 
+def split_repeats(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of keys that occur once, and the rows of keys that repeat, to be reported.
+
+    One aggregate over the keys gives the first; the second are the rows that meet a
+    repeated key again.  Rows with a NULL key part match nothing, so they are never
+    repeats and stay with the first.  Together the two hold every row.
+    """
+    keys = list(keys)
+    g = df.filter(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*df.columns)).alias("__r"))
+    once = g.filter(F.col("__n") == 1).select("__r.*").unionByName(df.filter(_any_null(keys)))
+    return once, df.join(g.filter(F.col("__n") > 1).select(*keys), keys, "left_semi")
+
+
 def _materialize(changes: DataFrame) -> DataFrame:
     """Compute the (deduplicated) change set once.
 
@@ -116,7 +129,7 @@ def _merge(target: DataFrame, changes: DataFrame, keys: Sequence[str], set_cols:
 
 def merge_change_flags(target: DataFrame, delta: DataFrame, keys: Sequence[str], flag: str,
                        cols: Sequence[str] | None = None, newer: tuple[str, ...] = (),
-                       broadcast: bool | None = None) -> DataFrame:
+                       broadcast: bool | None = None, unique: bool = False) -> DataFrame:
     """MERGE driven by a change flag.
 
     matched + DELETED removes the target row; matched + UPDATED overwrites
@@ -129,7 +142,8 @@ def merge_change_flags(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     ``newer`` names version columns that both sides hold, most significant
     first: a matched change that is not newer than its target row is ignored.
     ``broadcast`` forces a plan; by default the written change set's measured
-    bytes decide.  The rows are the same either way.
+    bytes decide.  The rows are the same either way.  ``unique`` says that no key
+    repeats in ``delta`` (as after ``split_repeats``), which saves the check.
     """
     keys = list(keys)
     if cols is None:
@@ -139,7 +153,7 @@ def merge_change_flags(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     d = delta.select(*[F.col(k).cast(types[k]).alias(k) for k in keys],
                      *[F.col(c).cast(types[c]).alias(f"__c_{c}") for c in carried],
                      F.col(flag).alias("__flag"), F.lit(True).alias("__m"))
-    d = _materialize(unique_by_key(d, keys))
+    d = _materialize(d if unique else unique_by_key(d, keys))
     fl = F.col("__flag")
     fresh = F.lit(True)
     if newer:
@@ -153,6 +167,18 @@ def merge_change_flags(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     return _merge(target, d, keys, dict.fromkeys(cols), keep, take, insert, small)
 
 
+def merge_guarded(target: DataFrame, delta: DataFrame, keys: Sequence[str], flag: str, **options) -> tuple[DataFrame, DataFrame]:
+    """The change-flag merge behind its repeat guard: ``(merged rows, delta rows set aside)``.
+
+    Rows whose key repeats in the delta are not merged but handed back, so that they
+    can be reported and sent again; nothing of the delta is dropped unseen.
+    """
+    types = {f.name: f.dataType for f in target.schema.fields}
+    typed = delta.select(*[F.col(c).cast(types[c]).alias(c) if c in keys else F.col(c) for c in delta.columns])
+    once, again = split_repeats(typed, keys)
+    return merge_change_flags(target, once, keys, flag, unique=True, **options), again
+
+
 def delta_by_flag(delta: DataFrame, flag: str, value: str) -> DataFrame:
     """Preview of the delta rows carrying one change flag."""
     return delta.filter(F.col(flag) == F.lit(value))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspark.session import work_path
+
 
 def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """``left WHERE left_key NOT IN (SELECT right_key FROM right)``, at scale.
@@ -56,23 +58,99 @@ def missing_keys_report(source: DataFrame, events: DataFrame, table: DataFrame,
     (``raw_key`` is its text, once per distinct text and side) and left out of
     the comparisons: as a NULL it would empty a whole section and hide what is
     missing.  Keys that are NULL in the data keep their SQL meaning.
+
+    The three sides are one tagged union and one aggregate: a presence mask per
+    key, here the rows that each side has of it.  The masks are written once, so
+    each table is scanned once; sections, NULL keys, empty sides and unreadable
+    keys are all read off them.
+    """
+    sides = ((source, source_key), (events, events_key), (table, table_key))
+    masks = _written(presence(sides, key_type), "presence")
+    s, e, t = (F.col(f"n_{i}") for i in range(3))
+    good = masks.filter(F.col("raw_key").isNull())
+    # Of each side: does it hold a NULL key, is it empty?
+    null = [F.coalesce(F.max(F.when(F.col("record_id").isNull(), n)), F.lit(0)) > 0 for n in (s, e, t)]
+    none = [F.coalesce(F.max(n), F.lit(0)) == 0 for n in (s, e, t)]
+    facts = good.agg(F.struct(*[x.alias(f"null_{i}") for i, x in enumerate(null)],
+                              *[x.alias(f"none_{i}") for i, x in enumerate(none)]).alias("f"))
+    fact = facts.scalar()
+
+    def section(left: int, right: int, tag: str) -> DataFrame:
+        # left NOT IN right: all of it if the right side is empty, nothing if that holds a NULL.
+        mine, other = F.col(f"n_{left}"), F.col(f"n_{right}")
+        absent = fact[f"none_{right}"] | (~fact[f"null_{right}"] & F.col("record_id").isNotNull() & (other == 0))
+        return good.filter((mine > 0) & absent).select(
+            F.lit(tag).alias("name"), "record_id", F.explode(F.array_repeat(F.lit(None).cast("string"), mine.cast("int"))).alias("raw_key"))
+
+    out = section(0, 1, tags[0]).unionByName(section(0, 2, tags[1])).unionByName(section(2, 0, tags[2]))
+    each = F.filter(F.array(*[F.when(n > 0, F.lit(tags[3])) for n in (s, e, t)]), lambda x: x.isNotNull())
+    bad = masks.filter(F.col("raw_key").isNotNull()).select(F.explode(each).alias("name"), "record_id", "raw_key")
+    return out.unionByName(bad)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def presence(sides, key_type: str = "bigint") -> DataFrame:
+    """``record_id, raw_key, n_0, n_1, ..``: how many rows each side has of a key.
+
+    ``sides`` are ``(table, key column)`` pairs.  Keys are cast to ``key_type``, text
+    is trimmed first; one that does not convert counts under its text in ``raw_key``
+    (NULL otherwise).  One union and one aggregate, partial before the shuffle.
+    """
+    out = None
+    for i, (df, c) in enumerate(sides):
+        col = F.trim(F.col(c)) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)  # pasted lists carry spaces
+        key = col.try_cast(key_type)
+        part = df.select(key.alias("record_id"), F.when(key.isNull(), col.cast("string")).alias("raw_key"),
+                         *[F.lit(int(i == j)).cast("long").alias(f"n_{j}") for j in range(len(sides))])
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("record_id", "raw_key").agg(*[F.sum(f"n_{j}").alias(f"n_{j}") for j in range(len(sides))])
+
+
+#: Buckets of keys that a content comparison sums up first.
+CHECK_BUCKETS = 4096
+
+
+def content_diff(left: DataFrame, right: DataFrame, keys, cols=None, buckets: int = CHECK_BUCKETS,
+                 tags: tuple[str, str, str] = ("left only", "right only", "changed")) -> DataFrame:
+    """``keys.., side``: the keys whose rows differ between two tables.
+
+    Content, not only counts and keys: every row's hash goes into order-free sums of
+    its key bucket (count, XOR, sum), one aggregate per side without moving a row.
+    Only the buckets that differ, ``buckets`` at most, are looked into again, key by
+    key, with the same sums.  So two equal tables cost two scans.  Rows are compared as
+    multisets per key (a NULL key is a key like any other); ``cols`` are compared
+    besides the keys, by default all that the tables share.
     """
-    def typed(df: DataFrame, c: str) -> DataFrame:
-        col = F.col(c)
-        if isinstance(df.schema[c].dataType, T.StringType):
-            col = F.trim(col)          # pasted id lists carry spaces
-        return df.select(col.try_cast(key_type).alias("record_id"), col.cast("string").alias("raw_key"))
-
-    sides = [typed(source, source_key), typed(events, events_key), typed(table, table_key)]
-    bad = F.col("record_id").isNull() & F.col("raw_key").isNotNull()
-    s, e, t = (x.filter(~bad).select("record_id") for x in sides)
-    none = F.lit(None).cast("string").alias("raw_key")
-    out = not_in(s, e, "record_id").select(F.lit(tags[0]).alias("name"), "record_id", none)
-    out = out.unionByName(not_in(s, t, "record_id").select(F.lit(tags[1]).alias("name"), "record_id", none))
-    out = out.unionByName(not_in(t, s, "record_id").select(F.lit(tags[2]).alias("name"), "record_id", none))
-    for x in sides:
-        out = out.unionByName(x.filter(bad).distinct().select(F.lit(tags[3]).alias("name"), "record_id", "raw_key"))
-    return out
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    cols = [c for c in left.columns if c in right.columns and c not in keys] if cols is None else list(cols)
+    types = {f.name: f.dataType for f in left.schema.fields}
+
+    def narrow(df: DataFrame, side: int) -> DataFrame:
+        k = [F.col(c).cast(types[c]).alias(c) for c in keys]
+        row = F.xxhash64(*k, *[F.col(c).cast(types[c]) for c in cols])
+        return df.select(*k, row.alias("__h"), F.pmod(F.xxhash64(*k), F.lit(buckets)).cast("int").alias("__b"), F.lit(side).alias("__s"))
+
+    def sums(df: DataFrame, by) -> DataFrame:
+        aggs = []
+        for side in (0, 1):
+            h = F.when(F.col("__s") == side, F.col("__h"))
+            aggs += [F.count(h).alias(f"__n{side}"), F.coalesce(F.bit_xor(h), F.lit(0)).alias(f"__x{side}"),
+                     F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias(f"__t{side}")]
+        same = F.lit(True)
+        for what in ("n", "x", "t"):
+            same = same & (F.col(f"__{what}0") == F.col(f"__{what}1"))
+        return df.groupBy(*by).agg(*aggs).filter(~same)
+
+    sides = [narrow(left, 0), narrow(right, 1)]
+    differ = _written(sums(sides[0].unionByName(sides[1]), ["__b"]).select("__b"), "differing-buckets")
+    inside = [s.join(F.broadcast(differ), "__b", "left_semi") for s in sides]  # `buckets` rows at most
+    side = F.when(F.col("__n1") == 0, tags[0]).when(F.col("__n0") == 0, tags[1]).otherwise(tags[2])
+    return sums(inside[0].unionByName(inside[1]), keys).select(*keys, side.alias("side"))
 
 
 def except_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,

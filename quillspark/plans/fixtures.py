@@ -330,10 +330,8 @@ def _flag(n):
     return out
 
 
-def delta_composite(spark, sf_dir):
-    """Pipe-delimited lines merged on a composite key: a third of the order lines,
-    and as many new ones; quantities that are not digits become NULL."""
-    target = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus")
+def _composite_delta(target):
+    """Pipe-delimited lines: a third of the order lines, and as many new ones."""
     li = target.filter(F.col("l_orderkey") % 3 == 0)
     sent = F.when(F.col("l_suppkey") % 7 == 0, F.lit("n/a")).otherwise((F.col("l_suppkey") + 1).cast("string"))
 
@@ -341,11 +339,25 @@ def delta_composite(spark, sf_dir):
         return li.select(F.concat_ws("|", F.col("l_orderkey") + F.lit(shift), F.col("l_linenumber"), sent,
                                      F.concat(F.lit("v2-"), F.col("l_linestatus")),
                                      _flag(F.col("l_orderkey") + F.col("l_linenumber"))).alias("data"))
-    delta = text.parse_delimited(lines(0).unionByName(lines(NEW_KEY_OFFSET)), "data", "|",
-                                 ["l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus", "chng_flag"],
-                                 int_cols=["l_orderkey", "l_linenumber", "l_suppkey"])
-    once = lookup.unique_keys(delta, ["l_orderkey", "l_linenumber"])
-    return merge.merge_change_flags(target, once, ["l_orderkey", "l_linenumber"], "chng_flag")
+    return text.parse_delimited(lines(0).unionByName(lines(NEW_KEY_OFFSET)), "data", "|",
+                                ["l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus", "chng_flag"],
+                                int_cols=["l_orderkey", "l_linenumber", "l_suppkey"])
+
+
+def delta_composite(spark, sf_dir):
+    """Pipe-delimited lines merged on a composite key; quantities that are not digits
+    become NULL, lines whose key repeats are set aside (``delta_set_aside``)."""
+    target = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus")
+    delta = _composite_delta(target)
+    merged, _ = merge.merge_guarded(target, delta, ["l_orderkey", "l_linenumber"], "chng_flag")
+    return merged
+
+
+def delta_set_aside(spark, sf_dir):
+    """The same merge's other result: the lines whose key repeats in the delta."""
+    target = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus")
+    _, again = merge.merge_guarded(target, _composite_delta(target), ["l_orderkey", "l_linenumber"], "chng_flag")
+    return again
 
 
 def delta_single(spark, sf_dir):
@@ -673,6 +685,7 @@ QUERIES = {
     "delta_by_flag": delta_by_flag,
     "upsert": upsert,
     "delta_composite": delta_composite,
+    "delta_set_aside": delta_set_aside,
     "delta_single": delta_single,
     "delta_repeats": delta_repeats,
     "export_text": export_text,

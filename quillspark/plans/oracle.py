@@ -241,6 +241,13 @@ UNION ALL
 SELECT l_orderkey, l_linenumber, l_suppkey, l_linestatus FROM d
 WHERE flag IN ('NEW', 'UPDATED') AND NOT EXISTS (
   SELECT 1 FROM lineitem t WHERE t.l_orderkey = d.l_orderkey AND t.l_linenumber = d.l_linenumber)
+""",
+    "delta_set_aside": f"""
+WITH c AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey + 1 END AS l_suppkey,
+                  'v2-' || l_linestatus AS l_linestatus, {_FLAG.format("l_orderkey + l_linenumber")} AS chng_flag
+           FROM lineitem WHERE l_orderkey % 3 = 0),
+r AS (SELECT * FROM c QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1)
+SELECT * FROM r UNION ALL SELECT l_orderkey + 1000000000, l_linenumber, l_suppkey, l_linestatus, chng_flag FROM r
 """,
     "delta_single": f"""
 WITH c AS (SELECT p_partkey, upper(p_name) AS p_name, CASE WHEN p_size % 5 <> 0 THEN p_size END AS p_size,

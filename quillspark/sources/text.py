@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.scalar import guarded_int, like_any
+from quillspark.session import work_path
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -51,6 +52,31 @@ def export_as_text(df: DataFrame, order_col: str, keep: Iterable[str] = ()) -> D
     return out.orderBy(F.col("__ord").asc_nulls_last(), "__tie").drop("__ord", "__tie")
 
 
+def version_cut(df: DataFrame, version_col: str, n: int):
+    """Version of the ``n``-th row in version order (the greatest one if there are fewer rows; None for no row).
+
+    Distributed selection: versions are counted (partial aggregation first), their
+    counts range-sorted and written once; a running sum over the ranges, of which
+    there are as many as partitions, names the one that holds row ``n``, and only
+    that range is walked version by version.
+    """
+    spark = df.sparkSession
+    counts = df.groupBy(F.col(version_col).alias("v")).agg(F.count(F.lit(1)).alias("n")).filter("v is not null")
+    path = work_path(spark, "version-ranges")
+    (counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("range", F.spark_partition_id())
+     .write.parquet(path))
+    ranges = spark.read.parquet(path)
+    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = ranges.groupBy("range").agg(F.sum("n").alias("n"), F.max("v").alias("last"))
+    sums = sums.withColumn("upto", F.sum("n").over(upto))  # a row per range
+    hit = sums.filter(F.col("upto") >= n).orderBy("range").first()
+    if hit is None:
+        return sums.agg(F.max("last")).first()[0]
+    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = ranges.filter(F.col("range") == hit["range"]).withColumn("upto", F.sum("n").over(upto) + (hit["upto"] - hit["n"]))
+    return inside.filter(F.col("upto") >= n).agg(F.min("v")).first()[0]
+
+
 def export_since(df: DataFrame, version_col: str, last, n: int) -> DataFrame:
     """Next export batch: about ``n`` rows with the smallest versions above ``last``.
 
@@ -59,14 +85,19 @@ def export_since(df: DataFrame, version_col: str, last, n: int) -> DataFrame:
     the last exported one (``None``: all), ascending, up to the version of the
     ``n``-th row, *with every row of that version*.  The next mark is the
     batch's greatest version, so rows that share it must not be left behind.
-    Rows without a version are never exported.  The cut is a scalar subquery
-    (per-task top ``n``), the batch a filter on the version range that reaches
-    the scan.
+    Rows without a version are never exported; ``count_unversioned`` tells how
+    many there are.  The cut is found first (``version_cut``); the batch itself is
+    a filter on the version range that reaches the scan.
     """
-    v = F.col(version_col)
-    above = df.filter(v.isNotNull() if last is None else v > F.lit(last))
-    cut = above.select(v.alias("v")).orderBy("v").limit(n).agg(F.max("v")).scalar()
-    return above.filter(v <= cut).orderBy(v.asc())
+    v, kind = F.col(version_col), df.schema[version_col].dataType
+    above = df.filter(v.isNotNull() if last is None else v > F.lit(last).cast(kind))
+    cut = version_cut(above.select(version_col), version_col, n)
+    return above.filter(v <= F.lit(cut).cast(kind)).orderBy(v.asc())
+
+
+def count_unversioned(df: DataFrame, version_col: str) -> DataFrame:
+    """``n_unversioned``: rows that no export batch will ever hold, as they have no version."""
+    return df.agg(F.count(F.when(F.col(version_col).isNull(), 1)).alias("n_unversioned"))
 
 
 def next_mark(batch: DataFrame, version_col: str) -> DataFrame:
