@@ -38,6 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: A class is large with so many tokens, frequent on so many pages and this share of the host's.
 CLASS_SIZE, CLASS_PAGES, CLASS_SHARE = 2, 3, 0.5
+#: Share of the pages that a template text inside an article must be on.
+EVERYWHERE = 0.9
 #: Tokens that a task hands over at a time, about.
 TOKEN_ROWS = 1 << 16
 
@@ -72,7 +74,12 @@ BOILERPLATE_WORDS = frozenset((
 NEUTRAL_PARTS = frozenset((
     "site", "page", "global", "main", "primary", "secondary", "top", "bottom", "left", "right", "post", "article", "entry", "blog", "google",
     "list", "area", "box", "bar", "button", "buttons", "link", "links", "block", "section", "wrapper", "wrap", "container", "slot", "unit",
-    "form", "icons", "item", "items", "text", "message", "policy", "posts", "articles"))
+    "form", "icons", "item", "items", "text", "message", "policy", "posts", "articles", "user", "users", "reader", "readers", "visitor",
+    "visitors", "guest", "thread", "threads", "body", "author", "breaking", "important", "legal", "service", "info", "inline"))
+#: Elements without an end tag, and those that the start of another one ends.
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "input", "link", "meta", "param", "source", "track"))
+ENDED_BY_LIKE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th", "tr"), "th": ("td", "th", "tr"),
+                 "option": ("option",)}
 MAIN = ("article", "main")
 MAIN_MARKS = frozenset(("main", "main-content", "maincontent"))
 #: Marks of a block: shown, inside an article or main element that a word alone marks (or that stands in such
@@ -98,20 +105,23 @@ def _is_boilerplate(name: str, words: frozenset[str]) -> bool:
     return not words.isdisjoint(parts) and all(x in BOILERPLATE_WORDS or x in NEUTRAL_PARTS for x in parts)
 
 
-def blocks(page: str) -> Iterator[tuple[str, str, str, int]]:
-    """``(kind, path, text, mark)`` of a page in order.
+def blocks(page: str) -> Iterator[tuple[str, str, str, int, bool]]:
+    """``(kind, path, text, mark, nested)`` of a page in order.
 
     ``kind`` is ``tag`` (a structural element opens; no text) or the element
     that holds the text: ``article``, ``main`` or ``body``.  ``mark`` is
     ``DROPPED`` if an enclosing element is boilerplate, by its name or by a word
     in its class, id or role, and ``DOUBTED`` if only words say so and they
-    stand at the holding article or main element or above it.  Text of a block
-    has its character references decoded and white space made single spaces.
-    ``path`` is a digest of the open elements, so markup that nests without end
-    stays small.
+    stand at the holding article or main element or above it.  Class, id and role
+    count on every element but inline ones.  Text of a block has its character
+    references decoded and white space made single spaces.  Hidden text (``hidden``,
+    ``display:none``) is text like any other.  ``path`` is a digest of the open
+    elements, so markup that nests without end stays small.  ``nested`` says that
+    the block stands in an element of its own below the article or main element.
     """
-    # Name, path, boilerplate by name, holder of the last element that a word marks, holder.
-    stack: list[tuple[str, str, bool, str, str]] = []
+    # Name, path, boilerplate by name, holder of the last element that a word marks, holder, path of the holder.
+    stack: list[tuple[str, str, bool, str, str, str]] = []
+    bottom = ("", "", False, "", "body", "")
     opened: Counter[str] = Counter()
     at, held = 0, []
 
@@ -119,12 +129,19 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, int]]:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            _, path, dropped, worded, holder = stack[-1] if stack else ("", "", False, "", "body")
-            yield holder, path, text, mark(dropped, worded, holder)
+            _, path, dropped, worded, holder, held_by = stack[-1] if stack else bottom
+            yield holder, path, text, mark(dropped, worded, holder), path != held_by
 
     def mark(dropped, worded, holder):
         return DROPPED if dropped or worded == holder else DOUBTED if worded else SHOWN
 
+    def close(name):
+        while opened[name]:
+            last = stack.pop()[0]
+            opened[last] -= 1
+            if last == name:
+                break
+
     while at < len(page):
         m = TAG.search(page, at)
         held.append(page[at:m.start() if m else len(page)])
@@ -138,32 +155,37 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, int]]:
             continue
         yield from flush()
         if closing:
-            while opened[name]:
-                last = stack.pop()[0]
-                opened[last] -= 1
-                if last == name:
-                    break
+            close(name)
             continue
+        # Only marked elements of these names are on the stack; what ends them ends their mark.
+        if stack and (stack[-1][0] == "p" and (name not in VOID or name == "hr") or name in ENDED_BY_LIKE.get(stack[-1][0], ())):
+            close(stack[-1][0])
         if name in RAW:
             end = re.compile(f"</{name}\\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if name in STRUCTURE and not m.group(3).endswith("/"):
-            _, path, dropped, worded, outer = stack[-1] if stack else ("", "", False, "", "body")
+        if name not in VOID and not m.group(3).endswith("/"):
+            _, path, dropped, worded, outer, held_by = stack[-1] if stack else bottom
             marks, names = (_marks(m.group(3)), _names(m.group(3))) if "=" in m.group(3) else ([], [])
-            holder = name if name in MAIN else "main" if outer == "body" and not MAIN_MARKS.isdisjoint(names) else outer
             # The header of an article holds its title.
             words = BOILERPLATE_WORDS if outer == "body" else BOILERPLATE_WORDS - {"header"}
+            if name not in STRUCTURE:
+                if any(_is_boilerplate(x, words) for x in names):
+                    stack.append((name, path, dropped, outer, outer, held_by))
+                    opened[name] += 1
+                continue
+            holder = name if name in MAIN else "main" if outer == "body" and not MAIN_MARKS.isdisjoint(names) else outer
             path = f"{_digest(path, name, *marks):x}"
+            held_by = path if holder != outer or name in MAIN else held_by
             if name == "body" or name == "html":
                 dropped, worded = False, ""
             elif name in BOILERPLATE_TAGS:
                 dropped = True
             elif name in words or any(_is_boilerplate(x, words) for x in names):
                 worded = outer
-            stack.append((name, path, dropped, worded, holder))
+            stack.append((name, path, dropped, worded, holder, held_by))
             opened[name] += 1
-            yield "tag", path, "", mark(dropped, worded, holder)
+            yield "tag", path, "", mark(dropped, worded, holder), False
     yield from flush()
 
 
@@ -174,15 +196,18 @@ def _digest(*parts: str) -> int:
 
 
 def tokens(page: str | None) -> tuple[int, dict[int, tuple[int, int]]]:
-    """Layout of a page (a digest of its set of tag paths), and token -> (occurrences, first place)."""
+    """Layout of a page (a digest of its set of tag paths), and token -> (occurrences, first place);
+    ``MAIN_PAGE`` is among the tokens of a page with text in an article or main element."""
     out: dict[int, tuple[int, int]] = {}
     paths = set()
-    for i, (kind, path, text, _) in enumerate(blocks(page or "")):
+    for i, (kind, path, text, *_) in enumerate(blocks(page or "")):
         if kind == "tag":
             paths.add(path)
         t = _digest(kind, path, text)
         n, first = out.get(t, (0, i))
         out[t] = n + 1, first
+        if kind in MAIN:
+            out[MAIN_PAGE] = 1, 0
     return _digest(*sorted(paths)), out
 
 
@@ -202,12 +227,15 @@ def _in_order(orders: list[tuple[int, int]]) -> set[int]:
     return out
 
 
-def main_text(page: str | None, *templates: dict[int, int]) -> str:
+def main_text(page: str | None, of_host: dict[int, int] | None = None, of_layout: dict[int, int] | None = None) -> str:
     """Content of a page, given its host's and its layout's template (token -> order).
 
     Content is the text that is neither marked as boilerplate nor template text;
     a template text counts as such only where the page keeps the template's
-    order.  Of what is left an article's text comes first, then the main
+    order.  Inside an article or main element it counts only with structural
+    evidence: it is on nearly all (``EVERYWHERE``) of the host's pages with such an element, in an element of its own
+    below the article, and that element holds nothing but such text.  So equal
+    paragraphs of near copies, series or quotations are content.  Of what is left an article's text comes first, then the main
     element's, then the body's; where neither is left, words alone drop no
     article or main element.  An article whose blocks and letters are mostly
     template text is one that the host repeats, and stays whole, unless all of
@@ -216,15 +244,19 @@ def main_text(page: str | None, *templates: dict[int, int]) -> str:
     """
     seen = list(blocks(page or ""))
     fixed: set[int] = set()
-    for template in templates:
+    for template in (of_host, of_layout):
         if template:
-            ids = ((i, template.get(_digest(kind, path, text))) for i, (kind, path, text, _) in enumerate(seen))
-            fixed |= _in_order([(i, order) for i, order in ids if order is not None])
+            ids = ((i, template.get(_digest(kind, path, text))) for i, (kind, path, text, *_) in enumerate(seen))
+            ids = [(i, order) for i, order in ids if order is not None]
+            fixed |= _in_order([(i, abs(order)) for i, order in ids if seen[i][0] not in MAIN
+                                or template is of_host and order < 0 and seen[i][4]])
+    own = {path for i, (kind, path, *_) in enumerate(seen) if kind in MAIN and i not in fixed}
+    fixed = {i for i in fixed if seen[i][0] not in MAIN or seen[i][1] not in own}
     slots: dict[str, list[str]] = {}
     whole: dict[str, list[str]] = {}
-    shown = {mark for kind, _, _, mark in seen if kind in MAIN}
+    shown = {mark for kind, _, _, mark, _ in seen if kind in MAIN}
     most = DOUBTED if SHOWN not in shown else SHOWN
-    for i, (kind, _, text, mark) in enumerate(seen):
+    for i, (kind, _, text, mark, _) in enumerate(seen):
         if kind != "tag" and mark <= most:
             whole.setdefault(kind, []).append(text)
             if i not in fixed:
@@ -247,21 +279,26 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]+)", 1), F.lit("")))
 
 
-#: Stands for the page itself among its tokens: its rows count the pages of a layout.
-PAGE = 0
+#: Stand for the page itself among its tokens: their rows count a layout's pages, and those with an article.
+PAGE, MAIN_PAGE = 0, 1
 
 
 def _deduced(by_token: DataFrame, group: list[str], size: int, least: int, share: float) -> DataFrame:
-    """``group`` and ``template``: the ordered tokens of each group's large and frequent classes."""
-    tokens_of = by_token.where(F.col("token") != PAGE).groupBy(*group, "token").agg(
+    """``group`` and ``template``: the ordered tokens of each group's large and frequent classes.
+
+    The order of a token that is on nearly all pages with an article is negative.
+    """
+    tokens_of = by_token.where(~F.col("token").isin(PAGE, MAIN_PAGE)).groupBy(*group, "token").agg(
         F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), (F.sum("places") / F.sum("pages")).alias("place"))
-    pages_of = by_token.where(F.col("token") == PAGE).groupBy(*group).agg(F.sum("pages").alias("of"))
+    pages_of = by_token.where(F.col("token").isin(PAGE, MAIN_PAGE)).groupBy(*group).agg(
+        F.sum(F.when(F.col("token") == PAGE, F.col("pages"))).alias("of"), F.sum(F.when(F.col("token") == MAIN_PAGE, F.col("pages"))).alias("mains"))
     frequent = tokens_of.where(F.col("pages") >= least).join(pages_of, group).where(F.col("pages") >= share * F.col("of"))
     classes = frequent.groupBy(*group, "pages", "vector").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") >= size)
-    kept = frequent.join(classes, [*group, "pages", "vector"], "left_semi")
+    sign = F.when(F.col("pages") >= EVERYWHERE * F.coalesce("mains", "of"), -1).otherwise(1)
+    kept = frequent.join(classes, [*group, "pages", "vector"], "left_semi").withColumn("sign", sign)
     # A template is short: each of its tokens is on at least `share` of the pages.
     order = Window.partitionBy(*group).orderBy("place", "token")
-    return (kept.select(*group, "token", F.row_number().over(order).alias("at")).groupBy(*group)
+    return (kept.select(*group, "token", (F.col("sign") * F.row_number().over(order)).alias("at")).groupBy(*group)
             .agg(F.map_from_entries(F.collect_list(F.struct("token", "at"))).alias("template")))
 
 
@@ -312,7 +349,7 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", out: str = "
 
     @F.pandas_udf("string")
     def text(html: pd.Series, first: pd.Series, second: pd.Series) -> pd.Series:
-        return pd.Series([main_text(h, *(dict(t) for t in both if t is not None)) for h, *both in zip(html, first, second)])
+        return pd.Series([main_text(h, *(None if t is None else dict(t) for t in both)) for h, *both in zip(html, first, second)])
     bounded_batches(pages.sparkSession)
     host, layout, t, u = (free_name(pages, n) for n in ("_host", "_layout", "_template", "_layout_template"))
     of_host = of_host.select(F.col("host").alias(host), F.col("template").alias(t))

@@ -1,0 +1,126 @@
+"""Cases that contracts name: article text that stays, marked blocks that go, every vector row."""
+
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quillspark.llm import embeddings, extract_html, queries
+
+PAGES = "page_id long, url string, html string"
+
+
+def texts(spark, pages, host="h.example"):
+    rows = [(i, f"http://{host}/{i}", p) for i, p in enumerate(pages)]
+    return [r["text"] for r in extract_html.extract(spark.createDataFrame(rows, PAGES)).orderBy("page_id").collect()]
+
+
+def page(article, before="<nav>menu</nav>", after="<footer>end</footer>"):
+    return f"<html><body>{before}<article>{article}</article>{after}</body></html>"
+
+
+def paragraphs(*ps):
+    return "".join(f"<p>{p}</p>" for p in ps)
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<div class='content'>{}</div>", "<section><div>{}</div></section>"])
+def test_shared_article_paragraphs_stay(spark, wrap):
+    own = [paragraphs(f"own {i} a", "shared one", f"own {i} b", "shared two", f"own {i} c", "shared three") for i in range(3)]
+    other = paragraphs(*[f"quite other {k}" for k in range(6)])
+    got = texts(spark, [page(wrap.format(x)) for x in [*own, other]])
+    assert got[:3] == [f"own {i} a shared one own {i} b shared two own {i} c shared three" for i in range(3)]
+    assert got[3] == " ".join(f"quite other {k}" for k in range(6))
+
+
+def test_article_box_on_all_pages_goes_but_one_of_a_series_stays(spark):
+    box = "<div class='x'><p>Read our terms</p><p>All rights with us</p></div>"
+    intro = "<div class='y'><p>Part of a long series</p><p>Told in parts</p></div>"
+    pages = [page((intro if i % 2 else "") + paragraphs(*[f"page {i} says {k}" for k in range(5)]) + box) for i in range(10)]
+    got = texts(spark, pages)
+    for i, t in enumerate(got):
+        assert t == ("Part of a long series Told in parts " if i % 2 else "") + " ".join(f"page {i} says {k}" for k in range(5))
+
+
+MARKED = ["<p class='ad'>X</p>", "<p class='notice'>X</p>", "<ul><li class='comment'>X</li></ul>", "<blockquote class='comment'>X</blockquote>",
+          "<div class='user-comments'>X</div>", "<div class='reader-comments'><p>X</p></div>", "<div class='comment-thread'>X</div>",
+          "<div class='breaking-notice'>X</div>", "<p role='alert'>X", "<h3 id='newsletter'>X</h3>", "<table><tr><td class='ad'>X</td></tr></table>",
+          "<p class='ad'>X<br>X <b>X</b></p>", "<ul><li class='comment'>X<li class='comment'>X</ul>"]
+
+
+@pytest.mark.parametrize("mark", MARKED)
+def test_marked_blocks_go_and_what_follows_stays(spark, mark):
+    assert texts(spark, [page(f"<p>before</p>{mark}<p>after</p>")]) == ["before after"]
+
+
+def test_marks_end_where_their_element_ends(spark):
+    cases = {"<p class='ad'>x<p>kept</p>": "kept", "<p class='ad'>x<div>kept</div>": "kept", "<ul><li class='ad'>x<li>kept</ul>": "kept",
+             "<p class='ad'>x</p>kept": "kept", "<blockquote class='ad'><p>x</p></blockquote>kept": "kept",
+             "<p class='lead'>kept</p>": "kept", "<p class='adventure'>kept</p>": "kept", "<li class='header'>kept</li>": "kept",
+             "<hr class='ad'>kept": "kept", "<p hidden>kept</p>": "kept", "<p style='display:none'>kept</p>": "kept",
+             "kept <span class='ad'>too</span>": "kept too"}
+    assert texts(spark, [page(x) for x in cases]) == list(cases.values())
+
+
+# --- template deduction against a plain one -------------------------------------------------
+
+def brute_templates(pages, size, least, share):
+    """Host tokens of the large and frequent classes, each with whether it is everywhere."""
+    seen = [extract_html.tokens(p)[1] for p in pages]
+    vectors = {t: tuple(s.get(t, (0, 0))[0] for s in seen) for s in seen for t in s}
+    classes = defaultdict(list)
+    for t, v in vectors.items():
+        n = sum(x > 0 for x in v)
+        if n >= least and n >= share * len(pages):
+            classes[v].append(t)
+    mains = vectors.pop(extract_html.MAIN_PAGE, (1,) * len(pages))
+    classes = {v: [t for t in ts if t != extract_html.MAIN_PAGE] for v, ts in classes.items()}
+    return {t: sum(x > 0 for x in v) >= extract_html.EVERYWHERE * sum(mains) for v, ts in classes.items() if len(ts) >= size for t in ts}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_templates_of_random_hosts(spark, seed):
+    r = random.Random(seed)
+    rows, want = [], {}
+    for host in ("a.example", "b.example", "c.example"):
+        common = [f"<div class='c{k}'><p>{host} box {k}</p></div>" for k in range(4)]
+        pages = []
+        for i in range(r.randrange(3, 9)):
+            parts = [c for c in common if r.random() < .8] + [f"<section><p>text {r.randrange(6)}</p></section>" for _ in range(r.randrange(4))]
+            pages.append(page("".join(parts), before="<nav>one</nav><div>two</div>" if r.random() < .9 else ""))
+        rows += [(len(rows) + k, f"https://{host}/x", p) for k, p in enumerate(pages)]
+        want[host] = brute_templates(pages, extract_html.CLASS_SIZE, extract_html.CLASS_PAGES, extract_html.CLASS_SHARE)
+    of_host, _ = extract_html.templates(spark.createDataFrame(rows, PAGES))
+    got = {x["host"]: {t: at < 0 for t, at in x["template"].items()} for x in of_host.collect()}
+    assert {h: got.get(h, {}) for h in want} == want
+
+
+# --- every vector row counts ------------------------------------------------------------------
+
+@pytest.mark.parametrize("chunk", [3, 2048])
+def test_rows_of_one_id_all_count_like_the_sql(spark, tmp_path, chunk):
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(6, 8))
+    rows = [(int(i % 25), (centres[r.integers(6)] + r.normal(size=8) * .15).tolist()) for i in range(90)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1).write.parquet(str(tmp_path / "e"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/e/*.parquet')")
+    of_sql = con.execute(queries.ORACLE["op8_embeddings"]).fetchall()
+    # Rows that link with nothing are one more row each and change no other.
+    known = {i: (i, n, c, k) for i, n, c, k in of_sql}
+    odd = [(1, None), (2, [None] * 8), (3, []), (99, [0.0] * 8), (98, [float("inf")] * 8), (97, [1.0, 0.0])]
+    want = Counter(of_sql) + Counter(known.get(i, (i, 0, i, True)) for i, _ in odd)
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
+    got = Counter(tuple(x) for x in embeddings.near_duplicates(df, chunk=chunk, tile=4).collect())
+    assert got == want and len(known) == 25 and len(of_sql) == 90
+
+
+def test_a_null_row_hides_no_vector_and_both_vectors_link(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [1.0, 0.0]), (4, [None, 1.0]), (None, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(x) for x in embeddings.near_duplicates(df).collect()}
+    assert got == {(1, 3, 1, True), (2, 2, 1, False), (3, 1, 1, False), (4, 2, 1, False), (None, 0, None, False)}
+    same = df.where("vec_id = 1").unionByName(df.where("vec_id = 1")).withColumn("v", F.lit(1))
+    assert {tuple(x) for x in embeddings.near_duplicates(same).collect()} == {(1, 0, 1, True)}
