@@ -34,10 +34,10 @@ from quillspark.llm.transducer import bounded, byte_letters
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Units of a stretch that is merged as one, and units that are merged together.
-STRETCH, BUFFER = 256, 1 << 18
+STRETCH, BUFFER = 256, 1 << 17
 
 #: Distinct units, and their characters, after which a worker forgets them and starts anew.
-MOST_UNITS, MOST_CHARS = 1 << 20, 1 << 26
+MOST_UNITS, MOST_CHARS = 1 << 19, 1 << 25
 
 #: Characters of a text that are split into units at once.
 SLICE = 1 << 20
@@ -298,8 +298,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", doc_id:
                          F.explode_outer(F.arrays_zip("pairs", "counts")).alias("p"))
     links = links.select("row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", F.col("p.pairs").alias("pair"),
                          F.col("p.counts").alias("n"))
-    sums = links.join(table, "pair", "left").groupBy("row").agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256")],
+    # `row` alone would do; grouping by the carried columns too spares a sort.
+    sums = links.join(table, "pair", "left").groupBy("row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_links"),
         F.coalesce(F.sum(F.when(F.col("best"), F.col("n"))), F.lit(0)).alias("n_best"),
         F.coalesce(F.sum(F.col("n") * F.col("count")), F.lit(0)).alias("count_sum"))

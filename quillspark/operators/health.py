@@ -128,22 +128,22 @@ def fill_rate(df: DataFrame, date_col: str, cols: Mapping[str, str] | Sequence[s
     The day is parsed from text with ``try_to_date`` (bad text gives NULL and
     the row drops), kept if it lies in ``[as_of - days, as_of - 1]`` (both
     ends inclusive), newest day first; days without rows are absent.  ``cols``
-    maps output names to columns (a list uses ``pct_<col>``).  One pass,
+    maps output names to columns (a list uses ``filled_<col>``).  One pass,
     partial aggregation per day.
     """
     if not isinstance(cols, Mapping):
-        cols = {f"pct_{c}": c for c in cols}
+        cols = {f"filled_{c}": c for c in cols}
     day = F.try_to_date(F.col(date_col), fmt)
     as_of_d = F.lit(as_of).cast("date")
-    base = df.withColumn("service_date", day).filter(
-        F.col("service_date").between(F.date_sub(as_of_d, days), F.date_sub(as_of_d, 1)))
-    aggs = [F.count(F.lit(1)).alias("records_count")]
+    base = df.withColumn("on_day", day).filter(
+        F.col("on_day").between(F.date_sub(as_of_d, days), F.date_sub(as_of_d, 1)))
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
     for out_name, c in cols.items():
         aggs.append(F.round(F.lit(100.0) * F.count(F.col(c)) / F.count(F.lit(1)), 2).alias(out_name))
-    res = base.groupBy("service_date").agg(*aggs)
+    res = base.groupBy("on_day").agg(*aggs)
     if table_name is not None:
-        res = res.select(F.lit(table_name).alias("table_name"), *res.columns)
-    return res.orderBy(F.col("service_date").desc_nulls_first())
+        res = res.select(F.lit(table_name).alias("source"), *res.columns)
+    return res.orderBy(F.col("on_day").desc_nulls_first())
 
 
 def volume_by_bucket(df: DataFrame, ts: str, category_col: str,
@@ -174,11 +174,11 @@ def volume_by_bucket(df: DataFrame, ts: str, category_col: str,
     else:
         bucket = t.cast("date")
     rows = (df.filter(t.between(F.lit(lo), F.lit(hi)))
-              .select(F.explode(F.array(*tags)).alias("category"), bucket.alias("request_bucket"))
-              .filter(F.col("category").isNotNull()))
-    return (rows.groupBy("category", "request_bucket")
-                .agg(F.count(F.lit(1)).alias("total_requests"))
-                .orderBy("request_bucket", "category"))
+              .select(F.explode(F.array(*tags)).alias("kind"), bucket.alias("period"))
+              .filter(F.col("kind").isNotNull()))
+    return (rows.groupBy("kind", "period")
+                .agg(F.count(F.lit(1)).alias("n_requests"))
+                .orderBy("period", "kind"))
 
 
 def triage(requests: DataFrame, logs: DataFrame, queries: DataFrame,

@@ -79,8 +79,11 @@ def missing_keys_report(source: DataFrame, events: DataFrame, table: DataFrame,
         # left NOT IN right: all of it if the right side is empty, nothing if that holds a NULL.
         mine, other = F.col(f"n_{left}"), F.col(f"n_{right}")
         absent = fact[f"none_{right}"] | (~fact[f"null_{right}"] & F.col("record_id").isNotNull() & (other == 0))
-        return good.filter((mine > 0) & absent).select(
-            F.lit(tag).alias("name"), "record_id", F.explode(F.array_repeat(F.lit(None).cast("string"), mine.cast("int"))).alias("raw_key"))
+        # A row of the report for each row of the key, in blocks: a key may hold very many.
+        hit = good.filter((mine > 0) & absent).select("record_id", mine.alias("n"), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.call_function("div", mine - 1, F.lit(REPEAT_BLOCK)))).alias("block"))
+        left = F.least(F.col("n") - F.col("block") * REPEAT_BLOCK, F.lit(REPEAT_BLOCK)).cast("int")
+        return hit.select(F.lit(tag).alias("name"), "record_id", F.explode(F.array_repeat(F.lit(None).cast("string"), left)).alias("raw_key"))
 
     out = section(0, 1, tags[0]).unionByName(section(0, 2, tags[1])).unionByName(section(2, 0, tags[2]))
     each = F.filter(F.array(*[F.when(n > 0, F.lit(tags[3])) for n in (s, e, t)]), lambda x: x.isNotNull())
@@ -88,6 +91,10 @@ def missing_keys_report(source: DataFrame, events: DataFrame, table: DataFrame,
     return out.unionByName(bad)
 
 
+#: Rows of one key that the report emits at a time.
+REPEAT_BLOCK = 4096
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)

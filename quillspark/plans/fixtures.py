@@ -610,8 +610,7 @@ def fill_rate(spark, sf_dir):
                      F.when(F.col("value") >= 25, F.col("value")).alias("c_value"),
                      F.col("props").alias("c_props"))
     return health.fill_rate(base, "date_of_service",
-                            {"pct_type_populated": "c_type", "pct_value_populated": "c_value",
-                             "pct_props_populated": "c_props"},
+                            {"filled_type": "c_type", "filled_value": "c_value", "filled_props": "c_props"},
                             as_of="2024-01-31", days=30, table_name="EVENTS")
 
 

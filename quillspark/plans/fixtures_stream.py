@@ -233,6 +233,16 @@ def resync(spark, sf_dir):
     return board
 
 
+def resync_content(spark, sf_dir):
+    """A resync that finds a damaged table of the right size and keys: some values differ."""
+    stage, ev = _stage(spark, sf_dir)
+    target = work_path(spark, "tables", "events")
+    damaged = ev.withColumn("value", F.when(F.col("event_id") % 1000 == 17, F.lit(-1.0)).otherwise(F.col("value")))
+    damaged.write.parquet(f"{target}/run=damaged/batch_id=0")
+    board, _ = streams.resync(spark, stage, ev.schema, target, "event_id", name="events", content=True)
+    return board
+
+
 # ------------------------------------------------------------- table writes
 
 def snapshot(spark, sf_dir):
@@ -276,6 +286,7 @@ QUERIES = {
     "stream_rejected": stream_rejected,
     "bucketed_merge": bucketed_merge,
     "resync": resync,
+    "resync_content": resync_content,
     "snapshot": snapshot,
     "append": append,
     "preview": preview,
@@ -324,6 +335,10 @@ SELECT 'events' AS object_name, (SELECT count(*) FROM events) AS left_count, (SE
        (SELECT count(*) FROM events) - (SELECT count(*) FROM rebuilt) AS diff,
        (SELECT count(*) FROM (SELECT event_id FROM events EXCEPT SELECT event_id FROM rebuilt)) AS left_only,
        (SELECT count(*) FROM (SELECT event_id FROM rebuilt EXCEPT SELECT event_id FROM events)) AS right_only
+""",
+    "resync_content": """
+SELECT 'events' AS object_name, count(*) AS left_count, count(*) AS right_count, 0::BIGINT AS diff, 0::BIGINT AS left_only,
+       0::BIGINT AS right_only, count(*) FILTER (event_id % 1000 = 17 AND value IS DISTINCT FROM -1.0) AS changed FROM events
 """,
     "snapshot": "SELECT * FROM nation",
     "append": """

@@ -385,47 +385,24 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, ev
   AND event_type <> 'error'
 """,
     "fill_rate": """
-WITH b AS (
-  SELECT CAST(try_strptime(strftime(ts, '%Y%m%d'), '%Y%m%d') AS DATE) AS service_date,
-         nullif(event_type, 'error') AS c_type,
-         CASE WHEN value >= 25 THEN value END AS c_value,
-         props AS c_props
-  FROM events)
-SELECT 'EVENTS' AS table_name, service_date, count(*) AS records_count,
-       round(100.0::DOUBLE * count(c_type) / count(*), 2) AS pct_type_populated,
-       round(100.0::DOUBLE * count(c_value) / count(*), 2) AS pct_value_populated,
-       round(100.0::DOUBLE * count(c_props) / count(*), 2) AS pct_props_populated
-FROM b
-WHERE service_date BETWEEN DATE '2024-01-31' - 30 AND DATE '2024-01-31' - 1
-GROUP BY service_date ORDER BY service_date DESC
+SELECT 'EVENTS' AS source, ts::DATE AS on_day, count(*) AS n_rows,
+       round(100.0::DOUBLE * count(*) FILTER (event_type <> 'error') / count(*), 2) AS filled_type,
+       round(100.0::DOUBLE * count(*) FILTER (value >= 25) / count(*), 2) AS filled_value,
+       round(100.0::DOUBLE * count(props) / count(*), 2) AS filled_props
+FROM events WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
+GROUP BY on_day
 """,
     "volume_hour": """
-WITH base AS (
-  SELECT 'TOTAL' AS category, ts FROM events
-  WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-11 00:00:00'
-  UNION ALL
-  SELECT 'purchase', ts FROM events
-  WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-11 00:00:00' AND event_type = 'purchase'
-  UNION ALL
-  SELECT 'view', ts FROM events
-  WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-11 00:00:00' AND event_type = 'view')
-SELECT category, date_trunc('hour', ts) AS request_bucket, count(*) AS total_requests
-FROM base GROUP BY 1, 2 HAVING category IN ('TOTAL', 'purchase')
-ORDER BY request_bucket, category
+WITH n AS (SELECT date_trunc('hour', ts) AS period, count(*) AS every, count(*) FILTER (event_type = 'purchase') AS bought
+           FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-11 00:00:00' GROUP BY ALL)
+SELECT unnest(['TOTAL', 'purchase']) AS kind, period, unnest([every, bought]) AS n_requests FROM n WHERE bought > 0
+UNION ALL SELECT 'TOTAL', period, every FROM n WHERE bought = 0
 """,
     "volume_day": """
-WITH base AS (
-  SELECT 'TOTAL' AS category, ts FROM events
-  WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-17 00:00:00'
-  UNION ALL
-  SELECT 'purchase', ts FROM events
-  WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-17 00:00:00' AND event_type = 'purchase'
-  UNION ALL
-  SELECT 'view', ts FROM events
-  WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-17 00:00:00' AND event_type = 'view')
-SELECT category, CAST(ts AS DATE) AS request_bucket, count(*) AS total_requests
-FROM base GROUP BY 1, 2 HAVING category IN ('TOTAL', 'purchase')
-ORDER BY request_bucket, category
+WITH n AS (SELECT ts::DATE AS period, count(*) AS every, count(*) FILTER (event_type = 'purchase') AS bought
+           FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-17 00:00:00' GROUP BY ALL)
+SELECT unnest(['TOTAL', 'purchase']) AS kind, period, unnest([every, bought]) AS n_requests FROM n WHERE bought > 0
+UNION ALL SELECT 'TOTAL', period, every FROM n WHERE bought = 0
 """,
     "recluster": """
 WITH e AS (SELECT event_id, event_type,

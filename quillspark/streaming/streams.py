@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quillspark.functions.scalar import json_fields
 from quillspark.operators.bucketed import BUCKETS, merge_buckets, read_buckets
 from quillspark.operators.merge import apply_cdc
-from quillspark.operators.reconcile import except_keys, reconcile_counts, row_counts
+from quillspark.operators.reconcile import content_diff, except_keys, reconcile_counts, row_counts
 from quillspark.session import delete_path, path_exists, work_path
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -275,15 +275,16 @@ def read_rejected(spark: SparkSession, target: str) -> DataFrame:
 
 
 def resync(spark: SparkSession, staged_path: str, schema: T.StructType, target: str, key: str,
-           name: str = "table", path_glob: str | None = None) -> tuple[DataFrame, str]:
+           name: str = "table", path_glob: str | None = None, content: bool = False) -> tuple[DataFrame, str]:
     """Back up, truncate, reset, replay and compare counts and keys.
 
     The current target is copied to a backup folder, a new (empty) target
     generation and a new checkpoint are taken, the stream is replayed from
     the first staged file, and one row compares backup and rebuilt table:
     ``object_name, left_count, right_count, diff, left_only, right_only``, the
-    last two counting distinct keys that the other side lacks.  Returns the
-    row and the new target path.
+    last two counting distinct keys that the other side lacks.  ``content`` adds
+    ``changed``: the keys that both sides have with other rows, by checksums of key
+    buckets (``reconcile.content_diff``).  Returns the row and the new target path.
     """
     backup = work_path(spark, "backup", name)
     read_appended(spark, target, schema).write.mode("overwrite").parquet(backup)
@@ -294,4 +295,8 @@ def resync(spark: SparkSession, staged_path: str, schema: T.StructType, target:
     board = reconcile_counts(row_counts({name: old}), row_counts({name: new}))
     keys = except_keys(old, new, key).agg(F.count(F.when(F.col("side") == "left only", 1)).alias("l"),
                                           F.count(F.when(F.col("side") == "right only", 1)).alias("r"))
-    return board.withColumn("left_only", keys.select("l").scalar()).withColumn("right_only", keys.select("r").scalar()), new_target
+    board = board.withColumn("left_only", keys.select("l").scalar()).withColumn("right_only", keys.select("r").scalar())
+    if content:
+        changed = content_diff(old, new, key).agg(F.count(F.when(F.col("side") == "changed", 1)).alias("c"))
+        board = board.withColumn("changed", changed.scalar())
+    return board, new_target
