@@ -28,8 +28,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import checked_broadcast, staged
-from quillspark.llm.transducer import bounded, byte_letters
+from quillspark.llm.common import bounded_batches, checked_broadcast, staged
+from quillspark.llm.transducer import byte_letters
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -252,7 +252,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, text: str = "text", do
     often the document links them.  ``row`` numbers the rows, so repeated and null
     ids stay apart.
     """
-    bounded(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoders = encoders_of(a_path, b_path)

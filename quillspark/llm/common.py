@@ -12,13 +12,18 @@ from quillspark.session import fits_broadcast as fits
 #: Whitespace-separated words: runs of anything but these six characters.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows in one Arrow batch.  Texts may be long, so batches are counted small.
-ARROW_ROWS = 256
+#: Rows and bytes in one Arrow batch.  Texts may be long, so batches are kept small.
+ARROW_ROWS, ARROW_BYTES = 256, 32 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: a batch of very long texts must fit a Python worker."""
+    """Keep Arrow batches small: a batch of very long texts must fit a Python worker.
+
+    These are settings of the session, and a lazy result needs them when it runs, so
+    they stay set; they bound memory and change no result.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
