@@ -4,11 +4,12 @@ Test items are cut into windows of consecutive words.  The corpus frequency of
 every test term is counted; each window is looked up by its rarest term.  For
 those terms the index stores postings: document, position, and the terms at the
 positions around it.  A posting's position minus the term's place in a window is
-a start; the lists of the window's other terms are intersected there at their
-own offsets, rarest first, from the positions held in the posting, so that lists
-of common terms are neither stored whole nor moved.  What is left are exact
-phrase matches.  ``proximity`` finds windows whose terms all occur within a span
-of words, in any order, from the same kind of postings.
+a start, and the window's other terms are compared with the terms that the posting
+holds at their offsets, rarest first.  So no second list is stored, moved or
+intersected: this verification stands in for the intersection of offset-adjusted
+lists (the README says why).  What is left are exact phrase matches.
+``proximity`` finds windows whose terms all occur within a span of words, in any
+order, from the same kind of postings.
 
 All of it is DataFrame operations.  Tokens never cross the network: they are
 joined with the list of test terms where they are read (a broadcast whose bytes

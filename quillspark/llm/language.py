@@ -2,8 +2,8 @@
 
 Training counts n-grams of a bounded sample of labelled rows inside Spark tasks
 and sums them per (language, bucket); the log-probability matrix, ``BUCKETS`` x
-languages, is the model and is broadcast.  A text is scored with numpy: its
-n-gram buckets select rows of the matrix, whose sum is the log posterior.
+languages, is the model and is broadcast.  A batch of texts is scored at once with
+numpy, as a sparse matrix of n-gram buckets times the log probabilities.
 """
 
 from __future__ import annotations
@@ -27,8 +27,11 @@ BITS, LENGTHS = 15, (1, 2, 3)
 #: Expected number of training rows per language, drawn by a hash of doc_id.
 TRAIN_ROWS = 3000
 
-#: Characters scored at once; longer texts go in pieces that overlap.
-PIECE = 1 << 20
+#: Characters of a piece of a long text, and grams that are scored at once, about.
+PIECE, BATCH_GRAMS = 1 << 18, 1 << 19
+
+#: Most languages: the matrix, 128 KB for each of them, is broadcast.
+MOST_LANGS = 512
 
 UNKNOWN = "und"
 
@@ -44,28 +47,44 @@ class Grams:
     def __init__(self, bits: int = BITS, lengths: tuple[int, ...] = LENGTHS):
         self.bits, self.lengths, self.letters = bits, lengths, None
 
-    def buckets(self, text: str) -> Iterator:
-        """Buckets of all n-grams of the lower-cased text, an array per piece and
-        length.  Runs of anything but letters count as one space."""
+    def _is_letter(self, c):
         import numpy as np
         if self.letters is None:
             self.letters = _is_letter()
-        over = max(self.lengths) - 1
+        letter = self.letters[np.minimum(c, 0xFFFF)]
+        far = np.flatnonzero(c > 0xFFFF)
+        if len(far):
+            kinds, back = np.unique(c[far], return_inverse=True)
+            letter[far] = np.array([chr(k).isalpha() for k in kinds.tolist()], bool)[back]
+        return letter
+
+    def buckets(self, text: str) -> Iterator:
+        """Buckets of all n-grams of the lower-cased text, an array per piece and
+        length.  Letters are what ``str.isalpha`` says; runs of anything else count
+        as one space after a letter.  A gram across two pieces belongs to the second."""
+        import numpy as np
+        longest = max(self.lengths)
+        before, in_word = np.empty(0, np.uint64), False
         for at in range(0, max(len(text), 1), PIECE):
-            piece = text[at:at + PIECE + over].lower()
-            c = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
-            letter = self.letters[np.minimum(c, 0xFFFF)] | (c > 0xFFFF)
-            c = np.where(letter, c, 32).astype(np.uint64)
+            c = np.frombuffer(text[at:at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+            if not len(c):
+                continue
+            letter = self._is_letter(c)
             keep = letter.copy()
             keep[1:] |= letter[:-1]
-            c = c[keep]
+            keep[0] |= in_word
+            in_word = bool(letter[-1])
+            c = np.concatenate([before, np.where(letter, c, 32).astype(np.uint64)[keep]])
             h = np.zeros(len(c), np.uint64)
-            for n in range(1, max(self.lengths) + 1):
+            for n in range(1, longest + 1):
                 if len(c) < n:
                     break
                 h = (h[:len(c) - n + 1] if n == 1 else h[:-1]) * np.uint64(0x100000001B3) + c[n - 1:]
                 if n in self.lengths:
-                    yield ((h + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
+                    # Grams that end in what stood before were counted with it.
+                    new = h[max(0, len(before) - n + 1):]
+                    yield ((new + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
+            before = c[len(c) - min(len(c), longest - 1):]
 
 
 def has_letter(text: str) -> bool:
@@ -81,18 +100,42 @@ class Model:
     bits: int
     lengths: tuple[int, ...]
 
-    def predict(self, text: str | None, grams: Grams) -> tuple[str, float]:
-        """Most probable language and its posterior; ``und`` and 0 if there is
-        no text, no letter in it, or no language was learned."""
+    def predict(self, texts, grams: Grams) -> list[tuple[str, float]]:
+        """Most probable language of each text and its posterior; ``und`` and 0 if there
+        is no text, no letter in it, or no language was learned.
+
+        A batch is one sparse matrix, a row per text: its bucket numbers one after the
+        other and where each row begins.  Its product with the log probabilities is
+        one gather and one segmented sum; very many grams go in several of them.
+        """
         import numpy as np
-        if not text or not self.langs or not has_letter(text):
-            return UNKNOWN, 0.0
-        total = self.prior.copy()
-        for idx in grams.buckets(text):
-            total += self.logp[idx].sum(0, dtype=np.float64)
-        p = np.exp(total - total.max())
-        best = int(p.argmax())
-        return self.langs[best], float(p[best] / p.sum())
+        texts = list(texts)
+        known = [i for i, t in enumerate(texts) if t and self.langs and has_letter(t)]
+        total = np.tile(np.asarray(self.prior, float), (len(texts), 1))
+        held, rows, size = [], [], 0
+
+        def add() -> None:
+            nonlocal held, rows, size
+            if held:
+                starts = np.cumsum([0] + [len(x) for x in held[:-1]])
+                sums = np.add.reduceat(self.logp[np.concatenate(held)], starts, axis=0, dtype=np.float64)
+                np.add.at(total, rows, sums)
+            held, rows, size = [], [], 0
+        for i in known:
+            for idx in grams.buckets(texts[i]):
+                if len(idx):
+                    held.append(idx)
+                    rows.append(i)
+                    size += len(idx)
+                if size >= BATCH_GRAMS:
+                    add()
+        add()
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        for i in known:
+            p = np.exp(total[i] - total[i].max())
+            best = int(p.argmax())
+            out[i] = self.langs[best], float(p[best] / p.sum())
+        return out
 
 
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = TRAIN_ROWS,
@@ -109,7 +152,9 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     bounded_batches(spark)
     rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"),
                        F.xxhash64(F.lit(5), F.col(f"`{key}`")).alias("h")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGS + 1).collect()}
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} different values of {lang}: not a language column?")
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros(0), np.zeros((1 << bits, 0), np.float32), bits, lengths)
@@ -154,7 +199,7 @@ def predict_column(spark: SparkSession, model: Model, text: str = "text") -> Col
         m = Model(*shared.value)
         grams = Grams(m.bits, m.lengths)
         for texts in batches:
-            yield pd.DataFrame([m.predict(t, grams) for t in texts], columns=["lang", "score"])
+            yield pd.DataFrame(m.predict(texts, grams), columns=["lang", "score"])
     return predict(F.col(f"`{text}`"))
 
 

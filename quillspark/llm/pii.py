@@ -108,9 +108,19 @@ KINDS = (
          ("phone", "tel:", "tel.", "telefon", "téléphone", "teléfono", "mobile", "fax"), False),
 )
 ORDER = {k.name: i for i, k in enumerate(KINDS)}
+#: Context words stand for themselves: no letter goes on before or behind them ("automobile" is no "mobile").
+NEARBY = {k.name: re.compile("(?<![^\\W\\d_])(?:" + "|".join(map(re.escape, k.words)) + ")(?![^\\W\\d_])", re.I) for k in KINDS}
 ANY_DIGIT = re.compile("[0-9]")
 
 
+def in_context(kind: str, text: str, start: int, end: int) -> bool:
+    """Whether a context word of ``kind`` stands whole within ``WINDOW`` characters of the span."""
+    words = NEARBY[kind]
+    if words.search(text, max(0, start - WINDOW), start):
+        return True
+    return any(m.end() <= end + WINDOW for m in words.finditer(text, end, end + WINDOW + 1))
+
+
 def spans(text: str | None, threshold: float = THRESHOLD) -> list[tuple[str, int, int, float, bool]]:
     """``(kind, start, end, score, base)`` of the whole text, by start, then kind.
 
@@ -128,8 +138,7 @@ def spans(text: str | None, threshold: float = THRESHOLD) -> list[tuple[str, int
         for start, end in kind.find(text):
             if not kind.valid(text[start:end]):
                 continue
-            near = (text[max(0, start - WINDOW):start] + " " + text[end:end + WINDOW]).lower()
-            score = min(1.0, kind.score + CONTEXT * any(w in near for w in kind.words))
+            score = min(1.0, kind.score + CONTEXT * in_context(kind.name, text, start, end))
             if kind.base:
                 found.append((kind.name, start, end, score, True))
                 taken.append((start, end))

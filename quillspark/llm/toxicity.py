@@ -2,8 +2,8 @@
 
 Features of a text: densities of a lexicon, how often its words stand near a
 second-person word, shares of capitals and punctuation, obfuscation rates.  The
-lexicon is a fixed list of common insults plus the words that the labelled
-training rows set apart.  Spark ML fits the trees on part of a bounded sample of
+lexicon is learned: the words that the labelled training rows set apart (a caller
+may add words of its own).  Spark ML fits the trees on part of a bounded sample of
 those rows, less exact and near copies, and an isotonic curve on the rest, which turns the trees' output into a
 probability.
 """
@@ -37,14 +37,6 @@ LEAF_TEXTS = 5
 #: Words on either side in which a second-person word counts as near.
 NEAR = 3
 
-#: Common insults of several languages; the labels add the words of their own texts.
-SEED_LEXICON = (
-    "idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "dumb", "clown", "imbecile", "jerk", "bastard",
-    "bitch", "asshole", "dumbass", "retard", "freak", "pig", "coward", "vermin", "filth", "degenerate", "halfwit", "scumbag",
-    "trottel", "depp", "vollidiot", "dummkopf", "blödmann", "arschloch", "wichser", "hurensohn", "schlampe", "drecksau", "abschaum", "versager",
-    "imbécile", "crétin", "connard", "connasse", "salaud", "salope", "abruti", "débile", "enculé", "ordure", "minable",
-    "idiota", "imbécil", "estúpido", "estúpida", "gilipollas", "cabrón", "pendejo", "puta", "mierda", "escoria", "basura", "tonto", "inútil",
-    "cretino", "stronzo", "coglione", "bastardo", "stupido", "otário", "burro", "palhaço")
 SECOND_PERSON = frozenset(("you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "tu", "te", "toi",
                            "ton", "ta", "vous", "votre", "tú", "ti", "usted", "ustedes", "vos"))
 #: Signs that stand for letters.
@@ -98,7 +90,7 @@ class Model:
 
 
 def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE, least: int = LEXICON_TEXTS, least_odds: float = LEXICON_ODDS,
-                  z: float = LEXICON_Z, words: tuple[str, ...] = SEED_LEXICON) -> dict[str, float]:
+                  z: float = LEXICON_Z, words: tuple[str, ...] = ()) -> dict[str, float]:
     """Word -> weight, from ``rows(id, text, label)`` without copies; ``words`` are in it anyway.
 
     A word's evidence is the number of toxic texts and of others that hold it.
@@ -156,7 +148,7 @@ def different(rows: DataFrame) -> DataFrame:
 
 
 def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", trees: int = TREES,
-          depth: int = DEPTH, step: float = STEP, seed: int = 11, words: tuple[str, ...] = SEED_LEXICON) -> Model:
+          depth: int = DEPTH, step: float = STEP, seed: int = 11, words: tuple[str, ...] = ()) -> Model:
     """Fit on labelled ``rows``, a sample of bounded size; null texts are empty,
     rows with a null label are left out.
 
