@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.session import default_parallelism
@@ -37,14 +37,48 @@ def recluster(df: DataFrame, ts_text: Column, type_col: Column, n_parts: int | N
                .sortWithinPartitions(bucket_name, "__ctype").drop("__ctype", "__tie"))
 
 
+#: Rows of one (bucket, type) that are numbered together, about.
+NUMBERED = 4096
+
+
+def numbered_files(df: DataFrame, bucket: Column, type_col: Column, rows_per_file: int, bucket_name: str = "cluster_day") -> DataFrame:
+    """``df`` with its bucket and ``__file``: the rows in (bucket, type) order, cut exactly every ``rows_per_file`` rows.
+
+    No task sorts a whole (bucket, type), which may be a third of all rows: its rows
+    are dealt by a row hash into parts of about ``NUMBERED``, numbered inside their
+    part, and the parts' sizes are summed up (a row per part).
+    """
+    cols = [F.col(c) for c in df.columns]
+    rows = df.select(*cols, bucket.alias(bucket_name), type_col.cast("string").alias("__type"), F.xxhash64(*cols).alias("__hash"))
+    group, names = [F.col(bucket_name), F.col("__type")], [bucket_name, "__type", "__part"]
+
+    def meet(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+        # A type may be NULL, so the keys are compared null-safe under names of their own.
+        b = b.select(*[F.col(c).alias(f"__b_{c}") if c in on else F.col(c) for c in b.columns])
+        cond = F.lit(True)
+        for c in on:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"__b_{c}"))
+        return a.join(b, cond).drop(*[f"__b_{c}" for c in on])
+    sizes = rows.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / NUMBERED).cast("int").alias("__parts"))
+    rows = meet(rows, sizes, names[:2]).withColumn("__part", F.pmod("__hash", F.col("__parts")).cast("int")).drop("__parts")
+    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    starts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).select(
+        *names, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    rows = rows.withColumn("__at", F.row_number().over(Window.partitionBy(*names).orderBy("__hash")) - 1)
+    file = F.call_function("div", F.col("__start") + F.col("__at"), F.lit(rows_per_file))
+    return meet(rows, starts, names).select(*cols, bucket_name, "__type", file.alias("__file"))
+
+
 def write_clustered(df: DataFrame, path: str, ts_text: Column, type_col: Column, rows_per_file: int,
                     unit: str = "day", bucket_name: str = "cluster_day") -> DataFrame:
-    """Write ``recluster``'s layout with at most ``rows_per_file`` rows in a file, and read it back.
+    """Write ``df`` clustered by (time bucket, type), ``rows_per_file`` rows in every file, and read it back.
 
-    Within a partition rows are sorted, so cutting it into files cuts its (bucket,
-    type) range; a bucket that holds a large share of the rows becomes many files.
+    A bucket that holds a large share of the rows becomes many files.  Partitions hold
+    whole files in order, so the writer's row bound cuts them where the numbering did.
     """
-    out = recluster(df, ts_text, type_col, unit=unit, bucket_name=bucket_name)
+    rows = numbered_files(df, cluster_bucket(ts_text, unit), type_col, rows_per_file, bucket_name)
+    out = rows.repartitionByRange(default_parallelism(df), "__file").sortWithinPartitions("__file", bucket_name, "__type")
+    out = out.drop("__file", "__type")
     out.write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(out.schema).parquet(path)
 

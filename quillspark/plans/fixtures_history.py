@@ -105,7 +105,7 @@ def layout_proof(spark, sf_dir):
     ev = _bad_dates(spark, sf_dir)
     per_file = max(1, -(-ev.count() // 64))
     before = work_path(spark, "staging", "arrival")
-    ev.repartition(16, F.xxhash64("event_id")).write.option("maxRecordsPerFile", per_file).parquet(before)
+    ev.withColumn("load", F.col("event_id") % 16).repartition("load").write.partitionBy("load").parquet(before)
     time, kind = F.col("event_time"), F.col("event_type")
     old = spark.read.schema(ev.schema).parquet(before)
     new = layout.write_clustered(ev, work_path(spark, "tables", "clustered"), time, kind, per_file)
@@ -168,6 +168,17 @@ FROM a FULL JOIN b USING (l_orderkey, l_linenumber) WHERE a.rows IS DISTINCT FRO
     "staged_partitions": """
 SELECT event_id, value AS amount, event_type AS doc_type, ts::DATE AS doc_day, ts AS ingested
 FROM events WHERE event_type LIKE '%s%' AND ts >= TIMESTAMP '2024-01-20 00:00:00'
+""",
+    "layout_proof": """
+WITH e AS (SELECT event_id % 16 AS load, event_type AS kind, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '1970-01-01 00:00:00'
+                  ELSE date_trunc('day', ts)::TIMESTAMP END AS day FROM events),
+placed AS (SELECT *, (row_number() OVER (ORDER BY day, kind) - 1) // (SELECT greatest(1, ceil(count(*) / 64)::BIGINT) FROM e) AS file FROM e),
+old AS (SELECT min(day) AS a, max(day) AS b, min(kind) AS c, max(kind) AS d FROM placed GROUP BY load),
+new AS (SELECT min(day) AS a, max(day) AS b, min(kind) AS c, max(kind) AS d FROM placed GROUP BY file),
+asked AS (SELECT day, kind, count(*) AS n FROM e GROUP BY ALL),
+met AS (SELECT day, n, (SELECT count(*) FROM old WHERE day BETWEEN a AND b AND kind BETWEEN c AND d) AS before,
+               (SELECT count(*) FROM new WHERE day BETWEEN a AND b AND kind BETWEEN c AND d) AS after FROM asked)
+SELECT day AS cluster_day, sum(n)::BIGINT AS n_rows, max(before) AS files_before, max(after) AS files_after FROM met GROUP BY day
 """,
     "unversioned": "SELECT count(*) AS n_unversioned FROM orders WHERE o_orderstatus = 'O'",
 }

@@ -286,3 +286,15 @@ def test_changes_meet_files_by_range(spark):
     df = spark.read.parquet(path)
     got = {(r["bucket"], r["type"]): r["n_files"] for r in layout.files_met(df, F.date_trunc("day", "t").cast("timestamp_ntz"), F.col("kind")).collect()}
     assert got[at(0), "b"] == 2 and got[at(24), "a"] == 1 and got[at(24 * 9), "b"] == 2 and len(got) == 22
+
+
+def test_clustered_files_hold_exactly_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(layout, "NUMBERED", 10)
+    data = [(i, "n/a" if i % 3 == 0 else f"2024-01-{1 + i % 9:02d} 01:00:00", "ab"[i % 2] if i % 11 else None) for i in range(500)]
+    df = spark.createDataFrame(data + data[:40], "id int, t string, kind string").repartition(5)
+    out = layout.write_clustered(df, work_path(spark, "t-clustered"), F.col("t"), F.col("kind"), 32)
+    sizes = Counter(r[0] for r in out.select(F.col("_metadata.file_path")).collect())
+    assert sorted(sizes.values()) == sorted([32] * (540 // 32) + [540 % 32])
+    assert Counter(map(tuple, out.select("id", "t", "kind").collect())) == Counter(data + data[:40])
+    ranges = sorted((r["low_bucket"], r["high_bucket"]) for r in layout.file_ranges(out, F.col("cluster_day"), F.col("kind")).collect())
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
