@@ -10,8 +10,9 @@ is cut into equal buckets, bucket sizes are counted in a first pass over two
 narrow columns and summed up to each bucket's first rank, and only rows of one
 (source, bucket) are sorted together.  The places in the whole sequence follow from
 the sources' sizes alone: every (source, rank) is generated, range-sorted by its
-exact fraction and numbered, and meets its row by an equi-join.  Nothing is done
-per row and source, so many sources cost what few do.
+exact fraction and numbered, and comes back to its bucket, where its row lies sorted.
+Nothing is done per row and source, so many sources cost what few do, and whole rows
+move once.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from quillspark.llm.common import checked_broadcast, comparable, free_name, numb
 #: Rows that one (source, bucket) holds on average, at most.
 BUCKET_ROWS = 2048
 
+#: Most rows of a bucket whose places travel as one array.
+ARRAY_ROWS = 1 << 18
+
 #: Ranks that one row of a block stands for, as a power of two.
 BLOCK_BITS = 12
 
@@ -48,14 +52,18 @@ def fraction_key(rank: Column, size: Column) -> tuple[Column, Column]:
     return (F.shiftleft(a, 40).bitwiseOR(F.shiftleft(b, 20)).bitwiseOR(c), F.shiftleft(d, 20).bitwiseOR(e))
 
 
-def places(sizes: DataFrame, src: str, size: str) -> DataFrame:
-    """``src, rank, pos``: the place of every rank of every source in the whole sequence."""
-    last = F.col(size) - 1
-    blocks = sizes.select(src, size, F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(last, BLOCK_BITS))).alias("block"))
+def places(starts: DataFrame, sizes: DataFrame, src: str, bucket: str, first: str, n: str, size: str) -> DataFrame:
+    """``src, bucket, rank, pos``: the place in the whole sequence of every rank, generated from the buckets' sizes."""
+    last = F.col(n) - 1
+    blocks = starts.join(checked_broadcast(sizes.select(src, size)), src).select(
+        src, bucket, first, size, n, F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(last, BLOCK_BITS))).alias("block"))
     low = F.shiftleft("block", BLOCK_BITS)
-    ranks = blocks.repartition(src, "block").select(src, size, F.explode(F.sequence(low, F.least(low + ((1 << BLOCK_BITS) - 1), last))).alias("rank"))
+    inside = F.explode(F.sequence(low, F.least(low + ((1 << BLOCK_BITS) - 1), last))).alias("inside")
+    ranks = blocks.repartition(src, bucket, "block").select(src, bucket, first, size, inside)
+    ranks = ranks.select(src, bucket, size, (F.col(first) + F.col("inside")).alias("rank"))
     a, b = fraction_key(F.col("rank"), F.col(size))
-    return numbered(ranks.select(src, "rank", a.alias("a"), b.alias("b")), ["a", "b", src], "pos", "places").select(src, "rank", "pos")
+    return numbered(ranks.select(src, bucket, "rank", a.alias("a"), b.alias("b")), ["a", "b", src], "pos", "places").select(
+        src, bucket, "rank", "pos")
 
 
 def stratified_shards(rows: DataFrame, shards: int, by: str = "source", key: tuple[str, ...] = ("doc_id",),
@@ -74,7 +82,7 @@ def stratified_shards(rows: DataFrame, shards: int, by: str = "source", key: tup
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    n = {k: free_name(rows, f"_q_{k}") for k in ("src", "key", "bucket", "first", "rank", "size", "of", "pos", "buckets")}
+    n = {k: free_name(rows, f"_q_{k}") for k in ("src", "key", "bucket", "first", "rank", "rows", "size", "of", "pos", "buckets")}
     src = F.coalesce(F.concat(F.lit("s"), F.col(f"`{by}`").cast("string")), F.lit("n"))
     keyed = rows.select("*", src.alias(n["src"]),
                         F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in key]).alias(n["key"]))
@@ -86,17 +94,22 @@ def stratified_shards(rows: DataFrame, shards: int, by: str = "source", key: tup
     keyed = keyed.join(checked_broadcast(sizes.select(n["src"], n["buckets"])), n["src"]).withColumn(
         n["bucket"], _bucket(F.col(n["key"]), F.col(n["buckets"])))
     below = Window.partitionBy(n["src"]).orderBy(n["bucket"]).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (keyed.groupBy(n["src"], n["bucket"]).agg(F.count(F.lit(1)).alias("n"))
-              .select(n["src"], n["bucket"], F.coalesce(F.sum("n").over(below), F.lit(0)).alias(n["first"])))
+    starts = keyed.groupBy(n["src"], n["bucket"]).agg(F.count(F.lit(1)).alias(n["rows"]))
+    starts = staged(starts.select("*", F.coalesce(F.sum(n["rows"]).over(below), F.lit(0)).alias(n["first"])), "bucket-starts")
+    place = places(starts, sizes, n["src"], n["bucket"], n["first"], n["rows"], n["size"])
 
-    # Pass 2: rank inside a bucket, then the place in the whole sequence.
+    # Pass 2: the rank inside a bucket, and with it the place, which meets the row where it lies.
     order = Window.partitionBy(n["src"], n["bucket"]).orderBy(
         n["key"], *[F.col(f"`{k}`") for k in key], F.xxhash64(*comparable(rows)))
-    ranked = (keyed.withColumn(n["rank"], F.row_number().over(order) - 1)
-              .join(starts, [n["src"], n["bucket"]])
-              .withColumn(n["rank"], F.col(n["rank"]) + F.col(n["first"])))
-    place = places(sizes, n["src"], n["size"]).toDF(n["src"], n["rank"], n["pos"])
-    out = ranked.join(place.hint("merge"), [n["src"], n["rank"]]).withColumn(n["of"], of)
+    ranked = keyed.withColumn(n["rank"], F.row_number().over(order) - 1)
+    if (starts.agg(F.max(n["rows"])).first()[0] or 0) <= ARRAY_ROWS:
+        held = place.groupBy(n["src"], n["bucket"]).agg(F.transform(
+            F.array_sort(F.collect_list(F.struct("rank", "pos"))), lambda x: x["pos"]).alias(n["pos"]))
+        out = ranked.join(held.hint("merge"), [n["src"], n["bucket"]]).withColumn(n["pos"], F.get(n["pos"], F.col(n["rank"])))
+    else:  # very many rows of one key: their places don't fit one array and are met one by one
+        out = ranked.join(starts, [n["src"], n["bucket"]]).withColumn(n["rank"], F.col(n["rank"]) + F.col(n["first"]))
+        out = out.join(place.select(n["src"], F.col("rank").alias(n["rank"]), F.col("pos").alias(n["pos"])), [n["src"], n["rank"]])
+    out = out.withColumn(n["of"], of)
     cut = F.call_function("div", F.col(n["pos"]) * shards, F.col(n["of"]))
     out = out.select(*[F.col(f"`{c}`") for c in rows.columns if c not in (shard, slot)], n["pos"], n["of"], cut.cast("int").alias(shard))
     first = F.call_function("div", F.col(shard).cast("long") * F.col(n["of"]) + (shards - 1), F.lit(shards).cast("long"))

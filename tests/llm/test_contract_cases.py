@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm import embeddings, extract_html, queries
+from quillspark.llm import embeddings, extract_html, language, pii, queries, sharding, toxicity
 
 PAGES = "page_id long, url string, html string"
 
@@ -124,3 +124,139 @@ def test_a_null_row_hides_no_vector_and_both_vectors_link(spark):
     assert got == {(1, 3, 1, True), (2, 2, 1, False), (3, 1, 1, False), (4, 2, 1, False), (None, 0, None, False)}
     same = df.where("vec_id = 1").unionByName(df.where("vec_id = 1")).withColumn("v", F.lit(1))
     assert {tuple(x) for x in embeddings.near_duplicates(same).collect()} == {(1, 0, 1, True)}
+
+
+# --- shards: one plan for buckets of any size gives the same places -----------------------------
+
+def test_places_of_crowded_buckets_are_the_same(spark, monkeypatch):
+    rows = [(i % 7 if i < 300 else i, f"t{i}", "en", "s" if i % 3 else None, 0) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    want = Counter(tuple(r) for r in sharding.stratified_shards(df, 6, bucket_rows=40).collect())
+    monkeypatch.setattr(sharding, "ARRAY_ROWS", 3)
+    assert want == Counter(tuple(r) for r in sharding.stratified_shards(df, 6, bucket_rows=40).collect()) and sum(want.values()) == 500
+
+
+# --- language: a batch like text by text -----------------------------------------------------------
+
+def brute_grams(text, lengths):
+    """Hashes of all n-grams, by their definition."""
+    s, out = [], []
+    for i, c in enumerate(text.lower()):
+        if c.isalpha():
+            s.append(ord(c))
+        elif i and text.lower()[i - 1].isalpha():
+            s.append(32)
+    for n in lengths:
+        for i in range(len(s) - n + 1):
+            h = 0
+            for c in s[i:i + n]:
+                h = (h * 0x100000001B3 + c) % 2 ** 64
+            out.append((h + n) * 0x9E3779B97F4A7C15 % 2 ** 64 >> (64 - language.BITS))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 1 << 18])
+def test_grams_do_not_depend_on_pieces(monkeypatch, piece):
+    monkeypatch.setattr(language, "PIECE", piece)
+    for text in ("", "a", "Abc déf 12 ghi", "  x--y  ", "\U00020000\U0001F600b \U0001F600", "ab1cd2", "ÀÉ" * 9):
+        got = sorted(int(x) for a in language.Grams().buckets(text) for x in a)
+        assert got == brute_grams(text, language.LENGTHS), text
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 19])
+def test_batch_scores_like_naive_bayes_by_hand(monkeypatch, size):
+    monkeypatch.setattr(language, "BATCH_GRAMS", size)
+    r = np.random.default_rng(1)
+    logp = np.log(r.dirichlet(np.ones(1 << language.BITS), 3).T).astype(np.float32)
+    prior = np.log(np.array([.5, .3, .2]))
+    m = language.Model(["a", "b", "c"], prior, logp, language.BITS, language.LENGTHS)
+    texts = ["one text", None, "", "12 !", "zwei und drei", "x", "tres " * 50, "\U0001F600"]
+    got = m.predict(texts, language.Grams())
+    for t, (lang, score) in zip(texts, got):
+        if not t or not any(map(str.isalpha, t)):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        total = prior + sum(logp[i].astype(float) for i in brute_grams(t, language.LENGTHS))
+        p = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        assert lang == "abc"[int(p.argmax())] and abs(score - p.max()) < 1e-6
+
+
+def test_too_many_labels_fail_with_a_message(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGS", 3)
+    df = spark.createDataFrame([(i, "text", f"l{i}") for i in range(5)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="different values"):
+        language.train(df)
+
+
+# --- toxicity: what the labels alone teach ------------------------------------------------------------
+
+def test_learned_words_find_held_out_toxic_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    held = language.fold("doc_id", 5) == 0
+    model = toxicity.train(labels.where(~held).join(docs, "doc_id").select("doc_id", "text", "toxic"))
+    assert len(model.lexicon) >= 5
+    got = toxicity.score(docs.where(held).join(labels.select("doc_id", "toxic"), "doc_id").select("doc_id", "text", "toxic"), model).collect()
+    hit = [r for r in got if r["toxicity"] >= 0.5]
+    assert 2 * sum(r["toxic"] for r in hit) >= sum(r["toxic"] for r in got) > 0 and not any(not r["toxic"] for r in hit)
+
+
+# --- personal data: context words are whole words ---------------------------------------------------
+
+def test_context_words_are_whole_words():
+    kinds = lambda t: [x[0] for x in pii.spans(t)]
+    assert kinds("automobile parts (030) 1234567") == [] and kinds("Mobile: (030) 1234567") == ["local_phone"]
+    assert kinds("(030) 1234567 is my TELEFON") == ["local_phone"] and kinds("(030) 1234567 telefonbuch") == []
+    score = lambda t: pii.spans(t)[0][3]
+    assert score("recipe 1.2.3.4") == score("x 1.2.3.4") < score("the IP 1.2.3.4") == score("1.2.3.4 (host)")
+    far = " " * pii.WINDOW
+    assert score(f"ip {far}1.2.3.4") == score("1.2.3.4") and score(f"1.2.3.4{far}ip") == score("1.2.3.4")
+
+
+def test_lexicon_like_a_count_by_hand(spark):
+    import math
+    r = random.Random(4)
+    words = [f"w{chr(97 + i)}" for i in range(26)]
+    rows = []
+    for i in range(400):
+        label = int(i % 5 == 0)
+        pool = words + (["bad", "worse"] * 6 if label else ["fine"] * 4) + (["rare"] if i in (0, 5) else [])
+        rows.append((i, " ".join(r.choice(pool) for _ in range(12)).title() + "!", label))
+    got = toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int"))
+    pos, neg = sum(x[2] for x in rows), sum(1 - x[2] for x in rows)
+    want = {}
+    for w in {w for _, t, _ in rows for w in t.lower().rstrip("!").split()}:
+        a = sum(x[2] for x in rows if w in x[1].lower().rstrip("!").split())
+        b = sum(1 - x[2] for x in rows if w in x[1].lower().rstrip("!").split())
+        odds = math.log((a + .5) / (pos + 1 - a)) - math.log((b + .5) / (neg + 1 - b))
+        rate = (a + b) / (pos + neg)
+        ratio = sum(x * math.log(x / (total * p)) for x, total, p in ((a, pos, rate), (b, neg, rate), (pos - a, pos, 1 - rate), (neg - b, neg, 1 - rate)) if x)
+        if a >= toxicity.LEXICON_TEXTS and odds >= toxicity.LEXICON_ODDS and math.sqrt(max(0, 2 * ratio)) >= toxicity.LEXICON_Z:
+            want[w] = odds
+    assert set(got) == set(want) == {"bad", "worse"} and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+
+
+def test_trees_and_calibration_like_a_walk_by_hand(spark):
+    """Scores of the fitted model: the sum over the trees' leaves, the isotonic curve, and the small tie-breaking share."""
+    import math
+    r = random.Random(2)
+    rows = [(i, ("you fool " if i % 4 == 0 else "") + " ".join(r.choice("sun moon star cloud rain wind snow".split()) for _ in range(20)), int(i % 4 == 0))
+            for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df)
+    assert "fool" in model.lexicon and model.trees is not None
+
+    def leaf(node, f):
+        while node.numDescendants():
+            split = node.split()
+            node = node.leftChild() if f[split.featureIndex()] <= split.threshold() else node.rightChild()
+        return node.prediction()
+    trees = [(t._call_java("rootNode"), w) for t, w in zip(model.trees.trees, model.trees.treeWeights)]
+    if model.curve is not None:
+        edges, values = model.curve.boundaries.toArray(), model.curve.predictions.toArray()
+    for row in toxicity.score(df.where("doc_id < 40"), model).collect():
+        f = toxicity.features(row["text"], model.lexicon)
+        margin = sum(w * leaf(root, f) for root, w in trees)
+        p = 1 / (1 + math.exp(-2 * margin))
+        want = p if model.curve is None else .999 * min(1, max(0, float(np.interp(p, edges, values)))) + .001 * p
+        assert abs(row["toxicity"] - want) < 1e-9
