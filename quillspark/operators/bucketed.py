@@ -61,14 +61,11 @@ def merge_buckets(spark: SparkSession, path: str, schema: T.StructType, changes:
     ``merge(target, changes)`` gets the target rows of the touched buckets and all
     changes and returns those buckets' new rows, like the functions of
     ``operators.merge``.  ``work`` is a folder of this batch alone; run again with
-    the same folder, the batch changes nothing any more.  ``n`` must be the
+    the same folder and changes, the batch changes nothing any more.  ``n`` must be the
     table's number of buckets, and bounds what reaches the driver.  A bucket whose
     rows all go away loses its folder.  Without changes nothing is written.
     """
-    hit = f"{work}/touched"
-    if not path_exists(spark, f"{hit}/_SUCCESS"):
-        (changes.select(bucket_of(schema, keys, n).alias(BUCKET)).distinct().coalesce(1).write.mode("overwrite").parquet(hit))
-    touched = sorted(r[0] for r in spark.read.schema(f"{BUCKET} int").parquet(hit).collect())
+    touched = sorted(r[0] for r in changes.select(bucket_of(schema, keys, n).alias(BUCKET)).distinct().collect())
     if not touched:
         return []
     rows = f"{work}/rows"

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.functions.scalar import guarded_int, like_any
 from quillspark.session import work_path
@@ -52,13 +53,59 @@ def export_as_text(df: DataFrame, order_col: str, keep: Iterable[str] = ()) -> D
     return out.orderBy(F.col("__ord").asc_nulls_last(), "__tie").drop("__ord", "__tie")
 
 
+#: Ranges into which one pass of the selection cuts the versions that are left.
+RANGES = 1024
+
+
+def _axis(v: Column, kind: T.DataType) -> Column | None:
+    """A version as a whole number of the same order, None for types without one."""
+    if isinstance(kind, T.IntegralType):
+        return v.cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(v.cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(v).cast("long")
+    return None
+
+
 def version_cut(df: DataFrame, version_col: str, n: int):
     """Version of the ``n``-th row in version order (the greatest one if there are fewer rows; None for no row).
 
-    Distributed selection: versions are counted (partial aggregation first), their
-    counts range-sorted and written once; a running sum over the ranges, of which
-    there are as many as partitions, names the one that holds row ``n``, and only
-    that range is walked version by version.
+    Distributed selection by counts per version range: the span between the least and
+    the greatest version is cut into ``RANGES`` equal ranges, each task counts its
+    rows per range, and the running sum of these few numbers names the range that
+    holds row ``n``; only that range is cut again, until it is one version.  No row
+    is moved or sorted.  Versions without such a span (text, fractions) are counted
+    and range-sorted instead, see ``sorted_cut``.
+    """
+    v = F.col(version_col)
+    at = _axis(v, df.schema[version_col].dataType)
+    if at is None:
+        return sorted_cut(df, version_col, n)
+    low, high, total, last = df.agg(F.min(at), F.max(at), F.count(v), F.max(v)).first()
+    if not total or total <= n:
+        return last
+    while low < high:
+        width = -(-(high - low + 1) // RANGES)
+        # A span beyond 62 bits is measured in decimals.
+        from_low = at - F.lit(low) if high - low < 1 << 62 else at.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
+        part = F.call_function("div", from_low, F.lit(width).cast(T.LongType() if high - low < 1 << 62 else T.DecimalType(20, 0)))
+        counts = df.filter((at >= low) & (at <= high)).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()
+        for part, rows in sorted(tuple(r) for r in counts):  # RANGES at most
+            if n <= rows:
+                break
+            n -= rows
+        low, high = low + part * width, min(high, low + (part + 1) * width - 1)
+    return df.filter(at == low).agg(F.min(v)).first()[0]
+
+
+def sorted_cut(df: DataFrame, version_col: str, n: int):
+    """``version_cut`` for versions of any type that sorts.
+
+    Versions are counted (partial aggregation first), their counts range-sorted and
+    written once; a running sum over the ranges, of which there are as many as
+    partitions, names the one that holds row ``n``, and only that range is walked
+    version by version.
     """
     spark = df.sparkSession
     counts = df.groupBy(F.col(version_col).alias("v")).agg(F.count(F.lit(1)).alias("n")).filter("v is not null")

@@ -88,9 +88,16 @@ def test_version_cut_like_sorting(spark, seed, n, kinds):
     data = [(r.randrange(kinds) if r.random() < .9 else None,) for _ in range(n)]
     df = spark.createDataFrame(data, "v long").repartition(6)
     versions = sorted(x for x, in data if x is not None)
+    timed = df.select((F.lit(DAY).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("v"))).alias("v"))
     for k in (1, 2, len(versions) // 2, len(versions), len(versions) + 5):
-        assert text.version_cut(df, "v", k) == versions[min(k, len(versions)) - 1]
-    assert text.version_cut(df.limit(0), "v", 3) is None
+        want = versions[min(k, len(versions)) - 1]
+        assert text.version_cut(df, "v", k) == text.sorted_cut(df, "v", k) == want
+        assert text.version_cut(timed, "v", k) == at(want)
+    assert text.version_cut(df.limit(0), "v", 3) is None and text.sorted_cut(df.limit(0), "v", 3) is None
+    days = spark.createDataFrame([(-3,), (-3,), (0,), (9,)], "d int").select(F.date_add(F.lit("2024-01-10").cast("date"), F.col("d")).alias("v"))
+    assert [str(text.version_cut(days, "v", k)) for k in (1, 2, 3, 4)] == ["2024-01-07", "2024-01-07", "2024-01-10", "2024-01-19"]
+    wide = spark.createDataFrame([(-2 ** 62,), (5,), (2 ** 62,)], "v long")
+    assert [text.version_cut(wide, "v", k) for k in (1, 2, 3)] == [-2 ** 62, 5, 2 ** 62]
 
 
 def test_export_plan_has_no_single_partition_exchange_of_rows(spark):
